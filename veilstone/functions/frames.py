@@ -18,6 +18,15 @@ def exploded(df: DataFrame, array: str | Column, name: str, *keep: str) -> DataF
     return df.select(*keep, F.explode_outer(array).alias(name)).where(F.col(name).isNotNull())
 
 
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column that is costly to compute.
+
+    Catalyst moves filters below projections and copies the expressions they need, so a filter on anything
+    derived from the column would compute it twice. It does not look through an explode, here of one element.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 @dataclass(frozen=True)
 class Running:
     """One running value: `count`, `sum`, `max` or `last` (latest non-null), up to this row or the one before."""

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilstone.functions import spans as S
-from veilstone.functions.frames import exploded
+from veilstone.functions.frames import computed_once, exploded
 from veilstone.functions.patterns import BOOTSTRAP, Pattern
 
 Patterns = Sequence[Pattern]
@@ -41,7 +41,7 @@ def with_kept_spans(
 ) -> DataFrame:
     """The table with an array of its non-overlapping, numbered spans."""
     found = df.withColumn("_spans", S.span_array(F.col(text), patterns, engine))
-    return found.withColumn(out, S.kept_spans(F.col("_spans"), patterns)).drop("_spans")
+    return computed_once(found, out, S.kept_spans(F.col("_spans"), patterns)).drop("_spans")
 
 
 def _kept_rows(df: DataFrame, keys: Sequence[str], text: str, patterns: Patterns) -> DataFrame:

@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from veilstone.functions import dims
 from veilstone.functions import verdicts as V
+from veilstone.functions.frames import computed_once
 
 
 def parse_verdict(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Adds the parsed variant `v`, `parsed`, and every scalar of the record with strict typing."""
     v = F.col("v")
     return (
-        df.withColumn("v", V.parsed(F.col(raw)))
+        computed_once(df, "v", V.parsed(F.col(raw)))
         .withColumn("parsed", V.is_verdict(v))
         .withColumns(
             {
@@ -91,7 +92,8 @@ def sanitize_verdict(
 
 def sanitize_violations(df: DataFrame, key: str, raw: str = "raw") -> DataFrame:
     """One row per kept field of each violation: position, field name and value as JSON."""
-    cleaned = df.select(key, V.clean_violations(V.parsed(F.col(raw))).alias("items"))
+    read = computed_once(df.select(key, raw), "v", V.parsed(F.col(raw)))
+    cleaned = read.select(key, V.clean_violations(F.col("v")).alias("items"))
     items = cleaned.select(key, F.posexplode_outer("items").alias("pos", "item")).where(F.col("item").isNotNull())
     fields = items.select(key, "pos", F.explode_outer("item").alias("field", "value"))
     return fields.where(F.col("field").isNotNull()).select(key, "pos", "field", F.to_json("value").alias("value"))

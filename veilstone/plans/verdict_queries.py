@@ -226,12 +226,12 @@ ORACLE = {
     "bucket_confidence": f"{READ} SELECT request_id, {_BUCKET} AS confidence FROM fields",
     "sanitize_violations": f"""{READ},
 items AS (
-  SELECT request_id, unnest(range(json_array_length(j, '$.violations'))) AS at, json_extract(j, '$.violations[*]') AS list
+  SELECT request_id, unnest(range(CAST(json_array_length(j, '$.violations') AS BIGINT))) AS idx, json_extract(j, '$.violations[*]') AS elems
   FROM fields WHERE json_type(j, '$.violations') = 'ARRAY'),
 objects AS (
-  SELECT request_id, at, list[at + 1] AS item,
-         row_number() OVER (PARTITION BY request_id ORDER BY at) - 1 AS pos
-  FROM items WHERE json_type(list[at + 1]) = 'OBJECT'),
+  SELECT request_id, idx, elems[idx + 1] AS item,
+         row_number() OVER (PARTITION BY request_id ORDER BY idx) - 1 AS pos
+  FROM items WHERE json_type(elems[idx + 1]) = 'OBJECT'),
 fields_of AS (SELECT request_id, pos, item, unnest(json_keys(item)) AS field FROM objects)
 SELECT request_id, CAST(pos AS INTEGER) AS pos, field, CAST(json_extract(item, '$.' || field) AS VARCHAR) AS value
 FROM fields_of WHERE field NOT IN ({_INTERNAL})""",

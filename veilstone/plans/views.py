@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veilstone.functions.frames import computed_once
+from veilstone.functions.requests import is_blank
 from veilstone.sources.tables import read_table, read_text_table, spread
 
 
@@ -79,6 +81,27 @@ RAW = " || ".join(
     ]
 )
 
+CONTEXT = (
+    "CASE WHEN event_id % 23 = 0 THEN '\"plain\"' ELSE '{\"z\":1' || "
+    + _optional("session_id", _string("'s' || cast(user_id as string)"), "event_id % 29 <> 0")
+    + " || "
+    + _optional("agent_id", _string("'a' || cast(user_id % 20 as string)"), "event_id % 37 <> 0")
+    + " || "
+    + _optional("source_application", _string("'app'"), "event_id % 41 <> 0")
+    + " || '}' END"
+)
+ENDPOINT = (
+    "CASE WHEN event_id % 4 = 0 THEN 'general' WHEN event_id % 16 = 5 THEN 'tool_schema' ELSE 'specialized' END"
+)
+BODY = (
+    f"CASE {ENDPOINT} WHEN 'general' THEN '{{\"prompt\":\"hello\",\"scan_type\":\"' || "
+    "CASE WHEN event_id % 28 = 0 THEN 'quick' ELSE 'full' END || '\",\"context\":' || " + CONTEXT + " || '}' "
+    "WHEN 'tool_schema' THEN '{\"name\":\"n\"' || " + _optional("description", "'\"d\"'", "event_id % 48 <> 5") + " || "
+    + _optional("content_type", "'\"sql\"'", "event_id % 32 = 5") + " || '}' "
+    "ELSE '{\"content\":\"c\",\"content_type\":\"' || CASE WHEN event_id % 19 = 1 THEN 'hologram' ELSE " + CHANNEL
+    + " END || '\",\"context\":' || " + CONTEXT + " || '}' END"
+)
+
 EVENT_COLUMNS = {
     "request_id": "event_id",
     "session_id": "'u' || cast(user_id as string) || '-' || day",
@@ -87,7 +110,10 @@ EVENT_COLUMNS = {
     "raw": RAW,
     "status": "CASE WHEN event_type = 'error' THEN 500 WHEN event_id % 50 = 0 THEN 401 ELSE 200 END",
     "endpoint": "CASE WHEN event_type IN ('view', 'click') THEN 'general' ELSE 'specialized' END",
+    "envelope_endpoint": ENDPOINT,
+    "body": BODY,
     "tool": _pick("k % 5", ["read_file", "write_file", "run_command", "web_search", "send_mail"]),
+    "k_blank": "k % 17 = 0",
     "risk": "least(value / 100.0, 1.0)",
     "content": f"{CHANNEL} || ' ' || cast(user_id % 7 as string) || ' ' || cast(k % 13 as string)",
 }
@@ -104,7 +130,9 @@ def event_requests(spark: SparkSession, folder: str, *columns: str) -> DataFrame
         F.get_json_object("props", "$.k").cast("int").alias("k"),
         F.date_format("ts", "yyyyMMdd").alias("day"),
     )
-    derived = [F.expr(EVENT_COLUMNS[c]).alias(c) for c in ("request_id", *columns)]
+    if "raw" in columns:
+        base = computed_once(base, "raw", F.expr(EVENT_COLUMNS["raw"]))
+    derived = [F.col("raw") if c == "raw" else F.expr(EVENT_COLUMNS[c]).alias(c) for c in ("request_id", *columns)]
     return base.select("ts", "user_id", *derived)
 
 
@@ -144,4 +172,4 @@ def page_chunks(spark: SparkSession, folder: str) -> DataFrame:
     """Pages cut at paragraph marks: page, position and the non-blank chunk."""
     pages = spread(read_table(spark, folder, "pages"), "page_id")
     cut = pages.select("page_id", F.posexplode(F.split("html", "<p>")).alias("pos", "chunk"))
-    return cut.where(F.trim("chunk") != "")
+    return cut.where(~is_blank(F.col("chunk")))
