@@ -29,7 +29,10 @@ def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 @dataclass(frozen=True)
 class Running:
-    """One running value: `count`, `sum`, `max` or `last` (latest non-null), up to this row or the one before."""
+    """One running value, up to this row or the one before.
+
+    Kinds: `count`, `sum`, `max`, `last` (latest non-null) and `first` (value of the very first row, NULL or not).
+    """
 
     kind: str
     value: Column | None = None
@@ -56,8 +59,9 @@ def running(
     """
     spec = {name: (r.kind, F.lit(1) if r.value is None else r.value, r.before) for name, r in values.items()}
     df = df.withColumn("_bucket", bucket)
-    for name, (_, value, _) in spec.items():
-        df = df.withColumn(f"_in_{name}", value)
+    for name, (kind, value, _) in spec.items():
+        # A struct around the value keeps a NULL in the first row apart from no row at all.
+        df = df.withColumn(f"_in_{name}", F.struct(value.alias("v")) if kind == "first" else value)
     slot = [*keys, "_bucket"]
 
     inner = Window.partitionBy(*slot).orderBy(*order)
@@ -70,6 +74,7 @@ def running(
             "sum": F.sum(col),
             "max": F.max(col),
             "last": F.last(col, ignorenulls=True),
+            "first": F.first(col),
         }[kind]
         local = local.withColumn(f"_at_{name}", step.over(frame))
 
@@ -80,6 +85,7 @@ def running(
                 "sum": lambda c: F.sum(c),
                 "max": lambda c: F.max(c),
                 "last": lambda c: _last(c, order),
+                "first": lambda c: F.min_by(c, F.struct(*order)),
             }[kind](F.col(f"_in_{name}")).alias(f"_total_{name}")
             for name, (kind, _, _) in spec.items()
         ]
@@ -87,7 +93,13 @@ def running(
     past = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     for name, (kind, _, _) in spec.items():
         col = F.col(f"_total_{name}")
-        step = F.max(col) if kind == "max" else F.last(col, ignorenulls=True) if kind == "last" else F.sum(col)
+        step = {
+            "count": F.sum(col),
+            "sum": F.sum(col),
+            "max": F.max(col),
+            "last": F.last(col, ignorenulls=True),
+            "first": F.first(col, ignorenulls=True),
+        }[kind]
         totals = totals.withColumn(f"_from_{name}", step.over(past))
     carried = totals.select(*slot, *[f"_from_{name}" for name in spec])
 
@@ -96,6 +108,8 @@ def running(
         here, handed = F.col(f"_at_{name}"), F.col(f"_from_{name}")
         if kind == "last":
             value = F.coalesce(here, handed)
+        elif kind == "first":
+            value = F.coalesce(handed, here)["v"]
         elif kind == "max":
             value = F.greatest(here, handed)
         else:

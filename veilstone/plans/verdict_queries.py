@@ -61,7 +61,7 @@ def sanitize_verdict(spark: SparkSession, folder: str) -> DataFrame:
     return _clean(spark, folder).select(
         "request_id", "parsed", "safe", "reason", "threat_type", "severity", "confidence", "guidance", "action",
         "refuse_tier", "content_type", "content_origin", "held_by_scope",
-        F.coalesce(F.size("violations"), F.lit(0)).alias("n_violations"),
+        F.coalesce(F.array_size("violations"), F.lit(0)).alias("n_violations"),
         V.text_field(F.col("recovery"), "instruction").alias("instruction"),
         F.col("session_state").isNotNull().alias("has_session_state"),
         F.to_json("content_verdict").alias("content_verdict"),

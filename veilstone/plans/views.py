@@ -5,7 +5,7 @@ The expressions are plain SQL that Spark and DuckDB read alike, so both engines
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilstone.functions.frames import computed_once
@@ -150,15 +150,49 @@ def events_cte() -> str:
 
 # One declaration per agent and week; every second one is a refresh that leaves most fields unset.
 SCOPE_COLUMNS = {
-    "declared_at": "CAST('2024-01-01 00:00:00' AS TIMESTAMP) + week * INTERVAL 7 DAY + agent * INTERVAL 1 HOUR",
-    "allowed_key": "CASE WHEN week = 0 THEN agent % 3 WHEN week = 2 THEN (agent + 1) % 4 END",
+    "agent_id": "'a' || cast(agent as string)",
+    "seq": "week",
+    "allowed": "CASE WHEN week = 0 THEN CASE agent % 3 WHEN 0 THEN 'read_file,web_search,write_file' WHEN 1 THEN '*' "
+    "ELSE 'read_file,run_command' END WHEN week = 2 THEN CASE agent % 4 WHEN 0 THEN 'read_file' "
+    "WHEN 1 THEN 'read_file,send_mail' WHEN 2 THEN '' END "
+    "WHEN week = 4 AND agent % 2 = 0 THEN 'read_file,write_file' END",
+    "forbidden": "CASE WHEN week = 0 AND agent % 5 = 0 THEN 'send_mail' "
+    "WHEN week = 4 AND agent % 3 = 0 THEN 'run_command,send_mail' WHEN week = 3 AND agent % 5 = 0 THEN 'web_search' END",
+    "purpose": "CASE WHEN week = 0 THEN 'p' || cast(agent as string) WHEN week = 3 THEN 'later' END",
+    "max_duration_seconds": "CASE WHEN week = 0 THEN 864000 WHEN week = 1 AND agent % 2 = 0 THEN 200000 END",
+    "renewable_seconds": "CASE WHEN week = 0 AND agent % 4 = 0 THEN 1300000 WHEN week = 2 THEN 99 END",
 }
 
 
-def scope_agents(spark: SparkSession, folder: str) -> DataFrame:
+def scope_declarations(spark: SparkSession, folder: str) -> DataFrame:
     """Scope declarations for the agents seen in the events."""
     agents = read_table(spark, folder, "events").select((F.col("user_id") % 20).alias("agent")).distinct()
-    return agents.select("agent", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("week"))
+    weeks = agents.select("agent", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("week"))
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    at = F.timestamp_seconds(F.unix_seconds(start) + F.col("week") * 604_800 + F.col("agent") * 3_600)
+    end = F.when((F.col("week") == 3) & (F.col("agent") % 3 == 1), F.lit("2024-01-25 00:00:00").cast("timestamp"))
+
+    def tools(name: str) -> Column:
+        text = F.expr(SCOPE_COLUMNS[name])
+        listed = F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ","))
+        return F.when(text.isNotNull(), listed)
+
+    return weeks.select(
+        *[F.expr(SCOPE_COLUMNS[c]).alias(c) for c in ("agent_id", "seq", "purpose", "max_duration_seconds", "renewable_seconds")],
+        at.alias("declared_at"),
+        end.alias("expires_at"),
+        tools("allowed").alias("allowed_tools"),
+        tools("forbidden").alias("forbidden_tools"),
+    )
+
+
+def scopes_cte() -> str:
+    """DuckDB: `decl`, the same declarations, with lists as comma-joined text."""
+    derived = ", ".join(f"{sql} AS {name}" for name, sql in SCOPE_COLUMNS.items())
+    return f"""agents AS (SELECT DISTINCT user_id % 20 AS agent FROM events),
+weeks AS (SELECT agent, unnest(range(5)) AS week FROM agents),
+decl AS (SELECT {derived}, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(week * 604800 + agent * 3600) AS declared_at,
+  CASE WHEN week = 3 AND agent % 3 = 1 THEN TIMESTAMP '2024-01-25 00:00:00' END AS expires_at FROM weeks)"""
 
 
 def document_envelopes(spark: SparkSession, folder: str) -> DataFrame:
