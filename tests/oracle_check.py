@@ -73,7 +73,7 @@ def main(folder: str, wanted: list[str]) -> None:
         try:
             print(f"{name}: {compare(spark, con, name, folder)}", flush=True)
         except Exception as problem:
-            print(f"{name}: ERROR {str(problem)[:1500]}", flush=True)
+            print(f"{name}: ERROR {str(problem)[:400]}", flush=True)
     spark.stop()
 
 

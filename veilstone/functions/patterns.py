@@ -2,55 +2,39 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from veilstone.functions.regex import java_regex
 
-Screen = Callable[[Column], Column]
-
-
 @dataclass(frozen=True)
 class Pattern:
     """One named detector. `prefix` tags its tokens; list order breaks ties between matches.
 
-    `screen` is an optional cheap condition that holds for every text the pattern can match.
+    `screen` is an optional cheap SQL condition on `{text}` that holds for every text the pattern can match.
     """
 
     name: str
     regex: str
     prefix: str
     confidence: float | None = None
-    screen: Screen | None = field(default=None, compare=False)
+    screen: str | None = field(default=None, compare=False)
 
     @property
     def java(self) -> str:
         return java_regex(self.regex)
 
 
-def _has(*words: str) -> Screen:
-    def check(text: Column) -> Column:
-        found = text.contains(words[0])
-        for word in words[1:]:
-            found = found | text.contains(word)
-        return found
-
-    return check
-
-
-def _has_any_case(*words: str) -> Screen:
-    return lambda text: _has(*words)(F.lower(text))
+def _has(*words: str, of: str = "{text}") -> str:
+    return "(" + " OR ".join(f"contains({of}, '{word}')" for word in words) + ")"
 
 
-def _finds(regex: str) -> Screen:
-    return lambda text: text.rlike(regex)
+def _has_any_case(*words: str) -> str:
+    return _has(*words, of="lower({text})")
 
 
 # Three digits, at most two separators, two digits: part of every card, id, phone and account number.
-_digit_run = _finds(r"[0-9]{3}[-.)\t\n\f\r ]{0,2}[0-9]{2}")
+_DIGIT_RUN = r"{text} RLIKE '[0-9]{{3}}[-.)\\t\\n\\f\\r ]{{0,2}}[0-9]{{2}}'"
 
 # Detector names, token prefixes and expressions, in tie-breaking order.
 BOOTSTRAP: tuple[Pattern, ...] = (
@@ -63,11 +47,11 @@ BOOTSTRAP: tuple[Pattern, ...] = (
         r"|3[47][0-9]{2}[-\s]?[0-9]{6}[-\s]?[0-9]{5}"
         r"|6(?:011|5[0-9]{2})[-\s]?[0-9]{4}[-\s]?[0-9]{4}[-\s]?[0-9]{4})\b",
         "CARD",
-        screen=_digit_run,
+        screen=_DIGIT_RUN,
     ),
-    Pattern("ssn", r"\b\d{3}-?\d{2}-?\d{4}\b", "SSN", screen=_digit_run),
+    Pattern("ssn", r"\b\d{3}-?\d{2}-?\d{4}\b", "SSN", screen=_DIGIT_RUN),
     Pattern("email", r"\b[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}\b", "EMAIL", screen=_has("@")),
-    Pattern("phone", r"\b(?:\+?1[-.\s]?)?\(?\d{3}\)?[-.\s]?\d{3}[-.\s]?\d{4}\b", "PHONE", screen=_digit_run),
+    Pattern("phone", r"\b(?:\+?1[-.\s]?)?\(?\d{3}\)?[-.\s]?\d{3}[-.\s]?\d{4}\b", "PHONE", screen=_DIGIT_RUN),
     Pattern(
         "api_key",
         r"(?i)\b(?:api[_-]?key|apikey|access[_-]?token)[:\s=]+[A-Za-z0-9_\-]{20,}\b",
@@ -87,15 +71,15 @@ BOOTSTRAP: tuple[Pattern, ...] = (
         "DOB",
         screen=_has_any_case("dob", "d.o.b.", "birth"),
     ),
-    Pattern("bank_account", r"(?i)\b(?:Account|Acct)[:\s#]*\d{8,17}\b", "ACCOUNT", screen=_digit_run),
-    Pattern("routing_number", r"(?i)\b(?:Routing|ABA)[:\s#]*\d{9}\b", "ROUTING", screen=_digit_run),
-    Pattern("ip_address", r"\b(?:\d{1,3}\.){3}\d{1,3}\b", "IP", screen=_finds(r"[0-9]\.[0-9]")),
+    Pattern("bank_account", r"(?i)\b(?:Account|Acct)[:\s#]*\d{8,17}\b", "ACCOUNT", screen=_DIGIT_RUN),
+    Pattern("routing_number", r"(?i)\b(?:Routing|ABA)[:\s#]*\d{9}\b", "ROUTING", screen=_DIGIT_RUN),
+    Pattern("ip_address", r"\b(?:\d{1,3}\.){3}\d{1,3}\b", "IP", screen="{text} RLIKE '[0-9][.][0-9]'"),
     Pattern(
         "address",
         r"(?i)\b\d+\s+[A-Za-z0-9\s]+"
         r"(?:Street|St|Avenue|Ave|Road|Rd|Boulevard|Blvd|Lane|Ln|Drive|Dr)\b",
         "ADDR",
-        screen=_finds(r"[0-9][\t\n\f\r ]"),
+        screen=r"{text} RLIKE '[0-9][\\t\\n\\f\\r ]'",
     ),
 )
 

@@ -1,7 +1,8 @@
-"""Column expressions from text to detector spans, kept spans, tokens and back.
+"""SQL expressions from text to detector spans, kept spans, tokens and back.
 
 A span is a struct. Offsets count characters; `byte_start` counts UTF-8 bytes. Everything here works inside one
-row, so it needs no shuffle and runs the same on a batch or a stream.
+row, so it needs no shuffle and runs the same on a batch or a stream. Expressions are SQL text: one call builds a
+tree of hundreds of nodes, and the same text can be put into `spark.sql`.
 """
 
 from __future__ import annotations
@@ -13,51 +14,60 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from veilstone.functions.patterns import Pattern, Screen
+from veilstone.functions.dims import sql_text
+from veilstone.functions.patterns import Pattern
 
-_SPAN = "start INT, ord INT, end INT, byte_start INT, original STRING"
-SPAN_TYPE = f"STRUCT<{_SPAN.replace(' INT', ': INT').replace(' STRING', ': STRING')}>"
-ENTRY_TYPE = "STRUCT<token: STRING, original: STRING, type: STRING, position: INT>"
-_KEPT_TYPE = "STRUCT<start: INT, end: INT, byte_start: INT, type: STRING, prefix: STRING, token: STRING, original: STRING>"
+_SPAN = "STRUCT<start: INT, ord: INT, end: INT, byte_start: INT, original: STRING>"
+_KEPT = (
+    "STRUCT<start: INT, end: INT, byte_start: INT, type: STRING, prefix: STRING, token: STRING, original: STRING>"
+)
 
+# From one pattern's matches and the gaps between them to placed spans. Gaps and matches alternate, so lengths add up.
+_PLACED = f"""aggregate(
+  transform(f.hits, (h, i) -> named_struct('gap', get(f.gaps, i), 'hit', h)),
+  named_struct('upto', 0, 'bytes', 0, 'spans', CAST(array() AS ARRAY<{_SPAN}>)),
+  (s, x) -> named_struct(
+    'upto', s.upto + length(x.gap) + length(x.hit),
+    'bytes', s.bytes + octet_length(x.gap) + octet_length(x.hit),
+    'spans', array_append(s.spans, named_struct(
+      'start', s.upto + length(x.gap), 'ord', f.ord, 'end', s.upto + length(x.gap) + length(x.hit),
+      'byte_start', s.bytes + octet_length(x.gap), 'original', x.hit))),
+  s -> s.spans)"""
 
-def _empty(element: str) -> Column:
-    return F.array().cast(f"array<{element}>")
 
+def _array(items: Sequence[str]) -> str:
+    return f"array({', '.join(items)})"
 
-def _walk(text: Column, java: str, order: int) -> Column:
-    """Spans of one expression: its matches, placed by the lengths of the gaps between them."""
-    found = F.regexp_extract_all(text, F.lit(java), F.lit(0))
-    gaps = F.split(text, java, -1)
-    steps = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(found)).alias("gap"), found.alias("hit"))
 
-    def step(state: Column, item: Column) -> Column:
-        gap, hit = item["gap"], item["hit"]
-        start = state["at"] + F.length(gap)
-        byte_start = state["byte_at"] + F.octet_length(gap)
-        end = start + F.length(hit)
-        span = F.struct(
-            start.alias("start"),
-            F.lit(order).alias("ord"),
-            end.alias("end"),
-            byte_start.alias("byte_start"),
-            hit.alias("original"),
-        )
-        return F.struct(
-            end.alias("at"),
-            (byte_start + F.octet_length(hit)).alias("byte_at"),
-            F.array_append(state["spans"], span).alias("spans"),
-        )
+def span_sql(text: str, patterns: Sequence[Pattern]) -> str:
+    """Every match of every pattern, overlapping ones included, ordered by start and then pattern order.
 
-    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("byte_at"), _empty(SPAN_TYPE).alias("spans"))
-    return F.aggregate(steps, zero, step, lambda state: state["spans"])
+    Most texts match nothing. Each pattern is tried behind its screen, patterns that share a screen share its test,
+    and only texts with a match are cut up.
+    """
+    if not patterns:
+        return f"CASE WHEN {text} IS NOT NULL THEN CAST(array() AS ARRAY<{_SPAN}>) END"
+    by_screen: dict[str | None, list[str]] = {}
+    for order, pattern in enumerate(patterns):
+        java = sql_text(pattern.java)
+        found = (
+            f"CASE WHEN {text} RLIKE {java} THEN named_struct('ord', {order}, "
+            f"'hits', regexp_extract_all({text}, {java}, 0), 'gaps', split({text}, {java}, -1)) END"
+        )
+        by_screen.setdefault(pattern.screen, []).append(found)
+    parts = [
+        _array(found) if screen is None else f"CASE WHEN {screen.format(text=text)} THEN {_array(found)} ELSE array() END"
+        for screen, found in by_screen.items()
+    ]
+    hits = f"filter(flatten({_array(parts)}), f -> f IS NOT NULL)"
+    return f"CASE WHEN {text} IS NOT NULL THEN sort_array(flatten(transform({hits}, f -> {_PLACED}))) END"
 
 
-def _arrow_spans(text: Column, patterns: Sequence[Pattern]) -> Column:
+def arrow_spans(text: str, patterns: Sequence[Pattern]) -> Column:
     """The same spans from Arrow batches and Python's ASCII engine: a second opinion for the native form."""
     sources = [p.regex for p in patterns]
 
-    @F.pandas_udf(f"array<{SPAN_TYPE}>")
+    @F.pandas_udf(f"array<{_SPAN}>")
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         engines = [re.compile(s, re.ASCII) for s in sources]
 
@@ -79,107 +89,63 @@ def _arrow_spans(text: Column, patterns: Sequence[Pattern]) -> Column:
         for batch in batches:
             yield batch.map(one)
 
-    return find(text)
-
-
-def span_array(text: Column, patterns: Sequence[Pattern], engine: str = "native") -> Column:
-    """Every match of every pattern, overlapping ones included, ordered by start and then pattern order."""
-    if engine == "arrow":
-        return F.sort_array(_arrow_spans(text, patterns))
-    if not patterns:
-        return F.when(text.isNotNull(), _empty(SPAN_TYPE))
-    by_screen: dict[Screen | None, list[Column]] = {}
-    for order, pattern in enumerate(patterns):
-        java = pattern.java
-        found = F.when(text.rlike(java), _walk(text, java, order)).otherwise(_empty(SPAN_TYPE))
-        by_screen.setdefault(pattern.screen, []).append(found)
-    parts = []
-    for screen, found in by_screen.items():
-        together = F.flatten(F.array(*found))
-        parts.append(together if screen is None else F.when(screen(text), together).otherwise(_empty(SPAN_TYPE)))
-    return F.sort_array(F.flatten(F.array(*parts)))
-
-
-def _literals(values: Sequence[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+    return F.sort_array(find(text))
 
 
-def kept_spans(spans: Column, patterns: Sequence[Pattern]) -> Column:
+def kept_sql(spans: str, patterns: Sequence[Pattern]) -> str:
     """Spans that overlap no kept earlier one, numbered per prefix in text order.
 
     Matches are never empty, so one pass over the sorted spans that remembers the last kept end is enough.
     """
+    none = f"CAST(array() AS ARRAY<{_KEPT}>)"
     if not patterns:
-        return F.when(spans.isNotNull(), _empty(_KEPT_TYPE))
+        return f"CASE WHEN {spans} IS NOT NULL THEN {none} END"
     prefixes = sorted({p.prefix for p in patterns})
-    prefix_of = _literals([p.prefix for p in patterns])
-    slot_of = F.array(*[F.lit(prefixes.index(p.prefix)) for p in patterns])
-    name_of = _literals([p.name for p in patterns])
-
-    def step(state: Column, span: Column) -> Column:
-        slot = F.get(slot_of, span["ord"])
-        counts = F.transform(state["counts"], lambda n, i: F.when(i == slot, n + 1).otherwise(n))
-        prefix = F.get(prefix_of, span["ord"])
-        kept = F.struct(
-            span["start"].alias("start"),
-            span["end"].alias("end"),
-            span["byte_start"].alias("byte_start"),
-            F.get(name_of, span["ord"]).alias("type"),
-            prefix.alias("prefix"),
-            F.concat(F.lit("["), prefix, F.lit("_"), F.get(counts, slot).cast("string"), F.lit("]")).alias("token"),
-            span["original"].alias("original"),
-        )
-        grown = F.struct(
-            span["end"].alias("upto"), counts.alias("counts"), F.array_append(state["kept"], kept).alias("kept")
-        )
-        return F.when(span["start"] >= state["upto"], grown).otherwise(state)
-
-    zero = F.struct(
-        F.lit(0).alias("upto"),
-        F.array(*[F.lit(0)] * len(prefixes)).alias("counts"),
-        _empty(_KEPT_TYPE).alias("kept"),
-    )
-    folded = F.aggregate(spans, zero, step, lambda state: state["kept"])
-    return F.when(F.size(spans) > 0, folded).when(spans.isNotNull(), _empty(_KEPT_TYPE))
-
-
-def kept_entries(kept: Column) -> Column:
+    names = _array([sql_text(p.name) for p in patterns])
+    tags = _array([sql_text(p.prefix) for p in patterns])
+    slots = _array([str(prefixes.index(p.prefix)) for p in patterns])
+    zeros = _array(["0"] * len(prefixes))
+    return f"""CASE WHEN size({spans}) > 0 THEN aggregate(
+  {spans},
+  named_struct('upto', 0, 'counts', {zeros}, 'kept', {none}),
+  (s, x) -> CASE WHEN x.start < s.upto THEN s ELSE named_struct(
+    'upto', x.end,
+    'counts', transform(s.counts, (n, i) -> CASE WHEN i = get({slots}, x.ord) THEN n + 1 ELSE n END),
+    'kept', array_append(s.kept, named_struct(
+      'start', x.start, 'end', x.end, 'byte_start', x.byte_start, 'type', get({names}, x.ord),
+      'prefix', get({tags}, x.ord),
+      'token', concat('[', get({tags}, x.ord), '_', get(s.counts, get({slots}, x.ord)) + 1, ']'),
+      'original', x.original))) END,
+  s -> s.kept) WHEN {spans} IS NOT NULL THEN {none} END"""
+
+
+def entries_sql(kept: str) -> str:
     """The reversible map of one text: token, original, type and byte position, in text order."""
-    return F.transform(
-        kept,
-        lambda k: F.struct(
-            k["token"].alias("token"),
-            k["original"].alias("original"),
-            k["type"].alias("type"),
-            k["byte_start"].alias("position"),
-        ),
+    return (
+        f"transform({kept}, k -> named_struct('token', k.token, 'original', k.original, 'type', k.type, "
+        "'position', k.byte_start))"
     )
 
 
-def redacted_text(text: Column, kept: Column) -> Column:
+def redacted_sql(text: str, kept: str) -> str:
     """The text with kept spans replaced by their tokens: gaps and tokens joined once, left to right."""
+    gap_from = f"CASE WHEN i = 0 THEN 0 ELSE get({kept}, i - 1).end END"
+    pieces = f"transform({kept}, (k, i) -> concat(substr({text}, {gap_from} + 1, k.start - {gap_from}), k.token))"
+    tail = f"substr({text}, get({kept}, size({kept}) - 1).end + 1)"
+    return f"CASE WHEN size({kept}) > 0 THEN concat(array_join({pieces}, ''), {tail}) ELSE {text} END"
 
-    def piece(k: Column, i: Column) -> Column:
-        gap_from = F.when(i == 0, F.lit(0)).otherwise(F.get(kept, i - 1)["end"])
-        return F.concat(F.substr(text, gap_from + 1, k["start"] - gap_from), k["token"])
 
-    tail = F.substr(text, F.get(kept, F.size(kept) - 1)["end"] + 1)
-    return F.when(F.size(kept) > 0, F.concat(F.array_join(F.transform(kept, piece), ""), tail)).otherwise(text)
+def rehydrated_sql(text: str, entries: str) -> str:
+    """Every occurrence of each token back to its original, entry by entry in order."""
+    filled = f"aggregate({entries}, {text}, (t, e) -> replace(t, e.token, e.original))"
+    return f"CASE WHEN size({entries}) > 0 THEN {filled} ELSE {text} END"
 
 
-def rehydrated_text(text: Column, entries: Column) -> Column:
-    """Every occurrence of each token back to its original, entry by entry in order."""
-    filled = F.aggregate(entries, text, lambda done, e: F.replace(done, e["token"], e["original"]))
-    return F.when(F.size(entries) > 0, filled).otherwise(text)
-
-
-def type_counts(kept: Column, patterns: Sequence[Pattern]) -> Column:
-    """Count per type inside the row, as an array of (type, n) without zeros."""
-    names = list(dict.fromkeys(p.name for p in patterns))
-    counted = F.transform(
-        _literals(names) if names else _empty("STRING"),
-        lambda name: F.struct(
-            name.alias("type"), F.size(F.filter(kept, lambda k: k["type"] == name)).cast("bigint").alias("n")
-        ),
+def type_counts_sql(kept: str, patterns: Sequence[Pattern]) -> str:
+    """Count per type inside the row, as an array of (type, n) without zeros; NULL where nothing was kept."""
+    names = _array([sql_text(n) for n in dict.fromkeys(p.name for p in patterns)]) if patterns else "array('')"
+    counted = (
+        f"transform({names}, t -> named_struct('type', t, "
+        f"'n', CAST(size(filter({kept}, k -> k.type = t)) AS BIGINT)))"
     )
-    return F.when(F.size(kept) > 0, F.filter(counted, lambda c: c["n"] > 0))
+    return f"CASE WHEN size({kept}) > 0 THEN filter({counted}, c -> c.n > 0) END"

@@ -20,11 +20,15 @@ def _literal_lookup(values: Sequence[str], at: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), at)
 
 
+def _spans(text: str, patterns: Patterns, engine: str) -> Column:
+    return S.arrow_spans(text, patterns) if engine == "arrow" else F.expr(S.span_sql(text, patterns))
+
+
 def pii_spans(
     df: DataFrame, key: str, text: str = "text", patterns: Patterns = BOOTSTRAP, engine: str = "native"
 ) -> DataFrame:
     """Every match of every pattern, one row each; matches may overlap."""
-    found = df.select(key, S.span_array(F.col(text), patterns, engine).alias("spans"))
+    found = df.select(key, _spans(text, patterns, engine).alias("spans"))
     rows = exploded(found, "spans", "span", key)
     return rows.select(
         key,
@@ -40,8 +44,8 @@ def with_kept_spans(
     df: DataFrame, text: str = "text", patterns: Patterns = BOOTSTRAP, out: str = "kept", engine: str = "native"
 ) -> DataFrame:
     """The table with an array of its non-overlapping, numbered spans."""
-    found = df.withColumn("_spans", S.span_array(F.col(text), patterns, engine))
-    return computed_once(found, out, S.kept_spans(F.col("_spans"), patterns)).drop("_spans")
+    found = df.withColumn("_spans", _spans(text, patterns, engine))
+    return computed_once(found, out, F.expr(S.kept_sql("_spans", patterns))).drop("_spans")
 
 
 def _kept_rows(df: DataFrame, keys: Sequence[str], text: str, patterns: Patterns) -> DataFrame:
@@ -63,8 +67,8 @@ def pii_redact(df: DataFrame, text: str = "text", patterns: Patterns = BOOTSTRAP
     kept = with_kept_spans(df, text, patterns, "_kept")
     return kept.select(
         *[c for c in df.columns if c != text],
-        S.redacted_text(F.col(text), F.col("_kept")).alias("redacted_text"),
-        S.kept_entries(F.col("_kept")).alias("redactions"),
+        F.expr(S.redacted_sql(text, "_kept")).alias("redacted_text"),
+        F.expr(S.entries_sql("_kept")).alias("redactions"),
         (F.size("_kept") > 0).alias("pii_detected"),
         F.size("_kept").alias("redaction_count"),
     )
@@ -82,14 +86,14 @@ def pii_rehydrate(texts: DataFrame, vault: DataFrame, key: str, text: str = "red
     entry = F.struct("position", "token", "original")
     entries = vault.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
     joined = texts.join(entries, key, "left")
-    filled = F.coalesce(S.rehydrated_text(F.col(text), F.col("_entries")), F.col(text))
+    filled = F.coalesce(F.expr(S.rehydrated_sql(text, "_entries")), F.col(text))
     return joined.withColumn("rehydrated_text", filled).drop("_entries")
 
 
 def redaction_summary(df: DataFrame, key: str, text: str = "text", patterns: Patterns = BOOTSTRAP) -> DataFrame:
     """Count per text and type, with no raw values; counted inside the row, so nothing is shuffled."""
     kept = with_kept_spans(df.select(key, text), text, patterns)
-    rows = exploded(kept.select(key, S.type_counts(F.col("kept"), patterns).alias("counts")), "counts", "c", key)
+    rows = exploded(kept.select(key, F.expr(S.type_counts_sql("kept", patterns)).alias("counts")), "counts", "c", key)
     return rows.select(key, "c.type", "c.n")
 
 
@@ -102,7 +106,7 @@ def pii_profile(
     no distinct aggregate below the type level.
     """
     kept = with_kept_spans(df.select(key, *dims, text), text, patterns)
-    counted = kept.select(*dims, S.type_counts(F.col("kept"), patterns).alias("counts"))
+    counted = kept.select(*dims, F.expr(S.type_counts_sql("kept", patterns)).alias("counts"))
     whole = F.struct(
         F.lit("(all)").alias("type"),
         F.aggregate("counts", F.lit(0).cast("bigint"), lambda acc, c: acc + c["n"]).alias("n"),
@@ -131,13 +135,13 @@ def pii_leak_check(df: DataFrame, text: str = "text", patterns: Patterns = BOOTS
     kept = with_kept_spans(df.select(text), text, patterns)
     done = kept.select(
         text,
-        S.redacted_text(F.col(text), F.col("kept")).alias("redacted"),
-        S.kept_entries(F.col("kept")).alias("entries"),
+        F.expr(S.redacted_sql(text, "kept")).alias("redacted"),
+        F.expr(S.entries_sql("kept")).alias("entries"),
     )
     checked = done.select(
         (F.size("entries") > 0).alias("found"),
         F.exists("entries", lambda e: F.contains(F.col("redacted"), e["original"])).alias("leaks"),
-        (S.rehydrated_text(F.col("redacted"), F.col("entries")) != F.col(text)).alias("broken"),
+        (F.expr(S.rehydrated_sql("redacted", "entries")) != F.col(text)).alias("broken"),
     )
     return checked.agg(
         F.count(F.lit(1)).alias("texts"),

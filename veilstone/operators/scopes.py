@@ -6,7 +6,7 @@ max_duration_seconds, expires_at and renewable_seconds. NULL means unset; an emp
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veilstone.functions.frames import Running, running
@@ -54,84 +54,78 @@ def scope_merge(declarations: DataFrame, accepted: Column | None = None) -> Data
     )
 
 
-def scope_change_check(declarations: DataFrame) -> DataFrame:
-    """Adds `status`: declared, accepted, widening or ceiling_reached; a refused declaration changes nothing.
+def _narrows(allowed: Column, forbidden: Column, state: Column) -> Column:
+    keeps = allowed.isNull() | within(allowed, state["allowed"])
+    still = forbidden.isNull() | (F.size(F.array_except(state["forbidden"], forbidden)) == 0)
+    return keeps & still
 
-    A scope only ever narrows, so a declaration that was refused once stays refused, and one repeated later changes
-    nothing: only the first time an agent declares a set of tools can matter. The sequential part therefore runs
-    over the distinct narrower sets of each agent's grant, not over its declarations.
-    """
-    dec = declarations.withColumns(
-        {"_allowed": _tools(F.col("allowed_tools")), "_forbidden": _tools(F.col("forbidden_tools"))}
-    )
-    first = F.struct("declared_at", "seq", "renewable_seconds", "_allowed", "_forbidden")
-    dec = running(
-        dec, ["agent_id"], _ORDER, _days(F.col("declared_at")), {"_grant": Running("first", first)}
-    )
-    grant = F.col("_grant")
-    none = F.array().cast("array<string>")
-    is_first = (F.col("declared_at") == grant["declared_at"]) & (F.col("seq") == grant["seq"])
-    ceiling = _add_seconds(grant["declared_at"], grant["renewable_seconds"])
-    late = F.coalesce(F.col("declared_at") > ceiling, F.lit(False))
 
-    def narrows(allowed: Column, forbidden: Column, state: Column) -> Column:
-        keeps = allowed.isNull() | within(allowed, state["allowed"])
-        still = forbidden.isNull() | (F.size(F.array_except(state["forbidden"], forbidden)) == 0)
-        return keeps & still
+def _state_logs(declarations: DataFrame) -> DataFrame:
+    """One row per agent: `granted` (its first declaration) and `log` (each accepted change of tools, in order).
 
-    granted = F.struct(
-        F.coalesce(grant["_allowed"], none).alias("allowed"), F.coalesce(grant["_forbidden"], none).alias("forbidden")
-    )
-    marked = dec.withColumns({"_first": is_first, "_late": late & ~is_first, "_granted": granted})
-    possible = marked.where(
-        ~F.col("_first") & ~F.col("_late") & narrows(F.col("_allowed"), F.col("_forbidden"), F.col("_granted"))
+    A scope only ever narrows, so a declaration refused once stays refused, and one repeated later changes nothing:
+    only the first time an agent declares a set of tools can matter. The sequential part therefore runs over the
+    distinct sets that narrow the grant, not over the declarations.
+    """
+    sets = declarations.groupBy("agent_id", "_allowed", "_forbidden").agg(
+        F.min(F.struct(*_ORDER)).alias("at"), F.min_by("renewable_seconds", F.struct(*_ORDER)).alias("_renewable")
     )
-    sets = possible.groupBy("agent_id", "_allowed", "_forbidden").agg(
-        F.min(F.struct("declared_at", "seq")).alias("at"), F.any_value("_granted").alias("_granted")
+    none = F.array().cast("array<string>")
+    state = F.struct(
+        F.coalesce("_allowed", none).alias("allowed"), F.coalesce("_forbidden", none).alias("forbidden")
     )
-    history = sets.groupBy("agent_id").agg(
-        F.sort_array(F.collect_list(F.struct("at", "_allowed", "_forbidden"))).alias("sets"),
-        F.any_value("_granted").alias("_granted"),
+    first = F.struct("at", F.col("_renewable").alias("renewable_seconds"), state.alias("state"))
+    by_time = Window.partitionBy("agent_id").orderBy("at")
+    placed = sets.withColumn("granted", F.first(first).over(by_time))
+    granted = F.col("granted")
+    ceiling = _add_seconds(granted["at"]["declared_at"], granted["renewable_seconds"])
+    in_time = F.coalesce(F.col("at.declared_at") <= ceiling, F.lit(True))
+    later = in_time & (F.col("at") != granted["at"]) & _narrows(F.col("_allowed"), F.col("_forbidden"), granted["state"])
+    history = placed.groupBy("agent_id").agg(
+        F.any_value("granted").alias("granted"),
+        F.sort_array(F.collect_list(F.when(later, F.struct("at", "_allowed", "_forbidden")))).alias("sets"),
     )
 
     def step(acc: Column, s: Column) -> Column:
-        state = acc["state"]
+        before = acc["state"]
         now = F.struct(
-            F.coalesce(s["_allowed"], state["allowed"]).alias("allowed"),
-            F.coalesce(s["_forbidden"], state["forbidden"]).alias("forbidden"),
+            F.coalesce(s["_allowed"], before["allowed"]).alias("allowed"),
+            F.coalesce(s["_forbidden"], before["forbidden"]).alias("forbidden"),
         )
         entry = F.struct(s["at"].alias("at"), now.alias("state"))
         grown = F.struct(now.alias("state"), F.array_append(acc["log"], entry).alias("log"))
-        return F.when(narrows(s["_allowed"], s["_forbidden"], state), grown).otherwise(acc)
+        return F.when(_narrows(s["_allowed"], s["_forbidden"], before), grown).otherwise(acc)
 
-    log_type = (
-        "array<struct<at: struct<declared_at: timestamp, seq: int>, "
-        "state: struct<allowed: array<string>, forbidden: array<string>>>>"
-    )
-    zero = F.struct(F.col("_granted").alias("state"), F.array().cast(log_type).alias("log"))
-    log = history.select(
-        "agent_id", F.explode(F.aggregate("sets", zero, step, lambda acc: acc["log"])).alias("entry")
-    ).select(
-        "agent_id", F.col("entry.at.declared_at").alias("declared_at"), F.col("entry.at.seq").alias("seq"),
-        F.col("entry.state").alias("_change"),
-    )
-    rows = marked.join(log, ["agent_id", *_ORDER], "left")
-    stateful = running(
-        rows, ["agent_id"], _ORDER, _days(F.col("declared_at")), {"_state": Running("last", F.col("_change"))}
+    opening = F.struct(granted["at"].alias("at"), granted["state"].alias("state"))
+    zero = F.struct(granted["state"].alias("state"), F.array(opening).alias("log"))
+    return history.select("agent_id", "granted", F.aggregate("sets", zero, step, lambda acc: acc["log"]).alias("log"))
+
+
+def scope_change_check(declarations: DataFrame) -> DataFrame:
+    """Adds `status`: declared, accepted, widening or ceiling_reached; a refused declaration changes nothing.
+
+    Also adds `state`, the tools in force once the declaration was dealt with.
+    """
+    dec = declarations.withColumns(
+        {"_allowed": _tools(F.col("allowed_tools")), "_forbidden": _tools(F.col("forbidden_tools"))}
     )
-    state = F.coalesce("_state", "_granted")
+    known = dec.join(_state_logs(dec), "agent_id", "left")
+    granted, here = F.col("granted"), F.struct(*_ORDER)
+    ceiling = _add_seconds(granted["at"]["declared_at"], granted["renewable_seconds"])
+    in_force = F.element_at(F.filter("log", lambda e: e["at"] <= here), -1)["state"]
+    stated = known.withColumn("state", in_force)
     status = (
-        F.when(F.col("_first"), "declared")
-        .when(F.col("_late"), "ceiling_reached")
-        .when(narrows(F.col("_allowed"), F.col("_forbidden"), state), "accepted")
+        F.when(here == granted["at"], "declared")
+        .when(F.col("declared_at") > ceiling, "ceiling_reached")
+        .when(_narrows(F.col("_allowed"), F.col("_forbidden"), F.col("state")), "accepted")
         .otherwise("widening")
     )
-    return stateful.withColumn("status", status).select(*declarations.columns, "status")
+    return stated.withColumn("status", status).select(*declarations.columns, "status", "state")
 
 
 def scope_history(declarations: DataFrame) -> DataFrame:
     """Declarations that were accepted, each with the whole scope in force from then on."""
-    checked = scope_change_check(declarations)
+    checked = scope_change_check(declarations).drop("state")
     accepted = F.col("status").isin("declared", "accepted")
     return scope_merge(checked, accepted).where(accepted)
 
