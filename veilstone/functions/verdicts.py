@@ -2,85 +2,86 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from veilstone.functions.dims import INTERNAL_KEYS
 
 
-def field(raw: Column, path: str) -> Column:
-    return F.try_variant_get(raw, f"$.{path}", "variant")
+# The fields of a verdict that anything here reads. All others are skipped while parsing.
+FIELDS = (
+    "safe", "action", "refuse_tier", "reason", "threat_type", "severity", "confidence", "violations", "recovery",
+    "session_state", "content_type", "content_origin", "approval_info", "held_by_scope", "content_verdict",
+    "client_session_rotation",
+)
 
 
-def kind(value: Column) -> Column:
-    return F.schema_of_variant(value)
+def read_json(raw: Column, names: Sequence[str] = FIELDS) -> Column:
+    """One pass over JSON text to a struct of variants; `_corrupt_record` is set where it is no JSON object."""
+    schema = ", ".join([*(f"{name} VARIANT" for name in names), "_corrupt_record STRING"])
+    return F.from_json(raw, schema)
 
 
-def text_field(raw: Column, path: str) -> Column:
-    """A string field; NULL when absent, empty or of another type. No cast from other types."""
-    got = F.try_variant_get(raw, f"$.{path}", "string")
-    return F.when((kind(field(raw, path)) == "STRING") & (got != ""), got)
+def is_verdict(raw: Column, read: Column) -> Column:
+    """Only an object, or a bare null, decodes to a verdict."""
+    whole = read.isNotNull() & read["_corrupt_record"].isNull()
+    return F.coalesce(whole | (F.trim(raw) == "null"), F.lit(False))
 
 
-def flag_field(raw: Column, path: str) -> Column:
-    return F.when(kind(field(raw, path)) == "BOOLEAN", F.try_variant_get(raw, f"$.{path}", "boolean"))
+def kind(value: Column) -> Column:
+    return F.schema_of_variant(value)
 
 
-def number_field(raw: Column, path: str) -> Column:
-    numeric = kind(field(raw, path)).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
-    return F.when(numeric, F.try_variant_get(raw, f"$.{path}", "double"))
+def field(value: Column, path: str) -> Column:
+    return F.try_variant_get(value, f"$.{path}", "variant")
 
 
-def object_field(raw: Column, path: str) -> Column:
-    """An object field as a variant; NULL when it is anything else."""
-    return F.when(kind(field(raw, path)).startswith("OBJECT"), field(raw, path))
+def text_of(value: Column) -> Column:
+    """The string in a variant; NULL when absent, empty or of another type. No cast from other types."""
+    return F.when(kind(value) == "STRING", F.nullif(F.try_variant_get(value, "$", "string"), F.lit("")))
 
 
-def list_field(raw: Column, path: str) -> Column:
-    """The text items of a list field; other items are skipped, and anything but a list reads as NULL."""
-    items = F.when(
-        kind(field(raw, path)).startswith("ARRAY"), F.try_variant_get(raw, f"$.{path}", "array<variant>")
-    )
-    texts = F.filter(items, lambda v: kind(v) == "STRING")
-    return F.transform(texts, lambda v: F.try_variant_get(v, "$", "string"))
+def flag_of(value: Column) -> Column:
+    return F.when(kind(value) == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
 
 
-def parsed(raw_json: Column) -> Column:
-    return F.try_parse_json(raw_json)
+def number_of(value: Column) -> Column:
+    numeric = kind(value).rlike("^(?:BIGINT|DOUBLE|FLOAT|DECIMAL)")
+    return F.when(numeric, F.try_variant_get(value, "$", "double"))
 
 
-def is_verdict(raw: Column) -> Column:
-    """Only an object, or a bare null, decodes to a verdict."""
-    return F.coalesce(kind(raw).startswith("OBJECT") | (kind(raw) == "VOID"), F.lit(False))
+def object_of(value: Column) -> Column:
+    """The variant itself when it is an object, else NULL."""
+    return F.when(kind(value).startswith("OBJECT"), value)
 
 
-def is_safe(raw: Column) -> Column:
-    """`safe` defaults to true when it is absent or not a boolean."""
-    return F.coalesce(flag_field(raw, "safe"), F.lit(True))
+def items_of(value: Column) -> Column:
+    """The items of a list; NULL when it is anything else."""
+    return F.try_variant_get(value, "$", "array<variant>")
 
 
-def raw_violations(raw: Column) -> Column:
-    return F.when(
-        kind(field(raw, "violations")).startswith("ARRAY"),
-        F.try_variant_get(raw, "$.violations", "array<variant>"),
+def texts_of(value: Column) -> Column:
+    """The text items of a list field; other items are skipped, and anything but a list reads as NULL."""
+    return F.transform(
+        F.filter(items_of(value), lambda v: kind(v) == "STRING"), lambda v: F.try_variant_get(v, "$", "string")
     )
 
 
-def clean_violations(raw: Column) -> Column:
-    """Violations as maps without internal keys. Items that are no objects go; an empty list reads as NULL."""
-    objects = F.filter(raw_violations(raw), lambda v: kind(v).startswith("OBJECT"))
-    cleaned = F.transform(
-        objects,
-        lambda v: F.map_filter(
-            F.try_variant_get(v, "$", "map<string,variant>"), lambda k, _: ~k.isin(*INTERNAL_KEYS)
-        ),
+def clean_violations(violations: Column) -> Column:
+    """Violations as maps without internal keys; items that are no objects go."""
+    objects = F.transform(items_of(violations), lambda v: F.try_variant_get(v, "$", "map<string,variant>"))
+    return F.transform(
+        F.filter(objects, lambda m: m.isNotNull()),
+        lambda m: F.map_filter(m, lambda k, _: ~k.isin(*INTERNAL_KEYS)),
     )
-    return F.when(F.size(objects) > 0, cleaned)
 
 
-def effective_threat_code(raw: Column) -> Column:
+def effective_threat_code(threat_type: Column, violations: Column) -> Column:
     """The top-level type, else the type of the first violation as received."""
-    return F.coalesce(text_field(raw, "threat_type"), text_field(raw, "violations[0].threat_type"))
+    first = F.get(items_of(violations), F.lit(0))
+    return F.coalesce(text_of(threat_type), text_of(field(first, "threat_type")))
 
 
 def threat_code(raw_type: Column) -> Column:
@@ -160,13 +161,13 @@ def block_feedback(
         .when(tier == "require_approval", words["require_approval"])
         .otherwise(words["block"])
     )
-    risk = number_field(session_state, "session_risk_score")
-    turn = number_field(session_state, "session_turn_number")
+    risk = number_of(field(session_state, "session_risk_score"))
+    turn = number_of(field(session_state, "session_turn_number"))
     risk_line = F.concat(F.lit("Session risk: "), short_number(risk))
     turn_part = F.concat(F.lit(" (turn "), turn.cast("bigint").cast("string"), F.lit(")"))
-    triggered = list_field(recovery, "patterns_triggered")
-    patterns = F.when(F.size(triggered) > 0, triggered).otherwise(list_field(session_state, "session_patterns"))
-    tools = list_field(recovery, "available_tools")
+    triggered = texts_of(field(recovery, "patterns_triggered"))
+    patterns = F.when(F.size(triggered) > 0, triggered).otherwise(texts_of(field(session_state, "session_patterns")))
+    tools = texts_of(field(recovery, "available_tools"))
 
     def labelled(label: str, value: Column) -> Column:
         return F.when(value != "", F.concat(F.lit(f"{label}: "), value))
@@ -181,6 +182,6 @@ def block_feedback(
         labelled("Threat type", threat_type),
         F.when(turn.isNotNull(), F.concat(risk_line, turn_part)).otherwise(risk_line),
         listed("Patterns triggered", patterns),
-        labelled("Recovery", text_field(recovery, "instruction")),
+        labelled("Recovery", text_of(field(recovery, "instruction"))),
         listed("Available tools", tools),
     )

@@ -270,26 +270,28 @@ def request_contract_audit(
     envelopes: DataFrame, key: str, endpoint: str = "endpoint", body: str = "body"
 ) -> DataFrame:
     """One row per request and broken rule of the request contract."""
-    read = computed_once(envelopes.select(key, endpoint, body), "_v", V.parsed(F.col(body)))
+    names = ("context", "prompt", "scan_type", "content", "content_type", "name", "description")
+    read = computed_once(envelopes.select(key, endpoint, body), "_v", V.read_json(F.col(body), names))
     v, general, tool = F.col("_v"), F.col(endpoint) == "general", F.col(endpoint) == "tool_schema"
     special = F.col(endpoint) == "specialized"
-    context = V.object_field(v, "context")
+    context = V.object_of(v["context"])
     channels = [c for c in dims.CHANNELS if c not in ("prompt", "mcp_schema")]
 
     def lacks(name: str) -> Column:
-        return ~tool & V.text_field(context, name).isNull()
+        return ~tool & V.text_of(V.field(context, name)).isNull()
 
     required = {"prompt": general, "scan_type": general, "content": special, "content_type": special,
                 "name": tool, "description": tool}
     rules = {
+        "not_json": v.isNull() | v["_corrupt_record"].isNotNull(),
         "missing_session_id": lacks("session_id"),
         "missing_agent_id": lacks("agent_id"),
         "missing_source_application": lacks("source_application"),
         "context_not_object": ~tool & context.isNull(),
-        "wrong_scan_type": general & F.coalesce(V.text_field(v, "scan_type") != "full", F.lit(True)),
-        "unknown_channel": special & ~F.coalesce(V.text_field(v, "content_type").isin(*channels), F.lit(False)),
-        "forbidden_content_type": tool & V.field(v, "content_type").isNotNull(),
-        **{f"missing_{k}": where & V.field(v, k).isNull() for k, where in required.items()},
+        "wrong_scan_type": general & F.coalesce(V.text_of(v["scan_type"]) != "full", F.lit(True)),
+        "unknown_channel": special & ~F.coalesce(V.text_of(v["content_type"]).isin(*channels), F.lit(False)),
+        "forbidden_content_type": tool & v["content_type"].isNotNull(),
+        **{f"missing_{k}": where & v[k].isNull() for k, where in required.items()},
     }
     broken = F.array_compact(F.array(*[F.when(rule, F.lit(name)) for name, rule in rules.items()]))
     return exploded(read.select(key, broken.alias("_broken")), "_broken", "rule", key)

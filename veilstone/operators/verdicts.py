@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilstone.functions import dims
@@ -12,25 +12,24 @@ from veilstone.functions import verdicts as V
 from veilstone.functions.frames import computed_once
 
 
-def parse_verdict(df: DataFrame, raw: str = "raw") -> DataFrame:
-    """Adds the parsed variant `v`, `parsed`, and every scalar of the record with strict typing."""
+def parse_verdict(df: DataFrame, raw: str = "raw", more: Sequence[str] = ()) -> DataFrame:
+    """Adds `v` (a struct with one variant per known field), `parsed`, and the scalars with strict typing.
+
+    `more` names further fields to read into `v`.
+    """
+    read = computed_once(df, "v", V.read_json(F.col(raw), (*V.FIELDS, *more)))
     v = F.col("v")
-    return (
-        computed_once(df, "v", V.parsed(F.col(raw)))
-        .withColumn("parsed", V.is_verdict(v))
-        .withColumns(
-            {
-                "safe": F.when(F.col("parsed"), V.is_safe(v)),
-                **{
-                    name: V.text_field(v, name)
-                    for name in ("action", "refuse_tier", "reason", "content_type", "content_origin")
-                },
-                "raw_threat_type": V.effective_threat_code(v),
-                "raw_severity": V.text_field(v, "severity"),
-                "score": V.number_field(v, "confidence"),
-                "held_by_scope": F.coalesce(V.flag_field(v, "held_by_scope"), F.lit(False)),
-            }
-        )
+    texts = ("action", "refuse_tier", "reason", "content_type", "content_origin")
+    return read.withColumn("parsed", V.is_verdict(F.col(raw), v)).withColumns(
+        {
+            # `safe` defaults to true when it is absent or not a boolean.
+            "safe": F.when(F.col("parsed"), F.coalesce(V.flag_of(v["safe"]), F.lit(True))),
+            **{name: F.when(F.col("parsed"), V.text_of(v[name])) for name in texts},
+            "raw_threat_type": F.when(F.col("parsed"), V.effective_threat_code(v["threat_type"], v["violations"])),
+            "raw_severity": F.when(F.col("parsed"), V.text_of(v["severity"])),
+            "score": F.when(F.col("parsed"), V.number_of(v["confidence"])),
+            "held_by_scope": F.col("parsed") & F.coalesce(V.flag_of(v["held_by_scope"]), F.lit(False)),
+        }
     )
 
 
@@ -60,8 +59,13 @@ def sanitize_verdict(
     unsafe rows only. Objects stay variants. A row that is no verdict keeps `parsed` false and NULL fields.
     """
     read = classify_threat(parse_verdict(df, raw), "raw_threat_type", "raw_severity", guidance)
+    read = read.withColumn("_violations", F.when(F.col("parsed"), V.clean_violations(F.col("v.violations"))))
     v, unsafe = F.col("v"), ~F.col("safe")
     guided = F.when(unsafe, F.col("guidance"))
+
+    def passed(name: str) -> Column:
+        return F.when(F.col("parsed"), V.object_of(v[name])).alias(name)
+
     return read.select(
         *keep,
         "parsed",
@@ -71,18 +75,18 @@ def sanitize_verdict(
         F.when(unsafe, F.col("severity")).alias("severity"),
         F.when(unsafe, V.bucket_confidence(F.col("score"))).alias("confidence"),
         guided.alias("guidance"),
-        V.clean_violations(v).alias("violations"),
+        F.when(F.size("_violations") > 0, F.col("_violations")).alias("violations"),
         "action",
         "refuse_tier",
-        V.object_field(v, "recovery").alias("recovery"),
-        V.object_field(v, "session_state").alias("session_state"),
+        passed("recovery"),
+        passed("session_state"),
         "content_type",
         "content_origin",
-        V.object_field(v, "approval_info").alias("approval_info"),
+        passed("approval_info"),
         "held_by_scope",
-        V.object_field(v, "content_verdict").alias("content_verdict"),
+        passed("content_verdict"),
         F.when(
-            V.kind(V.field(v, "client_session_rotation")) != "VOID", V.field(v, "client_session_rotation")
+            F.col("parsed") & (V.kind(v["client_session_rotation"]) != "VOID"), v["client_session_rotation"]
         ).alias("client_session_rotation"),
         F.lit(False).alias("degraded"),
         V.is_blocked(F.coalesce("action", F.lit("")), F.col("safe")).alias("blocked"),
@@ -92,8 +96,9 @@ def sanitize_verdict(
 
 def sanitize_violations(df: DataFrame, key: str, raw: str = "raw") -> DataFrame:
     """One row per kept field of each violation: position, field name and value as JSON."""
-    read = computed_once(df.select(key, raw), "v", V.parsed(F.col(raw)))
-    cleaned = read.select(key, V.clean_violations(F.col("v")).alias("items"))
+    read = computed_once(df.select(key, raw), "v", V.read_json(F.col(raw), ("violations",)))
+    whole = read.where(V.is_verdict(F.col(raw), F.col("v")))
+    cleaned = whole.select(key, V.clean_violations(F.col("v.violations")).alias("items"))
     items = cleaned.select(key, F.posexplode_outer("items").alias("pos", "item")).where(F.col("item").isNotNull())
     fields = items.select(key, "pos", F.explode_outer("item").alias("field", "value"))
     return fields.where(F.col("field").isNotNull()).select(key, "pos", "field", F.to_json("value").alias("value"))
@@ -107,19 +112,18 @@ def attribute_origin(df: DataFrame, channel: str = "channel", out: str = "conten
     return named.withColumn("attributable", V.attributable_to_operator(F.col(out)))
 
 
-def verdict_contract_audit(clean: DataFrame, raw_fields: str = "v", channel: str = "content_type") -> DataFrame:
-    """Rows of each channel, and how many break each rule of the verdict contract: one row per channel and rule."""
-    v = F.col(raw_fields)
-    leaked = V.field(v, dims.INTERNAL_KEYS[0]).isNotNull()
-    for name in dims.INTERNAL_KEYS[1:]:
-        leaked = leaked | V.field(v, name).isNotNull()
+def verdict_contract_audit(df: DataFrame, raw: str = "raw", channel: str = "content_type") -> DataFrame:
+    """Verdicts of each channel, and how many break each rule of the contract: one row per channel and rule."""
+    clean = parse_verdict(df, raw, dims.INTERNAL_KEYS).where("parsed")
+    v = F.col("v")
+    leaked = F.array(*[v[name].isNotNull() for name in dims.INTERNAL_KEYS])
     rules = {
         "missing_tier": F.col("refuse_tier").isNull(),
         "unknown_tier": ~F.col("refuse_tier").isin(*dims.TIERS),
-        "missing_recovery": V.object_field(v, "recovery").isNull(),
-        "missing_session_state": V.object_field(v, "session_state").isNull(),
+        "missing_recovery": V.object_of(v["recovery"]).isNull(),
+        "missing_session_state": V.object_of(v["session_state"]).isNull(),
         "unknown_origin": ~F.col("content_origin").isin(*dims.ORIGINS),
-        "internal_key": leaked,
+        "internal_key": F.array_contains(leaked, True),
     }
     wide = clean.groupBy(F.coalesce(channel, F.lit("(none)")).alias("channel")).agg(
         F.count(F.lit(1)).alias("n"), *[F.count_if(rule).alias(name) for name, rule in rules.items()]

@@ -23,7 +23,7 @@ def _rotations(spark: SparkSession, folder: str) -> DataFrame:
     own = F.when(F.col("user_id") % 2 == 0, F.col("session_id")).otherwise("built-in")
     facts = read.select(
         "request_id", "session_id", own.alias("own_session_id"), "raw_threat_type",
-        V.number_field(F.col("v"), "session_state.session_risk_score").alias("risk"),
+        F.when(F.col("parsed"), V.number_of(V.field(F.col("v.session_state"), "session_risk_score"))).alias("risk"),
     )
     return sessions.evaluate_rotation(facts, "request_id", "raw_threat_type", "risk", "session_id", "own_session_id")
 

@@ -30,7 +30,7 @@ def parse_verdict(spark: SparkSession, folder: str) -> DataFrame:
 
 def normalize_threat_type(spark: SparkSession, folder: str) -> DataFrame:
     typed = ops.parse_verdict(_raw(spark, folder)).select(
-        "request_id", V.text_field(F.col("v"), "threat_type").alias("raw_type")
+        "request_id", F.when(F.col("parsed"), V.text_of(F.col("v.threat_type"))).alias("raw_type")
     )
     return ops.normalize_threat_type(typed, "raw_type").select("request_id", "threat_type")
 
@@ -62,7 +62,7 @@ def sanitize_verdict(spark: SparkSession, folder: str) -> DataFrame:
         "request_id", "parsed", "safe", "reason", "threat_type", "severity", "confidence", "guidance", "action",
         "refuse_tier", "content_type", "content_origin", "held_by_scope",
         F.coalesce(F.array_size("violations"), F.lit(0)).alias("n_violations"),
-        V.text_field(F.col("recovery"), "instruction").alias("instruction"),
+        V.text_of(V.field(F.col("recovery"), "instruction")).alias("instruction"),
         F.col("session_state").isNotNull().alias("has_session_state"),
         F.to_json("content_verdict").alias("content_verdict"),
     )
@@ -91,7 +91,7 @@ def block_feedback(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def verdict_contract_audit(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.verdict_contract_audit(ops.parse_verdict(_raw(spark, folder)).where("parsed"))
+    return ops.verdict_contract_audit(_raw(spark, folder))
 
 
 def verdict_rollup(spark: SparkSession, folder: str) -> DataFrame:
