@@ -122,6 +122,21 @@ def post_refusal_holds(
     )
 
 
+def session_triggers(
+    events: DataFrame, session: str = "session_id", order: Sequence[str] = ("ts", "request_id")
+) -> DataFrame:
+    """When each session was first locked and first crossed the limit: the batch form of the stream operator.
+
+    `events` has the raw threat type as `threat`, and `risk`.
+    """
+    locked = F.coalesce(F.col("threat") == "session_locked", F.lit(False))
+    over = ~locked & (F.col("risk") >= ROTATION_LIMIT)
+    reason = F.when(locked, "session_locked").when(over, "risk_threshold_exceeded")
+    first = F.min(F.struct(*order, "risk"))
+    marked = events.withColumn("reason", reason).where(locked | over)
+    return marked.groupBy(session, "reason").agg(first.alias("_f")).select(session, "reason", "_f.*")
+
+
 def session_isolation_audit(requests: DataFrame, content_hash: str, session: str = "session_id") -> DataFrame:
     """Contents seen in more than one session, where a reused verdict would cross sessions."""
     seen = requests.groupBy(content_hash).agg(

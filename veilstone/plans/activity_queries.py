@@ -10,8 +10,11 @@ from veilstone.functions.dims import values_table
 from veilstone.operators import reliability, scopes, sessions
 from veilstone.operators import verdicts as vops
 from veilstone.plans.verdict_queries import READ
-from veilstone.plans.views import event_requests, events_cte, scope_declarations, scopes_cte
-from veilstone.sources.tables import read_table
+from veilstone.plans.views import event_columns, event_requests, events_cte, scope_declarations, scopes_cte
+from veilstone.sources.sinks import run_stream
+from veilstone.sources.tables import read_table, stream_table
+from veilstone.streaming import windows
+from veilstone.streaming.sessions import stream_session_state as stream_session_state_of
 
 
 def _stamp(ts: str | Column) -> Column:
@@ -161,6 +164,47 @@ def degraded_rate_sliding(spark: SparkSession, folder: str) -> DataFrame:
     return rated.select(_stamp("window_start").alias("window_start"), "n", "n_degraded", F.round("rate", 6).alias("rate"))
 
 
+def _triggers(events: DataFrame) -> DataFrame:
+    read = vops.parse_verdict(event_columns(events, "raw", "session_id"))
+    risk = F.when(F.col("parsed"), V.number_of(V.field(F.col("v.session_state"), "session_risk_score")))
+    return read.select("session_id", "ts", "request_id", risk.alias("risk"), F.col("raw_threat_type").alias("threat"))
+
+
+def session_triggers(spark: SparkSession, folder: str) -> DataFrame:
+    found = sessions.session_triggers(_triggers(read_table(spark, folder, "events")))
+    return found.select("session_id", "reason", "request_id", "risk")
+
+
+def stream_session_state(spark: SparkSession, folder: str) -> DataFrame:
+    stream = stream_session_state_of(spark, _triggers(stream_table(spark, folder, "events")))
+    return run_stream(spark, stream, "session-state").select("session_id", "reason", "request_id", "risk")
+
+
+def stream_degraded_rate(spark: SparkSession, folder: str) -> DataFrame:
+    calls = event_columns(stream_table(spark, folder, "events"), "status")
+    marked = calls.select("ts", (F.col("status") != 200).alias("degraded"))
+    rated = run_stream(spark, windows.stream_degraded_rate(marked, "ts", "degraded"), "degraded-rate")
+    return rated.select(_stamp("window_start").alias("window_start"), "n", "n_degraded", F.round("rate", 6).alias("rate"))
+
+
+def stream_calls_per_minute(spark: SparkSession, folder: str) -> DataFrame:
+    calls = event_columns(stream_table(spark, folder, "events"))
+    counted = run_stream(spark, windows.stream_calls_per_minute(calls, "ts", "user_id"), "calls")
+    return counted.select("user_id", _stamp("slot").alias("slot"), "calls")
+
+
+def stream_session_counts(spark: SparkSession, folder: str) -> DataFrame:
+    events = event_columns(stream_table(spark, folder, "events"), "session_id")
+    counted = run_stream(spark, windows.stream_session_counts(events, "ts", "session_id", "4 hours"), "stretches")
+    return counted.select("session_id", _stamp("stretch_start").alias("stretch_start"), "actions")
+
+
+def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    events = event_columns(stream_table(spark, folder, "events"), "content")
+    hashed = events.select("ts", F.sha2("content", 256).alias("content_hash"))
+    return run_stream(spark, windows.stream_dedup(hashed, "ts", "content_hash"), "dedup").select("content_hash")
+
+
 def _customers(spark: SparkSession, folder: str) -> DataFrame:
     segment = F.col("c_mktsegment")
     tier = F.when(segment.isin("BUILDING", "HOUSEHOLD"), "community").when(segment == "MACHINERY", "pro").otherwise("enterprise")
@@ -199,6 +243,12 @@ QUERIES = {
     "degraded_rate_sliding": degraded_rate_sliding,
     "rate_limit_audit": rate_limit_audit,
     "rate_limit_audit_tight": rate_limit_audit_tight,
+    "session_triggers": session_triggers,
+    "stream_session_state": stream_session_state,
+    "stream_degraded_rate": stream_degraded_rate,
+    "stream_calls_per_minute": stream_calls_per_minute,
+    "stream_session_counts": stream_session_counts,
+    "stream_dedup": stream_dedup,
 }
 
 _ROT = f"""{READ}, facts AS (SELECT request_id, session_id, CASE WHEN user_id % 2 = 0 THEN session_id ELSE 'built-in' END AS own,
@@ -273,6 +323,12 @@ SELECT user_id, tier, period, count(*) AS windows, max(calls) AS max_calls,
 FROM used JOIN cust USING (user_id) JOIN limits USING (tier) GROUP BY user_id, tier, period"""
 
 
+_TRIGGERS = f"""{READ}, facts AS (SELECT request_id, session_id, ts, raw_threat_type IS NOT DISTINCT FROM 'session_locked' AS locked,
+  CAST(json_extract_string(j, '$.session_state.session_risk_score') AS DOUBLE) AS risk FROM fields)
+SELECT session_id, CASE WHEN locked THEN 'session_locked' ELSE 'risk_threshold_exceeded' END AS reason,
+  arg_min(request_id, (ts, request_id)) AS request_id, first(risk ORDER BY ts, request_id) AS risk
+FROM facts WHERE locked OR risk >= 0.7 GROUP BY session_id, locked"""
+
 ORACLE = {
     "evaluate_rotation": f"""{_ROT} SELECT request_id, NOT locked AND NOT foreign_id AS rotated,
   NOT locked AND foreign_id AS rotation_recommended, CASE WHEN foreign_id THEN 'caller' ELSE 'sdk_client' END AS owner,
@@ -326,4 +382,21 @@ SELECT {_STAMP.format('w')} AS window_start, count(*) AS n, count(*) FILTER (WHE
   round(count(*) FILTER (WHERE status <> 200) / count(*), 6) AS rate FROM placed GROUP BY w""",
     "rate_limit_audit": _rates(_TIERS),
     "rate_limit_audit_tight": _rates(_TIGHT),
+    "session_triggers": _TRIGGERS,
+    "stream_session_state": _TRIGGERS,
+    # A stream has emitted the windows that the watermark, ten minutes behind the newest event, has passed.
+    "stream_degraded_rate": f"""WITH {events_cte()}, edge AS (SELECT max(ts) - INTERVAL 10 MINUTE AS upto FROM ev)
+SELECT {_STAMP.format("date_trunc('hour', ts)")} AS window_start, count(*) AS n, count(*) FILTER (WHERE status <> 200) AS n_degraded,
+  round(count(*) FILTER (WHERE status <> 200) / count(*), 6) AS rate FROM ev, edge
+WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= upto GROUP BY 1""",
+    "stream_calls_per_minute": f"""WITH edge AS (SELECT max(ts) - INTERVAL 10 MINUTE AS upto FROM events)
+SELECT user_id, {_STAMP.format("date_trunc('minute', ts)")} AS slot, count(*) AS calls FROM events, edge
+WHERE date_trunc('minute', ts) + INTERVAL 1 MINUTE <= upto GROUP BY 1, 2""",
+    "stream_session_counts": f"""WITH {events_cte()}, edge AS (SELECT max(ts) - INTERVAL 10 MINUTE AS upto FROM ev),
+gaps AS (SELECT session_id, ts, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 4 HOUR THEN 0 ELSE 1 END AS begins FROM ev
+  WINDOW w AS (PARTITION BY session_id ORDER BY ts)),
+numbered AS (SELECT session_id, ts, sum(begins) OVER (PARTITION BY session_id ORDER BY ts) AS stretch FROM gaps)
+SELECT session_id, {_STAMP.format('min(ts)')} AS stretch_start, count(*) AS actions FROM numbered, edge GROUP BY session_id, stretch, upto
+HAVING max(ts) + INTERVAL 4 HOUR <= upto""",
+    "stream_dedup": f"WITH {events_cte()} SELECT DISTINCT sha256(content) AS content_hash FROM ev",
 }

@@ -119,9 +119,9 @@ EVENT_COLUMNS = {
 }
 
 
-def event_requests(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    """Events as scan requests: the named derived columns, behind ts and user_id."""
-    base = read_table(spark, folder, "events").select(
+def event_columns(events: DataFrame, *columns: str) -> DataFrame:
+    """Events, from a table or a stream, as scan requests: the named derived columns, behind ts and user_id."""
+    base = events.select(
         "event_id",
         F.col("ts").cast("timestamp").alias("ts"),
         "user_id",
@@ -136,6 +136,10 @@ def event_requests(spark: SparkSession, folder: str, *columns: str) -> DataFrame
     return base.select("ts", "user_id", *derived)
 
 
+def event_requests(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    return event_columns(read_table(spark, folder, "events"), *columns)
+
+
 EVENT_BASE = (
     "event_base AS (SELECT event_id, ts, user_id, event_type, value, "
     "CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, strftime(ts, '%Y%m%d') AS day FROM events)"

@@ -22,3 +22,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 def read_text_table(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
     return spread(read_table(spark, folder, name), key)
+
+
+def stream_table(spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None) -> DataFrame:
+    """The table as a stream of its files; the schema comes from the files already there."""
+    schema = read_table(spark, folder, name).schema
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}*.parquet")
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(folder)
