@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -44,10 +44,6 @@ def hours(ts: Column, width: int = 1) -> Column:
     return F.floor(F.unix_seconds(ts.cast("timestamp")) / (3600 * width))
 
 
-def _last(value: Column, order: Sequence[str]) -> Column:
-    return F.max_by(value, F.when(value.isNotNull(), F.struct(*order)))
-
-
 def running(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, values: Mapping[str, Running]
 ) -> DataFrame:
@@ -57,69 +53,69 @@ def running(
     buckets are summarised with partial aggregation, the summaries are carried forward per key, and each bucket
     starts from what it was handed. `bucket` must not decrease along `order`.
     """
-    spec = {name: (r.kind, F.lit(1) if r.value is None else r.value, r.before) for name, r in values.items()}
-    df = df.withColumn("_bucket", bucket)
-    for name, (kind, value, _) in spec.items():
-        # A struct around the value keeps a NULL in the first row apart from no row at all.
-        df = df.withColumn(f"_in_{name}", F.struct(value.alias("v")) if kind == "first" else value)
+    parts = {name: _parts(r, order) for name, r in values.items()}
     slot = [*keys, "_bucket"]
+    marked = df.withColumns({"_bucket": bucket, **{f"_in_{name}": p.value for name, p in parts.items()}})
 
     inner = Window.partitionBy(*slot).orderBy(*order)
-    local = df
-    for name, (kind, _, before) in spec.items():
-        frame = inner.rowsBetween(Window.unboundedPreceding, -1 if before else Window.currentRow)
-        col = F.col(f"_in_{name}")
-        step = {
-            "count": F.sum(col),
-            "sum": F.sum(col),
-            "max": F.max(col),
-            "last": F.last(col, ignorenulls=True),
-            "first": F.first(col),
-        }[kind]
-        local = local.withColumn(f"_at_{name}", step.over(frame))
-
-    totals = df.groupBy(*slot).agg(
-        *[
-            {
-                "count": lambda c: F.sum(c),
-                "sum": lambda c: F.sum(c),
-                "max": lambda c: F.max(c),
-                "last": lambda c: _last(c, order),
-                "first": lambda c: F.min_by(c, F.struct(*order)),
-            }[kind](F.col(f"_in_{name}")).alias(f"_total_{name}")
-            for name, (kind, _, _) in spec.items()
-        ]
+    frames = {
+        before: inner.rowsBetween(Window.unboundedPreceding, -1 if before else Window.currentRow)
+        for before in (False, True)
+    }
+    local = marked.withColumns(
+        {f"_at_{name}": p.running(F.col(f"_in_{name}")).over(frames[values[name].before]) for name, p in parts.items()}
     )
+    totals = marked.groupBy(*slot).agg(*[p.total(F.col(f"_in_{name}")).alias(f"_all_{name}") for name, p in parts.items()])
     past = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    for name, (kind, _, _) in spec.items():
-        col = F.col(f"_total_{name}")
-        step = {
-            "count": F.sum(col),
-            "sum": F.sum(col),
-            "max": F.max(col),
-            "last": F.last(col, ignorenulls=True),
-            "first": F.first(col, ignorenulls=True),
-        }[kind]
-        totals = totals.withColumn(f"_from_{name}", step.over(past))
-    carried = totals.select(*slot, *[f"_from_{name}" for name in spec])
-
+    carried = totals.select(
+        *slot, *[p.carried(F.col(f"_all_{name}")).over(past).alias(f"_from_{name}") for name, p in parts.items()]
+    )
     joined = local.join(carried, slot, "left")
-    for name, (kind, _, _) in spec.items():
-        here, handed = F.col(f"_at_{name}"), F.col(f"_from_{name}")
-        if kind == "last":
-            value = F.coalesce(here, handed)
-        elif kind == "first":
-            value = F.coalesce(handed, here)["v"]
-        elif kind == "max":
-            value = F.greatest(here, handed)
-        else:
-            value = F.coalesce(here, F.lit(0)) + F.coalesce(handed, F.lit(0))
-        joined = joined.withColumn(name, value)
-    return joined.drop(
-        "_bucket", *[f"{part}{name}" for name in spec for part in ("_in_", "_at_", "_from_")]
+    kept = [c for c in df.columns if c not in values]
+    return joined.select(
+        *kept, *[p.joined(F.col(f"_at_{name}"), F.col(f"_from_{name}")).alias(name) for name, p in parts.items()]
     )
 
 
+@dataclass(frozen=True)
+class _Parts:
+    """How one running value comes about: in its bucket, per bucket, across buckets, and put together."""
+
+    value: Column
+    running: Callable[[Column], Column]
+    total: Callable[[Column], Column]
+    carried: Callable[[Column], Column]
+    joined: Callable[[Column, Column], Column]
+
+
+def _parts(r: Running, order: Sequence[str]) -> _Parts:
+    value = F.lit(1) if r.value is None else r.value
+    if r.kind in ("count", "sum"):
+        zero = F.lit(0)
+        return _Parts(value, F.sum, F.sum, F.sum, lambda at, past: F.coalesce(at, zero) + F.coalesce(past, zero))
+    if r.kind == "max":
+        return _Parts(value, F.max, F.max, F.max, lambda at, past: F.greatest(at, past))
+    if r.kind == "last":
+        newest = lambda c: F.last(c, ignorenulls=True)
+        return _Parts(
+            value,
+            newest,
+            lambda c: F.max_by(c, F.when(c.isNotNull(), F.struct(*order))),
+            newest,
+            lambda at, past: F.coalesce(at, past),
+        )
+    if r.kind == "first":
+        # A struct around the value keeps a NULL in the first row apart from no row at all.
+        return _Parts(
+            F.struct(value.alias("v")),
+            F.first,
+            lambda c: F.min_by(c, F.struct(*order)),
+            lambda c: F.first(c, ignorenulls=True),
+            lambda at, past: F.coalesce(past, at)["v"],
+        )
+    raise ValueError(f"unknown kind {r.kind}")
+
+
 def hot_keys(counts: DataFrame, key: str, n: str, share: float = 0.001) -> DataFrame:
     """Keys that hold more than `share` of all rows: at most 1/share of them, so safe to broadcast."""
     total = counts.select(F.sum(n)).scalar()

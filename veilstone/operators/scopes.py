@@ -45,13 +45,12 @@ def scope_merge(declarations: DataFrame, accepted: Column | None = None) -> Data
     values["active_from"] = Running("last", F.when(counts, F.col("declared_at")))
     values["_grant"] = Running("first", F.struct("declared_at", "renewable_seconds"))
     merged = running(declarations, ["agent_id"], _ORDER, _days(F.col("declared_at")), values)
-    for c in INHERITED:
-        merged = merged.withColumn(c, F.col(f"_{c}")).drop(f"_{c}")
-    return (
-        merged.withColumn("renewable_seconds", F.col("_grant.renewable_seconds"))
-        .withColumn("granted_at", F.col("_grant.declared_at"))
-        .drop("_grant")
-    )
+    replaced = {
+        **{c: F.col(f"_{c}") for c in INHERITED},
+        "renewable_seconds": F.col("_grant.renewable_seconds"),
+        "granted_at": F.col("_grant.declared_at"),
+    }
+    return merged.withColumns(replaced).drop("_grant", *[f"_{c}" for c in INHERITED])
 
 
 def _narrows(allowed: Column, forbidden: Column, state: Column) -> Column:
@@ -137,11 +136,14 @@ def scope_expiry(scopes: DataFrame, at: Column) -> DataFrame:
     """
     limit = _add_seconds(F.col("active_from"), F.col("max_duration_seconds"))
     renewable = _add_seconds(F.col("granted_at"), F.col("renewable_seconds"))
-    return (
-        scopes.withColumn("active_until", F.least(limit, F.col("expires_at")))
-        .withColumn("expired", F.coalesce(at >= F.col("active_until"), F.lit(False)))
-        .withColumn("renewable_until", renewable)
-        .withColumn("ceiling_reached", F.coalesce(at > F.col("renewable_until"), F.lit(False)))
+    until = F.least(limit, F.col("expires_at"))
+    return scopes.withColumns(
+        {
+            "active_until": until,
+            "expired": F.coalesce(at >= until, F.lit(False)),
+            "renewable_until": renewable,
+            "ceiling_reached": F.coalesce(at > renewable, F.lit(False)),
+        }
     )
 
 
@@ -183,10 +185,10 @@ def scope_enforce(actions: DataFrame, scopes: DataFrame, action_limit: str | Non
     held = F.col("hold_reason").isNotNull()
     stands = F.coalesce(F.col("blocked"), F.lit(False)) & ~F.col("action").eqNullSafe("require_approval")
     waits = held & ~stands
-    return (
-        placed.withColumn("hold_reason", reason)
-        .withColumn("held_by_scope", held)
-        .withColumn("content_action", F.when(waits, F.col("action")))
-        .withColumn("action", F.when(waits, "require_approval").otherwise(F.col("action")))
-        .select(*actions.columns, "hold_reason", "held_by_scope", "content_action")
+    return placed.withColumn("hold_reason", reason).select(
+        *[c for c in actions.columns if c != "action"],
+        F.when(waits, "require_approval").otherwise(F.col("action")).alias("action"),
+        "hold_reason",
+        held.alias("held_by_scope"),
+        F.when(waits, F.col("action")).alias("content_action"),
     )

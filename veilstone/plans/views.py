@@ -137,7 +137,8 @@ def event_columns(events: DataFrame, *columns: str) -> DataFrame:
 
 
 def event_requests(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    return event_columns(read_table(spark, folder, "events"), *columns)
+    events = read_table(spark, folder, "events")
+    return event_columns(spread(events, "event_id") if "raw" in columns else events, *columns)
 
 
 EVENT_BASE = (
