@@ -11,6 +11,7 @@ from veilstone.operators import reliability, scopes, sessions
 from veilstone.operators import verdicts as vops
 from veilstone.plans.verdict_queries import READ
 from veilstone.plans.views import event_columns, event_requests, events_cte, scope_declarations, scopes_cte
+from veilstone.session import cut_lineage
 from veilstone.sources.sinks import run_stream
 from veilstone.sources.tables import read_table, stream_table
 from veilstone.streaming import windows
@@ -122,12 +123,12 @@ def _actions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def scope_enforce(spark: SparkSession, folder: str) -> DataFrame:
-    history = scopes.scope_history(scope_declarations(spark, folder))
+    history = cut_lineage(scopes.scope_history(scope_declarations(spark, folder)))
     return scopes.scope_enforce(_actions(spark, folder), history).drop("ts")
 
 
 def scope_enforce_limited(spark: SparkSession, folder: str) -> DataFrame:
-    history = scopes.scope_history(scope_declarations(spark, folder)).withColumn("most", F.lit(40))
+    history = cut_lineage(scopes.scope_history(scope_declarations(spark, folder))).withColumn("most", F.lit(40))
     held = scopes.scope_enforce(_actions(spark, folder), history, "most")
     return held.where("hold_reason = 'action_limit'").select("agent_id", "request_id", "tool")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     # Results compare with other engines only in one fixed zone.
@@ -42,5 +42,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return scratch
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write a small intermediate table that is used more than once to the checkpoint folder, and go on from there."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(checkpoint_dir(df.sparkSession))
+    return df.checkpoint()
+
+
 def stream_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), name)
