@@ -30,7 +30,8 @@ def stream_session_counts(stream: DataFrame, ts: str, session: str, gap: str = "
 def stream_dedup(stream: DataFrame, ts: str, key: str, ttl: str = "5 minutes") -> DataFrame:
     """First request of each content within the time to live; the others may reuse its verdict.
 
-    The time counts from the first request and reads do not extend it. The watermark moves between batches only, so
-    within one batch a content passes once whatever its age.
+    The time counts from the first request and reads do not extend it. A content never passes twice within `ttl`. It
+    passes again once the watermark, which moves between batches, has cleared its state; within one batch a content
+    passes once whatever its age.
     """
     return stream.withWatermark(ts, ttl).dropDuplicatesWithinWatermark([key])
