@@ -119,17 +119,20 @@ def scope_expiry(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _actions(spark: SparkSession, folder: str) -> DataFrame:
-    return _blocked_events(spark, folder, "tool").select("agent_id", "ts", "request_id", "tool", "action", "blocked")
+    events = event_requests(spark, folder, "agent_id", "tool", "raw")
+    clean = vops.sanitize_verdict(events, ["agent_id", "ts", "request_id", "tool"])
+    return clean.select("agent_id", "ts", "request_id", "tool", "action", "blocked", "parsed")
 
 
 def scope_enforce(spark: SparkSession, folder: str) -> DataFrame:
     history = cut_lineage(scopes.scope_history(scope_declarations(spark, folder)))
-    return scopes.scope_enforce(_actions(spark, folder), history).drop("ts")
+    # The filter comes last, so that the pass over scopes needs no verdicts.
+    return scopes.scope_enforce(_actions(spark, folder), history).where("parsed").drop("ts", "parsed")
 
 
 def scope_enforce_limited(spark: SparkSession, folder: str) -> DataFrame:
     history = cut_lineage(scopes.scope_history(scope_declarations(spark, folder))).withColumn("most", F.lit(40))
-    held = scopes.scope_enforce(_actions(spark, folder), history, "most")
+    held = scopes.scope_enforce(_actions(spark, folder).where("parsed"), history, "most")
     return held.where("hold_reason = 'action_limit'").select("agent_id", "request_id", "tool")
 
 

@@ -23,8 +23,8 @@ def _clean(spark: SparkSession, folder: str) -> DataFrame:
 def parse_verdict(spark: SparkSession, folder: str) -> DataFrame:
     read = ops.parse_verdict(_raw(spark, folder))
     return read.select(
-        "request_id", "parsed", "safe", "action", "refuse_tier", "reason", "content_type", "content_origin",
-        "raw_severity", F.round(F.col("score"), 6).alias("score"), "held_by_scope",
+        "request_id", "parsed", F.col("safe").cast("string").alias("safe"), "action", "refuse_tier", "reason",
+        "content_type", "content_origin", "raw_severity", F.round(F.col("score"), 6).alias("score"), "held_by_scope",
     )
 
 
@@ -59,7 +59,7 @@ def fill_guidance(spark: SparkSession, folder: str) -> DataFrame:
 
 def sanitize_verdict(spark: SparkSession, folder: str) -> DataFrame:
     return _clean(spark, folder).select(
-        "request_id", "parsed", "safe", "reason", "threat_type", "severity", "confidence", "guidance", "action",
+        "request_id", "parsed", F.col("safe").cast("string").alias("safe"), "reason", "threat_type", "severity", "confidence", "guidance", "action",
         "refuse_tier", "content_type", "content_origin", "held_by_scope",
         F.coalesce(F.array_size("violations"), F.lit(0)).alias("n_violations"),
         V.text_of(V.field(F.col("recovery"), "instruction")).alias("instruction"),
@@ -218,7 +218,7 @@ def _rollup(*keys: str) -> str:
 
 
 ORACLE = {
-    "parse_verdict": f"{READ} SELECT request_id, parsed, safe, action, refuse_tier, given_reason AS reason, content_type, "
+    "parse_verdict": f"{READ} SELECT request_id, parsed, CAST(safe AS VARCHAR) AS safe, action, refuse_tier, given_reason AS reason, content_type, "
     "content_origin, raw_severity, round(score, 6) AS score, held_by_scope FROM fields",
     "normalize_threat_type": f"{READ} SELECT request_id, {mapped_sql('top_type')} AS threat_type FROM fields",
     "derive_severity": f"{READ} SELECT request_id, CASE WHEN lower(raw_severity) IN ('critical', 'high', 'medium', 'low') "
@@ -237,7 +237,7 @@ SELECT request_id, CAST(pos AS INTEGER) AS pos, field, CAST(json_extract(item, '
 FROM fields_of WHERE field NOT IN ({_INTERNAL})""",
     "effective_threat_type": f"{READ} SELECT request_id, raw_threat_type AS threat_code FROM fields",
     "fill_guidance": f"{READ} SELECT request_id, reason, guidance FROM clean WHERE NOT safe",
-    "sanitize_verdict": f"""{READ} SELECT request_id, parsed, safe, reason, threat_type, severity, confidence, guidance, action,
+    "sanitize_verdict": f"""{READ} SELECT request_id, parsed, CAST(safe AS VARCHAR) AS safe, reason, threat_type, severity, confidence, guidance, action,
   refuse_tier, content_type, content_origin, held_by_scope,
   CAST(CASE WHEN json_type(j, '$.violations') = 'ARRAY' THEN
     (SELECT count(*) FROM (SELECT unnest(json_extract(j, '$.violations[*]')) AS x) WHERE json_type(x) = 'OBJECT')
