@@ -53,7 +53,7 @@ def test_running_values_match_a_plain_loop(spark):
     table = spark.createDataFrame(rows, "k int, ts timestamp, id int, v int")
     spec = {
         "n": Running("count"), "total": Running("sum", F.col("v"), before=True), "top": Running("max", F.col("v")),
-        "latest": Running("last", F.col("v"), before=True), "opening": Running("first", F.col("v")),
+        "latest": Running("last", F.col("v"), before=True), "rare": Running("last", F.col("v"), sparse=True), "opening": Running("first", F.col("v")),
     }
     got = {r["id"]: r for r in running(table, ["k"], ["ts", "id"], hours(F.col("ts")), spec).collect()}
     assert len(got) == 600
@@ -64,6 +64,7 @@ def test_running_values_match_a_plain_loop(spark):
         assert got[i]["n"] == len(seen.get(k, [])) + 1
         assert got[i]["total"] == sum(before)
         assert got[i]["top"] == (max(upto) if upto else None)
+        assert got[i]["rare"] == (upto[-1] if upto else None)
         assert got[i]["latest"] == (before[-1] if before else None)
         seen.setdefault(k, []).append(v)
         assert got[i]["opening"] == seen[k][0]

@@ -32,11 +32,13 @@ class Running:
     """One running value, up to this row or the one before.
 
     Kinds: `count`, `sum`, `max`, `last` (latest non-null) and `first` (value of the very first row, NULL or not).
+    `sparse` says that nearly all values are NULL, so that their bucket totals are worth a pass of their own.
     """
 
     kind: str
     value: Column | None = None
     before: bool = False
+    sparse: bool = False
 
 
 def hours(ts: Column, width: int = 1) -> Column:
@@ -65,7 +67,7 @@ def running(
     local = marked.withColumns(
         {f"_at_{name}": p.running(F.col(f"_in_{name}")).over(frames[values[name].before]) for name, p in parts.items()}
     )
-    totals = marked.groupBy(*slot).agg(*[p.total(F.col(f"_in_{name}")).alias(f"_all_{name}") for name, p in parts.items()])
+    totals = _bucket_totals(marked, slot, values, parts)
     past = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(
         *slot, *[p.carried(F.col(f"_all_{name}")).over(past).alias(f"_from_{name}") for name, p in parts.items()]
@@ -77,6 +79,24 @@ def running(
     )
 
 
+def _bucket_totals(
+    marked: DataFrame, slot: Sequence[str], values: Mapping[str, Running], parts: Mapping[str, _Parts]
+) -> DataFrame:
+    """What each bucket hands on. The latest of struct values needs sorted input to aggregate; for sparse ones only
+    the few rows that have a value are sorted, and all rows just name their bucket by hash aggregation."""
+    sparse = [name for name, r in values.items() if r.kind == "last" and r.sparse]
+    dense = [name for name in values if name not in sparse]
+
+    def total(name: str) -> Column:
+        return parts[name].total(F.col(f"_in_{name}")).alias(f"_all_{name}")
+
+    totals = marked.groupBy(*slot).agg(*[total(name) for name in dense]) if dense else marked.select(*slot).distinct()
+    for name in sparse:
+        few = marked.where(F.col(f"_in_{name}").isNotNull()).groupBy(*slot).agg(total(name))
+        totals = totals.join(few, slot, "left")
+    return totals
+
+
 @dataclass(frozen=True)
 class _Parts:
     """How one running value comes about: in its bucket, per bucket, across buckets, and put together."""

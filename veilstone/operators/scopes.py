@@ -169,9 +169,9 @@ def scope_enforce(actions: DataFrame, scopes: DataFrame, action_limit: str | Non
     if action_limit:
         done = running(done, ["agent_id"], order, bucket, {"_acts": Running("sum", F.col("_kind").cast("bigint"))})
         done = done.withColumn("_base", F.when(F.col("_kind") == 0, F.col("_acts")))
-    values = {"_in_force": Running("last", F.col("_scope"))}
+    values = {"_in_force": Running("last", F.col("_scope"), sparse=True)}
     if action_limit:
-        values["_since"] = Running("last", F.col("_base"))
+        values["_since"] = Running("last", F.col("_base"), sparse=True)
     placed = running(done, ["agent_id"], order, bucket, values).where("_kind = 1")
     force = F.col("_in_force")
     used = (F.col("_acts") - F.col("_since")) > force["limit"] if action_limit else F.lit(False)
