@@ -230,40 +230,40 @@ def policy_match(verdicts: DataFrame, policies: DataFrame, threat: str = "threat
     return joined.withColumn("policy_action", F.array_max(met)["action"]).drop("type", "_ladder")
 
 
+def decision(
+    blank: Column, scanned: Column, blocked: Column, reason: Column, threat_type: Column, confidence: Column, fail_mode: str
+) -> dict[str, Column]:
+    """Columns that tell what happens to a request. Blank content needs no scan. Without a verdict, closed mode is an
+    error and open mode lets the request through, marked degraded."""
+    if fail_mode not in ("closed", "open"):
+        raise ValueError(f"unknown fail mode {fail_mode}")
+    refused = ~blank & scanned & blocked
+    degraded = ~blank & ~scanned & F.lit(fail_mode == "open")
+    return {
+        "outcome": F.when(blank, "proceed")
+        .when(scanned, F.when(blocked, "blocked").otherwise("proceed"))
+        .otherwise("proceed" if fail_mode == "open" else "scan_error"),
+        "decision_reason": F.when(refused, F.concat(F.lit("Request blocked: "), F.coalesce(reason, F.lit(""))))
+        .when(blank, "No content to scan")
+        .when(degraded, "scan_unavailable_fail_open"),
+        "threat_type": F.when(refused, threat_type),
+        "confidence": F.when(refused, confidence),
+        "degraded": degraded,
+    }
+
+
 def guard_decision(requests: DataFrame, verdicts: DataFrame, key: str, fail_mode: str = "closed") -> DataFrame:
     """Proceed, refuse or report an error for every request, from its verdict if there is one.
 
-    `verdicts` are clean records without the ones that did not parse. Without a verdict, closed mode is an error
-    and open mode lets the request through, marked degraded. A request whose `blank` column is true needs no scan.
+    `verdicts` are clean records without the ones that did not parse. A request whose `blank` column is true needs
+    no scan.
     """
-    if fail_mode not in ("closed", "open"):
-        raise ValueError(f"unknown fail mode {fail_mode}")
     record = ["blocked", "reason", "threat_type", "confidence"]
     known = verdicts.select(key, F.lit(True).alias("_scanned"), *[F.col(c).alias(f"_{c}") for c in record])
     joined = requests.join(known, key, "left")
     blank = F.col("blank") if "blank" in requests.columns else F.lit(False)
-    scanned = F.coalesce("_scanned", F.lit(False))
-    outcome = (
-        F.when(blank, "proceed")
-        .when(scanned, F.when(F.col("_blocked"), "blocked").otherwise("proceed"))
-        .otherwise("proceed" if fail_mode == "open" else "scan_error")
-    )
-    refused = ~blank & scanned & F.col("_blocked")
-    degraded = ~blank & ~scanned & F.lit(fail_mode == "open")
-    reason = (
-        F.when(refused, F.concat(F.lit("Request blocked: "), F.coalesce("_reason", F.lit(""))))
-        .when(blank, "No content to scan")
-        .when(degraded, "scan_unavailable_fail_open")
-    )
-    kept = joined.select(
-        *requests.columns,
-        outcome.alias("outcome"),
-        reason.alias("decision_reason"),
-        F.when(refused, F.col("_threat_type")).alias("threat_type"),
-        F.when(refused, F.col("_confidence")).alias("confidence"),
-        degraded.alias("degraded"),
-    )
-    return kept
+    decided = decision(blank, F.coalesce("_scanned", F.lit(False)), *[F.col(f"_{c}") for c in record], fail_mode)
+    return joined.select(*requests.columns, *[c.alias(name) for name, c in decided.items()])
 
 
 def request_contract_audit(

@@ -10,6 +10,7 @@ from veilstone.functions.dims import CHANNELS, values_table
 from veilstone.operators import requests as ops
 from veilstone.operators import verdicts as vops
 from veilstone.plans.duckdb_sql import quoted
+from veilstone.plans.flows import prompt_guard as prompt_guard_of
 from veilstone.plans.verdict_queries import READ
 from veilstone.plans.views import document_envelopes, event_requests, events_cte, page_chunks
 from veilstone.sources.tables import read_table, spread
@@ -181,6 +182,13 @@ def guard_decision(spark: SparkSession, folder: str) -> DataFrame:
     return both[0].unionByName(both[1])
 
 
+def prompt_guard(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations through the guard; every ninth is blown up beyond the size limit."""
+    turns = _turn_parts(spark, folder)
+    text = F.when(F.col("conv_id") % 9 == 0, F.repeat("text", F.lit(400))).otherwise(F.col("text"))
+    return prompt_guard_of(turns.withColumn("text", text), kind="kind")
+
+
 POLICIES = (
     ("sql_injection", "warn", 0.2), ("sql_injection", "block", 0.8), ("sql_injection", "require_approval", 0.5),
     ("jailbreak", "require_approval", 0.4), ("jailbreak", "warn", 0.9), ("toxic_content", "block", 0.95),
@@ -227,6 +235,7 @@ QUERIES = {
     "extract_user_content_blocks": _extracted("blocks"),
     "extract_user_content_contents": _extracted("contents"),
     "guard_decision": guard_decision,
+    "prompt_guard": prompt_guard,
     "policy_match": policy_match,
     "request_contract_audit": request_contract_audit,
     "missing_scans": missing_scans,
@@ -376,6 +385,19 @@ SELECT doc_id, sha256('channel=3:sqltext=' || strlen(content) || ':' || content)
     "extract_user_content_blocks": _extract_sql("role = 'user' AND (kind IS NULL OR kind = 'text')"),
     "extract_user_content_contents": _extract_sql("role IN ('', 'user') AND text <> ''"),
     "guard_decision": f"{READ}, {_ANSWERED} {_decision('closed')} UNION ALL {_decision('open')}",
+    "prompt_guard": f"""WITH {_PARTS}, said AS (
+  SELECT conv_id, coalesce(string_agg(CASE WHEN conv_id % 9 = 0 THEN repeat(text, 400) ELSE text END, chr(10) ORDER BY turn)
+    FILTER (WHERE role = 'user' AND ((kind IS NULL AND text <> '') OR kind = 'text')), '') AS content
+  FROM parts GROUP BY conv_id),
+hit AS (SELECT conv_id, strlen(content) AS content_bytes, CASE WHEN regexp_matches(content, {quoted(_BLANK)}) THEN 'blank'
+  WHEN strlen(content) > 102400 THEN 'over' WHEN contains(lower(content), 'ignore previous') THEN 'injection'
+  WHEN regexp_matches(content, 'SSN|-') THEN 'pii' ELSE 'clear' END AS found FROM said)
+SELECT conv_id, content_bytes, CASE WHEN found IN ('blank', 'clear') THEN 'proceed' ELSE 'blocked' END AS outcome,
+  CASE found WHEN 'blank' THEN 'No content to scan'
+    WHEN 'over' THEN 'Request blocked: Content too large (' || (content_bytes // 1024) || 'KB > 100KB limit)'
+    WHEN 'injection' THEN 'Request blocked: Prompt injection detected' WHEN 'pii' THEN 'Request blocked: PII detected' END AS decision_reason,
+  CASE found WHEN 'over' THEN 'size_limit_exceeded' WHEN 'injection' THEN 'prompt_injection' WHEN 'pii' THEN 'pii_exposure' END AS threat_type,
+  CASE WHEN found IN ('over', 'injection', 'pii') THEN 'high' END AS confidence FROM hit""",
     "policy_match": f"""{READ}, policies(type, action, threshold) AS (VALUES {', '.join(f"('{t}', '{a}', {x})" for t, a, x in POLICIES)}),
 met AS (SELECT request_id, max(CASE p.action WHEN 'allow' THEN 1 WHEN 'warn' THEN 2 WHEN 'require_approval' THEN 3 ELSE 4 END) AS r
   FROM named n JOIN policies p ON n.mapped_type = p.type AND n.score >= p.threshold GROUP BY request_id)
