@@ -9,7 +9,8 @@ from veilstone.functions import verdicts as V
 from veilstone.functions.dims import values_table
 from veilstone.operators import reliability, scopes, sessions
 from veilstone.operators import verdicts as vops
-from veilstone.plans.verdict_queries import READ
+from veilstone.plans.flows import action_scan as action_scan_of
+from veilstone.plans.verdict_queries import FEEDBACK, READ
 from veilstone.plans.views import event_columns, event_requests, events_cte, scope_declarations, scopes_cte
 from veilstone.session import cut_lineage
 from veilstone.sources.sinks import run_stream
@@ -136,6 +137,11 @@ def scope_enforce_limited(spark: SparkSession, folder: str) -> DataFrame:
     return held.where("hold_reason = 'action_limit'").select("agent_id", "request_id", "tool")
 
 
+def action_scan(spark: SparkSession, folder: str) -> DataFrame:
+    history = cut_lineage(scopes.scope_history(scope_declarations(spark, folder)))
+    return action_scan_of(event_requests(spark, folder, "agent_id", "tool", "raw"), history).drop("ts")
+
+
 def _calls(spark: SparkSession, folder: str) -> DataFrame:
     return event_requests(spark, folder, "endpoint", "status", "raw")
 
@@ -241,6 +247,7 @@ QUERIES = {
     "scope_expiry": scope_expiry,
     "scope_enforce": scope_enforce,
     "scope_enforce_limited": scope_enforce_limited,
+    "action_scan": action_scan,
     "classify_outcome": classify_outcome,
     "failure_runs": failure_runs,
     "degraded_rate": degraded_rate,
@@ -373,6 +380,13 @@ FROM walk WHERE status IN ('declared', 'accepted')""",
     "scope_enforce": f"""{_ENFORCED} SELECT agent_id, request_id, tool, CASE WHEN waits THEN 'require_approval' ELSE action END AS action,
   blocked, hold_reason, hold_reason IS NOT NULL AS held_by_scope, CASE WHEN waits THEN action END AS content_action FROM waiting""",
     "scope_enforce_limited": f"{_ENFORCED} SELECT agent_id, request_id, tool FROM waiting WHERE hold_reason IS NULL AND over_limit",
+    "action_scan": f"""{_ENFORCED},
+final AS (SELECT w.agent_id, request_id, w.tool, CASE WHEN waits THEN 'require_approval' ELSE w.action END AS action, hold_reason,
+  hold_reason IS NOT NULL AS held_by_scope, CASE WHEN waits THEN w.action END AS content_action,
+  hold_reason IS NOT NULL OR w.blocked AS refused, c.reason, c.guidance, c.threat_type, c.j
+  FROM waiting w JOIN clean c USING (request_id))
+SELECT agent_id, request_id, tool, action, hold_reason, held_by_scope, content_action, refused,
+  CASE WHEN refused THEN {FEEDBACK} END AS feedback FROM final""",
     "classify_outcome": f"""{READ} SELECT request_id, CASE WHEN status >= 500 THEN 'retryable' WHEN status <> 200 THEN 'final'
   WHEN parsed THEN 'ok' ELSE 'retryable' END AS outcome FROM fields JOIN (SELECT request_id, status FROM ev) USING (request_id)""",
     "failure_runs": f"""WITH {events_cte()}, numbered AS (SELECT *, sum(CASE WHEN status = 200 THEN 1 ELSE 0 END)

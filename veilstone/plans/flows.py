@@ -1,4 +1,4 @@
-"""Operators put together: a conversation through the prompt guard."""
+"""Operators put together: a conversation through the prompt guard, an agent action through its scan."""
 
 from __future__ import annotations
 
@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veilstone.functions import requests as R
+from veilstone.functions import verdicts as V
 from veilstone.functions.frames import computed_once
 from veilstone.operators import requests as ops
-from veilstone.operators import verdicts
+from veilstone.operators import scopes, verdicts
 
 
 def prompt_guard(
@@ -45,3 +46,21 @@ def prompt_guard(
     decided = ops.decision(F.col("blank"), F.col("parsed"), *record.values(), "closed")
     names = ("outcome", "decision_reason", "threat_type", "confidence")
     return clean.select(key, "content_bytes", *[decided[n].alias(n) for n in names])
+
+
+def action_scan(actions: DataFrame, history: DataFrame, raw: str = "raw") -> DataFrame:
+    """Agent actions with their raw verdict: cleaned, held against the agent's scope, and explained where refused.
+
+    `actions` has agent_id, ts, request_id and tool; `history` comes from `scope_history`. Rows whose verdict did not
+    parse are left to the fail mode of `guard_decision`.
+    """
+    keep = ["agent_id", "ts", "request_id", "tool"]
+    record = ["reason", "guidance", "threat_type", "recovery", "session_state"]
+    clean = verdicts.sanitize_verdict(actions, keep, raw).select(*keep, "action", "safe", "blocked", "parsed", *record)
+    held = scopes.scope_enforce(clean, history).where("parsed")
+    refused = F.col("held_by_scope") | F.col("blocked")
+    text = V.block_feedback(*[F.col(c) for c in ("action", *record)])
+    return held.select(
+        *keep, "action", "hold_reason", "held_by_scope", "content_action", refused.alias("refused"),
+        F.when(refused, text).alias("feedback"),
+    )

@@ -195,6 +195,15 @@ def _items(path: str) -> str:
     )
 
 
+FEEDBACK = f"""concat_ws(chr(10),
+  CASE lower(action) WHEN 'warn' THEN {quoted(V.FEEDBACK_LEAD['warn'])}
+    WHEN 'require_approval' THEN {quoted(V.FEEDBACK_LEAD['require_approval'])} ELSE {quoted(V.FEEDBACK_LEAD['block'])} END,
+  'Reason: ' || coalesce(reason, guidance), 'Threat type: ' || threat_type,
+  'Session risk: ' || regexp_replace(CAST(CAST(json_extract_string(j, '$.session_state.session_risk_score') AS DOUBLE) AS VARCHAR), '[.]0$', '')
+    || ' (turn ' || json_extract_string(j, '$.session_state.session_turn_number') || ')',
+  'Patterns triggered: ' || coalesce({_items('$.recovery.patterns_triggered')}, {_items('$.session_state.session_patterns')}),
+  'Recovery: ' || {_text('$.recovery.instruction')}, 'Available tools: ' || {_items('$.recovery.available_tools')})"""
+
 _RULES = {
     "missing_tier": "refuse_tier IS NULL",
     "unknown_tier": f"refuse_tier NOT IN ({_TIERS})",
@@ -251,15 +260,7 @@ odd AS (SELECT request_id, CASE WHEN request_id % 17 = 0 THEN 'hologram' WHEN re
   WHEN request_id % 7 = 0 THEN 'prompt' ELSE channel END AS channel FROM ev)
 SELECT request_id, channel, coalesce(origin, 'agent_action') AS content_origin,
   coalesce(origin, 'agent_action') = 'human_prompt' AS attributable FROM odd LEFT JOIN origins ON channel = ch""",
-    "block_feedback": f"""{READ} SELECT request_id, concat_ws(chr(10),
-  CASE lower(action) WHEN 'warn' THEN {quoted(V.FEEDBACK_LEAD['warn'])}
-    WHEN 'require_approval' THEN {quoted(V.FEEDBACK_LEAD['require_approval'])} ELSE {quoted(V.FEEDBACK_LEAD['block'])} END,
-  'Reason: ' || coalesce(reason, guidance), 'Threat type: ' || threat_type,
-  'Session risk: ' || regexp_replace(CAST(CAST(json_extract_string(j, '$.session_state.session_risk_score') AS DOUBLE) AS VARCHAR), '[.]0$', '')
-    || ' (turn ' || json_extract_string(j, '$.session_state.session_turn_number') || ')',
-  'Patterns triggered: ' || coalesce({_items('$.recovery.patterns_triggered')}, {_items('$.session_state.session_patterns')}),
-  'Recovery: ' || {_text('$.recovery.instruction')}, 'Available tools: ' || {_items('$.recovery.available_tools')}) AS feedback
-FROM clean WHERE parsed""",
+    "block_feedback": f"{READ} SELECT request_id, {FEEDBACK} AS feedback FROM clean WHERE parsed",
     "verdict_contract_audit": f"""{READ}, wide AS (SELECT coalesce(content_type, '(none)') AS channel, count(*) AS n,
   {', '.join(f'count(*) FILTER (WHERE {rule}) AS {name}' for name, rule in _RULES.items())}
   FROM fields WHERE parsed GROUP BY 1)
