@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from veilstone.llm import mixing, sharding, warc
+from veilstone.llm import langid, mixing, sharding, warc
 
 QUERIES = {
+    "op1_marginal_langid": langid.op1_marginal_langid,
     "op3_warc_captures": warc.op3_warc_captures,
     "op4_hash_tree_shards": sharding.op4_hash_tree_shards,
     "op10_flow_mix": mixing.op10_flow_mix,
