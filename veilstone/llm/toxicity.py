@@ -5,8 +5,8 @@ share of positives, the class prior. The risk of a linear classifier over the fe
 
     prior * E_p[loss(+)] + max(0, E_u[loss(-)] - prior * E_p[loss(-)])
 
-so no confirmed clean text is needed; when the part in the maximum falls below zero in a batch, the step goes back up.
-Loss is logistic. Features are the distinct words of the whole text and their beginnings of four and five letters, of
+so no confirmed clean text is needed; when the part in the maximum falls below zero, the step goes back up. The loss is the
+sigmoid one. Features are the distinct words of the whole text and their beginnings of four and five letters, of
 which those count whose share among positives exceeds that among unlabelled texts by `LEAST_Z` standard errors, at most
 `FEATURES` of them. The fit uses at most about `POSITIVES` confirmed and `UNLABELLED` other texts.
 
@@ -84,30 +84,25 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def fit_nnpu(
-    positive: Sparse, unlabelled: Sparse, size: int, prior: float, epochs: int = 40, batch: int = 512, rate: float = 0.02,
-    decay: float = 1e-4, seed: int = 3,
-) -> tuple[np.ndarray, float]:
-    """Weights and intercept by Adam on batches that hold positives and unlabelled texts in equal parts."""
-    draw = np.random.default_rng(seed)
+    positive: Sparse, unlabelled: Sparse, size: int, prior: float, steps: int = 800, rate: float = 0.05, decay: float = 1e-5
+) -> tuple[np.ndarray, float]:
+    """Weights and intercept by Adam over all sampled texts at each step: of batches, the part that must not be negative
+    would be little but noise."""
     theta = np.zeros(size + 1)
     theta[size] = np.log(prior / (1 - prior))
     first, second = np.zeros(size + 1), np.zeros(size + 1)
-    steps = max(1, -(-len(unlabelled) // batch))
-    for step in range(1, epochs * steps + 1):
-        p_rows = draw.integers(0, len(positive), min(batch, len(positive)))
-        u_rows = draw.integers(0, len(unlabelled), min(batch, len(unlabelled)))
-        p_ids, p_owner = positive.rows(p_rows)
-        u_ids, u_owner = unlabelled.rows(u_rows)
-        p_margin = theta[size] + np.bincount(p_owner, theta[p_ids], len(p_rows))
-        u_margin = theta[size] + np.bincount(u_owner, theta[u_ids], len(u_rows))
-        # gradient of softplus(g) = loss of calling g negative, and of softplus(-g) = loss of calling it positive
-        as_negative_p, as_negative_u = sigmoid(p_margin) / len(p_rows), sigmoid(u_margin) / len(u_rows)
-        as_positive_p = -sigmoid(-p_margin) / len(p_rows)
-        negative_risk = np.logaddexp(0, u_margin).mean() - prior * np.logaddexp(0, p_margin).mean()
-        if negative_risk >= 0:
-            p_grad, u_grad = prior * as_positive_p - prior * as_negative_p, as_negative_u
+    p_ids, p_owner = positive.rows(np.arange(len(positive)))
+    u_ids, u_owner = unlabelled.rows(np.arange(len(unlabelled)))
+    for step in range(1, steps + 1):
+        p_called = sigmoid(theta[size] + np.bincount(p_owner, theta[p_ids], len(positive)))
+        u_called = sigmoid(theta[size] + np.bincount(u_owner, theta[u_ids], len(unlabelled)))
+        # the loss of a text called negative is p_called, of one called positive 1 - p_called
+        p_slope = prior * p_called * (1 - p_called) / len(positive)
+        u_slope = u_called * (1 - u_called) / len(unlabelled)
+        if u_called.mean() >= prior * p_called.mean():
+            p_grad, u_grad = -2 * p_slope, u_slope
         else:
-            p_grad, u_grad = prior * as_negative_p, -as_negative_u
+            p_grad, u_grad = p_slope, -u_slope
         grad = decay * theta
         grad[size] = p_grad.sum() + u_grad.sum()
         grad[:size] += np.bincount(p_ids, p_grad[p_owner], size) + np.bincount(u_ids, u_grad[u_owner], size)
