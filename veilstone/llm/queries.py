@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from veilstone.llm import langid, mixing, sharding, toxicity, warc
+from veilstone.llm import langid, mixing, quality, sharding, toxicity, warc
 
 QUERIES = {
     "op1_marginal_langid": langid.op1_marginal_langid,
     "op2_pu_toxicity": toxicity.op2_pu_toxicity,
     "op3_warc_captures": warc.op3_warc_captures,
     "op4_hash_tree_shards": sharding.op4_hash_tree_shards,
+    "op6_attention_quality": quality.op6_attention_quality,
     "op10_flow_mix": mixing.op10_flow_mix,
 }
 
