@@ -33,19 +33,42 @@ CACHE = 200_000
 ENCODED, ATTENTION = 24, 16
 
 
-def word_vector(word: str) -> np.ndarray:
-    """Six shape features, then signed hashes of the ending and of the shape."""
+def signs(feature: str) -> np.ndarray:
+    """One signed hash in `HASHED` places."""
     out = np.zeros(WIDTH, np.float32)
+    h = zlib.crc32(feature.encode("utf-8", "surrogatepass"))
+    out[8 + h % HASHED] = 1.0 if h >> 31 else -1.0
+    return out
+
+
+def shape_of(word: str) -> tuple[str, int, int, int]:
+    """Kinds of letters with repeats joined, and numbers of letters, capitals and digits."""
     n = len(word)
-    letters, upper = sum(map(str.isalpha, word)), sum(map(str.isupper, word))
-    digits = sum(map(str.isdigit, word))
-    out[:6] = letters / n, upper / n, digits / n, (n - letters - digits) / n, min(n, 30) / 10, n == 1
+    if word.isalpha():
+        if word.islower():
+            return "a", n, 0, 0
+        if word.isupper():
+            return "A", n, n, 0
+        if word[0].isupper() and word[1:].islower():
+            return "Aa", n, 1, 0
+    letters, upper, digits = (sum(map(f, word)) for f in (str.isalpha, str.isupper, str.isdigit))
     shape = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
-    short = shape[:1] + "".join(b for a, b in zip(shape, shape[1:]) if a != b)
-    for feature in ("e" + word[-3:], "s" + short[:12]):
-        h = zlib.crc32(feature.encode("utf-8", "surrogatepass"))
-        out[8 + h % HASHED] += 1.0 if h >> 31 else -1.0
-    return out
+    return (shape[:1] + "".join(b for a, b in zip(shape, shape[1:]) if a != b))[:12], letters, upper, digits
+
+
+class Hashes:
+    """Signed hashes by feature, each made once; the rows of many features at a time."""
+
+    def __init__(self, kind: str):
+        self.kind, self.known, self.rows = kind, {}, np.zeros((256, WIDTH), np.float32)
+
+    def of(self, features: list[str]) -> np.ndarray:
+        for f in set(features) - self.known.keys():
+            i = self.known[f] = len(self.known)
+            if i == len(self.rows):
+                self.rows = np.vstack([self.rows, np.zeros_like(self.rows)])
+            self.rows[i] = signs(self.kind + f)
+        return self.rows[[self.known[f] for f in features]]
 
 
 class Encoder:
@@ -57,27 +80,42 @@ class Encoder:
     def _reset(self) -> None:
         self.known: dict[str, int] = {}
         self.table = np.zeros((4096, WIDTH), np.float32)
+        self.endings, self.shapes = Hashes("e"), Hashes("s")
 
-    def passages(self, text: str | None) -> np.ndarray:
-        words = text.split() if text else []
+    def _learn(self, words: set[str]) -> None:
+        new = list(words - self.known.keys())
+        if len(self.known) + len(new) > CACHE:
+            self._reset()
+            new = list(words)
+        if not new:
+            return
+        shapes, *counts = zip(*map(shape_of, new), strict=True)
+        n = np.fromiter(map(len, new), np.float32, len(new))
+        letters, upper, digits = (np.array(c, np.float32) for c in counts)
+        rows = self.endings.of([w[-3:] for w in new]) + self.shapes.of(list(shapes))
+        rows[:, :6] = np.stack([letters / n, upper / n, digits / n, (n - letters - digits) / n, np.minimum(n, 30) / 10, n == 1], 1)
+        base = len(self.known)
+        while len(self.table) < base + len(new):
+            self.table = np.vstack([self.table, np.zeros_like(self.table)])
+        self.table[base : base + len(new)] = rows
+        self.known.update(zip(new, range(base, base + len(new)), strict=True))
+
+    def bags(self, texts: Sequence[str | None]) -> list[np.ndarray]:
+        """The passages of each text."""
+        split = [t.split() if t else [] for t in texts]
+        self._learn(set().union(*split))
+        return [self._passages(words) for words in split]
+
+    def _passages(self, words: list[str]) -> np.ndarray:
         if not words:
             return np.zeros((1, WIDTH), np.float32)
-        new = set(words) - self.known.keys()
-        if new and len(self.known) + len(new) > CACHE:
-            self._reset()
-            new = set(words)
-        for word in new:
-            i = self.known[word] = len(self.known)
-            if i == len(self.table):
-                self.table = np.vstack([self.table, np.zeros_like(self.table)])
-            self.table[i] = word_vector(word)
         ids = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
         starts = np.arange(0, len(ids), PASSAGE)
-        sizes = np.minimum(PASSAGE, len(ids) - starts)
+        sizes = np.minimum(PASSAGE, len(ids) - starts).astype(np.float32)
         out = np.add.reduceat(self.table[ids], starts, axis=0) / sizes[:, None]
-        same = np.concatenate([[0.0], ids[1:] == ids[:-1]])
+        same = np.concatenate([[False], ids[1:] == ids[:-1]]).astype(np.float32)
         out[:, 6] = np.add.reduceat(same, starts) / sizes
-        out[:, 7] = np.minimum(sizes, PASSAGE) / PASSAGE
+        out[:, 7] = sizes / PASSAGE
         return out
 
 
@@ -181,7 +219,8 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = FIT_DOCUMENTS) -> Netwo
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder()
         for frame in frames:
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "label": frame["label"], "bag": [encoder.passages(t).tobytes() for t in frame["text"]]})
+            bags = [bag.astype(np.float32).tobytes() for bag in encoder.bags(frame["text"])]
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "label": frame["label"], "bag": bags})
 
     known = stored(docs.select("doc_id", "text").join(chosen, "doc_id"), "labelled")
     rows = known.mapInPandas(encode, "doc_id long, label int, bag binary").orderBy("doc_id").toPandas()
@@ -205,7 +244,7 @@ def score(docs: DataFrame, model: Network | float, *keep: str) -> DataFrame:
                 continue
             out = np.zeros(len(texts))
             for at in range(0, len(texts), 200):
-                out[at : at + 200] = net.scores(Bags.of([encoder.passages(t) for t in texts.iloc[at : at + 200]]))
+                out[at : at + 200] = net.scores(Bags.of(encoder.bags(texts.iloc[at : at + 200])))
             yield pd.Series(out)
 
     return docs.select(*keep, quality("text").alias("score"))
