@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from veilstone.llm import langid, mixing, quality, sharding, toxicity, warc
+from veilstone.llm import ann, langid, mixing, quality, sharding, toxicity, warc
 
 QUERIES = {
     "op1_marginal_langid": langid.op1_marginal_langid,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_warc_captures": warc.op3_warc_captures,
     "op4_hash_tree_shards": sharding.op4_hash_tree_shards,
     "op6_attention_quality": quality.op6_attention_quality,
+    "op8_one_bit_neighbours": ann.op8_one_bit_neighbours,
     "op10_flow_mix": mixing.op10_flow_mix,
 }
 
