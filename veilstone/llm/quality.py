@@ -222,7 +222,7 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = FIT_DOCUMENTS) -> Netwo
             bags = [bag.astype(np.float32).tobytes() for bag in encoder.bags(frame["text"])]
             yield pd.DataFrame({"doc_id": frame["doc_id"], "label": frame["label"], "bag": bags})
 
-    known = stored(docs.select("doc_id", "text").join(chosen, "doc_id"), "labelled")
+    known = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "labelled")  # about `bound` rows
     rows = known.mapInPandas(encode, "doc_id long, label int, bag binary").orderBy("doc_id").toPandas()
     target = (rows["label"].to_numpy() == 1).astype(float)
     if not len(rows) or target.min() == target.max():
