@@ -149,8 +149,8 @@ def encoded(texts: DataFrame, names: dict[str, int]) -> Sparse:
 def fit(docs: DataFrame, toxic_ids: DataFrame, prior: float) -> Classifier:
     """`docs`: doc_id and text, whatever their label. `toxic_ids`: doc_id of confirmed toxic ones among them."""
     docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
-    known = docs.join(bounded_sample(toxic_ids.select("doc_id").distinct(), "doc_id", POSITIVES), "doc_id", "left_semi")
-    positive = stored(known, "toxic")
+    chosen = bounded_sample(toxic_ids.select("doc_id").distinct(), "doc_id", POSITIVES)
+    positive = stored(docs.join(F.broadcast(chosen), "doc_id", "left_semi"), "toxic")  # about POSITIVES ids
     unlabelled = stored(bounded_sample(docs, "doc_id", UNLABELLED, seed=11), "unlabelled")
     if positive.isEmpty() or unlabelled.isEmpty() or not 0 < prior < 1:
         return Classifier({}, np.zeros(0), -500.0)
