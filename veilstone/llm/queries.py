@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-from veilstone.llm import ann, langid, mixing, quality, sharding, toxicity, warc
+from veilstone.llm import ann, decontamination, langid, mixing, pii, quality, sharding, toxicity, trie_join, warc
 
 QUERIES = {
     "op1_marginal_langid": langid.op1_marginal_langid,
     "op2_pu_toxicity": toxicity.op2_pu_toxicity,
     "op3_warc_captures": warc.op3_warc_captures,
     "op4_hash_tree_shards": sharding.op4_hash_tree_shards,
+    "op5_bootstrapped_pii": pii.op5_bootstrapped_pii,
     "op6_attention_quality": quality.op6_attention_quality,
+    "op7_minhash_containment": decontamination.op7_minhash_containment,
     "op8_one_bit_neighbours": ann.op8_one_bit_neighbours,
+    "op9_trie_components": trie_join.op9_trie_components,
     "op10_flow_mix": mixing.op10_flow_mix,
 }
 
 #: What DuckDB can express; hashes of 64 bits, trained models and floating draws are tested by brute force instead.
 ORACLE = {
+    "op7_minhash_containment": decontamination.ORACLE,
     "op3_warc_captures": """
         WITH p AS (
             SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
