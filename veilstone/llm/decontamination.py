@@ -103,7 +103,7 @@ def contained(docs: DataFrame, items: DataFrame, n: int = N) -> DataFrame:
         .where(F.col("n_shared") * 100 >= F.col("n_item") * PERCENT)
     )
     pairs = candidates.withColumnsRenamed({"doc_id": "_id", "text_key": "_key", "item_id": "_item"})
-    same = shared["doc_id"].eqNullSafe(pairs["_id"]) & (shared["text_key"] == pairs["_key"]) & (shared["item_id"] == pairs["_item"])
+    same = shared["doc_id"].eqNullSafe(pairs["_id"]) & (shared["text_key"] == pairs["_key"]) & shared["item_id"].eqNullSafe(pairs["_item"])
     found = shared.join(pairs, same, "left_semi").groupBy("doc_id", "item_id", "n_item").agg(F.max("n_shared").alias("n_shared"))
     return found.withColumn("containment", F.col("n_shared") / F.col("n_item"))
 
