@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from veilstone.functions.patterns import BOOTSTRAP
-from veilstone.functions.regex import UnsupportedPattern, java_regex
+from veilstone.functions.regex import UnsupportedPattern, compiled, java_regex, python_regex
 from veilstone.operators.patterns import usable
 
 TEXTS = [
@@ -30,6 +30,7 @@ def test_same_matches_as_re2(spark, pattern):
     for row in got:
         want = con.execute("SELECT regexp_extract_all(?, ?)", [TEXTS[row["id"]], pattern]).fetchone()[0]
         assert row["m"] == want, TEXTS[row["id"]]
+        assert [m.group() for m in compiled(python_regex(pattern)).finditer(TEXTS[row["id"]])] == want
 
 
 @pytest.mark.parametrize("pattern", [r"(?=a)b", r"(?<!a)b", r"(a)\1", r"a++", r"(?>a)", r"[a", r"\Qa\E"])

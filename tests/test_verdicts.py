@@ -128,3 +128,10 @@ def test_lookups_are_broadcast_and_parse_happens_once(spark):
     table = spark.createDataFrame([(0, "{}")], "id int, raw string")
     plan = ops.sanitize_verdict(table, ["id"]).where("blocked")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json(") == 1 and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+
+
+@pytest.mark.parametrize("raw", ["{'safe':false}", '{"safe":true,"confidence":NaN}', '{"safe":true,"confidence":Infinity}', "null x", "[]"])
+def test_what_json_lacks_is_no_verdict(spark, raw):
+    table = spark.createDataFrame([(1, raw), (2, "\t null\r\n"), (3, '{"safe":true}')], "request_id int, raw string")
+    got = {r["request_id"]: r["parsed"] for r in ops.sanitize_verdict(table, ["request_id"]).collect()}
+    assert got == {1: False, 2: True, 3: True}

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from veilstone.functions.regex import java_regex
+from veilstone.functions.regex import UnsupportedPattern, can_match_empty, java_regex, python_regex
+
 
 @dataclass(frozen=True)
 class Pattern:
@@ -20,10 +21,19 @@ class Pattern:
     confidence: float | None = None
     screen: str | None = field(default=None, compare=False)
 
+    def __post_init__(self) -> None:
+        # an empty match has no span to replace
+        if can_match_empty(self.regex):
+            raise UnsupportedPattern(f"detector {self.name}: {self.regex!r} can match the empty text")
+
     @property
     def java(self) -> str:
         return java_regex(self.regex)
 
+    @property
+    def python(self) -> str:
+        return python_regex(self.regex)
+
 
 def _has(*words: str, of: str = "{text}") -> str:
     return "(" + " OR ".join(f"contains({of}, '{word}')" for word in words) + ")"

@@ -1,4 +1,4 @@
-"""Rewrites RE2 patterns so that Spark's Java regex engine gives the same matches."""
+"""Rewrites RE2 patterns so that Java's and Python's regex engines give the same matches."""
 
 from __future__ import annotations
 
@@ -11,6 +11,11 @@ _EITHER_EDGE = f"(?:(?<!{WORD})(?={WORD})|(?<={WORD})(?!{WORD}))"
 _NO_EDGE = f"(?:(?<!{WORD})(?!{WORD})|(?<={WORD})(?={WORD}))"
 _QUANTIFIER = re.compile(r"[*+?]|\{\d+(?:,\d*)?\}")
 _GROUP_OPEN = re.compile(r"\((?:\?(?:P?<[A-Za-z]\w*>|[imsU-]*:))?")
+#: ASCII classes by name, as ranges.
+_POSIX = {
+    "alpha": "A-Za-z", "digit": "0-9", "alnum": "0-9A-Za-z", "lower": "a-z", "upper": "A-Z", "xdigit": "0-9A-Fa-f", "blank": " \\t",
+    "ascii": r"\x00-\x7f", "cntrl": r"\x00-\x1f\x7f", "graph": "!-~", "print": " -~", "punct": r"!-/:-@\[-`{-~", "space": r"\t-\r ",
+}
 _GLOBAL_FLAGS = re.compile(r"\(\?([imsU-]+)\)")
 
 
@@ -22,23 +27,25 @@ class UnsupportedPattern(ValueError):
 class _Token:
     kind: str  # atom, repeat, open, close, alt, edge, plain
     java: str
+    python: str = ""
     word: bool = False  # an atom that only ever matches one ASCII word character
     optional: bool = False  # a repeat that may match nothing
 
 
 def _read_class(pattern: str, at: int) -> tuple[_Token, int]:
     """Read the character class starting at `at`."""
-    i, out, word = at + 1, "[", True
+    i, out, python, word = at + 1, "[", "[", True
     if pattern[i : i + 1] == "^":
-        out, i, word = out + "^", i + 1, False
+        out, python, i, word = out + "^", python + "^", i + 1, False
     first = True
     while i < len(pattern) and (pattern[i] != "]" or first):
         first = False
         if pattern.startswith("[:", i):
             end = pattern.index(":]", i)
             name = pattern[i + 2 : end]
-            if name.startswith("^") or name == "word":
+            if name not in _POSIX:
                 raise UnsupportedPattern(f"class [:{name}:]")
+            python += _POSIX[name]
             out += "\\p{%s}" % {"xdigit": "XDigit", "ascii": "ASCII"}.get(name, name.capitalize())
             word = word and name in {"alpha", "digit", "alnum", "lower", "upper", "xdigit"}
             i = end + 2
@@ -47,20 +54,23 @@ def _read_class(pattern: str, at: int) -> tuple[_Token, int]:
             if nxt == "S":
                 raise UnsupportedPattern(r"\S inside a class")
             out += SPACE if nxt == "s" else "\\" + nxt
+            python += SPACE if nxt == "s" else "\\" + nxt
             word = word and nxt in "dw"
             i += 2
         else:
             span = re.match(r"([0-9A-Za-z_])-([0-9A-Za-z_])", pattern[i:])
             if span:
                 out += span.group(0)
+                python += span.group(0)
                 i += 3
             else:
                 out += ("\\" if pattern[i] in "[&^" else "") + pattern[i]
+                python += ("\\" if pattern[i] in "[&^|~" else "") + pattern[i]
                 word = word and re.fullmatch(WORD, pattern[i]) is not None
                 i += 1
     if i >= len(pattern):
         raise UnsupportedPattern("unclosed class")
-    return _Token("atom", out + "]", word), i + 1
+    return _Token("atom", out + "]", python + "]", word), i + 1
 
 
 def _tokens(pattern: str) -> list[_Token]:
@@ -78,32 +88,34 @@ def _tokens(pattern: str) -> list[_Token]:
             optional = text in "*?" or re.match(r"\{0", text) is not None
             if pattern[i : i + 1] == "?":
                 text, i = text + "?", i + 1
-            found.append(_Token("repeat", text, optional=optional))
+            found.append(_Token("repeat", text, text, optional=optional))
         elif ch == "\\":
             nxt = pattern[i + 1 : i + 2]
             i += 2
             if nxt == "b":
-                found.append(_Token("edge", "b"))
+                found.append(_Token("edge", "b", r"\b"))
             elif nxt == "B":
-                found.append(_Token("plain", _NO_EDGE))
+                found.append(_Token("plain", _NO_EDGE, _NO_EDGE))
             elif nxt == "s":
-                found.append(_Token("atom", f"[{SPACE}]"))
+                found.append(_Token("atom", f"[{SPACE}]", f"[{SPACE}]"))
             elif nxt == "S":
-                found.append(_Token("atom", f"[^{SPACE}]"))
+                found.append(_Token("atom", f"[^{SPACE}]", f"[^{SPACE}]"))
             elif nxt in "AzQE":
                 if nxt in "QE":
                     raise UnsupportedPattern(r"\Q quoting")
-                found.append(_Token("plain", "\\" + nxt))
+                found.append(_Token("plain", "\\" + nxt, "\\" + nxt.upper()))
             elif nxt in ("p", "P", "x"):
                 tail = re.compile(r"\{\^?\w+\}|[0-9A-Fa-f]{2}|[A-Z]").match(pattern, i)
                 if not tail:
                     raise UnsupportedPattern(f"\\{nxt}")
-                found.append(_Token("atom", f"\\{nxt}{tail.group(0)}"))
+                code = tail.group(0).strip("{}")
+                python = re.escape(chr(int(code, 16))) if nxt == "x" else f"\\{nxt}{tail.group(0)}"
+                found.append(_Token("atom", f"\\{nxt}{tail.group(0)}", python))
                 i = tail.end()
             elif nxt == "" or nxt.isdigit() or nxt in "kGZCRXhHvVN":
                 raise UnsupportedPattern(f"\\{nxt}")
             else:
-                found.append(_Token("atom", "\\" + nxt, nxt in "dw"))
+                found.append(_Token("atom", "\\" + nxt, "\\" + nxt, nxt in "dw"))
         elif ch == "[":
             token, i = _read_class(pattern, i)
             found.append(token)
@@ -113,28 +125,29 @@ def _tokens(pattern: str) -> list[_Token]:
             if flags:
                 if "U" in flags.group(1):
                     raise UnsupportedPattern("swapped greediness")
-                found.append(_Token("plain", flags.group(0)))
+                found.append(_Token("plain", flags.group(0), flags.group(0)))
                 i = flags.end()
             elif pattern.startswith("(?", i) and opened.group(0) == "(":
                 raise UnsupportedPattern("look-around or atomic group")
             else:
-                found.append(_Token("open", opened.group(0).replace("?P<", "?<")))
+                java = opened.group(0).replace("?P<", "?<")
+                found.append(_Token("open", java, java.replace("?<", "?P<")))
                 i = opened.end()
         elif ch == ")":
-            found.append(_Token("close", ch))
+            found.append(_Token("close", ch, ch))
             i += 1
         elif ch == "|":
-            found.append(_Token("alt", ch))
+            found.append(_Token("alt", ch, ch))
             i += 1
         elif ch == "$":
-            found.append(_Token("plain", "$" if multiline else "\\z"))
+            found.append(_Token("plain", *(("$", "$") if multiline else ("\\z", "\\Z"))))
             i += 1
         elif ch == "^":
-            found.append(_Token("plain", ch))
+            found.append(_Token("plain", ch, ch))
             i += 1
         else:
             escaped = "\\" + ch if ch in "{}]" else ch
-            found.append(_Token("atom", escaped, re.fullmatch(WORD, ch) is not None))
+            found.append(_Token("atom", escaped, escaped, re.fullmatch(WORD, ch) is not None))
             i += 1
     return found
 
@@ -198,3 +211,42 @@ def java_regex(pattern: str) -> str:
         else:
             out.append(_EITHER_EDGE)
     return "".join(out)
+
+
+def python_regex(pattern: str) -> str:
+    """Python form of an RE2 pattern, to be compiled by `compiled`."""
+    return "".join(token.python for token in _tokens(pattern))
+
+
+def compiled(python: str):
+    """The engine for a Python form: `re`, or `regex` where only that one knows the syntax."""
+    if re.search(r"\\[pP]|.\(\?[imsU-]+\)", python, re.DOTALL):
+        import regex
+
+        return regex.compile(python, regex.ASCII | regex.VERSION1)
+    return re.compile(python, re.ASCII)
+
+
+def can_match_empty(pattern: str) -> bool:
+    """Whether the pattern has a match without a letter somewhere in some text: read off its parts."""
+    tokens = _tokens(pattern)
+
+    def alternatives(at: int, end: int) -> bool:
+        empty, i = True, at
+        while i < end:
+            token, after = tokens[i], i + 1
+            if token.kind == "alt":
+                if empty:
+                    return True
+                empty, i = True, after
+                continue
+            skips = token.kind in ("edge", "plain")
+            if token.kind == "open":
+                close, _ = _group(tokens, i, 1)
+                skips, after = alternatives(i + 1, close), close + 1
+            if after < end and tokens[after].kind == "repeat":
+                skips, after = skips or tokens[after].optional, after + 1
+            empty, i = empty and skips, after
+        return empty
+
+    return alternatives(0, len(tokens))

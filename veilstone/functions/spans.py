@@ -1,122 +1,114 @@
-"""SQL expressions from text to detector spans, kept spans, tokens and back.
+"""From text to detector spans, kept spans, tokens and back.
 
-A span is a struct. Offsets count characters; `byte_start` counts UTF-8 bytes. Everything here works inside one
-row, so it needs no shuffle and runs the same on a batch or a stream. Expressions are SQL text: one call builds a
-tree of hundreds of nodes, and the same text can be put into `spark.sql`.
+A span is a struct. Offsets count characters; `byte_start` counts UTF-8 bytes. Each text is read in one pass of a function
+over Arrow batches: found, resolved, numbered and redacted in time linear in its length and matches, which arrays that
+grow inside an expression are not. Screens run in Spark before, so that only texts that may match reach Python.
+Everything works inside one row: no shuffle, and the same on a batch or a stream.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veilstone.functions.dims import sql_text
+from veilstone.functions.frames import computed_once
 from veilstone.functions.patterns import Pattern
+from veilstone.functions.regex import compiled
 
-_SPAN = "STRUCT<start: INT, ord: INT, end: INT, byte_start: INT, original: STRING>"
-_KEPT = (
-    "STRUCT<start: INT, end: INT, byte_start: INT, type: STRING, prefix: STRING, token: STRING, original: STRING>"
-)
+SPAN = "STRUCT<start: INT, ord: INT, end: INT, byte_start: INT, original: STRING>"
+KEPT = "STRUCT<start: INT, end: INT, byte_start: INT, type: STRING, prefix: STRING, token: STRING, original: STRING>"
+ENTRY = "STRUCT<position: INT, token: STRING, original: STRING>"
 
-# From one pattern's matches and the gaps between them to placed spans. Gaps and matches alternate, so lengths add up.
-_PLACED = f"""aggregate(
-  transform(f.hits, (h, i) -> named_struct('gap', get(f.gaps, i), 'hit', h)),
-  named_struct('upto', 0, 'bytes', 0, 'spans', CAST(array() AS ARRAY<{_SPAN}>)),
-  (s, x) -> named_struct(
-    'upto', s.upto + length(x.gap) + length(x.hit),
-    'bytes', s.bytes + octet_length(x.gap) + octet_length(x.hit),
-    'spans', array_append(s.spans, named_struct(
-      'start', s.upto + length(x.gap), 'ord', f.ord, 'end', s.upto + length(x.gap) + length(x.hit),
-      'byte_start', s.bytes + octet_length(x.gap), 'original', x.hit))),
-  s -> s.spans)"""
 
+def screen_bits(text: str, patterns: Sequence[Pattern]) -> str:
+    """SQL for a number with a bit per screen that the text passes; patterns without a screen share a bit that is set."""
+    screens = list(dict.fromkeys(p.screen for p in patterns))
+    bits = [str(1 << i) if s is None else f"CASE WHEN {s.format(text=text)} THEN {1 << i} ELSE 0 END" for i, s in enumerate(screens)]
+    return f"coalesce({' + '.join(bits)}, 0)" if bits else "0"
 
-def _array(items: Sequence[str]) -> str:
-    return f"array({', '.join(items)})"
 
+class Finder:
+    """All matches of a set of detectors in one text."""
 
-def span_sql(text: str, patterns: Sequence[Pattern]) -> str:
-    """Every match of every pattern, overlapping ones included, ordered by start and then pattern order.
+    def __init__(self, detectors: Sequence[tuple[str, str, str, int]]):
+        self.detectors = [(compiled(python), name, prefix, 1 << bit) for python, name, prefix, bit in detectors]
 
-    Most texts match nothing. Each pattern is tried behind its screen, patterns that share a screen share its test,
-    and only texts with a match are cut up.
-    """
-    if not patterns:
-        return f"CASE WHEN {text} IS NOT NULL THEN CAST(array() AS ARRAY<{_SPAN}>) END"
-    by_screen: dict[str | None, list[str]] = {}
-    for order, pattern in enumerate(patterns):
-        java = sql_text(pattern.java)
-        found = (
-            f"CASE WHEN {text} RLIKE {java} THEN named_struct('ord', {order}, "
-            f"'hits', regexp_extract_all({text}, {java}, 0), 'gaps', split({text}, {java}, -1)) END"
+    def spans(self, text: str, bits: int) -> list[tuple[int, int, int, int, str]]:
+        """start, ord, end, byte_start and original, by start and then detector."""
+        found = sorted(
+            (m.start(), order, m.end(), m.group())
+            for order, (engine, _, _, bit) in enumerate(self.detectors)
+            if bits & bit
+            for m in engine.finditer(text)
         )
-        by_screen.setdefault(pattern.screen, []).append(found)
-    parts = [
-        _array(found) if screen is None else f"CASE WHEN {screen.format(text=text)} THEN {_array(found)} ELSE array() END"
-        for screen, found in by_screen.items()
-    ]
-    hits = f"filter(flatten({_array(parts)}), f -> f IS NOT NULL)"
-    return f"CASE WHEN {text} IS NOT NULL THEN sort_array(flatten(transform({hits}, f -> {_PLACED}))) END"
-
-
-def arrow_spans(text: str, patterns: Sequence[Pattern]) -> Column:
-    """The same spans from Arrow batches and Python's ASCII engine: a second opinion for the native form."""
-    sources = [p.regex for p in patterns]
-
-    @F.pandas_udf(f"array<{_SPAN}>")
-    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        engines = [re.compile(s, re.ASCII) for s in sources]
-
-        def one(value: str | None) -> list[dict] | None:
-            if value is None:
-                return None
-            return [
-                {
-                    "start": m.start(),
-                    "ord": order,
-                    "end": m.end(),
-                    "byte_start": len(value[: m.start()].encode()),
-                    "original": m.group(),
-                }
-                for order, engine in enumerate(engines)
-                for m in engine.finditer(value)
-            ]
-
-        for batch in batches:
-            yield batch.map(one)
-
-    return F.sort_array(find(text))
-
-
-def kept_sql(spans: str, patterns: Sequence[Pattern]) -> str:
-    """Spans that overlap no kept earlier one, numbered per prefix in text order.
-
-    Matches are never empty, so one pass over the sorted spans that remembers the last kept end is enough.
-    """
-    none = f"CAST(array() AS ARRAY<{_KEPT}>)"
-    if not patterns:
-        return f"CASE WHEN {spans} IS NOT NULL THEN {none} END"
-    prefixes = sorted({p.prefix for p in patterns})
-    names = _array([sql_text(p.name) for p in patterns])
-    tags = _array([sql_text(p.prefix) for p in patterns])
-    slots = _array([str(prefixes.index(p.prefix)) for p in patterns])
-    zeros = _array(["0"] * len(prefixes))
-    return f"""CASE WHEN size({spans}) > 0 THEN aggregate(
-  {spans},
-  named_struct('upto', 0, 'counts', {zeros}, 'kept', {none}),
-  (s, x) -> CASE WHEN x.start < s.upto THEN s ELSE named_struct(
-    'upto', x.end,
-    'counts', transform(s.counts, (n, i) -> CASE WHEN i = get({slots}, x.ord) THEN n + 1 ELSE n END),
-    'kept', array_append(s.kept, named_struct(
-      'start', x.start, 'end', x.end, 'byte_start', x.byte_start, 'type', get({names}, x.ord),
-      'prefix', get({tags}, x.ord),
-      'token', concat('[', get({tags}, x.ord), '_', get(s.counts, get({slots}, x.ord)) + 1, ']'),
-      'original', x.original))) END,
-  s -> s.kept) WHEN {spans} IS NOT NULL THEN {none} END"""
+        out, at, size = [], 0, 0
+        for start, order, end, original in found:
+            size += len(text[at:start].encode("utf-8", "surrogatepass"))
+            at = start
+            out.append((start, order, end, size, original))
+        return out
+
+    def resolved(self, text: str, bits: int) -> tuple[list[tuple], str]:
+        """Spans that overlap no kept earlier one, numbered per prefix in text order, and the text with their tokens."""
+        kept, parts, upto, numbers = [], [], 0, Counter()
+        for start, order, end, byte_start, original in self.spans(text, bits):
+            if start < upto:
+                continue
+            _, name, prefix, _ = self.detectors[order]
+            numbers[prefix] += 1
+            token = f"[{prefix}_{numbers[prefix]}]"
+            kept.append((start, end, byte_start, name, prefix, token, original))
+            parts += [text[upto:start], token]
+            upto = end
+        return kept, "".join([*parts, text[upto:]])
+
+
+def _detectors(patterns: Sequence[Pattern]) -> list[tuple[str, str, str, int]]:
+    screens = list(dict.fromkeys(p.screen for p in patterns))
+    return [(p.python, p.name, p.prefix, screens.index(p.screen)) for p in patterns]
+
+
+def _screened(df: DataFrame, text: str, patterns: Sequence[Pattern]) -> DataFrame:
+    return df.withColumn("_bits", F.expr(screen_bits(text, patterns)).cast("bigint"))
+
+
+def with_spans(df: DataFrame, text: str, patterns: Sequence[Pattern], out: str) -> DataFrame:
+    """Adds every match of every pattern, overlapping ones included, by start and then pattern order."""
+    detectors = _detectors(patterns)
+
+    @F.pandas_udf(f"array<{SPAN}>")
+    def find(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        finder = Finder(detectors)
+        for texts, bits in batches:
+            yield pd.Series([None if t is None else finder.spans(t, b) for t, b in zip(texts, bits, strict=True)], dtype="object")
+
+    may = F.when(F.col("_bits") != 0, F.col(text))
+    none = F.when(F.col(text).isNotNull(), F.array().cast(f"array<{SPAN}>"))
+    return _screened(df, text, patterns).withColumn(out, F.coalesce(find(may, "_bits"), none)).drop("_bits")
+
+
+def with_resolved(df: DataFrame, text: str, patterns: Sequence[Pattern], kept: str, redacted: str) -> DataFrame:
+    """Adds the kept spans and the redacted text. A filter on them does not run the detectors again."""
+    detectors = _detectors(patterns)
+
+    @F.pandas_udf(f"kept array<{KEPT}>, redacted string")
+    def resolve(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        finder = Finder(detectors)
+        for texts, bits in batches:
+            rows = [(None, None) if t is None else finder.resolved(t, b) for t, b in zip(texts, bits, strict=True)]
+            yield pd.DataFrame(rows, columns=["kept", "redacted"], dtype="object")
+
+    may = F.when(F.col("_bits") != 0, F.col(text))
+    none = F.when(F.col(text).isNotNull(), F.array().cast(f"array<{KEPT}>"))
+    found = computed_once(_screened(df, text, patterns), "_found", resolve(may, "_bits"))
+    return found.withColumns({kept: F.coalesce("_found.kept", none), redacted: F.coalesce("_found.redacted", text)}).drop("_bits", "_found")
 
 
 def entries_sql(kept: str) -> str:
@@ -127,18 +119,57 @@ def entries_sql(kept: str) -> str:
     )
 
 
-def redacted_sql(text: str, kept: str) -> str:
-    """The text with kept spans replaced by their tokens: gaps and tokens joined once, left to right."""
-    gap_from = f"CASE WHEN i = 0 THEN 0 ELSE get({kept}, i - 1).end END"
-    pieces = f"transform({kept}, (k, i) -> concat(substr({text}, {gap_from} + 1, k.start - {gap_from}), k.token))"
-    tail = f"substr({text}, get({kept}, size({kept}) - 1).end + 1)"
-    return f"CASE WHEN size({kept}) > 0 THEN concat(array_join({pieces}, ''), {tail}) ELSE {text} END"
+_TOKEN = re.compile(r"\[[^\[\]]*\]")
+_NESTED = re.compile(r"\[[^\]]*\[")
+
+
+def fill(text: str, entries: Sequence[dict]) -> str:
+    """Every occurrence of each token back to its original, entry by entry in order.
+
+    Where neither originals nor the text nest brackets, no replacement can make or break another token, and one pass
+    over the text does the same.
+    """
+    originals: dict[str, str] = {}
+    for e in entries:
+        originals.setdefault(e["token"], e["original"])
+    plain = all(_TOKEN.fullmatch(t) and "[" not in o and "]" not in o for t, o in originals.items())
+    if plain and not _NESTED.search(text):
+        return _TOKEN.sub(lambda m: originals.get(m.group(), m.group()), text)
+    for e in entries:
+        text = text.replace(e["token"], e["original"])
+    return text
+
+
+@F.pandas_udf(T.StringType())
+def rehydrated(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    """The text with its tokens filled from an array of entries; NULL where there are none."""
+    for texts, entries in batches:
+        yield pd.Series(
+            [None if t is None or e is None or len(e) == 0 else fill(t, e) for t, e in zip(texts, entries, strict=True)], dtype="object"
+        )
+
+
+@F.pandas_udf(T.BooleanType())
+def shows_any(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    """Whether the text still shows one of the originals; all are looked for in one pass."""
+    import ahocorasick
 
+    for texts, entries in batches:
+        out = []
+        for text, listed in zip(texts, entries, strict=True):
+            if text is None or listed is None or len(listed) == 0:
+                out.append(None)
+                continue
+            automaton = ahocorasick.Automaton()
+            for e in listed:
+                automaton.add_word(e["original"], True)
+            automaton.make_automaton()
+            out.append(next(automaton.iter(text), None) is not None)
+        yield pd.Series(out, dtype="object")
 
-def rehydrated_sql(text: str, entries: str) -> str:
-    """Every occurrence of each token back to its original, entry by entry in order."""
-    filled = f"aggregate({entries}, {text}, (t, e) -> replace(t, e.token, e.original))"
-    return f"CASE WHEN size({entries}) > 0 THEN {filled} ELSE {text} END"
+
+def _array(items: Sequence[str]) -> str:
+    return f"array({', '.join(items)})"
 
 
 def type_counts_sql(kept: str, patterns: Sequence[Pattern]) -> str:
@@ -149,3 +180,5 @@ def type_counts_sql(kept: str, patterns: Sequence[Pattern]) -> str:
         f"'n', CAST(size(filter({kept}, k -> k.type = t)) AS BIGINT)))"
     )
     return f"CASE WHEN size({kept}) > 0 THEN filter({counted}, c -> c.n > 0) END"
+
+

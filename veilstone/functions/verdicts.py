@@ -19,15 +19,18 @@ FIELDS = (
 
 
 def read_json(raw: Column, names: Sequence[str] = FIELDS) -> Column:
-    """One pass over JSON text to a struct of variants; `_corrupt_record` is set where it is no JSON object."""
+    """One pass over JSON text to a struct of variants; `_corrupt_record` is set where it is no JSON object.
+
+    Strict: single quotes and numbers that JSON lacks make it no JSON.
+    """
     schema = ", ".join([*(f"{name} VARIANT" for name in names), "_corrupt_record STRING"])
-    return F.from_json(raw, schema)
+    return F.from_json(raw, schema, {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"})
 
 
 def is_verdict(raw: Column, read: Column) -> Column:
     """Only an object, or a bare null, decodes to a verdict."""
     whole = read.isNotNull() & read["_corrupt_record"].isNull()
-    return F.coalesce(whole | (F.trim(raw) == "null"), F.lit(False))
+    return F.coalesce(whole | raw.rlike(r"^[ \t\n\r]*null[ \t\n\r]*\z"), F.lit(False))
 
 
 def kind(value: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import PySparkException
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from veilstone.functions.patterns import BOOTSTRAP, Pattern
-from veilstone.functions.regex import UnsupportedPattern, java_regex
+from veilstone.functions.regex import UnsupportedPattern, can_match_empty, compiled, java_regex, python_regex
 
 FEED_SCHEMA = (
     "STRUCT<patterns: ARRAY<STRUCT<pattern: STRING, threat_type: STRING, confidence: DOUBLE, prefix: STRING>>, "
@@ -51,14 +52,14 @@ def feed_rows(feed_json: DataFrame, column: str = "value") -> DataFrame:
 
 
 def usable(spark: SparkSession, regex: str) -> bool:
-    """Whether Spark can run the pattern, and it never matches the empty text.
-
-    An empty match has no span to replace, so such patterns are refused.
-    """
+    """Whether both engines can run the pattern, and it has no empty match, which would have no span to replace."""
     try:
-        found = spark.sql("SELECT '' RLIKE :java FROM VALUES (1) AS t(x)", args={"java": java_regex(regex)})
-        return not found.first()[0]
-    except (UnsupportedPattern, PySparkException, ValueError, IndexError):
+        if can_match_empty(regex):
+            return False
+        compiled(python_regex(regex))
+        spark.sql("SELECT '' RLIKE :java FROM VALUES (1) AS t(x)", args={"java": java_regex(regex)}).first()
+        return True
+    except (UnsupportedPattern, PySparkException, ValueError, IndexError, re.error):
         return False
 
 

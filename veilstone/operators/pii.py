@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from itertools import combinations
 
@@ -10,8 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilstone.functions import spans as S
-from veilstone.functions.frames import computed_once, exploded
+from veilstone.functions.frames import exploded
 from veilstone.functions.patterns import BOOTSTRAP, Pattern
+from veilstone.functions.spans import Finder
 
 Patterns = Sequence[Pattern]
 
@@ -20,15 +20,9 @@ def _literal_lookup(values: Sequence[str], at: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), at)
 
 
-def _spans(text: str, patterns: Patterns, engine: str) -> Column:
-    return S.arrow_spans(text, patterns) if engine == "arrow" else F.expr(S.span_sql(text, patterns))
-
-
-def pii_spans(
-    df: DataFrame, key: str, text: str = "text", patterns: Patterns = BOOTSTRAP, engine: str = "native"
-) -> DataFrame:
+def pii_spans(df: DataFrame, key: str, text: str = "text", patterns: Patterns = BOOTSTRAP) -> DataFrame:
     """Every match of every pattern, one row each; matches may overlap."""
-    found = df.select(key, _spans(text, patterns, engine).alias("spans"))
+    found = S.with_spans(df.select(key, text), text, patterns, "spans")
     rows = exploded(found, "spans", "span", key)
     return rows.select(
         key,
@@ -40,12 +34,9 @@ def pii_spans(
     )
 
 
-def with_kept_spans(
-    df: DataFrame, text: str = "text", patterns: Patterns = BOOTSTRAP, out: str = "kept", engine: str = "native"
-) -> DataFrame:
+def with_kept_spans(df: DataFrame, text: str = "text", patterns: Patterns = BOOTSTRAP, out: str = "kept") -> DataFrame:
     """The table with an array of its non-overlapping, numbered spans."""
-    found = df.withColumn("_spans", _spans(text, patterns, engine))
-    return computed_once(found, out, F.expr(S.kept_sql("_spans", patterns))).drop("_spans")
+    return S.with_resolved(df, text, patterns, out, "_redacted").drop("_redacted")
 
 
 def _kept_rows(df: DataFrame, keys: Sequence[str], text: str, patterns: Patterns) -> DataFrame:
@@ -64,10 +55,10 @@ def number_tokens(df: DataFrame, key: str, text: str = "text", patterns: Pattern
 
 def pii_redact(df: DataFrame, text: str = "text", patterns: Patterns = BOOTSTRAP) -> DataFrame:
     """The table with redacted text, entries, flag and count in place of the text."""
-    kept = with_kept_spans(df, text, patterns, "_kept")
+    kept = S.with_resolved(df, text, patterns, "_kept", "_redacted")
     return kept.select(
         *[c for c in df.columns if c != text],
-        F.expr(S.redacted_sql(text, "_kept")).alias("redacted_text"),
+        F.col("_redacted").alias("redacted_text"),
         F.expr(S.entries_sql("_kept")).alias("redactions"),
         (F.size("_kept") > 0).alias("pii_detected"),
         F.size("_kept").alias("redaction_count"),
@@ -86,7 +77,7 @@ def pii_rehydrate(texts: DataFrame, vault: DataFrame, key: str, text: str = "red
     entry = F.struct("position", "token", "original")
     entries = vault.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
     joined = texts.join(entries, key, "left")
-    filled = F.coalesce(F.expr(S.rehydrated_sql(text, "_entries")), F.col(text))
+    filled = F.coalesce(S.rehydrated(text, "_entries"), F.col(text))
     return joined.withColumn("rehydrated_text", filled).drop("_entries")
 
 
@@ -132,16 +123,12 @@ def pii_profile(
 
 def pii_leak_check(df: DataFrame, text: str = "text", patterns: Patterns = BOOTSTRAP) -> DataFrame:
     """One row: texts, texts with spans, texts whose redacted form still shows an original, broken round trips."""
-    kept = with_kept_spans(df.select(text), text, patterns)
-    done = kept.select(
-        text,
-        F.expr(S.redacted_sql(text, "kept")).alias("redacted"),
-        F.expr(S.entries_sql("kept")).alias("entries"),
-    )
+    kept = S.with_resolved(df.select(text), text, patterns, "kept", "redacted")
+    done = kept.select(text, "redacted", F.expr(S.entries_sql("kept")).alias("entries"))
     checked = done.select(
         (F.size("entries") > 0).alias("found"),
-        F.exists("entries", lambda e: F.contains(F.col("redacted"), e["original"])).alias("leaks"),
-        (F.expr(S.rehydrated_sql("redacted", "entries")) != F.col(text)).alias("broken"),
+        S.shows_any("redacted", "entries").alias("leaks"),
+        (F.coalesce(S.rehydrated("redacted", "entries"), "redacted") != F.col(text)).alias("broken"),
     )
     return checked.agg(
         F.count(F.lit(1)).alias("texts"),
@@ -153,16 +140,16 @@ def pii_leak_check(df: DataFrame, text: str = "text", patterns: Patterns = BOOTS
 
 def register_span_function(spark: SparkSession, name: str = "pii_spans_of", patterns: Patterns = BOOTSTRAP) -> None:
     """Offer spans to SQL as a table function: `SELECT d.id, s.* FROM d, LATERAL pii_spans_of(d.text) s`."""
-    detectors = [(order, p.name, p.regex) for order, p in enumerate(patterns)]
+    detectors = [(p.python, p.name, p.prefix, 0) for p in patterns]
+    names = [p.name for p in patterns]
 
     @F.udtf(returnType="start INT, end INT, pattern_ord INT, type STRING, original STRING")
     class SpansOf:
         def __init__(self) -> None:
-            self.engines = [(order, kind, re.compile(regex, re.ASCII)) for order, kind, regex in detectors]
+            self.finder = Finder(detectors)
 
         def eval(self, text: str):
-            for order, kind, engine in self.engines:
-                for m in engine.finditer(text or ""):
-                    yield m.start(), m.end(), order, kind, m.group()
+            for start, order, end, _, original in self.finder.spans(text or "", 1):
+                yield start, end, order, names[order], original
 
     spark.udtf.register(name, SpansOf)

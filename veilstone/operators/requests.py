@@ -14,14 +14,11 @@ from veilstone.functions import verdicts as V
 from veilstone.functions.frames import computed_once, exploded, skew_safe_lookup
 from veilstone.functions.regex import java_regex
 
-# A group above this many bytes is not put into one string. 100 TB hold at most 400,000 such groups, so their keys
-# always fit a broadcast.
-HOT_GROUP_BYTES = 256 * 1024 * 1024
-
 ACTION_RANK = {"allow": 1, "warn": 2, "require_approval": 3, "block": 4}
 
 
 def action_rank(action: Column) -> Column:
+    """How strict an action is; an action that is none of the four ranks below all of them."""
     ranks = F.create_map(*[F.lit(x) for pair in ACTION_RANK.items() for x in pair])
     return F.coalesce(F.try_element_at(ranks, action), F.lit(0))
 
@@ -37,25 +34,20 @@ def size_gate(df: DataFrame, size: Column, channel: Column) -> DataFrame:
     )
 
 
-def assembled(
-    parts: DataFrame, key: str, order: Sequence[str], text: Column, size: Column, hot_bytes: int = HOT_GROUP_BYTES
-) -> DataFrame:
+def assembled(parts: DataFrame, key: str, order: Sequence[str], text: Column, size: Column) -> DataFrame:
     """Ordered texts per key: `items`, their number `n` and summed `bytes`. NULL texts are left out.
 
-    Sizes come first, from small partial sums. Groups above `hot_bytes` keep exact `n` and `bytes` but get NULL
-    `items`, because their text would not fit one row; it stays whole in the parts. All others are collected, each
-    within that bound.
+    One aggregation, and the same for a group of any size; one that a row cannot hold fails the job instead of losing
+    its text. Gate by size before, as `prompt_guard` does, where such groups may come.
     """
-    read = parts.select(key, *order, text.alias("_text"), size.cast("bigint").alias("_size"))
-    sizes = read.groupBy(key).agg(
-        F.count("_text").alias("n"), F.coalesce(F.sum("_size"), F.lit(0).cast("bigint")).alias("bytes")
+    sized = size.cast("bigint")
+    item = F.when(text.isNotNull(), F.struct(*order, text.alias("text")))
+    groups = parts.groupBy(key).agg(
+        F.count(text).alias("n"),
+        F.coalesce(F.sum(sized), F.lit(0).cast("bigint")).alias("bytes"),
+        F.sort_array(F.collect_list(item)).alias("_items"),
     )
-    hot = sizes.where(F.col("bytes") > hot_bytes).select(key)
-    cold = read.join(F.broadcast(hot), key, "left_anti")
-    item = F.when(F.col("_text").isNotNull(), F.struct(*order, F.col("_text").alias("text")))
-    lists = cold.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("_items"))
-    joined = sizes.join(lists, key, "left")
-    return joined.select(key, "n", "bytes", F.transform("_items", lambda i: i["text"]).alias("items"))
+    return groups.select(key, "n", "bytes", F.transform("_items", lambda i: i["text"]).alias("items"))
 
 
 def _user_text(style: str, role: Column, kind: Column, text: Column) -> Column:
@@ -71,6 +63,22 @@ def _user_text(style: str, role: Column, kind: Column, text: Column) -> Column:
     return F.when(wanted, text)
 
 
+def _said(style: str, role: str, kind: str | None, text: str) -> Column:
+    return _user_text(style, F.col(role), F.col(kind) if kind else F.lit(None).cast("string"), F.col(text))
+
+
+def user_content_sizes(
+    parts: DataFrame, key: str = "conv_id", style: str = "chat", role: str = "role", kind: str | None = None, text: str = "text"
+) -> DataFrame:
+    """`content_bytes` and `blank` of what `extract_user_content` gives, without putting any text together."""
+    said = _said(style, role, kind, text)
+    n = F.count(said)
+    return parts.groupBy(key).agg(
+        (F.coalesce(F.sum(F.octet_length(said).cast("bigint")), F.lit(0)) + F.greatest(n - 1, F.lit(0))).alias("content_bytes"),
+        F.coalesce(F.bool_and(R.is_blank(said)), F.lit(True)).alias("blank"),
+    )
+
+
 def extract_user_content(
     parts: DataFrame,
     key: str = "conv_id",
@@ -79,28 +87,25 @@ def extract_user_content(
     role: str = "role",
     kind: str | None = None,
     text: str = "text",
-    hot_bytes: int = HOT_GROUP_BYTES,
 ) -> DataFrame:
     """What the user said in each conversation, joined by line feeds; '' where there is nothing.
 
-    `content_bytes` counts the joined text. Conversations beyond `hot_bytes` have NULL content, see `assembled`.
+    `content_bytes` counts the joined text.
     """
-    said = _user_text(style, F.col(role), F.col(kind) if kind else F.lit(None).cast("string"), F.col(text))
-    groups = assembled(parts, key, order, said, F.octet_length(said), hot_bytes)
+    said = _said(style, role, kind, text)
+    groups = assembled(parts, key, order, said, F.octet_length(said))
     separators = F.greatest(F.col("n") - 1, F.lit(0))
     return groups.select(
         key, F.array_join("items", "\n").alias("content"), (F.col("bytes") + separators).alias("content_bytes")
     )
 
 
-def encode_rag_chunks(
-    chunks: DataFrame, key: str, position: str, chunk: str, hot_bytes: int = HOT_GROUP_BYTES
-) -> DataFrame:
+def encode_rag_chunks(chunks: DataFrame, key: str, position: str, chunk: str) -> DataFrame:
     """Retrieved chunks of one request as one content, boundaries kept, with the size of the encoded form."""
     quoted = R.wire_json(F.array(chunk))
     # One chunk goes bare; several cost their quoted forms, the commas and two brackets.
     sized = chunks.withColumn("_quoted", F.octet_length(quoted) - 2)
-    groups = assembled(sized, key, [position], F.col(chunk), F.col("_quoted"), hot_bytes)
+    groups = assembled(sized, key, [position], F.col(chunk), F.col("_quoted"))
     content = R.encoded_chunks(F.col("items"))
     size = F.when(F.col("n") == 1, F.octet_length(content)).otherwise(
         F.col("bytes") + F.greatest(F.col("n") - 1, F.lit(0)) + 2
@@ -216,33 +221,31 @@ def rule_screen(
 def policy_match(verdicts: DataFrame, policies: DataFrame, threat: str = "threat_type", score: str = "score") -> DataFrame:
     """Adds `policy_action`: the strictest action of the rules whose type equals and whose threshold is reached.
 
-    The reference has only the record (type, action, threshold); the meaning is ours. Rules shrink to the lowest
-    threshold per type and known action, at most four per type, so what is broadcast never grows with the rules.
+    The reference has only the record (type, action, threshold); the meaning is ours. Types and actions are free text: an
+    unknown action counts where no known one applies, the last by name of several. Rules shrink to the lowest
+    threshold per type and action.
     """
-    ranked = policies.where(F.col("action").isin(*ACTION_RANK)).groupBy("type", "action").agg(
+    ranked = policies.where("type IS NOT NULL AND action IS NOT NULL").groupBy("type", "action").agg(
         F.min("threshold").alias("threshold")
     )
     step = F.struct(action_rank(F.col("action")).alias("rank"), "action", "threshold")
     ladder = ranked.groupBy("type").agg(F.collect_list(step).alias("_ladder"))
-    known = ladder.where(F.col("type").isin(*dims.SEVERITY))
-    joined = verdicts.join(F.broadcast(known), F.col(threat) == F.col("type"), "left")
+    joined = verdicts.join(ladder.withColumnRenamed("type", "_type"), F.col(threat) == F.col("_type"), "left")
     met = F.filter("_ladder", lambda s: s["threshold"] <= F.col(score))
-    return joined.withColumn("policy_action", F.array_max(met)["action"]).drop("type", "_ladder")
+    return joined.withColumn("policy_action", F.array_max(met)["action"]).drop("_type", "_ladder")
 
 
 def decision(
-    blank: Column, scanned: Column, blocked: Column, reason: Column, threat_type: Column, confidence: Column, fail_mode: str
+    blank: Column, scanned: Column, blocked: Column, reason: Column, threat_type: Column, confidence: Column, fail_open: Column
 ) -> dict[str, Column]:
     """Columns that tell what happens to a request. Blank content needs no scan. Without a verdict, closed mode is an
     error and open mode lets the request through, marked degraded."""
-    if fail_mode not in ("closed", "open"):
-        raise ValueError(f"unknown fail mode {fail_mode}")
     refused = ~blank & scanned & blocked
-    degraded = ~blank & ~scanned & F.lit(fail_mode == "open")
+    degraded = ~blank & ~scanned & fail_open
     return {
         "outcome": F.when(blank, "proceed")
         .when(scanned, F.when(blocked, "blocked").otherwise("proceed"))
-        .otherwise("proceed" if fail_mode == "open" else "scan_error"),
+        .otherwise(F.when(fail_open, "proceed").otherwise("scan_error")),
         "decision_reason": F.when(refused, F.concat(F.lit("Request blocked: "), F.coalesce(reason, F.lit(""))))
         .when(blank, "No content to scan")
         .when(degraded, "scan_unavailable_fail_open"),
@@ -252,18 +255,28 @@ def decision(
     }
 
 
-def guard_decision(requests: DataFrame, verdicts: DataFrame, key: str, fail_mode: str = "closed") -> DataFrame:
-    """Proceed, refuse or report an error for every request, from its verdict if there is one.
+def guard_decision(requests: DataFrame, verdicts: DataFrame, key: str, fail_mode: str | Sequence[str] = "closed") -> DataFrame:
+    """Proceed, refuse or report an error for every request, from its verdict if there is one. Several fail modes give a
+    row each, told apart by `fail_mode`, from one join.
 
-    `verdicts` are clean records without the ones that did not parse. A request whose `blank` column is true needs
-    no scan.
+    `verdicts` are clean records without the ones that did not parse. Of several for one request the strictest counts:
+    one that blocks before one that does not, then the greatest by reason, threat type and confidence. A request
+    whose `blank` column is true needs no scan. A refused request carries the `violations` of its verdict, if it lists any.
     """
+    modes = [fail_mode] if isinstance(fail_mode, str) else list(fail_mode)
+    if not set(modes) <= {"closed", "open"}:
+        raise ValueError(f"unknown fail mode in {modes}")
     record = ["blocked", "reason", "threat_type", "confidence"]
-    known = verdicts.select(key, F.lit(True).alias("_scanned"), *[F.col(c).alias(f"_{c}") for c in record])
-    joined = requests.join(known, key, "left")
+    more = [c for c in ("violations",) if c in verdicts.columns]
+    strictest = F.max_by(F.struct(*record, *more), F.struct(*record))
+    folded = verdicts.groupBy(key).agg(strictest.alias("_v"))
+    known = folded.select(key, F.lit(True).alias("_scanned"), *[F.col(f"_v.{c}").alias(f"_{c}") for c in [*record, *more]])
+    joined = requests.join(known, key, "left").withColumn("_mode", F.explode(F.array(*[F.lit(m) for m in modes])))
     blank = F.col("blank") if "blank" in requests.columns else F.lit(False)
-    decided = decision(blank, F.coalesce("_scanned", F.lit(False)), *[F.col(f"_{c}") for c in record], fail_mode)
-    return joined.select(*requests.columns, *[c.alias(name) for name, c in decided.items()])
+    decided = decision(blank, F.coalesce("_scanned", F.lit(False)), *[F.col(f"_{c}") for c in record], F.col("_mode") == "open")
+    told = [F.when(decided["outcome"] == "blocked", F.col(f"_{c}")).alias(c) for c in more]
+    told += [] if isinstance(fail_mode, str) else [F.col("_mode").alias("fail_mode")]
+    return joined.select(*requests.columns, *[c.alias(name) for name, c in decided.items()], *told)
 
 
 def request_contract_audit(

@@ -24,15 +24,15 @@ def prompt_guard(
 ) -> DataFrame:
     """What the user said, gated, screened and decided: one row per conversation.
 
-    The only shuffles are those that put a conversation together. Oversize content is refused on its size, so a
-    conversation too large for one string is decided exactly like any other oversize one.
+    Sizes and blankness are summed from the parts, and only conversations that pass both gates are put together: none
+    of those is above the size limit, however long conversations get.
     """
-    said = ops.extract_user_content(parts, key, order, style, kind=kind)
-    blank = F.coalesce(R.is_blank(F.col("content")), F.lit(False))
-    gated = said.select(
-        key, "content", "content_bytes", blank.alias("blank"), R.oversize(F.col("content_bytes")).alias("oversize")
-    )
-    ready = computed_once(gated, "_text", F.when(~F.col("blank") & ~F.col("oversize"), F.col("content")))
+    sizes = ops.user_content_sizes(parts, key, style, kind=kind).withColumn("oversize", R.oversize(F.col("content_bytes")))
+    passing = sizes.where("NOT blank AND NOT oversize").select(F.col(key).alias("_key"))
+    open_parts = parts.join(passing, parts[key].eqNullSafe(passing["_key"]), "left_semi")
+    said = ops.extract_user_content(open_parts, key, order, style, kind=kind).select(F.col(key).alias("_key"), "content")
+    gated = sizes.join(said, sizes[key].eqNullSafe(said["_key"]), "left").drop("_key")
+    ready = computed_once(gated, "_text", F.col("content"))
     screened = ops.rule_screen(ready.withColumn("_channel", F.lit("prompt")), "_channel", "_text", rules)
     clean = verdicts.sanitize_verdict(screened, [key, "content_bytes", "blank", "oversize"])
     over = F.col("oversize")
@@ -43,7 +43,7 @@ def prompt_guard(
         "threat_type": F.coalesce(F.when(over, local["threat_type"]), "threat_type"),
         "confidence": F.coalesce(F.when(over, local["confidence"]), "confidence"),
     }
-    decided = ops.decision(F.col("blank"), F.col("parsed"), *record.values(), "closed")
+    decided = ops.decision(F.col("blank"), F.col("parsed"), *record.values(), F.lit(False))
     names = ("outcome", "decision_reason", "threat_type", "confidence")
     return clean.select(key, "content_bytes", *[decided[n].alias(n) for n in names])
 

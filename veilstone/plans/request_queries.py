@@ -175,11 +175,9 @@ def _verdicts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 def guard_decision(spark: SparkSession, folder: str) -> DataFrame:
     requests, verdicts = _verdicts(spark, folder)
     asked = requests.select("request_id", F.col("k_blank").alias("blank"))
-    both = [
-        ops.guard_decision(asked, verdicts, "request_id", mode).withColumn("fail_mode", F.lit(mode))
-        for mode in ("closed", "open")
-    ]
-    return both[0].unionByName(both[1])
+    decided = ops.guard_decision(asked, verdicts, "request_id", ("closed", "open"))
+    n = F.when(F.col("outcome") == "blocked", F.coalesce(F.array_size("violations"), F.lit(0)))
+    return decided.withColumn("n_violations", n).drop("violations")
 
 
 def prompt_guard(spark: SparkSession, folder: str) -> DataFrame:
@@ -193,6 +191,7 @@ POLICIES = (
     ("sql_injection", "warn", 0.2), ("sql_injection", "block", 0.8), ("sql_injection", "require_approval", 0.5),
     ("jailbreak", "require_approval", 0.4), ("jailbreak", "warn", 0.9), ("toxic_content", "block", 0.95),
     ("prompt_injection", "block", 0.6), ("prompt_injection", "block", 0.3), ("made_up", "block", 0.0),
+    ("toxic_content", "quarantine", 0.1), ("data_exfiltration", "quarantine", 0.0), ("jailbreak", "audit", 0.0),
 )
 
 
@@ -305,7 +304,10 @@ def _decision(mode: str) -> str:
   CASE WHEN NOT blank AND blocked THEN 'Request blocked: ' || coalesce(reason, '') WHEN blank THEN 'No content to scan'
     WHEN {degraded} THEN 'scan_unavailable_fail_open' END AS decision_reason,
   CASE WHEN NOT blank AND blocked THEN threat_type END AS threat_type,
-  CASE WHEN NOT blank AND blocked THEN confidence END AS confidence, {degraded} AS degraded, '{mode}' AS fail_mode
+  CASE WHEN NOT blank AND blocked THEN confidence END AS confidence, {degraded} AS degraded, '{mode}' AS fail_mode,
+  CASE WHEN NOT blank AND blocked THEN CAST(CASE WHEN json_type(j, '$.violations') = 'ARRAY' THEN
+    (SELECT count(*) FROM (SELECT unnest(json_extract(j, '$.violations[*]')) AS x) WHERE json_type(x) = 'OBJECT')
+    ELSE 0 END AS INTEGER) END AS n_violations
 FROM asked r LEFT JOIN answered c USING (request_id)"""
 
 
@@ -399,10 +401,10 @@ SELECT conv_id, content_bytes, CASE WHEN found IN ('blank', 'clear') THEN 'proce
   CASE found WHEN 'over' THEN 'size_limit_exceeded' WHEN 'injection' THEN 'prompt_injection' WHEN 'pii' THEN 'pii_exposure' END AS threat_type,
   CASE WHEN found IN ('over', 'injection', 'pii') THEN 'high' END AS confidence FROM hit""",
     "policy_match": f"""{READ}, policies(type, action, threshold) AS (VALUES {', '.join(f"('{t}', '{a}', {x})" for t, a, x in POLICIES)}),
-met AS (SELECT request_id, max(CASE p.action WHEN 'allow' THEN 1 WHEN 'warn' THEN 2 WHEN 'require_approval' THEN 3 ELSE 4 END) AS r
+met AS (SELECT request_id, max((CASE p.action WHEN 'allow' THEN '1' WHEN 'warn' THEN '2' WHEN 'require_approval' THEN '3'
+    WHEN 'block' THEN '4' ELSE '0' END) || p.action) AS r
   FROM named n JOIN policies p ON n.mapped_type = p.type AND n.score >= p.threshold GROUP BY request_id)
-SELECT request_id, mapped_type AS threat_type, CASE r WHEN 1 THEN 'allow' WHEN 2 THEN 'warn' WHEN 3 THEN 'require_approval'
-  WHEN 4 THEN 'block' END AS policy_action FROM named LEFT JOIN met USING (request_id)""",
+SELECT request_id, mapped_type AS threat_type, substr(r, 2) AS policy_action FROM named LEFT JOIN met USING (request_id)""",
     "request_contract_audit": f"WITH {events_cte()} " + " UNION ALL ".join(
         f"SELECT request_id, '{name}' AS rule FROM ev WHERE {rule}" for name, rule in _BREAKS.items()
     ),
