@@ -84,6 +84,39 @@ def test_holds_stay_in_their_session(spark):
     assert [(r["request_id"], r["refusal_id"], r["seconds_since_refusal"], r["refusals_before"]) for r in got] == [(2, 1, 7200, 1)]
 
 
+NULLED = [(1, "a", None, T0 + timedelta(minutes=40 * i) if i else None, i, 0.1 * i, i == 1) for i in range(6)]
+NULLED_SCHEMA = "user_id int, session_id string, agent_id string, ts timestamp, request_id int, risk double, blocked boolean"
+
+
+def test_null_keys_and_times_keep_their_running_values(spark):
+    table = spark.createDataFrame(NULLED, NULLED_SCHEMA)
+    got = sessions.session_timeline(table).orderBy("request_id").collect()
+    assert [r["turn"] for r in got] == [1, 2, 3, 4, 5, 6]
+    assert [r["max_risk"] for r in got] == pytest.approx([0.1 * i for i in range(6)])
+    assert [r["previous_risk"] for r in got][1:] == pytest.approx([0.1 * i for i in range(5)])
+    held = sessions.post_refusal_holds(table, ("user_id", "session_id", "agent_id")).collect()
+    assert sorted(r["request_id"] for r in held) == [2, 3, 4, 5]
+
+
+def test_null_endpoints_have_runs_too(spark):
+    rows = [(None, T0 + timedelta(minutes=40 * i), i, i == 2) for i in range(6)]
+    table = spark.createDataFrame(rows, "endpoint string, ts timestamp, id int, ok boolean")
+    found = reliability.failure_runs(table, ["endpoint"], ["ts", "id"], F.col("ok")).orderBy("first").collect()
+    assert [(r["failures"], r["first"]["id"], r["last"]["id"]) for r in found] == [(2, 0, 1), (3, 3, 5)]
+
+
+def test_users_without_a_tier_are_audited(spark):
+    calls = spark.createDataFrame([(1, T0), (1, T0), (2, T0)], "user_id int, ts timestamp")
+    customers = spark.createDataFrame([(1, "community")], "user_id int, tier string")
+    got = {(r["user_id"], r["tier"], r["period"], r["max_calls"], r["windows_over"]) for r in reliability.rate_limit_audit(calls, customers).collect()}
+    assert got == {(1, "community", p, 2, 0) for p in ("minute", "month")} | {(2, None, p, 1, 0) for p in ("minute", "month")}
+
+
+def test_a_risk_that_is_no_number_triggers_nothing(spark):
+    table = spark.createDataFrame([("a", T0, 1, float("nan"), "x"), ("b", T0, 2, 0.9, "x")], "session_id string, ts timestamp, request_id int, risk double, threat string")
+    assert [r["session_id"] for r in sessions.session_triggers(table).collect()] == ["b"]
+
+
 def _runs(spark, marks, limit=3):
     rows = [("e", T0 + timedelta(minutes=40 * i), i, m == "s") for i, m in enumerate(marks)]
     table = spark.createDataFrame(rows, "endpoint string, ts timestamp, id int, ok boolean")

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from veilstone.operators import sessions
-from veilstone.sources.sinks import run_stream, write_vault
+from veilstone.sources.sinks import run_stream, run_to_end, write_vault
 from veilstone.sources.tables import stream_table
 from veilstone.streaming import windows
 from veilstone.streaming.sessions import stream_session_state
@@ -59,8 +59,23 @@ def test_closed_windows_only(spark, folder):
     assert {(r["window_start"], r["n"]) for r in rated.collect()} == {(T0, 30), (T0 + timedelta(hours=1), 30)}
 
 
-def test_stream_table_reads_the_given_file(spark, small):
+def test_all_windows_at_the_end(spark, folder):
+    marked = _stream(spark, folder).selectExpr("ts", "threat = 'session_locked' AS degraded")
+    rated = run_to_end(spark, windows.stream_degraded_rate(marked, "ts", "degraded", "10 minutes"), "t-all", ["window_start"])
+    assert {(r["window_start"], r["n"]) for r in rated.collect()} == {(T0 + timedelta(hours=h), 30) for h in range(3)}
+    counts = windows.stream_session_counts(_stream(spark, folder), "ts", "session_id", "20 minutes")
+    ended = run_to_end(spark, counts, "t-stretch", ["session_id", "stretch_start"], "complete")
+    assert sum(r["actions"] for r in ended.collect()) == 90 and ended.count() == 12
+
+
+def test_stream_table_reads_a_file_or_a_folder(spark, small, tmp_path):
     assert stream_table(spark, small, "events").isStreaming
+    rows = spark.createDataFrame([(1, "a")], "id int, v string")
+    rows.write.parquet(str(tmp_path / "t.parquet"))
+    rows.toPandas().to_parquet(tmp_path / "one.parquet")
+    rows.toPandas().to_parquet(tmp_path / "one_old.parquet")
+    for name in ("t", "one"):
+        assert run_stream(spark, stream_table(spark, str(tmp_path), name), f"t-{name}").count() == 1
 
 
 def test_vault_is_partitioned_by_type(spark, tmp_path):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,6 +29,13 @@ def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join on `keys` where NULL meets NULL, as it does in windows and groups. The keys of `left` stay."""
+    named = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(and_, [left[k].eqNullSafe(named[f"_right_{k}"]) for k in keys])
+    return left.join(named, same, "left").drop(*[f"_right_{k}" for k in keys])
+
+
 @dataclass(frozen=True)
 class Running:
     """One running value, up to this row or the one before.
@@ -72,7 +81,7 @@ def running(
     carried = totals.select(
         *slot, *[p.carried(F.col(f"_all_{name}")).over(past).alias(f"_from_{name}") for name, p in parts.items()]
     )
-    joined = local.join(carried, slot, "left")
+    joined = null_safe_join(local, carried, slot)
     kept = [c for c in df.columns if c not in values]
     return joined.select(
         *kept, *[p.joined(F.col(f"_at_{name}"), F.col(f"_from_{name}")).alias(name) for name, p in parts.items()]
@@ -93,7 +102,7 @@ def _bucket_totals(
     totals = marked.groupBy(*slot).agg(*[total(name) for name in dense]) if dense else marked.select(*slot).distinct()
     for name in sparse:
         few = marked.where(F.col(f"_in_{name}").isNotNull()).groupBy(*slot).agg(total(name))
-        totals = totals.join(few, slot, "left")
+        totals = null_safe_join(totals, few, slot)
     return totals
 
 

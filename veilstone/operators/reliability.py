@@ -74,14 +74,15 @@ def rate_limit_audit(
 ) -> DataFrame:
     """Per customer and period: windows used, the fullest one, and windows above the tier's limit.
 
-    `customers` gives the tier of each user. Calls shrink to one row per customer before any join.
+    `customers` gives the tier of each user. Calls shrink to one row per customer before any join. Users without a known
+    tier are shown with a NULL tier; no window of theirs can be over a limit.
     """
     limits = tiers if tiers is not None else rate_tiers(calls.sparkSession)
-    tiered = customers.join(limits, "tier")
+    tiered = customers.join(limits, "tier", "left")
     found = []
     for period, column in (("minute", "per_minute"), ("month", "per_month")):
         counted = calls_per_window(calls, ts, user, period)
-        limited = counted.join(tiered.select(user, "tier", F.col(column).alias("limit")), user)
+        limited = counted.join(tiered.select(user, "tier", F.col(column).alias("limit")), user, "left")
         found.append(
             limited.groupBy(user, "tier").agg(
                 F.count(F.lit(1)).alias("windows"),

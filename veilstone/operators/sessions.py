@@ -130,7 +130,7 @@ def session_triggers(
     `events` has the raw threat type as `threat`, and `risk`.
     """
     locked = F.coalesce(F.col("threat") == "session_locked", F.lit(False))
-    over = ~locked & (F.col("risk") >= ROTATION_LIMIT)
+    over = ~locked & (F.col("risk") >= ROTATION_LIMIT) & ~F.isnan(F.col("risk").cast("double"))
     reason = F.when(locked, "session_locked").when(over, "risk_threshold_exceeded")
     first = F.min(F.struct(*order, "risk"))
     marked = events.withColumn("reason", reason).where(locked | over)

@@ -13,7 +13,7 @@ from veilstone.plans.flows import action_scan as action_scan_of
 from veilstone.plans.verdict_queries import FEEDBACK, READ
 from veilstone.plans.views import event_columns, event_requests, events_cte, scope_declarations, scopes_cte
 from veilstone.session import cut_lineage
-from veilstone.sources.sinks import run_stream
+from veilstone.sources.sinks import run_stream, run_to_end
 from veilstone.sources.tables import read_table, stream_table
 from veilstone.streaming import windows
 from veilstone.streaming.sessions import stream_session_state as stream_session_state_of
@@ -193,19 +193,20 @@ def stream_session_state(spark: SparkSession, folder: str) -> DataFrame:
 def stream_degraded_rate(spark: SparkSession, folder: str) -> DataFrame:
     calls = event_columns(stream_table(spark, folder, "events"), "status")
     marked = calls.select("ts", (F.col("status") != 200).alias("degraded"))
-    rated = run_stream(spark, windows.stream_degraded_rate(marked, "ts", "degraded"), "degraded-rate")
+    rated = run_to_end(spark, windows.stream_degraded_rate(marked, "ts", "degraded"), "degraded-rate", ["window_start"])
     return rated.select(_stamp("window_start").alias("window_start"), "n", "n_degraded", F.round("rate", 6).alias("rate"))
 
 
 def stream_calls_per_minute(spark: SparkSession, folder: str) -> DataFrame:
     calls = event_columns(stream_table(spark, folder, "events"))
-    counted = run_stream(spark, windows.stream_calls_per_minute(calls, "ts", "user_id"), "calls")
+    counted = run_to_end(spark, windows.stream_calls_per_minute(calls, "ts", "user_id"), "calls", ["user_id", "slot"])
     return counted.select("user_id", _stamp("slot").alias("slot"), "calls")
 
 
 def stream_session_counts(spark: SparkSession, folder: str) -> DataFrame:
     events = event_columns(stream_table(spark, folder, "events"), "session_id")
-    counted = run_stream(spark, windows.stream_session_counts(events, "ts", "session_id", "4 hours"), "stretches")
+    stretches = windows.stream_session_counts(events, "ts", "session_id", "4 hours")
+    counted = run_to_end(spark, stretches, "stretches", ["session_id", "stretch_start"], "complete")
     return counted.select("session_id", _stamp("stretch_start").alias("stretch_start"), "actions")
 
 
@@ -331,7 +332,7 @@ used AS (SELECT user_id, 'minute' AS period, date_trunc('minute', ts) AS slot, c
   UNION ALL SELECT user_id, 'month', date_trunc('month', ts), count(*) FROM events GROUP BY ALL)
 SELECT user_id, tier, period, count(*) AS windows, max(calls) AS max_calls,
   count(*) FILTER (WHERE calls > CASE period WHEN 'minute' THEN per_minute ELSE per_month END) AS windows_over
-FROM used JOIN cust USING (user_id) JOIN limits USING (tier) GROUP BY user_id, tier, period"""
+FROM used LEFT JOIN cust USING (user_id) LEFT JOIN limits USING (tier) GROUP BY user_id, tier, period"""
 
 
 _TRIGGERS = f"""{READ}, facts AS (SELECT request_id, session_id, ts, raw_threat_type IS NOT DISTINCT FROM 'session_locked' AS locked,
@@ -402,19 +403,15 @@ SELECT {_STAMP.format('w')} AS window_start, count(*) AS n, count(*) FILTER (WHE
     "rate_limit_audit_tight": _rates(_TIGHT),
     "session_triggers": _TRIGGERS,
     "stream_session_state": _TRIGGERS,
-    # A stream has emitted the windows that the watermark, ten minutes behind the newest event, has passed.
-    "stream_degraded_rate": f"""WITH {events_cte()}, edge AS (SELECT max(ts) - INTERVAL 10 MINUTE AS upto FROM ev)
+    "stream_degraded_rate": f"""WITH {events_cte()}
 SELECT {_STAMP.format("date_trunc('hour', ts)")} AS window_start, count(*) AS n, count(*) FILTER (WHERE status <> 200) AS n_degraded,
-  round(count(*) FILTER (WHERE status <> 200) / count(*), 6) AS rate FROM ev, edge
-WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= upto GROUP BY 1""",
-    "stream_calls_per_minute": f"""WITH edge AS (SELECT max(ts) - INTERVAL 10 MINUTE AS upto FROM events)
-SELECT user_id, {_STAMP.format("date_trunc('minute', ts)")} AS slot, count(*) AS calls FROM events, edge
-WHERE date_trunc('minute', ts) + INTERVAL 1 MINUTE <= upto GROUP BY 1, 2""",
-    "stream_session_counts": f"""WITH {events_cte()}, edge AS (SELECT max(ts) - INTERVAL 10 MINUTE AS upto FROM ev),
+  round(count(*) FILTER (WHERE status <> 200) / count(*), 6) AS rate FROM ev GROUP BY 1""",
+    "stream_calls_per_minute": f"""SELECT user_id, {_STAMP.format("date_trunc('minute', ts)")} AS slot, count(*) AS calls
+FROM events GROUP BY 1, 2""",
+    "stream_session_counts": f"""WITH {events_cte()},
 gaps AS (SELECT session_id, ts, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 4 HOUR THEN 0 ELSE 1 END AS begins FROM ev
   WINDOW w AS (PARTITION BY session_id ORDER BY ts)),
 numbered AS (SELECT session_id, ts, sum(begins) OVER (PARTITION BY session_id ORDER BY ts) AS stretch FROM gaps)
-SELECT session_id, {_STAMP.format('min(ts)')} AS stretch_start, count(*) AS actions FROM numbered, edge GROUP BY session_id, stretch, upto
-HAVING max(ts) + INTERVAL 4 HOUR <= upto""",
+SELECT session_id, {_STAMP.format('min(ts)')} AS stretch_start, count(*) AS actions FROM numbered GROUP BY session_id, stretch""",
     "stream_dedup": f"WITH {events_cte()} SELECT DISTINCT sha256(content) AS content_hash FROM ev",
 }

@@ -25,9 +25,10 @@ def read_text_table(spark: SparkSession, folder: str, name: str, key: str) -> Da
 
 
 def stream_table(spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None) -> DataFrame:
-    """The table as a stream of its files; the schema comes from the files already there."""
-    schema = read_table(spark, folder, name).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}*.parquet")
+    """The table as a stream of its files, be it one file or a folder of them; the schema comes from what is there."""
+    # written as a glob, as a stream takes a plain path for a folder; it matches this one name
+    path = os.path.join(folder, f"[{name[0]}]{name[1:]}.parquet")
+    reader = spark.readStream.schema(read_table(spark, folder, name).schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    return reader.parquet(path)
