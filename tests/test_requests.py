@@ -190,3 +190,8 @@ def test_policies_take_the_strictest_that_applies(spark):
     policies = values_table(spark, ("type", "action", "threshold"), [("jailbreak", "warn", 0.1), ("jailbreak", "block", 0.9), ("jailbreak", "block", 0.8)])
     table = spark.createDataFrame([("jailbreak", 0.85), ("jailbreak", 0.5), ("jailbreak", None), ("unknown", 1.0)], "threat_type string, score double")
     assert [r["policy_action"] for r in ops.policy_match(table, policies).collect()] == ["block", "warn", None, None]
+
+
+def test_line_separators_are_escaped(spark):
+    row = spark.createDataFrame([("a b <",)], "t string").select(R.wire_json(F.struct("t")).alias("j")).first()
+    assert row["j"] == '{"t":"a\\u2028b\\u2029\\u003c"}'

@@ -104,9 +104,9 @@ def identity_context(
 
 
 def wire_json(value: Column) -> Column:
-    """JSON text with markup characters escaped, as the wire format has them."""
+    """JSON text with markup characters and the two line separators escaped, as the wire format has them."""
     text = F.to_json(value)
-    for raw, escaped in (("<", "\\u003c"), (">", "\\u003e"), ("&", "\\u0026")):
+    for raw, escaped in (("<", "\\u003c"), (">", "\\u003e"), ("&", "\\u0026"), ("\u2028", "\\u2028"), ("\u2029", "\\u2029")):
         text = F.replace(text, F.lit(raw), F.lit(escaped))
     return text
 

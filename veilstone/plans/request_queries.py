@@ -46,24 +46,33 @@ def size_gate_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def build_envelope(spark: SparkSession, folder: str) -> DataFrame:
-    """Conversation turns as general requests, with the turn before as history."""
+    """Conversation turns as general requests: the text is the prompt, the text of the turn before the history."""
     turns = read_table(spark, folder, "conversations")
+    before = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("before"))
+    asked = turns.join(before, ["conv_id", "turn"], "left")
     context = R.identity_context(
         F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.lit(""), F.lit("none"), F.lit("agent-0")
     )
-    history = F.when(F.col("turn") % 3 == 0, F.col("role"))
-    body = R.general_envelope(F.col("role"), context, history)
-    return turns.select("conv_id", "turn", body.alias("body"))
+    body = R.general_envelope(F.col("text"), context, F.col("before"))
+    return asked.select("conv_id", "turn", F.sha2(body, 256).alias("body_sha"), F.octet_length(body).alias("body_bytes"))
 
 
 def channel_envelopes(spark: SparkSession, folder: str) -> DataFrame:
+    """Files as channel requests: the path is the content, the text of a file that has one goes into the context."""
     docs = document_envelopes(spark, folder)
+    text = F.when(F.col("doc_id") % 3 != 0, F.col("text"))
     context = R.identity_context(
-        F.lit(None).cast("string"), F.col("source"), F.lit("batch"), F.lit("agent-0"),
-        extras=R.extras_map({"file_content": F.when(F.col("doc_id") % 3 != 0, F.col("lang"))}),
+        F.lit(None).cast("string"), F.col("source"), F.lit("batch"), F.lit("agent-0"), extras=R.extras_map({"file_content": text})
     )
-    channel = R.route_channel(F.lit("file"), F.when(F.col("doc_id") % 3 != 0, F.col("lang")))
-    return docs.select("doc_id", R.channel_envelope(F.col("path"), channel, context).alias("body"))
+    body = R.channel_envelope(F.col("path"), R.route_channel(F.lit("file"), text), context)
+    return docs.select("doc_id", F.sha2(body, 256).alias("body_sha"), F.octet_length(body).alias("body_bytes"))
+
+
+def tool_schemas(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages as tool schemas: the url names the tool, its text describes it."""
+    pages = read_table(spark, folder, "pages")
+    body = R.tool_schema_envelope(F.col("url"), F.col("html"), F.create_map(F.lit("page"), F.col("page_id").cast("string")))
+    return pages.select("page_id", F.sha2(body, 256).alias("body_sha"), F.octet_length(body).alias("body_bytes"))
 
 
 def resolve_identity(spark: SparkSession, folder: str) -> DataFrame:
@@ -84,7 +93,7 @@ def route_channel(spark: SparkSession, folder: str) -> DataFrame:
         F.array(*[F.lit(k) for k in ("file", "sql", "tool_schema", "file", "command", "a2a_message")]),
         (F.col("doc_id") % 6 + 1).cast("int"),
     )
-    body = F.when(F.col("doc_id") % 4 != 0, F.col("lang")).otherwise("")
+    body = F.when(F.col("doc_id") % 4 != 0, F.col("text")).otherwise("")
     return docs.select("doc_id", R.route_channel(kind, body).alias("channel"))
 
 
@@ -222,6 +231,7 @@ QUERIES = {
     "size_gate_sources": size_gate_sources,
     "build_envelope": build_envelope,
     "channel_envelopes": channel_envelopes,
+    "tool_schemas": tool_schemas,
     "resolve_identity": resolve_identity,
     "route_channel": route_channel,
     "encode_rag_chunks": encode_rag_chunks,
@@ -336,6 +346,7 @@ _BREAKS = {
     "missing_description": f"envelope_endpoint = 'tool_schema' AND {_J.format('description')} IS NULL",
 }
 
+_JSON = "replace(replace(replace(CAST(to_json({}) AS VARCHAR), '<', '\\u003c'), '>', '\\u003e'), '&', '\\u0026')"
 _ESC = "replace(replace(replace({}, '<', '\\u003c'), '>', '\\u003e'), '&', '\\u0026')"
 
 ORACLE = {
@@ -348,19 +359,26 @@ SELECT page_id, CAST(pos AS INTEGER) AS pos,
     "size_gate_sources": f"""WITH t AS (SELECT source, CAST(sum(strlen(text)) AS BIGINT) AS bytes FROM documents GROUP BY source)
 SELECT source, bytes, bytes > 102400 AS oversize, {_size_reason('Content', 'bytes')} AS reason,
   CASE WHEN bytes > 102400 THEN 'Content exceeds maximum size of 100KB' END AS violation FROM t""",
-    "build_envelope": """SELECT conv_id, turn, '{"context":{"agent_id":"agent-0","session_id":"c' || conv_id ||
-  '","source_application":"veilstone"},' || CASE WHEN turn % 3 = 0 THEN '"conversation_history":"' || role || '",' ELSE '' END ||
-  '"prompt":"' || role || '","scan_type":"full"}' AS body FROM conversations""",
-    "channel_envelopes": f"""WITH {_ENVELOPES} SELECT doc_id, '{{"content":"' || path || '","content_type":"' ||
-  CASE WHEN doc_id % 3 <> 0 THEN 'file_content' ELSE 'file_path' END || '","context":{{"agent_id":"' || source || '"' ||
-  CASE WHEN doc_id % 3 <> 0 THEN ',"file_content":"' || lang || '"' ELSE '' END ||
-  ',"session_id":"batch","source_application":"veilstone"}}}}' AS body FROM docs""",
+    "build_envelope": f"""WITH t AS (SELECT c.*, b.text AS before FROM conversations c
+  LEFT JOIN conversations b ON c.conv_id = b.conv_id AND c.turn = b.turn + 1),
+e AS (SELECT conv_id, turn, '{{"context":{{"agent_id":"agent-0","session_id":"c' || conv_id ||
+  '","source_application":"veilstone"}},' || CASE WHEN before <> '' THEN '"conversation_history":' || {_JSON.format('before')} || ',' ELSE '' END ||
+  '"prompt":' || {_JSON.format('text')} || ',"scan_type":"full"}}' AS body FROM t)
+SELECT conv_id, turn, sha256(body) AS body_sha, strlen(body)::INT AS body_bytes FROM e""",
+    "channel_envelopes": f"""WITH {_ENVELOPES}, e AS (SELECT doc_id, '{{"content":"' || path || '","content_type":"' ||
+  CASE WHEN doc_id % 3 <> 0 AND text <> '' THEN 'file_content' ELSE 'file_path' END || '","context":{{"agent_id":"' || source || '"' ||
+  CASE WHEN doc_id % 3 <> 0 AND text <> '' THEN ',"file_content":' || {_JSON.format('text')} ELSE '' END ||
+  ',"session_id":"batch","source_application":"veilstone"}}}}' AS body FROM docs)
+SELECT doc_id, sha256(body) AS body_sha, strlen(body)::INT AS body_bytes FROM e""",
+    "tool_schemas": f"""WITH e AS (SELECT page_id, '{{"description":' || {_JSON.format('html')} || ',"input_schema":{{"page":"' || page_id ||
+  '"}},"name":' || {_JSON.format('url')} || '}}' AS body FROM pages)
+SELECT page_id, sha256(body) AS body_sha, strlen(body)::INT AS body_bytes FROM e""",
     "resolve_identity": """WITH b AS (SELECT *, 'u' || user_id AS u FROM events)
 SELECT event_id, 'session_id' AS key, CASE WHEN event_id % 7 = 0 THEN 'extra' WHEN event_id % 3 = 0 THEN u ELSE 'default-session' END AS value FROM b
 UNION ALL SELECT event_id, 'agent_id', CASE WHEN event_id % 4 = 0 THEN u WHEN event_id % 5 = 0 THEN 'env-agent' ELSE 'default-agent' END FROM b
 UNION ALL SELECT event_id, 'source_application', 'veilstone' FROM b
 UNION ALL SELECT event_id, 'role', 'agent' FROM b WHERE event_id % 2 = 0""",
-    "route_channel": """WITH t AS (SELECT doc_id, doc_id % 4 <> 0 AND lang <> '' AS has_body,
+    "route_channel": """WITH t AS (SELECT doc_id, doc_id % 4 <> 0 AND coalesce(text, '') <> '' AS has_body,
   CASE doc_id % 6 WHEN 1 THEN 'sql' WHEN 2 THEN 'mcp_schema' WHEN 4 THEN 'command' WHEN 5 THEN 'a2a_message' END AS other FROM documents)
 SELECT doc_id, coalesce(other, CASE WHEN has_body THEN 'file_content' ELSE 'file_path' END) AS channel FROM t""",
     "encode_rag_chunks": f"""WITH cut AS (SELECT page_id, string_split(html, '<p>') AS parts FROM pages),
