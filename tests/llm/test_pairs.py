@@ -89,6 +89,16 @@ def test_trie_finds_all_links():
     assert set(trie_join.linked(base, trie_join.build(sets))) == links and 1 < len(links) < len(sets)
 
 
+def test_crossing_pairs_by_brute_force():
+    draw = np.random.default_rng(15)
+    sizes = [1, 2, 2, 5, 90, 3, 150]
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    comp = np.concatenate([np.where(draw.random(n) < 0.7, k, draw.integers(100, 104, n)) for k, n in enumerate(sizes)])
+    found = [tuple(sorted(p)) for a, b in trie_join.crossing(bounds, comp) for p in zip(a.tolist(), b.tolist(), strict=True)]
+    want = {(i, j) for s, e in zip(bounds[:-1], bounds[1:], strict=True) for i in range(s, e) for j in range(i + 1, e) if comp[i] != comp[j]}
+    assert len(found) == len(set(found)) and set(found) == want
+
+
 def test_deduplicated_keeps_one_of_each(spark, tables):
     docs = near_copies(9)
     table = spark.read.parquet(tables(documents=docs + [doc(None, "x y"), doc(None, "x y")]) + "/documents.parquet")

@@ -27,6 +27,13 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+def small_batches(spark: SparkSession, rows: int = 2_500) -> None:
+    """Bounds what a Python worker holds: a batch of texts is there as Arrow, as strings and as what is made of them."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")

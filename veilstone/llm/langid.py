@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilstone.llm.common import bounded_sample, is_fold, read_table, stored
+from veilstone.llm.common import bounded_sample, is_fold, read_table, small_batches, stored
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: Labelled documents the piece probabilities are fitted on, at most about.
@@ -239,6 +239,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, vocabulary_path: str = VOCABULARY, bound: int = FIT_DOCUMENTS, rounds: int = ROUNDS) -> Model:
     """Piece probabilities per language from a bounded sample of documents with text and lang. Each round spreads the
     words over the tasks and gathers one number per piece and language."""
+    small_batches(docs.sparkSession)
     labelled = docs.select("doc_id", "text", "lang").where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
     counts = stored(word_counts(bounded_sample(labelled, "doc_id", bound)), "lang-words")
     languages = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
@@ -281,6 +282,7 @@ def _expected_uses(counts: DataFrame, languages: list[str], vocabulary: list[str
 
 def predict(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     """`lang_pred` and `score`, the posterior of the language under equal priors, for each text, with columns `keep`."""
+    small_batches(docs.sparkSession)
     # plain values, as they are pickled without the package; vocabulary x languages
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.vocabulary, model.weights))
     has_letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))

@@ -63,7 +63,7 @@ class Hashes:
         self.kind, self.known, self.rows = kind, {}, np.zeros((256, WIDTH), np.float32)
 
     def of(self, features: list[str]) -> np.ndarray:
-        for f in set(features) - self.known.keys():
+        for f in (f for f in set(features) if f not in self.known):
             i = self.known[f] = len(self.known)
             if i == len(self.rows):
                 self.rows = np.vstack([self.rows, np.zeros_like(self.rows)])
@@ -83,7 +83,7 @@ class Encoder:
         self.endings, self.shapes = Hashes("e"), Hashes("s")
 
     def _learn(self, words: set[str]) -> None:
-        new = list(words - self.known.keys())
+        new = [w for w in words if w not in self.known]
         if len(self.known) + len(new) > CACHE:
             self._reset()
             new = list(words)

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilstone.functions.frames import skew_safe_lookup
-from veilstone.llm.common import read_table, stored
+from veilstone.llm.common import read_table, small_batches, stored
 
 N = 5
 #: Link: 100 * overlap >= PERCENT * union.
@@ -48,28 +48,64 @@ _MIX = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 class Shingler:
-    """Sets of n-gram hashes. Letters A-Z are lower-cased; words are what stands between the six ASCII blanks."""
-
-    def __init__(self, n: int = N, keep: int = 400_000):
-        self.n, self.keep, self.words = n, keep, {}
+    """Sets of n-gram hashes. Letters A-Z are lower-cased; words are what stands between the six ASCII blanks.
+
+    A word's hash is a polynomial in its bytes, taken from running sums over the text, so that no word is handled alone.
+    """
+
+    SEGMENT = 1 << 18
+
+    def __init__(self, n: int = N):
+        self.n = n
+        draw = np.random.default_rng(41)
+        letters = draw.integers(1, 1 << 63, 256, dtype=np.uint64)
+        letters[ord("A") : ord("Z") + 1] = letters[ord("a") : ord("z") + 1]
+        self.letters = letters
+        self.blank = np.zeros(256, bool)
+        self.blank[[9, 10, 11, 12, 13, 32]] = True
+        self.powers = self.inverses = np.ones(1, np.uint64)
+
+    def _reach(self, size: int) -> None:
+        """Powers of the base, and of its inverse modulo 2**64, up to `size`."""
+        if len(self.powers) <= size:
+            base = 0xD6E8FEB86659FD93
+            steps = np.full(max(size + 1, 2 * len(self.powers)), base, np.uint64)
+            back = np.full(len(steps), pow(base, -1, 1 << 64), np.uint64)
+            steps[0] = back[0] = 1
+            self.powers, self.inverses = np.cumprod(steps), np.cumprod(back)
+
+    def _words(self, raw: np.ndarray, blank: np.ndarray) -> np.ndarray:
+        edge = np.flatnonzero(np.diff(np.concatenate([[True], blank, [True]])))
+        starts, ends = edge[::2], edge[1::2]
+        self._reach(len(raw))
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(self.letters[raw] * self.powers[: len(raw)])])
+        h = (sums[ends] - sums[starts]) * self.inverses[starts] + (ends - starts).astype(np.uint64)
+        h = (h ^ (h >> np.uint64(32))) * _MIX
+        return h ^ (h >> np.uint64(29))
+
+    def words_of(self, text: str | None) -> np.ndarray:
+        """A hash for each word; long texts go by segments that end at a blank."""
+        raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+        blank = self.blank[raw]
+        if len(raw) <= self.SEGMENT:
+            return self._words(raw, blank)
+        gaps = np.flatnonzero(blank)
+        at = np.searchsorted(gaps, np.arange(self.SEGMENT, len(raw), self.SEGMENT))
+        cuts = np.unique(gaps[at[at < len(gaps)]])
+        return np.concatenate([self._words(r, b) for r, b in zip(np.split(raw, cuts), np.split(blank, cuts), strict=True)])
 
     def set_of(self, text: str | None) -> np.ndarray:
         """Distinct hashes of 58 bits, ascending."""
-        words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-        if not words:
-            return np.zeros(0, np.uint64)
-        known = self.words
-        if len(known) > self.keep:
-            known.clear()
-        for w in set(words) - known.keys():
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        h = self.words_of(text)
+        if not len(h):
+            return h
         width = min(self.n, len(h))
         out = np.full(len(h) - width + 1, width, np.uint64)
         for k in range(width):
             out = (out ^ h[k : len(h) - width + 1 + k]) * _MIX
             out ^= out >> np.uint64(31)
-        return np.unique(out >> np.uint64(6))
+        out = np.sort(out >> np.uint64(6))
+        return out[np.concatenate([[True], out[1:] != out[:-1]])]
 
 
 def class_of(grams: np.ndarray) -> int:
@@ -109,8 +145,16 @@ def measured(docs: DataFrame) -> DataFrame:
 
     def measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler, counts, seen = Shingler(), np.zeros(1 << BUCKET_BITS, np.uint32), set()
+
+        def count(held: list[np.ndarray]) -> None:
+            at = bucket_of(np.concatenate(held))
+            if len(at) > len(counts) // 64:
+                np.add(counts, np.bincount(at, minlength=len(counts)).astype(np.uint32), out=counts)
+            else:
+                np.add.at(counts, at, 1)
+
         for frame in frames:
-            sizes, cids = [], []
+            sizes, cids, held = [], [], [np.zeros(0, np.uint64)]
             for text in frame["text"]:
                 grams = shingler.set_of(text)
                 cid = class_of(grams)
@@ -118,7 +162,11 @@ def measured(docs: DataFrame) -> DataFrame:
                 cids.append(cid)
                 if cid not in seen:
                     seen.add(cid)
-                    np.add.at(counts, bucket_of(grams), 1)
+                    held.append(grams)
+                if len(held) > 500:
+                    count(held)
+                    held = held[:1]
+            count(held)
             yield frame[["doc_id", "no_id"]].assign(n=sizes, cid=cids, piece=None, counts=None)
         if seen:
             for i, part in enumerate(np.split(counts, PIECES)):
@@ -368,6 +416,34 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def crossing(bounds: np.ndarray, comp: np.ndarray, small: int = 64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one group in different components, many at a time. Groups of one component give none. In small
+    groups all pairs at a distance are looked at together; in large ones each row outside the group's largest component
+    is held against the group, so that a group of copies with a few strangers costs its size times the strangers."""
+    starts, sizes = bounds[:-1], np.diff(bounds)
+    if not len(comp):
+        return
+    mixed = np.logical_or.reduceat(comp != np.repeat(comp[starts], sizes), starts)
+    few = mixed & (sizes <= small)
+    rows = np.flatnonzero(np.repeat(few, sizes))
+    ends = np.repeat(bounds[1:], sizes)[rows]
+    for step in range(1, small):
+        inside = rows + step < ends
+        rows, ends = rows[inside], ends[inside]
+        if not len(rows):
+            break
+        apart_ = comp[rows] != comp[rows + step]
+        if apart_.any():
+            yield rows[apart_], rows[apart_] + step
+    for start, size in zip(starts[mixed & (sizes > small)], sizes[mixed & (sizes > small)], strict=True):
+        group = comp[start : start + size]
+        names, counts = np.unique(group, return_counts=True)
+        main = group == names[counts.argmax()]
+        for at in np.flatnonzero(~main):
+            others = np.flatnonzero((group != group[at]) & (main | (np.arange(size) > at)))
+            yield np.full(len(others), start + at), start + others
+
+
 def apart(rows: DataFrame, comps: DataFrame) -> DataFrame:
     """Pairs of classes in different components that share enough first n-grams."""
     context = rows.sparkSession.sparkContext
@@ -392,24 +468,21 @@ def apart(rows: DataFrame, comps: DataFrame) -> DataFrame:
         for frame in runs(frames, "token"):
             token, cid, n = (frame[c].to_numpy() for c in ("token", "cid", "n"))
             comp = look(cid, frame["comp"])
-            bounds = bounds_of(token)
-            for start, end in zip(bounds[:-1], bounds[1:], strict=True):
-                for at in range(start, end - 1):
-                    rest = slice(at + 1, end)
-                    other = comp[rest] != comp[at]
-                    if other.any():
-                        low, high = np.minimum(n[rest], n[at]), np.maximum(n[rest], n[at])
-                        which = np.flatnonzero(other & (100 * low >= PERCENT * high))
-                        if len(which):
-                            yield pd.DataFrame({"a": cid[at], "b": cid[rest][which], "least": shared_prefix(low[which])})
+            for left, right in crossing(bounds_of(token), comp):
+                low, high = np.minimum(n[left], n[right]), np.maximum(n[left], n[right])
+                fits = 100 * low >= PERCENT * high
+                if fits.any():
+                    yield pd.DataFrame({"a": cid[left][fits], "b": cid[right][fits], "least": shared_prefix(low[fits])})
 
     dealt = rows.repartition("token").sortWithinPartitions("token", "cid")
     seen = dealt.mapInPandas(pair, "a long, b long, least int")
+    seen = seen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "least")
     return seen.groupBy("a", "b", "least").count().where("count >= least").select("a", "b")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """`doc_id`, `n_shingles` and `component_id` of every document with doc_id and text."""
+    small_batches(docs.sparkSession)
     table = stored(measured(docs), "measured")
     levels = levels_of(table)
     held = table.where("piece IS NULL").select("doc_id", "n", "cid")
