@@ -99,6 +99,22 @@ def test_crossing_pairs_by_brute_force():
     assert len(found) == len(set(found)) and set(found) == want
 
 
+def test_a_family_needs_no_pairs_beside_its_head(spark, tables):
+    """Copies that link with the text they were made from, and not with one another, make few candidates."""
+    draw = random.Random(16)
+    base = [f"w{i}" for i in range(120)]
+    family = [doc(0, " ".join(base))]
+    for i in range(1, 120):
+        text = list(base)
+        for at in draw.sample(range(5, 115, 6), 2):
+            text[at] = f"x{i}-{at}"
+        family.append(doc(i, " ".join(text)))
+    docs = spark.read.parquet(tables(documents=family) + "/documents.parquet")
+    found = trie_join.near_duplicates(docs).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == components(family)
+    assert {r.component_id for r in found} == {0}
+
+
 def test_deduplicated_keeps_one_of_each(spark, tables):
     docs = near_copies(9)
     table = spark.read.parquet(tables(documents=docs + [doc(None, "x y"), doc(None, "x y")]) + "/documents.parquet")

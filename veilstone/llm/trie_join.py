@@ -22,6 +22,7 @@ repeated rows are copies; a NULL id is a document whose component is named by th
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -170,7 +171,7 @@ def measured(docs: DataFrame) -> DataFrame:
             yield frame[["doc_id", "no_id"]].assign(n=sizes, cid=cids, piece=None, counts=None)
         if seen:
             for i, part in enumerate(np.split(counts, PIECES)):
-                yield pd.DataFrame({"doc_id": [0], "no_id": False, "n": 0, "cid": 0, "piece": i, "counts": [part.tobytes()]})
+                yield pd.DataFrame({"doc_id": [0], "no_id": False, "n": 0, "cid": 0, "piece": i, "counts": [zlib.compress(part.tobytes(), 1)]})
 
     kinds = "doc_id long, no_id boolean, n long, cid long, piece int, counts binary"
     told = with_flag(docs).mapInPandas(measure, kinds)
@@ -188,7 +189,7 @@ def levels_of(table: DataFrame) -> np.ndarray:
     def total(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         out = np.zeros((1 << BUCKET_BITS) // PIECES, np.int64)
         for part in frame["counts"]:
-            out += np.frombuffer(part, np.uint32)
+            out += np.frombuffer(zlib.decompress(part), np.uint32)
         return pd.DataFrame({"piece": [key[0]], "counts": [out.tobytes()]})
 
     parts = table.where("piece IS NOT NULL").select("piece", "counts").groupBy("piece").applyInPandas(total, "piece int, counts binary")
@@ -205,14 +206,14 @@ def levels_of(table: DataFrame) -> np.ndarray:
 
 
 def beginnings(docs: DataFrame, levels: np.ndarray) -> DataFrame:
-    """`token`, `cid` and `n` for the first n-grams of every class, once per task."""
+    """`token`, `cid`, `n` and the token's place `pos` for the first n-grams of every class, once per task."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)  # a table of fixed size
 
     def begin(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler, seen = Shingler(), set()
         for frame in frames:
             for at in range(0, len(frame), 500):
-                tokens, cids, sizes = [], [], []
+                tokens, cids, sizes, places = [], [], [], []
                 for text in frame["text"].iloc[at : at + 500]:
                     grams = shingler.set_of(text)
                     cid = class_of(grams)
@@ -222,11 +223,12 @@ def beginnings(docs: DataFrame, levels: np.ndarray) -> DataFrame:
                         tokens.append(first)
                         cids.append(np.full(len(first), cid))
                         sizes.append(np.full(len(first), len(grams)))
+                        places.append(np.arange(len(first)))
                 if tokens:
                     token = np.concatenate(tokens).view(np.int64)
-                    yield pd.DataFrame({"token": token, "cid": np.concatenate(cids), "n": np.concatenate(sizes)})
+                    yield pd.DataFrame({"token": token, "cid": np.concatenate(cids), "n": np.concatenate(sizes), "pos": np.concatenate(places)})
 
-    return docs.select("text").mapInPandas(begin, "token long, cid long, n int")
+    return docs.select("text").mapInPandas(begin, "token long, cid long, n int, pos int")
 
 
 def runs(frames: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
@@ -253,7 +255,8 @@ def bounds_of(keys: np.ndarray) -> np.ndarray:
 
 
 def met(first: DataFrame) -> DataFrame:
-    """Rows of tokens that two classes or more begin with, each with its group's head, the class of the smallest id."""
+    """Rows of tokens that two classes or more begin with, each with its group's head: the class with the fewest rarer
+    n-grams before the token, which of a family of copies is the one the others were made from."""
 
     def keep(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in runs(frames, "token"):
@@ -262,16 +265,20 @@ def met(first: DataFrame) -> DataFrame:
             bounds = bounds_of(token)
             sizes = np.diff(bounds)
             head = np.repeat(bounds[:-1], sizes)
-            out = frame.assign(head=frame["cid"].to_numpy()[head], head_n=frame["n"].to_numpy()[head])
+            out = frame.assign(**{f"head{c}": frame[k].to_numpy()[head] for c, k in (("", "cid"), ("_n", "n"))})
             yield out[np.repeat(sizes, sizes) > 1]
 
-    dealt = first.repartition("token").sortWithinPartitions("token", "cid")
-    return dealt.mapInPandas(keep, "token long, cid long, n int, head long, head_n int")
+    dealt = first.repartition("token").sortWithinPartitions("token", "pos", "cid")
+    return dealt.mapInPandas(keep, "token long, cid long, n int, pos int, head long, head_n int")
 
 
-def alike(a: str, b: str) -> Column:
-    """Sizes that a link allows."""
-    return (100 * F.least(a, b) >= PERCENT * F.greatest(a, b))
+def reaches(n: np.ndarray, pos: np.ndarray, other_n: np.ndarray, other_pos: np.ndarray) -> np.ndarray:
+    """Whether sets that share a token at these places can link: by their sizes, and as the token may be one of the first
+    r(n) shared ones, after which enough n-grams must be left on either side. Of a pair that links, the first r(n)
+    shared tokens all pass."""
+    low, high = np.minimum(n, other_n), np.maximum(n, other_n)
+    left = np.minimum(n - pos, other_n - other_pos) - 1
+    return (100 * low >= PERCENT * high) & (shared_prefix(low) + left >= need(n, other_n))
 
 
 # 3. and 4. verification
@@ -450,10 +457,10 @@ def apart(rows: DataFrame, comps: DataFrame) -> DataFrame:
     if comps.count() <= BROADCAST_IDS:
         table = comps.toPandas().sort_values("cid")
         shared = context.broadcast((table["cid"].to_numpy().astype(np.int64), table["comp"].to_numpy().astype(np.int64)))
-        rows = rows.select("token", "cid", "n", F.lit(0).cast("long").alias("comp"))
+        rows = rows.select("token", "cid", "n", "pos", F.lit(0).cast("long").alias("comp"))
     else:
         shared = context.broadcast(None)
-        rows = rows.join(comps, "cid", "left").select("token", "cid", "n", F.coalesce("comp", "cid").alias("comp"))
+        rows = rows.join(comps, "cid", "left").select("token", "cid", "n", "pos", F.coalesce("comp", "cid").alias("comp"))
 
     def look(cid: np.ndarray, comp: pd.Series) -> np.ndarray:
         if shared.value is None:
@@ -466,13 +473,13 @@ def apart(rows: DataFrame, comps: DataFrame) -> DataFrame:
 
     def pair(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in runs(frames, "token"):
-            token, cid, n = (frame[c].to_numpy() for c in ("token", "cid", "n"))
+            token, cid, n, pos = (frame[c].to_numpy() for c in ("token", "cid", "n", "pos"))
             comp = look(cid, frame["comp"])
             for left, right in crossing(bounds_of(token), comp):
-                low, high = np.minimum(n[left], n[right]), np.maximum(n[left], n[right])
-                fits = 100 * low >= PERCENT * high
+                fits = reaches(n[left], pos[left], n[right], pos[right])
                 if fits.any():
-                    yield pd.DataFrame({"a": cid[left][fits], "b": cid[right][fits], "least": shared_prefix(low[fits])})
+                    left, right = left[fits], right[fits]
+                    yield pd.DataFrame({"a": cid[left], "b": cid[right], "least": shared_prefix(np.minimum(n[left], n[right]))})
 
     dealt = rows.repartition("token").sortWithinPartitions("token", "cid")
     seen = dealt.mapInPandas(pair, "a long, b long, least int")
@@ -488,7 +495,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     held = table.where("piece IS NULL").select("doc_id", "n", "cid")
     classes = stored(held.groupBy("cid").agg(F.min("doc_id").alias("least"), F.max("n").alias("n"), F.count("*").alias("rows")), "classes")
     groups = stored(met(beginnings(docs, levels)), "met")
-    stars = groups.where((F.col("cid") != F.col("head")) & alike("n", "head_n")).groupBy("head", "cid", "n", "head_n").count()
+    sizes = (100 * F.least("n", "head_n") >= PERCENT * F.greatest("n", "head_n"))
+    stars = groups.where((F.col("cid") != F.col("head")) & sizes).groupBy("head", "cid", "n", "head_n").count()
     enough = F.col("count") >= shared_prefix_column(F.least("n", "head_n"))
     starred = verified(stars.where(enough).select(F.col("head").alias("a"), F.col("cid").alias("b")), docs, classes, levels)
     crossed = verified(apart(groups, components(starred)), docs, classes, levels)
