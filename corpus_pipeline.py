@@ -1,7 +1,7 @@
 """The corpus pipeline: stages over `documents`, each written as Parquet and read again as the next one's input.
 
 All but the last keep the columns of documents. Language ID drops texts whose language cannot be told, the n-gram join
-keeps one document of each near-duplicate component, decontamination drops documents that contain a benchmark item,
+keeps one row with an id of each near-duplicate component, decontamination drops rows that contain a benchmark item,
 mixing repeats or drops documents to meet the source targets, and sharding places what is left.
 """
 
@@ -20,12 +20,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component of linked texts."""
+    """Of the rows with an id in each component of linked texts, one with the smallest id."""
     return trie_join.deduplicated(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
+    """Rows that contain no benchmark item."""
     return decontamination.decontaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 

@@ -78,9 +78,9 @@ def sketches(items: DataFrame, n: int = N) -> DataFrame:
     return parts.select("item_id", fewest, F.explode(F.slice(F.array_sort("held"), 1, F.col("_k"))).alias("gram"))
 
 
-def contained(docs: DataFrame, items: DataFrame, n: int = N) -> DataFrame:
-    """`doc_id`, `item_id`, `n_item`, `n_shared` and `containment` of every item that a document contains.
-    `docs`: doc_id and text; `items`: item_id and text."""
+def held_by(docs: DataFrame, items: DataFrame, n: int = N) -> DataFrame:
+    """`doc_id`, `text_key`, `item_id`, `n_item` and `n_shared` of every item that a text contains. `docs`: doc_id and
+    text; `items`: item_id and text."""
     marked = docs.select("doc_id", F.xxhash64("text").alias("text_key"), words_of("text").alias("words"))
     probes = stored(sketches(items, n), "sketches")
     asked = sent(probes)
@@ -104,7 +104,12 @@ def contained(docs: DataFrame, items: DataFrame, n: int = N) -> DataFrame:
     )
     pairs = candidates.withColumnsRenamed({"doc_id": "_id", "text_key": "_key", "item_id": "_item"})
     same = shared["doc_id"].eqNullSafe(pairs["_id"]) & (shared["text_key"] == pairs["_key"]) & shared["item_id"].eqNullSafe(pairs["_item"])
-    found = shared.join(pairs, same, "left_semi").groupBy("doc_id", "item_id", "n_item").agg(F.max("n_shared").alias("n_shared"))
+    return shared.join(pairs, same, "left_semi")
+
+
+def contained(docs: DataFrame, items: DataFrame, n: int = N) -> DataFrame:
+    """`doc_id`, `item_id`, `n_item`, `n_shared` and `containment` of every item that a document contains."""
+    found = held_by(docs, items, n).groupBy("doc_id", "item_id", "n_item").agg(F.max("n_shared").alias("n_shared"))
     return found.withColumn("containment", F.col("n_shared") / F.col("n_item"))
 
 
@@ -114,9 +119,10 @@ def op7_minhash_containment(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that contain no item."""
-    found = stored(contained(docs, items).select(F.col("doc_id").alias("_id")).distinct(), "leaks")
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]), "left_anti")
+    """The rows whose own text contains no item; another text under the same id, or without one, decides nothing."""
+    found = held_by(docs, items).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+    found = stored(found.distinct(), "leaks")
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]) & (F.xxhash64(docs["text"]) == found["_key"]), "left_anti")
 
 
 ORACLE = """

@@ -141,8 +141,8 @@ def prefix_length(n: int) -> int:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """`doc_id`, `n` and `cid` of every document, and with `piece` not NULL the counts of a stretch of hash buckets from
-    one task. Copies of a set count once in a task."""
+    """`doc_id`, `text_key`, `n` and `cid` of every document, and with `piece` not NULL the counts of a stretch of hash
+    buckets from one task. Copies of a set count once in a task."""
 
     def measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler, counts, seen = Shingler(), np.zeros(1 << BUCKET_BITS, np.uint32), set()
@@ -168,13 +168,13 @@ def measured(docs: DataFrame) -> DataFrame:
                     count(held)
                     held = held[:1]
             count(held)
-            yield frame[["doc_id", "no_id"]].assign(n=sizes, cid=cids, piece=None, counts=None)
+            yield frame[["doc_id", "no_id", "text_key"]].assign(n=sizes, cid=cids, piece=None, counts=None)
         if seen:
             for i, part in enumerate(np.split(counts, PIECES)):
-                yield pd.DataFrame({"doc_id": [0], "no_id": False, "n": 0, "cid": 0, "piece": i, "counts": [zlib.compress(part.tobytes(), 1)]})
+                yield pd.DataFrame({"doc_id": [0], "no_id": False, "text_key": 0, "n": 0, "cid": 0, "piece": i, "counts": [zlib.compress(part.tobytes(), 1)]})
 
-    kinds = "doc_id long, no_id boolean, n long, cid long, piece int, counts binary"
-    told = with_flag(docs).mapInPandas(measure, kinds)
+    kinds = "doc_id long, no_id boolean, text_key long, n long, cid long, piece int, counts binary"
+    told = with_flag(docs).withColumn("text_key", F.xxhash64("text")).mapInPandas(measure, kinds)
     return told.withColumn("doc_id", F.when(~F.col("no_id"), F.col("doc_id"))).drop("no_id")
 
 
@@ -487,13 +487,17 @@ def apart(rows: DataFrame, comps: DataFrame) -> DataFrame:
     return seen.groupBy("a", "b", "least").count().where("count >= least").select("a", "b")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """`doc_id`, `n_shingles` and `component_id` of every document with doc_id and text."""
+def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of every document with doc_id and text: `doc_id`, `text_key`, `n`, `component_id` and `first_key`, the text key of
+    the component's first row, which is the one with the smallest id and then the smallest key. Those without n-grams
+    come apart, as they are in no component."""
     small_batches(docs.sparkSession)
     table = stored(measured(docs), "measured")
     levels = levels_of(table)
-    held = table.where("piece IS NULL").select("doc_id", "n", "cid")
-    classes = stored(held.groupBy("cid").agg(F.min("doc_id").alias("least"), F.max("n").alias("n"), F.count("*").alias("rows")), "classes")
+    held = table.where("piece IS NULL").select("doc_id", "text_key", "n", "cid")
+    spot = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_key"))
+    per_class = held.groupBy("cid").agg(F.min(spot).alias("first"), F.max("n").alias("n"), F.count("*").alias("rows"))
+    classes = stored(per_class.select("cid", F.col("first.doc_id").alias("least"), "first", "n", "rows"), "classes")
     groups = stored(met(beginnings(docs, levels)), "met")
     sizes = (100 * F.least("n", "head_n") >= PERCENT * F.greatest("n", "head_n"))
     stars = groups.where((F.col("cid") != F.col("head")) & sizes).groupBy("head", "cid", "n", "head_n").count()
@@ -502,12 +506,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     crossed = verified(apart(groups, components(starred)), docs, classes, levels)
     comps = components(starred.unionByName(crossed))
     named = classes.join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-    least = named.groupBy("comp").agg(F.min("least").alias("component_id"))
-    lookup = stored(named.join(least, "comp").select("cid", "component_id"), "lookup")
+    first = named.groupBy("comp").agg(F.min("first").alias("_first"))
+    told = F.col("_first.doc_id").alias("component_id"), F.col("_first.text_key").alias("first_key")
+    lookup = stored(named.join(first, "comp").select("cid", *told), "lookup")
     full = held.where("n > 0")
     out = skew_safe_lookup(full, lookup, classes.select("cid", F.col("rows").alias("rows")), "cid", "doc_id", n="rows")
-    alone = held.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    return out.select("doc_id", "n", "component_id").unionByName(alone).withColumnRenamed("n", "n_shingles")
+    return out.drop("cid"), held.where("n = 0").drop("cid")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """`doc_id`, `n_shingles` and `component_id` of every document with doc_id and text."""
+    full, empty = grouped(docs)
+    alone = empty.select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    return full.select("doc_id", "n", "component_id").unionByName(alone).withColumnRenamed("n", "n_shingles")
 
 
 def shared_prefix_column(n: Column) -> Column:
@@ -520,6 +531,20 @@ def op9_trie_components(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """One document of each component stays, the one with the smallest id; documents without an id stay."""
-    found = near_duplicates(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(found, F.col("doc_id") == F.col("_id"), "left_anti")
+    """Of the rows with an id in each component one stays: the one with the smallest id, then the smallest text key, then
+    the first by the other columns. Rows without an id stay, as do rows whose text has no n-grams."""
+    full, _ = grouped(docs)
+    first = (F.col("doc_id") == F.col("component_id")) & (F.col("text_key") == F.col("first_key"))
+    per_key = full.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), first.alias("_first"))
+    # texts that go, and first rows that are there more than once; single first rows are not touched
+    copies = stored(per_key.agg(F.count("*").alias("_n")).where("NOT _first OR _n > 1"), "copies")
+    same = lambda keys: (docs["doc_id"] == keys["_id"]) & (F.xxhash64(docs["text"]) == keys["_key"])
+    single = docs.join(copies, same(copies), "left_anti")
+    again = copies.where("_first")
+    if again.isEmpty():
+        return single
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    order = F.to_json(F.struct(*others)) if others else F.lit("")
+    key = F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key")
+    one = docs.join(again, same(again), "left_semi").groupBy(*key).agg(F.min_by(F.struct(*docs.columns), order).alias("_row"))
+    return single.unionByName(one.select("_row.*"))
