@@ -249,6 +249,16 @@ def test_contexts_of_seeds_find_unseen_identifiers(spark, tables):
     assert [(r.doc_id, r.kind, r.start, r.stop) for r in added] == [(100, "phone", 18, 26)]
 
 
+def test_learned_identifiers_back_further_contexts(spark, tables):
+    """Numbers learned after 'phone:' also stand after 'hotline', which no seed follows."""
+    docs = [doc(i, f"some text, phone: +1 (555) 010-0{i:03d} and more") for i in range(200)]
+    docs += [doc(1000 + 10 * i + k, f"some text, phone: 555-01{i:02d} and more") for i in range(6) for k in range(9)]
+    docs += [doc(2000 + i, f"call hotline 555-01{i:02d} today") for i in range(6)] + [doc(3000, "call hotline 555-7777 today")]
+    rows, spans = pii.extract(spark.read.parquet(tables(documents=docs) + "/documents.parquet"))
+    added = {r.doc_id: r.kind for r in spans.where("NOT base").join(rows, "row").collect()}
+    assert added == {d[0]: "phone" for d in docs if d[0] >= 1000}
+
+
 def test_native_operators_run_no_python(spark, tables):
     docs = spark.read.parquet(tables(documents=near_copies(14)) + "/documents.parquet")
     items = docs.limit(5).select(F.col("doc_id").alias("item_id"), "text")

@@ -3,8 +3,8 @@
 Entities of four kinds that a pattern and a check can tell (e-mail, IPv4, card, phone) are the seeds. The words right before
 them become lexical patterns. Patterns and the strings they precede form a weighted graph; in each round a pattern
 gets, per kind, the mean confidence of its strings, and a string the mean of its patterns, seeds staying at 1. Patterns
-that end up sure of a kind and that `SUPPORT` different seeds back then mark other identifiers, words with three digits
-or an @, that stand after them and that no base rule matched.
+that end up sure of a kind and that `SUPPORT` different strings back, seeds or strings that are sure by then, mark other
+identifiers, words with three digits or an @, that stand after them and that no base rule matched.
 
 DataFrame code only: texts are read once, what comes out of them is narrow and linear in the number of matches. Base
 patterns are written so that no text makes them backtrack: a run of letters is entered at its start only.
@@ -121,7 +121,6 @@ def confident(seeds: DataFrame, words: DataFrame, rounds: int = ROUNDS, sure: fl
     """`pattern`, `kind` and `score` of the patterns that are sure of a kind. `seeds`: instance, kind, pattern of base
     spans; `words`: instance and pattern of other identifiers."""
     seeds, words = seeds.where("pattern IS NOT NULL"), words.where("pattern IS NOT NULL")
-    backed = seeds.groupBy("pattern", "kind").agg(F.count_distinct("instance").alias("n")).where(F.col("n") >= support)
     edges = seeds.select("pattern", "instance").unionByName(words.select("pattern", "instance"))
     edges = stored(edges.groupBy("pattern", "instance").agg(F.count("*").alias("w")), "edges")
     known = stored(seeds.select("instance", "kind").distinct(), "seeds")
@@ -130,13 +129,16 @@ def confident(seeds: DataFrame, words: DataFrame, rounds: int = ROUNDS, sure: fl
     unseen = edges.join(known.select("instance").distinct(), "instance", "left_anti")
     patterns = None
     for i in range(rounds):
-        heard = edges.join(strings, "instance").groupBy("pattern", "kind").agg(F.sum(F.col("w") * F.col("r")).alias("sum"))
-        patterns = stored(heard.join(of_pattern, "pattern").select("pattern", "kind", (F.col("sum") / F.col("all")).alias("r")), "patterns")
+        # an instance backs a pattern once it is sure itself, seed or learned; edges hold each pair once
+        backing = F.count_if(F.col("r") >= sure).alias("backing")
+        heard = edges.join(strings, "instance").groupBy("pattern", "kind").agg(F.sum(F.col("w") * F.col("r")).alias("sum"), backing)
+        scored = heard.join(of_pattern, "pattern").select("pattern", "kind", (F.col("sum") / F.col("all")).alias("r"), "backing")
+        patterns = stored(scored, "patterns")
         if i < rounds - 1:
             heard = unseen.join(patterns, "pattern").groupBy("instance", "kind").agg(F.sum(F.col("w") * F.col("r")).alias("sum"))
             learned = heard.join(of_instance, "instance").select("instance", "kind", (F.col("sum") / F.col("all")).alias("r"))
             strings = stored(known.withColumn("r", F.lit(1.0)).unionByName(learned), "strings")
-    chosen = patterns.where(F.col("r") >= sure).join(backed, ["pattern", "kind"], "left_semi")
+    chosen = patterns.where((F.col("r") >= sure) & (F.col("backing") >= support))
     return chosen.groupBy("pattern").agg(F.max_by("kind", F.struct("r", "kind")).alias("kind"), F.max("r").alias("score"))
 
 
