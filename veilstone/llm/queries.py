@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from veilstone.llm import ann, decontamination, langid, mixing, pii, quality, sharding, toxicity, trie_join, warc
+from veilstone.llm import (
+    ann, bpe, decontamination, langid, mixing, negatives, pii, quality, sharding, toxicity, trie_join, warc, whitening,
+)
 
 QUERIES = {
     "op1_marginal_langid": langid.op1_marginal_langid,
@@ -15,11 +17,15 @@ QUERIES = {
     "op8_one_bit_neighbours": ann.op8_one_bit_neighbours,
     "op9_trie_components": trie_join.op9_trie_components,
     "op10_flow_mix": mixing.op10_flow_mix,
+    "op11_byte_bpe": bpe.op11_byte_bpe,
+    "op12_block_whitening": whitening.op12_block_whitening,
+    "op13_slot_negatives": negatives.op13_slot_negatives,
 }
 
 #: What DuckDB can express; hashes of 64 bits, trained models and floating draws are tested by brute force instead.
 ORACLE = {
     "op7_minhash_containment": decontamination.ORACLE,
+    "op13_slot_negatives": negatives.ORACLE,
     "op3_warc_captures": """
         WITH p AS (
             SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
