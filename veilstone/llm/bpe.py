@@ -21,8 +21,10 @@ empty one. Very long texts are read piece by piece, so a task holds one text, it
 from __future__ import annotations
 
 import base64
+import gc
 import struct
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -35,13 +37,15 @@ from veilstone.llm.common import read_table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Bounds of what a worker remembers; whatever is forgotten is made anew.
-STATES = 200_000
-PIECES = 200_000
+STATES = 100_000
+PIECES = 60_000
 PIECE_LETTERS = 64
-BYTES = [bytes([byte]) for byte in range(256)]
+#: Rows that are given at once.
+ROWS = 500
+#: Stands for the last token where there is none.
+FIRST = (1 << 31) - 1
 #: What stands for the rank of no further merge.
 ENDS = float("inf")
-NO_PREFIX = (None, False)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -51,12 +55,12 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class State:
-    """A set of open walks: the last token, the bytes read since its end, and the tokens not given yet. The last walk
+    """A set of open walks: the last token, the place in the tree of tokens, and the tokens not given yet. The last walk
     stands at the border that ends here."""
 
     __slots__ = ("walks", "moves", "rest")
 
-    def __init__(self, walks: tuple[tuple[bytes | None, bytes, tuple[int, ...]], ...]):
+    def __init__(self, walks: tuple[tuple[int, int, tuple[int, ...]], ...]):
         self.walks = walks
         self.moves: dict[int, tuple[tuple[int, ...], State]] = {}
         self.rest = walks[-1][2]
@@ -70,17 +74,36 @@ class Transducer:
         if missing:
             raise ValueError(f"no token for the bytes {missing}")
         self.ranks, self.limit = ranks, states
-        beginnings = {token[:n] for token in ranks for n in range(1, len(token))}
-        self.prefixes = {read: (ranks.get(read), read in beginnings) for read in beginnings | ranks.keys()}
+        self.bytes_of = {rank: token for token, rank in ranks.items()}
+        # the tree of tokens: children by place and byte, and at each place the token that ends and whether any goes on
+        self.children: dict[int, int] = {}
+        self.ends: list[int | None] = [None]
+        self.goes_on: list[bool] = [True]
+        for token, rank in ranks.items():
+            at = 0
+            for byte in token:
+                self.goes_on[at] = True
+                step = at << 8 | byte
+                at = self.children.get(step, 0)
+                if not at:
+                    at = self.children[step] = len(self.ends)
+                    self.ends.append(None)
+                    self.goes_on.append(False)
+            self.ends[at] = rank
         self.split = regex.compile(pattern)
         self.known = Pieces(self.pack)
         self.spines: dict[bytes, tuple | None] = {}
+        self.states: dict[tuple, State] = {}
+        self.borders: dict[int, bool] = {}
         self.reset()
 
     def reset(self) -> None:
-        self.states: dict[tuple, State] = {}
-        self.borders: dict[tuple[bytes | None, bytes], bool] = {}
-        self.start = self.state(((None, b"", ()),))
+        for state in self.states.values():
+            state.moves.clear()  # states refer to each other in circles
+        self.states.clear()
+        if len(self.borders) > 4 * self.limit:
+            self.borders.clear()
+        self.start = self.state(((FIRST, 0, ()),))
 
     def state(self, walks: tuple) -> State:
         found = self.states.get(walks)
@@ -116,20 +139,19 @@ class Transducer:
             self.spines[token] = found
         return found
 
-    def holds(self, left: bytes | None, right: bytes) -> bool:
+    def holds(self, last: int, rank: int) -> bool:
         """Whether the border between two tokens stays one; with nothing to the left, whether the token comes out at all.
 
         Parts at a border merge if that rank is lower than those of the merges that would take them up on either side."""
-        kept = self.borders.get((left, right))
-        if kept is None:
-            before, after = left is not None and self.edges(left), self.edges(right)
-            if left is None:
-                kept = after is not None or self.merged(right) == [right]
-            elif not before or not after:
-                kept = self.merged(left + right) == [left, right]
-            else:
-                kept = self.apart(before[1], after[0])
-            self.borders[left, right] = kept
+        right = self.bytes_of[rank]
+        after = self.edges(right)
+        if last == FIRST:
+            kept = after is not None or self.merged(right) == [right]
+        else:
+            left = self.bytes_of[last]
+            before = self.edges(left)
+            kept = self.apart(before[1], after[0]) if before and after else self.merged(left + right) == [left, right]
+        self.borders[last << 32 | rank] = kept
         return kept
 
     def apart(self, before: list[tuple[bytes, float]], after: list[tuple[bytes, float]]) -> bool:
@@ -148,21 +170,21 @@ class Transducer:
 
     def move(self, state: State, byte: int) -> tuple[tuple[int, ...], State]:
         """The transition of the deterministic form: the tokens that are settled by the byte, and the next state."""
-        walks, one, border = [], BYTES[byte], None
-        for last, read, pending in state.walks:
-            read += one
-            rank, goes_on = self.prefixes.get(read, NO_PREFIX)
+        walks, border = [], None
+        children, ends, goes_on, borders = self.children, self.ends, self.goes_on, self.borders
+        for last, at, pending in state.walks:
+            at = children.get(at << 8 | byte)
+            if at is None:
+                continue
+            rank = ends[at]
             if rank is not None and border is None:  # a prefix has one last token, so one border holds here
-                kept = self.borders.get((last, read))
-                if kept or (kept is None and self.holds(last, read)):
-                    border = (read, b"", (*pending, rank))
-            if goes_on:
-                walks.append((last, read, pending))
-        walks.append(border)
+                kept = borders.get(last << 32 | rank)
+                if kept or (kept is None and self.holds(last, rank)):
+                    border = (rank, 0, (*pending, rank))
+            if goes_on[at]:
+                walks.append((last, at, pending))
         given = border[2]
         for _, _, pending in walks:
-            if not given:
-                break
             if pending[: len(given)] != given:
                 same = 0
                 for ours, theirs in zip(given, pending, strict=False):
@@ -170,9 +192,13 @@ class Transducer:
                         break
                     same += 1
                 given = given[:same]
-        n = len(given)
-        then = tuple([(last, read, pending[n:]) for last, read, pending in walks] if n else walks)
-        state.moves[byte] = found = (given, self.state(then))
+            if not given:
+                break
+        walks.append(border)
+        if given:
+            n = len(given)
+            walks = [(last, at, pending[n:]) for last, at, pending in walks]
+        found = state.moves[byte] = (given, self.state(tuple(walks)))
         return found
 
     def tokens(self, piece: bytes) -> list[int]:
@@ -199,16 +225,20 @@ class Transducer:
 
 
 class Pieces(dict):
-    """Tokens of the short pieces met so far."""
+    """Tokens of the short pieces met of late: those met since the last change of generation, and those of the one before
+    that are met again."""
 
     def __init__(self, make: Callable[[str], bytes]):
         super().__init__()
-        self.make = make
+        self.make, self.older = make, {}
 
     def __missing__(self, piece: str) -> bytes:
-        made = self.make(piece)
+        made = self.older.get(piece)
+        if made is None:
+            made = self.make(piece)
         if len(piece) <= PIECE_LETTERS:
             if len(self) >= PIECES:
+                self.older = dict(self)
                 self.clear()
             self[piece] = made
         return made
@@ -282,11 +312,27 @@ class Decoder:
         return BROKEN if left else ""
 
 
+@contextmanager
+def no_collection() -> Iterator[None]:
+    """Without the search for circles of garbage, which would walk through all states again and again; `reset` cuts theirs."""
+    was_on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was_on:
+            gc.enable()
+
+
 @lru_cache(maxsize=2)
-def _machines(path: str, pattern: str) -> tuple[Transducer, Decoder]:
-    """One pair for each worker process."""
-    ranks = read_ranks(path)
-    return Transducer(ranks, pattern), Decoder({rank: token for token, rank in ranks.items()})
+def _encoder(path: str, pattern: str) -> Transducer:
+    """One for each worker process."""
+    return Transducer(read_ranks(path), pattern)
+
+
+@lru_cache(maxsize=2)
+def _decoder(path: str) -> Decoder:
+    return Decoder({rank: token for token, rank in read_ranks(path).items()})
 
 
 def default_ranks() -> str:
@@ -307,7 +353,7 @@ def _with_column(df: DataFrame, into: str, kind: str, fill: Callable[[pa.RecordB
     schema = kept.withColumn(into, F.lit(None).cast(kind)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             made = fill(batch)
             rest = [name for name in batch.schema.names if name != into]
             columns = [batch.column(batch.schema.names.index(name)) for name in rest]
@@ -321,22 +367,23 @@ def encoded(df: DataFrame, text: str, into: str = "ids", path: str | None = None
     path, pattern = path or default_ranks(), pattern or default_pattern()
 
     def fill(batch: pa.RecordBatch) -> pa.Array:
-        machine, _ = _machines(path, pattern)
+        machine = _encoder(path, pattern)
         texts = batch.column(batch.schema.names.index(text))
-        return pa.array((machine.encode(t.as_py() or "") for t in texts), pa.binary())
+        with no_collection():
+            return pa.array([machine.encode(t.as_py() or "") for t in texts], pa.binary())
 
     return _with_column(df, into, "binary", fill)
 
 
-def decoded(df: DataFrame, ids: str = "ids", into: str = "decoded", path: str | None = None, pattern: str | None = None) -> DataFrame:
+def decoded(df: DataFrame, ids: str = "ids", into: str = "decoded", path: str | None = None) -> DataFrame:
     """Adds the text of a column of tokens as `encoded` makes it."""
-    path, pattern = path or default_ranks(), pattern or default_pattern()
+    path = path or default_ranks()
 
     def text_of(machine: Decoder, packed: bytes | None) -> str | None:
         return None if packed is None else machine.feed(np.frombuffer(packed, "<u4").tolist()) + machine.close()
 
     def fill(batch: pa.RecordBatch) -> pa.Array:
-        _, machine = _machines(path, pattern)
+        machine = _decoder(path)
         packed = batch.column(batch.schema.names.index(ids))
         return pa.array((text_of(machine, p.as_py()) for p in packed), pa.string())
 
