@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,9 +42,30 @@ def work_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+#: Paths that `stored` has written in the innermost open `scratch`.
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that `stored` writes inside go when it ends. What is to last must be stored after it."""
+    outer, mine = _written.get(), []
+    _written.set(mine)
+    try:
+        yield
+    finally:
+        _written.set(outer)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in mine:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder, read back: lineage ends there and lost executors cost nothing."""
     path = work_path(df.sparkSession, name)
+    if (written := _written.get()) is not None:
+        written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -11,10 +11,14 @@ The steps, each a Spark job over narrow rows (ids and hashes, not texts):
    counted over all documents in a table of fixed size, by hash bucket; buckets above the common load tell its level.
    The levels only order n-grams, so an inexact count costs time and never a link.
 2. Each class puts out its first n - ceil(0.8 n) + r(n) n-grams. Classes that link share at least the smaller r of them.
-3. In every group that shares an n-gram, each class is compared with one head. Groups of copies thereby become one
-   component without all their pairs.
+3. In every group that shares an n-gram, each class is paired with one head. Pairs whose signatures show that too little
+   is shared go at once; of what is left, each class is compared with its best head first, and with the other heads only
+   across components. Groups of copies thereby become one component without all their pairs.
 4. Classes of different components that share enough n-grams are compared directly, all of them: no link is lost, as
-   a pair is left out only if its classes are connected already.
+   a pair is left out only if its classes are connected already, or cannot link.
+
+A signature has a bit for about each n-gram of its set, set by the low bits of its hashes. A bit that is set in one and not in
+the other stands for an n-gram at least that is not shared: that bounds the overlap from above, exactly.
 
 Defined results: NULL and empty texts have no n-grams and link with nothing; texts of fewer words than `n` are one n-gram;
 repeated rows are copies; a NULL id is a document whose component is named by the smallest non-NULL id in it.
@@ -33,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilstone.functions.frames import skew_safe_lookup
-from veilstone.llm.common import read_table, small_batches, stored
+from veilstone.llm.common import read_table, scratch, small_batches, stored, work_path
 
 N = 5
 #: Link: 100 * overlap >= PERCENT * union.
@@ -41,8 +45,8 @@ PERCENT = 80
 #: Hash buckets of the holder counts: a fixed table, one byte each where it is broadcast.
 BUCKET_BITS = 22
 PIECES = 32
-#: Ids that go to the tasks as one broadcast; more are joined.
-BROADCAST_IDS = 2_000_000
+#: Slots of the filter of asked texts that is broadcast: a fixed table, whatever the input. A full one costs time, not results.
+BROADCAST_IDS = 1 << 24
 #: Candidates of one document that are verified in one trie.
 TRIE_SETS = 256
 _MIX = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -137,12 +141,33 @@ def prefix_length(n: int) -> int:
     return min(n, n - -(-PERCENT * n // 100) + shared_prefix(n))
 
 
+def signature(grams: np.ndarray) -> bytes:
+    """A bit mask as wide as the set is large, to the next power of two from 64 on."""
+    width = max(64, 1 << max(0, len(grams) - 1).bit_length())
+    mask = np.zeros(width, bool)
+    mask[(grams & np.uint64(width - 1)).astype(np.int64)] = True
+    return np.packbits(mask, bitorder="little").tobytes()
+
+
+def most_shared(a: bytes, n: int, b: bytes, m: int) -> int:
+    """An upper bound on the overlap of two sets of sizes `n` and `m` by their signatures."""
+    x, y = int.from_bytes(a, "little"), int.from_bytes(b, "little")
+    width, other = 8 * len(a), 8 * len(b)
+    while width > other:  # a wide mask folds onto a narrow one, as both go by low bits
+        width //= 2
+        x = (x >> width) | (x & ((1 << width) - 1))
+    while other > width:
+        other //= 2
+        y = (y >> other) | (y & ((1 << other) - 1))
+    return min(n - (x & ~y).bit_count(), m - (y & ~x).bit_count())
+
+
 # 1. classes and holder counts
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """`doc_id`, `text_key`, `n` and `cid` of every document, and with `piece` not NULL the counts of a stretch of hash
-    buckets from one task. Copies of a set count once in a task."""
+    """`doc_id`, `text_key`, `n`, `cid` and signature of every document, and with `piece` not NULL the counts of a stretch
+    of hash buckets from one task. Copies of a set count once in a task."""
 
     def measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler, counts, seen = Shingler(), np.zeros(1 << BUCKET_BITS, np.uint32), set()
@@ -155,12 +180,13 @@ def measured(docs: DataFrame) -> DataFrame:
                 np.add.at(counts, at, 1)
 
         for frame in frames:
-            sizes, cids, held = [], [], [np.zeros(0, np.uint64)]
+            sizes, cids, masks, held = [], [], [], [np.zeros(0, np.uint64)]
             for text in frame["text"]:
                 grams = shingler.set_of(text)
                 cid = class_of(grams)
                 sizes.append(len(grams))
                 cids.append(cid)
+                masks.append(signature(grams))
                 if cid not in seen:
                     seen.add(cid)
                     held.append(grams)
@@ -168,12 +194,12 @@ def measured(docs: DataFrame) -> DataFrame:
                     count(held)
                     held = held[:1]
             count(held)
-            yield frame[["doc_id", "no_id", "text_key"]].assign(n=sizes, cid=cids, piece=None, counts=None)
+            yield frame[["doc_id", "no_id", "text_key"]].assign(n=sizes, cid=cids, mask=masks, piece=None, counts=None)
         if seen:
             for i, part in enumerate(np.split(counts, PIECES)):
-                yield pd.DataFrame({"doc_id": [0], "no_id": False, "text_key": 0, "n": 0, "cid": 0, "piece": i, "counts": [zlib.compress(part.tobytes(), 1)]})
+                yield pd.DataFrame({"doc_id": [0], "no_id": False, "text_key": 0, "n": 0, "cid": 0, "mask": b"", "piece": i, "counts": [zlib.compress(part.tobytes(), 1)]})
 
-    kinds = "doc_id long, no_id boolean, text_key long, n long, cid long, piece int, counts binary"
+    kinds = "doc_id long, no_id boolean, text_key long, n long, cid long, mask binary, piece int, counts binary"
     told = with_flag(docs).withColumn("text_key", F.xxhash64("text")).mapInPandas(measure, kinds)
     return told.withColumn("doc_id", F.when(~F.col("no_id"), F.col("doc_id"))).drop("no_id")
 
@@ -344,23 +370,46 @@ def linked(query: np.ndarray, trie: Trie) -> list[int]:
     return found
 
 
+def slots() -> int:
+    """Slots of the filter, in whole bytes and pieces."""
+    return -(-BROADCAST_IDS // (8 * PIECES)) * 8 * PIECES
+
+
+def filter_of(keys: DataFrame) -> np.ndarray:
+    """A table of `slots()` bits, set where a key falls; `keys` has one long column, `key`."""
+    size = slots()
+
+    def mark(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits = np.zeros(size, bool)
+        for frame in frames:
+            bits[frame["key"].to_numpy() % size] = True
+        for i, part in enumerate(np.split(np.packbits(bits), PIECES)):
+            if part.any():
+                yield pd.DataFrame({"piece": [i], "bits": [zlib.compress(part.tobytes(), 1)]})
+
+    def joined(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        out = np.zeros(size // 8 // PIECES, np.uint8)
+        for part in frame["bits"]:
+            out |= np.frombuffer(zlib.decompress(part), np.uint8)
+        return pd.DataFrame({"piece": [key[0]], "bits": [out.tobytes()]})
+
+    kinds = "piece int, bits binary"
+    out = np.zeros((PIECES, size // 8 // PIECES), np.uint8)
+    for row in keys.mapInPandas(mark, kinds).groupBy("piece").applyInPandas(joined, kinds).collect():  # a table of fixed size
+        out[row["piece"]] = np.frombuffer(row["bits"], np.uint8)
+    return np.unpackbits(out.ravel()).astype(bool)
+
+
 def with_sets(docs: DataFrame, wanted: DataFrame, levels: np.ndarray) -> DataFrame:
-    """`cid` and its ordered set for the documents `wanted` by `doc_id`. Few ids travel to the texts; many are joined."""
+    """`cid` and its ordered set for the classes `wanted` by `cid` and the `key` of one of their texts. A filter of fixed
+    size tells most other texts, the join the rest."""
     context = docs.sparkSession.sparkContext
-    shared = context.broadcast(levels)  # a table of fixed size
-    ids = None
-    if wanted.count() <= BROADCAST_IDS:
-        told = wanted.select("doc_id").where("doc_id IS NOT NULL").toPandas()["doc_id"].to_numpy()
-        ids = context.broadcast(np.sort(told.astype(np.int64)))
-    else:
-        known = wanted.select(F.col("doc_id").alias("_id"))
-        docs = docs.join(known, docs["doc_id"].eqNullSafe(known["_id"]), "left_semi")
+    shared, bits = context.broadcast(levels), context.broadcast(filter_of(wanted.select("key")))  # tables of fixed size
 
     def collect(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler, seen = Shingler(), set()
         for frame in frames:
-            if ids is not None:
-                frame = frame[np.isin(frame["doc_id"].to_numpy(), ids.value) | frame["no_id"].to_numpy()]
+            frame = frame[bits.value[frame["text_key"].to_numpy() % len(bits.value)]]
             for at in range(0, len(frame), 200):
                 rows = []
                 for text in frame["text"].iloc[at : at + 200]:
@@ -371,15 +420,33 @@ def with_sets(docs: DataFrame, wanted: DataFrame, levels: np.ndarray) -> DataFra
                         rows.append((cid, ordered(grams, shared.value).tobytes()))
                 yield pd.DataFrame(rows, columns=["cid", "grams"])
 
-    return with_flag(docs).mapInPandas(collect, "cid long, grams binary").dropDuplicates(["cid"])
+    found = docs.select("text", F.xxhash64("text").alias("text_key")).mapInPandas(collect, "cid long, grams binary")
+    return found.join(wanted.select("cid"), "cid", "left_semi").dropDuplicates(["cid"])
+
+
+def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs `a`, `b` whose signatures allow a link. A class may be in very many pairs as `a`, and only in as many as it
+    has first n-grams as `b`."""
+    side = lambda c: classes.select(F.col("cid").alias(c), F.col("n").alias(f"n_{c}"), F.col("mask").alias(f"mask_{c}"))
+    counts = pairs.groupBy("a").agg(F.count("*").alias("n"))
+    told = skew_safe_lookup(pairs.join(side("b"), "b"), side("a"), counts, "a", "b")
+    names = pairs.columns
+
+    def sift(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            columns = (frame[c].to_numpy() for c in ("mask_a", "n_a", "mask_b", "n_b"))
+            kept = [most_shared(a, n, b, m) >= need(n, m) for a, n, b, m in zip(*columns, strict=True)]
+            yield frame[names][np.array(kept, bool)]
+
+    return stored(told.mapInPandas(sift, pairs.schema), "likely")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, levels: np.ndarray) -> DataFrame:
     """The pairs `a`, `b` of classes that link. The candidates of one class are verified in tries of at most about
-    `TRIE_SETS` sets, so that a class with very many is shared by several tasks."""
-    pairs = stored(pairs.select("a", "b"), "pairs")
+    `TRIE_SETS` sets, so that a class with very many is shared by several tasks. `pairs` is a stored table."""
+    pairs = pairs.select("a", "b")
     asked = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-    sets = stored(with_sets(docs, classes.join(asked, "cid", "left_semi").select(F.col("least").alias("doc_id")), levels), "sets")
+    sets = stored(with_sets(docs, stored(classes.join(asked, "cid", "left_semi").select("cid", "key"), "asked"), levels), "sets")
     shares = pairs.groupBy("a").agg(F.ceil(F.count("*") / TRIE_SETS).cast("int").alias("shares"))
     every = F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share")
     # a query is a row that names itself; no pair does
@@ -453,28 +520,12 @@ def crossing(bounds: np.ndarray, comp: np.ndarray, small: int = 64) -> Iterator[
 
 def apart(rows: DataFrame, comps: DataFrame) -> DataFrame:
     """Pairs of classes in different components that share enough first n-grams."""
-    context = rows.sparkSession.sparkContext
-    if comps.count() <= BROADCAST_IDS:
-        table = comps.toPandas().sort_values("cid")
-        shared = context.broadcast((table["cid"].to_numpy().astype(np.int64), table["comp"].to_numpy().astype(np.int64)))
-        rows = rows.select("token", "cid", "n", "pos", F.lit(0).cast("long").alias("comp"))
-    else:
-        shared = context.broadcast(None)
-        rows = rows.join(comps, "cid", "left").select("token", "cid", "n", "pos", F.coalesce("comp", "cid").alias("comp"))
-
-    def look(cid: np.ndarray, comp: pd.Series) -> np.ndarray:
-        if shared.value is None:
-            return comp.to_numpy()
-        keys, values = shared.value
-        if not len(keys):
-            return cid
-        at = np.minimum(np.searchsorted(keys, cid), len(keys) - 1)
-        return np.where(keys[at] == cid, values[at], cid)
+    # a class has no more rows than first n-grams, so no key is hot
+    rows = rows.join(comps, "cid", "left").select("token", "cid", "n", "pos", F.coalesce("comp", "cid").alias("comp"))
 
     def pair(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in runs(frames, "token"):
-            token, cid, n, pos = (frame[c].to_numpy() for c in ("token", "cid", "n", "pos"))
-            comp = look(cid, frame["comp"])
+            token, cid, n, pos, comp = (frame[c].to_numpy() for c in ("token", "cid", "n", "pos", "comp"))
             for left, right in crossing(bounds_of(token), comp):
                 fits = reaches(n[left], pos[left], n[right], pos[right])
                 if fits.any():
@@ -487,28 +538,56 @@ def apart(rows: DataFrame, comps: DataFrame) -> DataFrame:
     return seen.groupBy("a", "b", "least").count().where("count >= least").select("a", "b")
 
 
+def across(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """The pairs whose classes are in different components so far."""
+    side = lambda c: comps.select(F.col("cid").alias(c), F.col("comp").alias(f"comp_{c}"))
+    counts = pairs.groupBy("a").agg(F.count("*").alias("n"))
+    told = skew_safe_lookup(pairs.join(side("b"), "b", "left"), side("a"), counts, "a", "b")
+    return told.where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select(*pairs.columns)
+
+
+def linked_classes(docs: DataFrame, classes: DataFrame, levels: np.ndarray) -> DataFrame:
+    """`cid` and `comp` of all classes with links."""
+    groups = stored(met(beginnings(docs, levels)), "met")
+    sizes = (100 * F.least("n", "head_n") >= PERCENT * F.greatest("n", "head_n"))
+    stars = groups.where((F.col("cid") != F.col("head")) & sizes).groupBy("head", "cid", "n", "head_n").count()
+    enough = F.col("count") >= shared_prefix_column(F.least("n", "head_n"))
+    stars = likely(stars.where(enough).select(F.col("head").alias("a"), F.col("cid").alias("b"), "count"), classes)
+    best = stars.groupBy("b").agg(F.max_by("a", F.struct("count", "a")).alias("a")).select("a", "b")
+    links = verified(stored(best, "best"), docs, classes, levels)
+    comps = components(links)
+    for more in (lambda: across(stars.select("a", "b"), comps), lambda: likely(apart(groups, comps), classes)):
+        pairs = stored(more(), "pairs")
+        if not pairs.isEmpty():
+            links = stored(links.unionByName(verified(pairs, docs, classes, levels)), "links")
+            comps = components(links)
+    return comps
+
+
 def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of every document with doc_id and text: `doc_id`, `text_key`, `n`, `component_id` and `first_key`, the text key of
     the component's first row, which is the one with the smallest id and then the smallest key. Those without n-grams
     come apart, as they are in no component."""
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
     table = stored(measured(docs), "measured")
     levels = levels_of(table)
-    held = table.where("piece IS NULL").select("doc_id", "text_key", "n", "cid")
+    held = table.where("piece IS NULL").select("doc_id", "text_key", "n", "cid", "mask")
     spot = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_key"))
-    per_class = held.groupBy("cid").agg(F.min(spot).alias("first"), F.max("n").alias("n"), F.count("*").alias("rows"))
-    classes = stored(per_class.select("cid", F.col("first.doc_id").alias("least"), "first", "n", "rows"), "classes")
-    groups = stored(met(beginnings(docs, levels)), "met")
-    sizes = (100 * F.least("n", "head_n") >= PERCENT * F.greatest("n", "head_n"))
-    stars = groups.where((F.col("cid") != F.col("head")) & sizes).groupBy("head", "cid", "n", "head_n").count()
-    enough = F.col("count") >= shared_prefix_column(F.least("n", "head_n"))
-    starred = verified(stars.where(enough).select(F.col("head").alias("a"), F.col("cid").alias("b")), docs, classes, levels)
-    crossed = verified(apart(groups, components(starred)), docs, classes, levels)
-    comps = components(starred.unionByName(crossed))
-    named = classes.join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-    first = named.groupBy("comp").agg(F.min("first").alias("_first"))
-    told = F.col("_first.doc_id").alias("component_id"), F.col("_first.text_key").alias("first_key")
-    lookup = stored(named.join(first, "comp").select("cid", *told), "lookup")
+    per_class = held.groupBy("cid").agg(
+        F.min(spot).alias("first"), F.max("n").alias("n"), F.count("*").alias("rows"), F.min("text_key").alias("key"), F.first("mask").alias("mask")
+    )
+    classes = stored(per_class.select("cid", "first", "n", "rows", "key", "mask"), "classes")
+    with scratch(spark):
+        comps = linked_classes(docs, classes, levels)
+        named = classes.join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+        first = named.groupBy("comp").agg(F.min("first").alias("_first"))
+        told = F.col("_first.doc_id").alias("component_id"), F.col("_first.text_key").alias("first_key")
+        rows = named.join(first, "comp").select("cid", *told)
+        path = work_path(spark, "lookup")
+        rows.write.parquet(path)
+    lookup = spark.read.schema(rows.schema).parquet(path)
+    held = held.drop("mask")
     full = held.where("n > 0")
     out = skew_safe_lookup(full, lookup, classes.select("cid", F.col("rows").alias("rows")), "cid", "doc_id", n="rows")
     return out.drop("cid"), held.where("n = 0").drop("cid")
