@@ -1,8 +1,8 @@
 """From text to detector spans, kept spans, tokens and back.
 
-A span is a struct. Offsets count characters; `byte_start` counts UTF-8 bytes. Each text is read in one pass of a function
-over Arrow batches: found, resolved, numbered and redacted in time linear in its length and matches, which arrays that
-grow inside an expression are not. Screens run in Spark before, so that only texts that may match reach Python.
+A span is a struct. Offsets count characters; `byte_start` counts UTF-8 bytes. Texts are read by a function over Arrow
+batches: found, resolved, numbered and redacted in time linear in their length and matches, which neither backtracking
+engines nor arrays that grow inside an expression are. Screens run in Spark before, so that only texts that may match reach Python.
 Everything works inside one row: no shuffle, and the same on a batch or a stream.
 """
 
@@ -11,8 +11,12 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +24,6 @@ from pyspark.sql import types as T
 from veilstone.functions.dims import sql_text
 from veilstone.functions.frames import computed_once
 from veilstone.functions.patterns import Pattern
-from veilstone.functions.regex import compiled
 
 SPAN = "STRUCT<start: INT, ord: INT, end: INT, byte_start: INT, original: STRING>"
 KEPT = "STRUCT<start: INT, end: INT, byte_start: INT, type: STRING, prefix: STRING, token: STRING, original: STRING>"
@@ -35,30 +38,58 @@ def screen_bits(text: str, patterns: Sequence[Pattern]) -> str:
 
 
 class Finder:
-    """All matches of a set of detectors in one text."""
+    """All matches of a set of detectors in many texts at a time.
+
+    The engine is RE2, as Arrow's kernels bring it: an automaton, whose time is linear in the text whatever the expression, and
+    the engine whose rules the detectors are written for. A kernel over the whole column puts a mark around every
+    match of a detector; the marks, a character that no text of the batch holds, then tell where the matches are.
+    """
 
     def __init__(self, detectors: Sequence[tuple[str, str, str, int]]):
-        self.detectors = [(compiled(python), name, prefix, 1 << bit) for python, name, prefix, bit in detectors]
-
-    def spans(self, text: str, bits: int) -> list[tuple[int, int, int, int, str]]:
-        """start, ord, end, byte_start and original, by start and then detector."""
-        found = sorted(
-            (m.start(), order, m.end(), m.group())
-            for order, (engine, _, _, bit) in enumerate(self.detectors)
-            if bits & bit
-            for m in engine.finditer(text)
-        )
+        self.detectors = [(regex, name, prefix, 1 << bit) for regex, name, prefix, bit in detectors]
+
+    @staticmethod
+    def mark(texts: pa.Array) -> str:
+        """A character that none of the texts holds."""
+        for code in chain(range(1, 9), range(0x10FFFF, 0, -1)):
+            if not 0xD800 <= code <= 0xDFFF and not pc.any(pc.match_substring(texts, chr(code))).as_py():
+                return chr(code)
+        raise ValueError("texts hold every character")
+
+    def spans(self, texts: Sequence[str | None], bits: Sequence[int]) -> list[list[tuple[int, int, int, int, str]] | None]:
+        """start, ord, end, byte_start and original, by start and then detector, of each text; None for None."""
+        column = pa.array(texts, pa.large_string(), from_pandas=True)
+        given = column.is_valid().to_numpy(zero_copy_only=False)
+        passed = np.where(given, np.asarray(bits, np.int64), 0)
+        found: list[list[tuple[int, int, int, str]]] = [[] for _ in texts]
+        mark = self.mark(column)
+        for order, (regex, _, _, bit) in enumerate(self.detectors):
+            rows = np.flatnonzero(passed & bit)
+            if not len(rows):
+                continue
+            part = column.take(pa.array(rows))
+            marked = pc.replace_substring_regex(part, pattern=regex, replacement=f"{mark}\\0{mark}")
+            for i in np.flatnonzero(pc.not_equal(part, marked).to_numpy(zero_copy_only=False)):
+                into, at = found[rows[i]], 0
+                for n, piece in enumerate(marked[int(i)].as_py().split(mark)):
+                    if n % 2:
+                        into.append((at, order, at + len(piece), piece))
+                    at += len(piece)
+        return [self.placed(text, spans) if ok else None for text, spans, ok in zip(texts, found, given, strict=True)]
+
+    @staticmethod
+    def placed(text: str, found: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, int, str]]:
         out, at, size = [], 0, 0
-        for start, order, end, original in found:
+        for start, order, end, original in sorted(found):
             size += len(text[at:start].encode("utf-8", "surrogatepass"))
             at = start
             out.append((start, order, end, size, original))
         return out
 
-    def resolved(self, text: str, bits: int) -> tuple[list[tuple], str]:
+    def resolved(self, text: str, spans: list[tuple[int, int, int, int, str]]) -> tuple[list[tuple], str]:
         """Spans that overlap no kept earlier one, numbered per prefix in text order, and the text with their tokens."""
         kept, parts, upto, numbers = [], [], 0, Counter()
-        for start, order, end, byte_start, original in self.spans(text, bits):
+        for start, order, end, byte_start, original in spans:
             if start < upto:
                 continue
             _, name, prefix, _ = self.detectors[order]
@@ -72,7 +103,7 @@ class Finder:
 
 def _detectors(patterns: Sequence[Pattern]) -> list[tuple[str, str, str, int]]:
     screens = list(dict.fromkeys(p.screen for p in patterns))
-    return [(p.python, p.name, p.prefix, screens.index(p.screen)) for p in patterns]
+    return [(p.regex, p.name, p.prefix, screens.index(p.screen)) for p in patterns]
 
 
 def _screened(df: DataFrame, text: str, patterns: Sequence[Pattern]) -> DataFrame:
@@ -87,7 +118,7 @@ def with_spans(df: DataFrame, text: str, patterns: Sequence[Pattern], out: str)
     def find(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         finder = Finder(detectors)
         for texts, bits in batches:
-            yield pd.Series([None if t is None else finder.spans(t, b) for t, b in zip(texts, bits, strict=True)], dtype="object")
+            yield pd.Series(finder.spans(texts.tolist(), bits), dtype="object")
 
     may = F.when(F.col("_bits") != 0, F.col(text))
     none = F.when(F.col(text).isNotNull(), F.array().cast(f"array<{SPAN}>"))
@@ -102,7 +133,9 @@ def with_resolved(df: DataFrame, text: str, patterns: Sequence[Pattern], kept: s
     def resolve(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         finder = Finder(detectors)
         for texts, bits in batches:
-            rows = [(None, None) if t is None else finder.resolved(t, b) for t, b in zip(texts, bits, strict=True)]
+            listed = texts.tolist()
+            found = zip(listed, finder.spans(listed, bits), strict=True)
+            rows = [(None, None) if spans is None else finder.resolved(t, spans) for t, spans in found]
             yield pd.DataFrame(rows, columns=["kept", "redacted"], dtype="object")
 
     may = F.when(F.col("_bits") != 0, F.col(text))

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -52,11 +54,12 @@ def feed_rows(feed_json: DataFrame, column: str = "value") -> DataFrame:
 
 
 def usable(spark: SparkSession, regex: str) -> bool:
-    """Whether both engines can run the pattern, and it has no empty match, which would have no span to replace."""
+    """Whether all engines can run the pattern, and it has no empty match, which would have no span to replace."""
     try:
         if can_match_empty(regex):
             return False
         compiled(python_regex(regex))
+        pc.match_substring_regex(pa.array([""]), pattern=regex)
         spark.sql("SELECT '' RLIKE :java FROM VALUES (1) AS t(x)", args={"java": java_regex(regex)}).first()
         return True
     except (UnsupportedPattern, PySparkException, ValueError, IndexError, re.error):

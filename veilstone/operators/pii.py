@@ -140,7 +140,7 @@ def pii_leak_check(df: DataFrame, text: str = "text", patterns: Patterns = BOOTS
 
 def register_span_function(spark: SparkSession, name: str = "pii_spans_of", patterns: Patterns = BOOTSTRAP) -> None:
     """Offer spans to SQL as a table function: `SELECT d.id, s.* FROM d, LATERAL pii_spans_of(d.text) s`."""
-    detectors = [(p.python, p.name, p.prefix, 0) for p in patterns]
+    detectors = [(p.regex, p.name, p.prefix, 0) for p in patterns]
     names = [p.name for p in patterns]
 
     @F.udtf(returnType="start INT, end INT, pattern_ord INT, type STRING, original STRING")
@@ -149,7 +149,7 @@ def register_span_function(spark: SparkSession, name: str = "pii_spans_of", patt
             self.finder = Finder(detectors)
 
         def eval(self, text: str):
-            for start, order, end, _, original in self.finder.spans(text or "", 1):
+            for start, order, end, _, original in self.finder.spans([text or ""], [1])[0]:
                 yield start, end, order, names[order], original
 
     spark.udtf.register(name, SpansOf)
