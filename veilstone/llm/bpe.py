@@ -37,8 +37,8 @@ from veilstone.llm.common import read_table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Bounds of what a worker remembers; whatever is forgotten is made anew.
-STATES = 100_000
-PIECES = 60_000
+STATES = 60_000
+PIECES = 250_000
 PIECE_LETTERS = 64
 #: Rows that are given at once.
 ROWS = 500
@@ -58,12 +58,11 @@ class State:
     """A set of open walks: the last token, the place in the tree of tokens, and the tokens not given yet. The last walk
     stands at the border that ends here."""
 
-    __slots__ = ("walks", "moves", "rest")
+    __slots__ = ("walks", "moves")
 
     def __init__(self, walks: tuple[tuple[int, int, tuple[int, ...]], ...]):
         self.walks = walks
-        self.moves: dict[int, tuple[tuple[int, ...], State]] = {}
-        self.rest = walks[-1][2]
+        self.moves: dict[int, tuple[tuple[int, ...], State] | None] = {}
 
 
 class Transducer:
@@ -168,11 +167,11 @@ class Transducer:
             else:
                 j += 1
 
-    def move(self, state: State, byte: int) -> tuple[tuple[int, ...], State]:
-        """The transition of the deterministic form: the tokens that are settled by the byte, and the next state."""
+    def step(self, open_: tuple, byte: int) -> tuple[tuple[int, ...], list]:
+        """The tokens that are settled by a byte, and the walks that are open after it."""
         walks, border = [], None
         children, ends, goes_on, borders = self.children, self.ends, self.goes_on, self.borders
-        for last, at, pending in state.walks:
+        for last, at, pending in open_:
             at = children.get(at << 8 | byte)
             if at is None:
                 continue
@@ -198,22 +197,49 @@ class Transducer:
         if given:
             n = len(given)
             walks = [(last, at, pending[n:]) for last, at, pending in walks]
+        return given, walks
+
+    def move(self, state: State, byte: int) -> tuple[tuple[int, ...], State]:
+        """The transition of the deterministic form."""
+        given, walks = self.step(state.walks, byte)
         found = state.moves[byte] = (given, self.state(tuple(walks)))
         return found
 
     def tokens(self, piece: bytes) -> list[int]:
-        """Tokens of one piece."""
+        """Tokens of one piece. A transition is made into a state when it is taken for the second time, or in a long piece;
+        the first time, and from there to the end of the piece, the walks are followed as they are."""
         whole = self.ranks.get(piece)
-        if whole is not None:
-            return [whole]
+        if whole is not None or not piece:
+            return [whole] if piece else []
         if len(self.states) > self.limit:
             self.reset()
-        state, given = self.start, []
-        for byte in piece:
-            settled, state = state.moves.get(byte) or self.move(state, byte)
+        state, given, long = self.start, [], len(piece) > PIECE_LETTERS
+        for n, byte in enumerate(piece[:-1]):
+            taken = state.moves.get(byte)
+            if taken is None:
+                if not long and byte not in state.moves:
+                    state.moves[byte] = None
+                    return self.followed(state.walks, piece[n:], given)
+                taken = self.move(state, byte)
+            if taken[0]:
+                given += taken[0]
+            state = taken[1]
+        return self.followed(state.walks, piece[-1:], given)
+
+    def followed(self, walks: tuple | list, rest: bytes, given: list[int]) -> list[int]:
+        """The tokens given so far and those of the rest of a piece, from open walks to its end."""
+        for byte in rest[:-1]:
+            settled, walks = self.step(walks, byte)
             if settled:
                 given += settled
-        return [*given, *state.rest]
+        byte = rest[-1]  # the last byte needs no walks after it
+        for last, at, pending in walks:
+            rank = self.ends[self.children.get(at << 8 | byte, 0)]
+            if rank is not None:
+                kept = self.borders.get(last << 32 | rank)
+                if kept or (kept is None and self.holds(last, rank)):
+                    return [*given, *pending, rank]
+        raise AssertionError("every prefix has a last token")
 
     def pack(self, piece: str) -> bytes:
         ids = self.tokens(piece.encode())
