@@ -11,6 +11,7 @@ from veilstone.operators import reliability, scopes, sessions
 from veilstone.operators import verdicts as vops
 from veilstone.plans.flows import action_scan as action_scan_of
 from veilstone.plans.verdict_queries import FEEDBACK, READ
+from veilstone.plans.request_queries import EXPIRING
 from veilstone.plans.views import event_columns, event_requests, events_cte, scope_declarations, scopes_cte
 from veilstone.session import cut_lineage
 from veilstone.sources.sinks import run_stream, run_to_end
@@ -216,6 +217,13 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return run_stream(spark, windows.stream_dedup(hashed, "ts", "content_hash"), "dedup").select("content_hash")
 
 
+def stream_dedup_within(spark: SparkSession, folder: str) -> DataFrame:
+    """The table as one batch, so that requests come in the order of time whatever the order of rows."""
+    events = event_columns(stream_table(spark, folder, "events"), "content").withColumn("content_hash", F.sha2("content", 256))
+    told = windows.stream_dedup_within(spark, events.where("content IS NOT NULL"), "request_id", "ts", "content_hash")
+    return run_stream(spark, told, "dedup-within").select(F.col("id").alias("request_id"), "content_hash", "scan_id", "scanned")
+
+
 def _customers(spark: SparkSession, folder: str) -> DataFrame:
     segment = F.col("c_mktsegment")
     tier = F.when(segment.isin("BUILDING", "HOUSEHOLD"), "community").when(segment == "MACHINERY", "pro").otherwise("enterprise")
@@ -261,6 +269,7 @@ QUERIES = {
     "stream_calls_per_minute": stream_calls_per_minute,
     "stream_session_counts": stream_session_counts,
     "stream_dedup": stream_dedup,
+    "stream_dedup_within": stream_dedup_within,
 }
 
 _ROT = f"""{READ}, facts AS (SELECT request_id, session_id, CASE WHEN user_id % 2 = 0 THEN session_id ELSE 'built-in' END AS own,
@@ -414,4 +423,6 @@ gaps AS (SELECT session_id, ts, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 4 HOUR
 numbered AS (SELECT session_id, ts, sum(begins) OVER (PARTITION BY session_id ORDER BY ts) AS stretch FROM gaps)
 SELECT session_id, {_STAMP.format('min(ts)')} AS stretch_start, count(*) AS actions FROM numbered GROUP BY session_id, stretch""",
     "stream_dedup": f"WITH {events_cte()} SELECT DISTINCT sha256(content) AS content_hash FROM ev",
+    "stream_dedup_within": f"""{EXPIRING} SELECT request_id, content_hash, scan_id, scan_id = request_id AS scanned
+FROM shared WHERE content_hash IS NOT NULL""",
 }

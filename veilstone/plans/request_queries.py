@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from veilstone.functions import requests as R
 from veilstone.functions.dims import CHANNELS, values_table
+from veilstone.operators import expiry
 from veilstone.operators import requests as ops
 from veilstone.operators import verdicts as vops
 from veilstone.plans.duckdb_sql import quoted
@@ -157,6 +158,24 @@ def dedup_stats(spark: SparkSession, folder: str) -> DataFrame:
     return ops.dedup_stats(docs, R.content_hash(text=F.col("text"))).withColumn("hit_rate", F.round("hit_rate", 6))
 
 
+def _expiring(spark: SparkSession, folder: str, *more: str) -> DataFrame:
+    return event_requests(spark, folder, "content", *more).select("ts", "request_id", "content", *more)
+
+
+def dedup_scans_expiring(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests of one content share the verdict of the one that was scanned, for five minutes."""
+    scan = lambda d: vops.sanitize_verdict(d, ["request_id"])
+    told = expiry.dedup_within(
+        _expiring(spark, folder, "raw"), "request_id", "ts", F.sha2("content", 256), ["raw"], scan, ["action", "blocked"]
+    )
+    return told.select("request_id", "content_hash", "scan_id", "scanned", "action", "blocked")
+
+
+def dedup_expiry_stats(spark: SparkSession, folder: str) -> DataFrame:
+    told = expiry.dedup_within(_expiring(spark, folder), "request_id", "ts", F.sha2("content", 256))
+    return expiry.expiry_stats(told).withColumn("hit_rate", F.round("hit_rate", 6))
+
+
 def _turn_parts(spark: SparkSession, folder: str) -> DataFrame:
     turns = read_table(spark, folder, "conversations")
     return turns.select(
@@ -225,6 +244,16 @@ def unused_channels(spark: SparkSession, folder: str) -> DataFrame:
     return ops.unused_channels(event_requests(spark, folder, "channel"))
 
 
+#: DuckDB: `shared`, each request with the one whose verdict it has: one step for each scan of a content.
+EXPIRING = f"""{READ.replace('WITH ', 'WITH RECURSIVE ', 1)},
+hashed AS (SELECT request_id, ts, sha256(content) AS content_hash FROM ev),
+chain AS (SELECT content_hash, min(ts) AS ts FROM hashed WHERE content_hash IS NOT NULL GROUP BY content_hash
+  UNION ALL SELECT c.content_hash, min(h.ts) FROM chain c JOIN hashed h ON h.content_hash = c.content_hash
+    AND h.ts > c.ts + INTERVAL {expiry.TIME_TO_LIVE} SECOND GROUP BY c.content_hash, c.ts),
+scans AS (SELECT content_hash, ts, min(request_id) AS scan_id FROM hashed JOIN chain USING (content_hash, ts) GROUP BY ALL),
+shared AS (SELECT h.request_id, h.content_hash, coalesce(s.scan_id, h.request_id) AS scan_id
+  FROM hashed h ASOF LEFT JOIN scans s ON h.content_hash = s.content_hash AND h.ts >= s.ts)"""
+
 QUERIES = {
     "blank_gate": blank_gate,
     "size_gate": size_gate,
@@ -239,6 +268,8 @@ QUERIES = {
     "rule_screen": rule_screen,
     "rule_screen_strictest": rule_screen_strictest,
     "dedup_scans": dedup_scans,
+    "dedup_scans_expiring": dedup_scans_expiring,
+    "dedup_expiry_stats": dedup_expiry_stats,
     "dedup_stats": dedup_stats,
     "extract_user_content": _extracted("chat"),
     "extract_user_content_blocks": _extracted("blocks"),
@@ -399,6 +430,11 @@ SELECT doc_id, channel, {_BLOCKED} AS blocked, {_by_rule(_ACTIONS, "'allow'")} A
 h AS (SELECT doc_id, content, {_rule_pick('hit')} FROM s)
 SELECT doc_id, sha256('channel=3:sqltext=' || strlen(content) || ':' || content) AS content_hash, {_BLOCKED} AS blocked,
   {_by_rule(_ACTIONS, "'allow'")} AS action, {_by_rule(_RULE_TYPES, 'NULL')} AS threat_type FROM h""",
+    "dedup_scans_expiring": f"""{EXPIRING} SELECT request_id, content_hash, scan_id, scan_id = request_id AS scanned, action, blocked
+FROM shared JOIN (SELECT request_id AS scan_id, action, blocked FROM clean) USING (scan_id)""",
+    "dedup_expiry_stats": f"""{EXPIRING} SELECT count(*) FILTER (WHERE scan_id <> request_id) AS hits,
+  count(*) FILTER (WHERE scan_id = request_id) AS misses, round(count(*) FILTER (WHERE scan_id <> request_id) / count(*), 6) AS hit_rate
+FROM shared""",
     "dedup_stats": """SELECT count(*) - count(DISTINCT text) AS hits, count(DISTINCT text) AS misses, count(DISTINCT text) AS size,
   round((count(*) - count(DISTINCT text)) / count(*), 6) AS hit_rate FROM documents""",
     "extract_user_content": _extract_sql("role = 'user' AND ((kind IS NULL AND text <> '') OR kind = 'text')"),

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from typing import Any
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from veilstone.operators import reliability
+from veilstone.operators.expiry import TIME_TO_LIVE
+from veilstone.session import STATE_STORE
 
 
 def stream_degraded_rate(
@@ -35,3 +42,59 @@ def stream_dedup(stream: DataFrame, ts: str, key: str, ttl: str = "5 minutes") -
     passes once whatever its age.
     """
     return stream.withWatermark(ts, ttl).dropDuplicatesWithinWatermark([key])
+
+
+class LastScan(StatefulProcessor):
+    """Keeps the last scan of each content. A timer at its end of life lets the state go; a batch's rows are taken in the
+    order of time, so a busy content is sorted as a whole once a batch."""
+
+    OUTPUT = "id BIGINT, content_hash STRING, scan_id BIGINT, scanned BOOLEAN"
+
+    def __init__(self, seconds: int) -> None:
+        self.life = seconds * 1_000_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "us BIGINT, id BIGINT")
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        at, scan = self.last.get() if self.last.exists() else (None, None)
+        before = at
+        given = pd.concat(list(rows)).sort_values(["us", "id"])
+        scans = []
+        for us, row in zip(given["us"].tolist(), given["id"].tolist(), strict=True):
+            if at is None or us - at > self.life:
+                at, scan = us, row
+            scans.append(scan)
+        if at != before:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer((at + self.life) // 1_000 + 1)
+            self.last.update((at, scan))
+        out = pd.DataFrame({"id": given["id"].to_numpy(), "content_hash": key[0], "scan_id": scans})
+        yield out.assign(scanned=out["id"] == out["scan_id"])
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        self.last.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def stream_dedup_within(
+    spark: SparkSession, stream: DataFrame, row_id: str, ts: str, key: str, seconds: int = TIME_TO_LIVE, late: str = "10 minutes"
+) -> DataFrame:
+    """Every request with the one whose verdict it has, as `expiry.dedup_within` tells, at any split into batches that
+    follow time. Requests that come later than a scan of a later time share that scan; those beyond `late` are dropped.
+    Needs the state store `session.STATE_STORE`, which is set here where another one is."""
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass") != STATE_STORE:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    narrow = stream.select(
+        F.col(row_id).cast("bigint").alias("id"), F.col(ts).alias("ts"), F.unix_micros(ts).alias("us"), F.col(key).cast("string").alias("content_hash")
+    )
+    return (
+        narrow.withWatermark("ts", late)
+        .groupBy("content_hash")
+        .transformWithStateInPandas(statefulProcessor=LastScan(seconds), outputStructType=LastScan.OUTPUT, outputMode="Append", timeMode="EventTime")
+    )
