@@ -11,8 +11,9 @@ All vectors are indexed and searched. Queries come in blocks of at most `QUERY_B
 holds one block of either kind. Each block of candidates gives the nearest of each query in it, and Spark ranks those.
 
 Defined results: vectors that are NULL, zero, or hold NULL or non-finite numbers take no part; vectors of another length
-than the commonest, neither; a query's own row, known by its id, is no candidate; repeated ids are rows of their own;
-ties go to the smaller id; an empty table gives an empty one. The error bound holds with high probability, not
+than the commonest, neither; a query's own row, known by its place, is no candidate; repeated ids are rows of their own;
+ties go to the smaller id; rows without an id may be found, come last among ties, and ask nothing; extra columns are not
+read; an empty table gives an empty one. The error bound holds with high probability, not
 always: recall against brute force is measured in the tests.
 """
 
@@ -28,11 +29,13 @@ from pyspark.sql import functions as F
 from veilstone.llm.common import bounded_sample, read_table, stored
 
 BLOCK = 8_192
-QUERY_BLOCK = 1_024
+QUERY_BLOCK = 8_192
 FIT_ROWS = 10_000
 #: Width of the error bound in standard deviations.
 BOUND = 3.0
-FOUND = "query_id long, vec_id long, score double"
+#: Stands for a NULL id, beside a flag.
+LAST = (1 << 63) - 1
+FOUND = "query_id long, vec_id long, no_id boolean, score double"
 
 
 def rotation(dims: int, seed: int = 1) -> np.ndarray:
@@ -77,7 +80,9 @@ def estimate(
 def index(rows: DataFrame, ident: str, column: str, seed: int = 1) -> tuple[DataFrame, np.ndarray]:
     """The coded vectors as a stored table, and the centre."""
     spark = rows.sparkSession
-    rows = usable(rows.select(F.col(ident).alias("id"), F.col(column).alias("v")), "v")
+    # pandas would turn ids beside a NULL into floating numbers
+    told = F.coalesce(F.col(ident).cast("long"), F.lit(LAST)).alias("id"), F.col(ident).isNull().alias("no_id")
+    rows = usable(rows.select(*told, F.col(column).alias("v")), "v")
     common = rows.groupBy(F.size("v").alias("dims")).count().orderBy(F.desc("count"), "dims").first()
     dims = common["dims"] if common else 1
     rows = rows.where(F.size("v") == dims)
@@ -91,7 +96,7 @@ def index(rows: DataFrame, ident: str, column: str, seed: int = 1) -> tuple[Data
                 packed, distance, along, with_centre = encode(np.vstack(frame["v"].to_list()), centre, turn)
                 yield frame.assign(code=[p.tobytes() for p in packed], distance=distance, along=along, with_centre=with_centre)
 
-    coded = rows.mapInPandas(code, "id long, v array<double>, code binary, distance double, along double, with_centre double")
+    coded = rows.mapInPandas(code, "id long, no_id boolean, v array<double>, code binary, distance double, along double, with_centre double")
     return stored(coded.withColumn("row", F.monotonically_increasing_id()), "codes"), centre
 
 
@@ -105,12 +110,12 @@ def nearest(queries: DataFrame, coded: DataFrame, centre: np.ndarray, k: int, bo
 
     def search(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if not len(asked) or not len(held):
-            return pd.DataFrame(columns=["query", "query_id", "vec_id", "score"])
+            return pd.DataFrame(columns=["query", "query_id", "vec_id", "no_id", "score"])
         vectors, turn = np.vstack(held["v"].to_list()), rotation(len(centre), seed)
         packed = np.frombuffer(b"".join(held["code"]), np.uint8).reshape(len(held), -1)
         codes = (packed, *(held[c].to_numpy() for c in ("distance", "along", "with_centre")))
         rows, ids = held["row"].to_numpy(), held["id"]
-        order = ids.to_numpy()
+        order, unknown = ids.to_numpy(), held["no_id"].to_numpy()
         who, which, scores = [], [], []
         for at in range(0, len(asked), 128):
             part = asked.iloc[at : at + 128]
@@ -125,7 +130,7 @@ def nearest(queries: DataFrame, coded: DataFrame, centre: np.ndarray, k: int, bo
             for i in range(len(part)):
                 open_ = np.flatnonzero(again[i])
                 exact = (vectors[open_] * points[i]).sum(1)
-                best = np.lexsort((order[open_], -exact))[:k]
+                best = np.lexsort((order[open_], unknown[open_], -exact))[:k]
                 who.append(np.full(len(best), at + i))
                 which.append(open_[best])
                 scores.append(exact[best])
@@ -133,16 +138,17 @@ def nearest(queries: DataFrame, coded: DataFrame, centre: np.ndarray, k: int, bo
         return pd.DataFrame(
             {
                 "query": query["row"].array, "query_id": query["id"].array,
-                "vec_id": ids.iloc[np.concatenate(which)].array, "score": np.concatenate(scores),
+                "vec_id": ids.iloc[np.concatenate(which)].array, "no_id": unknown[np.concatenate(which)], "score": np.concatenate(scores),
             }
         )
 
     pairs = left.groupBy("_q", "_b").cogroup(right.groupBy("_q", "_b")).applyInPandas(search, f"query long, {FOUND}")
-    ranked = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    return pairs.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    ranked = Window.partitionBy("query").orderBy(F.desc("score"), "no_id", "vec_id")
+    first = pairs.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
+    return first.select("query_id", "rank", F.when(~F.col("no_id"), F.col("vec_id")).alias("vec_id"), "score")
 
 
 def op8_one_bit_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 nearest of every vector whose id is divisible by 20, among all others."""
     coded, centre = index(read_table(spark, folder, "embeddings"), "vec_id", "embedding")
-    return nearest(coded.where("id % 20 = 0"), coded, centre, 20)
+    return nearest(coded.where("NOT no_id AND id % 20 = 0"), coded, centre, 20)

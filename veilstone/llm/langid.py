@@ -5,11 +5,13 @@ all its segmentations into pieces, computed by a forward pass; pieces do not cro
 is the product over its words. Piece probabilities are fitted by expectation maximisation over the segmentations, from a
 bounded sample of labelled documents. Words are scored many at a time: one table look-up per start and piece length.
 
-Words are lower-cased and begin with the vocabulary's word mark. Letters that no piece covers cost `UNKNOWN`. A word
-longer than `WIDTH` is cut into stretches of that many letters, each segmented on its own.
+Words are lower-cased and begin with the vocabulary's word mark. Letters that no piece covers cost `UNKNOWN`. Long words are
+summed `WIDTH` letters at a time, with the sums of the last places carried on: a score counts all segmentations, whatever the
+length. Only the counting of uses, when probabilities are fitted, cuts words longer than that into parts.
 
 Defined results: NULL text and text without a letter give `und` with score 0; NULL labels are not learned from; an empty
-table, or one without labels, gives `und` throughout; repeated rows are scored alike; only named columns are read.
+table, or one without labels, gives `und` throughout; repeated rows are scored alike; only named columns are read. Of equally
+likely languages the first by name counts. `identified` keeps all columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,23 +31,25 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 FIT_DOCUMENTS = 8_000
 ROUNDS = 3
 MARK = "▁"
-LONGEST = 10
+#: Letters of a long word that are summed at a time.
 WIDTH = 32
 UNKNOWN = 1e-7
 SMOOTHING = 0.1
 UNDETERMINED = "und"
+#: The column a prediction is in before it is used.
+PRIVATE = "_langid_prediction"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Words whose scores a task keeps; beyond that it starts anew.
 CACHE = 400_000
 
 
 def pieces(path: str = VOCABULARY) -> list[str]:
-    """Lower-case pieces of up to `LONGEST` letters of a sentencepiece vocabulary, and all its single letters."""
+    """Lower-case pieces of a sentencepiece vocabulary, all of them."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     found = (model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_byte(i) or model.is_unknown(i)))
-    return sorted({p for p in (x.lower() for x in found) if 0 < len(p) <= LONGEST})
+    return sorted({p for p in (x.lower() for x in found) if p})
 
 
 class Lattice:
@@ -56,6 +60,7 @@ class Lattice:
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], order.astype(np.int32)
         self.size = len(vocabulary)
+        self.longest = max(map(len, vocabulary), default=1)
         # a first look by 20 bits of the hash tells nearly all misses
         self.seen = np.zeros(1 << 20, bool)
         self.seen[(keys >> np.uint64(44)).astype(np.int64)] = True
@@ -72,7 +77,7 @@ class Lattice:
         """For each piece length: rows, starts and piece ids, by start. `codes`: words by letters, 0 beyond their end."""
         n, width = codes.shape
         h = np.zeros((n, width), np.uint64)
-        for length in range(1, min(LONGEST, width) + 1):
+        for length in range(1, min(self.longest, width) + 1):
             span = width - length + 1
             h = (h[:, :span] ^ codes[:, length - 1 :].astype(np.uint64)) * _STEP
             h ^= h >> np.uint64(29)
@@ -120,8 +125,9 @@ class Arcs:
         return self.rows[part], self.ids[part]
 
 
-def forward(lattice: Lattice, codes: np.ndarray, weights: np.ndarray) -> Forward:
-    """`weights`: piece by language. Letters without a piece of their own pass at `UNKNOWN`."""
+def forward(lattice: Lattice, codes: np.ndarray, weights: np.ndarray, head: np.ndarray | None = None) -> Forward:
+    """`weights`: piece by language. Letters without a piece of their own pass at `UNKNOWN`. With `head`, the sums of the
+    first places are known from before: word by place by language."""
     n, width = codes.shape
     arcs = [Arcs(*found, width) for found in lattice.pieces_at(codes)]
     bare = codes != 0
@@ -129,8 +135,9 @@ def forward(lattice: Lattice, codes: np.ndarray, weights: np.ndarray) -> Forward
     if arcs:
         bare[arcs[0].rows, arcs[0].starts] = False
     alpha = np.zeros((n, width + 1, weights.shape[1]))
-    alpha[:, 0] = 1.0
-    for end in range(1, width + 1):
+    known = 1 if head is None else head.shape[1]
+    alpha[:, :known] = 1.0 if head is None else head
+    for end in range(known, width + 1):
         alpha[:, end] = alpha[:, end - 1] * (bare[:, end - 1, None] * UNKNOWN)
         for a in arcs:
             if a.length <= end:
@@ -139,6 +146,26 @@ def forward(lattice: Lattice, codes: np.ndarray, weights: np.ndarray) -> Forward
     return Forward(alpha, arcs, lengths, bare)
 
 
+def log_forward(lattice: Lattice, words: Sequence[str], weights: np.ndarray) -> np.ndarray:
+    """Logarithms of the sums over all segmentations, word by language. A long word goes by stretches; the sums of as many
+    places as the longest piece has letters are carried into the next stretch, rescaled, so that no piece is cut."""
+    reach, step = lattice.longest, max(WIDTH, lattice.longest)
+    logs = np.zeros((len(words), weights.shape[1]))
+    open_, head, at = np.arange(len(words)), None, 0
+    while len(open_):
+        back = 0 if head is None else reach
+        run = forward(lattice, coded([words[i][at - back : at + step] for i in open_]), weights, head)
+        ends = np.array([len(words[i]) <= at + step for i in open_])
+        logs[open_[ends]] += np.log(np.maximum(run.total[ends], 1e-300))
+        open_ = open_[~ends]
+        if len(open_):
+            head = run.alpha[~ends][:, back + step - reach : back + step + 1]
+            scale = np.maximum(head.max(1), 1e-300)
+            logs[open_] += np.log(scale)
+            head, at = head / scale[:, None], at + step
+    return logs
+
+
 def expected(lattice: Lattice, codes: np.ndarray, weights: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Expected uses of each piece over all segmentations of words that occur `counts` times, for one language."""
     run = forward(lattice, codes, weights[:, None])
@@ -164,6 +191,7 @@ def words_of(text: str) -> list[str]:
 
 
 def stretches(word: str) -> list[str]:
+    """The word in parts of `WIDTH` letters, for counting uses; scores are summed over whole words."""
     marked = MARK + word
     return [marked[i : i + WIDTH] for i in range(0, len(marked), WIDTH)]
 
@@ -190,15 +218,10 @@ class Scorer:
         if len(self.known) + len(new) > CACHE:
             self._reset()
             new = list(words)
-        parts, owner = [], []
-        for i, word in enumerate(new):
-            for part in stretches(word):
-                parts.append(part)
-                owner.append(i)
+        marked = [MARK + word for word in new]
         sums = np.zeros((len(new), self.weights.shape[1]))
-        for block in blocks(parts):
-            total = forward(self.lattice, coded([parts[i] for i in block]), self.weights).total
-            np.add.at(sums, np.array([owner[i] for i in block]), np.log(np.maximum(total, 1e-300)))
+        for block in blocks(marked):
+            sums[block] = log_forward(self.lattice, [marked[i] for i in block], self.weights)
         base = len(self.known)
         while len(self.rows) < base + len(new):
             self.rows = np.vstack([self.rows, np.zeros_like(self.rows)])
@@ -280,8 +303,8 @@ def _expected_uses(counts: DataFrame, languages: list[str], vocabulary: list[str
     return partial.groupBy("lang").applyInPandas(total, "lang string, uses binary")
 
 
-def predict(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
-    """`lang_pred` and `score`, the posterior of the language under equal priors, for each text, with columns `keep`."""
+def prediction(docs: DataFrame, model: Model, into: str) -> DataFrame:
+    """Adds a struct of `lang_pred` and `score`, the posterior of the language under equal priors."""
     small_batches(docs.sparkSession)
     # plain values, as they are pickled without the package; vocabulary x languages
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.vocabulary, model.weights))
@@ -308,8 +331,12 @@ def predict(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
                         scores.append(float(1 / np.exp(log - log[best]).sum()))
             yield pd.DataFrame({"lang_pred": names, "score": scores})
 
-    told = docs.withColumn("_told", language(F.when(has_letter, F.col("text"))))
-    return told.select(*keep, "_told.lang_pred", "_told.score")
+    return docs.withColumn(into, language(F.when(has_letter, F.col("text"))))
+
+
+def predict(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
+    """`lang_pred` and `score` of each text, with columns `keep`."""
+    return prediction(docs, model, PRIVATE).select(*keep, f"{PRIVATE}.lang_pred", f"{PRIVATE}.score")
 
 
 def learned(docs: DataFrame) -> Model:
@@ -326,5 +353,8 @@ def op1_marginal_langid(spark: SparkSession, folder: str) -> DataFrame:
 
 def identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The documents whose language could be told: not `und`, and likelier than not."""
-    told = predict(docs, learned(docs), *docs.columns)
-    return told.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).select(*docs.columns)
+    model = learned(docs)
+    # the prediction stays in one column of its own until it is used, as the documents may have columns of any name
+    told = prediction(docs, model, PRIVATE)
+    sure = (F.col(f"{PRIVATE}.lang_pred") != UNDETERMINED) & (F.col(f"{PRIVATE}.score") >= least)
+    return told.where(sure).drop(PRIVATE)
