@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veilstone.functions.frames import Running, running
+from veilstone.functions.frames import Running, null_safe_join, running, skew_safe_lookup
 
 INHERITED = ("allowed_tools", "forbidden_tools", "purpose", "max_duration_seconds", "expires_at")
 _ORDER = ("declared_at", "seq")
@@ -108,7 +108,9 @@ def scope_change_check(declarations: DataFrame) -> DataFrame:
     dec = declarations.withColumns(
         {"_allowed": _tools(F.col("allowed_tools")), "_forbidden": _tools(F.col("forbidden_tools"))}
     )
-    known = dec.join(_state_logs(dec), "agent_id", "left")
+    # one agent may declare most; its log has an entry for each change of tools, which only ever narrow
+    counts = dec.groupBy("agent_id").agg(F.count(F.lit(1)).alias("n"))
+    known = skew_safe_lookup(dec, _state_logs(dec), counts, "agent_id", "seq")
     granted, here = F.col("granted"), F.struct(*_ORDER)
     ceiling = _add_seconds(granted["at"]["declared_at"], granted["renewable_seconds"])
     in_force = F.element_at(F.filter("log", lambda e: e["at"] <= here), -1)["state"]
@@ -150,8 +152,8 @@ def scope_expiry(scopes: DataFrame, at: Column) -> DataFrame:
 def scope_enforce(actions: DataFrame, scopes: DataFrame, action_limit: str | None = None) -> DataFrame:
     """Hold actions that their agent's scope does not cover.
 
-    `actions` has agent_id, ts, request_id, tool, action and blocked; `scopes` is a scope history. Each action meets
-    the newest scope declared by then, found by one ordered pass over both tables, which copes with one agent doing
+    `actions` has agent_id, ts, request_id (which tells them apart), tool, action and blocked; `scopes` is a scope history.
+    Each action meets the newest scope declared by then, found by one ordered pass over both tables, which copes with one agent doing
     most of the work. Reasons in order: expired, forbidden, not allowed, limit of actions reached (a column of
     `scopes`, if named). A content block stands; any other held action waits for approval and keeps its content
     verdict beside it. An agent without a scope is not held.
@@ -163,7 +165,9 @@ def scope_enforce(actions: DataFrame, scopes: DataFrame, action_limit: str | Non
         "agent_id", F.col("declared_at").alias("ts"), F.lit(0).alias("_kind"),
         F.col("seq").cast("bigint").alias("request_id"), record.alias("_scope"),
     )
-    done = actions.withColumn("_kind", F.lit(1)).unionByName(given, allowMissingColumns=True)
+    # the pass over time needs only who, when and what; verdicts are joined to its result
+    narrow = actions.select("agent_id", "ts", F.col("request_id").cast("bigint").alias("request_id"), "tool")
+    done = narrow.withColumn("_kind", F.lit(1)).unionByName(given, allowMissingColumns=True)
     order = ("ts", "_kind", "request_id")
     bucket = F.floor(F.unix_seconds("ts") / 3600)
     if action_limit:
@@ -182,10 +186,11 @@ def scope_enforce(actions: DataFrame, scopes: DataFrame, action_limit: str | Non
         .when(~within(F.array("tool"), force["allowed_tools"]), "not_allowed")
         .when(used, "action_limit")
     )
+    told = placed.select("request_id", reason.alias("hold_reason")).where("hold_reason IS NOT NULL")
     held = F.col("hold_reason").isNotNull()
     stands = F.coalesce(F.col("blocked"), F.lit(False)) & ~F.col("action").eqNullSafe("require_approval")
     waits = held & ~stands
-    return placed.withColumn("hold_reason", reason).select(
+    return null_safe_join(actions, told, ["request_id"]).select(
         *[c for c in actions.columns if c != "action"],
         F.when(waits, "require_approval").otherwise(F.col("action")).alias("action"),
         "hold_reason",

@@ -127,19 +127,19 @@ def _actions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def scope_enforce(spark: SparkSession, folder: str) -> DataFrame:
-    history = cut_lineage(scopes.scope_history(scope_declarations(spark, folder)))
+    history = scopes.scope_history(scope_declarations(spark, folder))
     # The filter comes last, so that the pass over scopes needs no verdicts.
     return scopes.scope_enforce(_actions(spark, folder), history).where("parsed").drop("ts", "parsed")
 
 
 def scope_enforce_limited(spark: SparkSession, folder: str) -> DataFrame:
-    history = cut_lineage(scopes.scope_history(scope_declarations(spark, folder))).withColumn("most", F.lit(40))
+    history = scopes.scope_history(scope_declarations(spark, folder)).withColumn("most", F.lit(40))
     held = scopes.scope_enforce(_actions(spark, folder).where("parsed"), history, "most")
     return held.where("hold_reason = 'action_limit'").select("agent_id", "request_id", "tool")
 
 
 def action_scan(spark: SparkSession, folder: str) -> DataFrame:
-    history = cut_lineage(scopes.scope_history(scope_declarations(spark, folder)))
+    history = scopes.scope_history(scope_declarations(spark, folder))
     return action_scan_of(event_requests(spark, folder, "agent_id", "tool", "raw"), history).drop("ts")
 
 
@@ -291,34 +291,35 @@ merged AS (SELECT agent_id, seq, declared_at,
 expiring AS (SELECT *, least(declared_at + to_seconds(max_duration_seconds), expires_at) AS active_until,
   granted_at + to_seconds(renewable_seconds) AS renewable_until FROM merged)"""
 
-# One step per week: the state after the week before decides.
+# One step per declaration: the state after the one before decides.
 _OK = (
-    "(d.allowed IS NULL OR s.allowed = '*' OR len(list_filter(string_split(nullif(d.allowed, ''), ','), "
-    "lambda t: NOT list_contains(string_split(s.allowed, ','), t))) = 0 OR d.allowed = '') AND (d.forbidden IS NULL OR "
+    "(d.allowed IS NULL OR coalesce(s.allowed, '') = '*' OR len(list_filter(string_split(nullif(d.allowed, ''), ','), "
+    "lambda t: NOT list_contains(string_split(coalesce(s.allowed, ''), ','), t))) = 0 OR d.allowed = '') AND (d.forbidden IS NULL OR "
     "s.forbidden IS NULL OR len(list_filter(string_split(s.forbidden, ','), "
     "lambda t: NOT list_contains(string_split(d.forbidden, ','), t))) = 0)"
 )
 _STEP = f"""walk AS (
-  SELECT agent_id, seq, declared_at AS granted_at, renewable_seconds AS renewable, 'declared' AS status, allowed, forbidden,
-    purpose, max_duration_seconds, expires_at, declared_at, declared_at AS active_from FROM decl WHERE seq = 0
+  SELECT agent_id, n, seq, declared_at AS granted_at, renewable_seconds AS renewable, 'declared' AS status, allowed, forbidden,
+    purpose, max_duration_seconds, expires_at, declared_at, declared_at AS active_from FROM decl WHERE n = 1
   UNION ALL
-  SELECT agent_id, seq, granted_at, renewable, status,
+  SELECT agent_id, n, seq, granted_at, renewable, status,
     CASE WHEN status = 'accepted' THEN coalesce(n_allowed, allowed) ELSE allowed END,
     CASE WHEN status = 'accepted' THEN coalesce(n_forbidden, forbidden) ELSE forbidden END,
     CASE WHEN status = 'accepted' THEN coalesce(n_purpose, purpose) ELSE purpose END,
     CASE WHEN status = 'accepted' THEN coalesce(n_max, max_duration_seconds) ELSE max_duration_seconds END,
     CASE WHEN status = 'accepted' THEN coalesce(n_expires, expires_at) ELSE expires_at END, declared_at,
     CASE WHEN status = 'accepted' THEN declared_at ELSE active_from END
-  FROM (SELECT s.agent_id, d.seq, s.granted_at, s.renewable, s.allowed, s.forbidden, s.purpose, s.max_duration_seconds,
+  FROM (SELECT s.agent_id, d.n, d.seq, s.granted_at, s.renewable, s.allowed, s.forbidden, s.purpose, s.max_duration_seconds,
       s.expires_at, s.active_from, d.declared_at, d.allowed AS n_allowed, d.forbidden AS n_forbidden, d.purpose AS n_purpose,
       d.max_duration_seconds AS n_max, d.expires_at AS n_expires,
       CASE WHEN d.declared_at > s.granted_at + to_seconds(s.renewable) THEN 'ceiling_reached' WHEN {_OK} THEN 'accepted'
         ELSE 'widening' END AS status
-    FROM walk s JOIN decl d ON d.agent_id = s.agent_id AND d.seq = s.seq + 1))"""
+    FROM walk s JOIN decl d ON d.agent_id = s.agent_id AND d.n = s.n + 1))"""
 
 _ENFORCED = f"""{READ.replace('WITH ', 'WITH RECURSIVE ', 1)}, {scopes_cte()}, {_STEP},
 hist AS (SELECT *, least(active_from + to_seconds(max_duration_seconds), expires_at) AS active_until
-  FROM walk WHERE status IN ('declared', 'accepted')),
+  FROM walk WHERE status IN ('declared', 'accepted')
+  QUALIFY row_number() OVER (PARTITION BY agent_id, declared_at ORDER BY seq DESC) = 1),
 acts AS (SELECT request_id, agent_id, ts, tool, action, blocked FROM clean WHERE parsed),
 placed AS (SELECT a.*, h.allowed, h.forbidden, h.active_until, h.declared_at AS scope_at, h.agent_id AS scope_agent
   FROM acts a ASOF LEFT JOIN hist h ON a.agent_id = h.agent_id AND a.ts >= h.declared_at),

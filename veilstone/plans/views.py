@@ -153,51 +153,46 @@ def events_cte() -> str:
     return f"{EVENT_BASE}, ev AS (SELECT ts, user_id, {derived} FROM event_base)"
 
 
-# One declaration per agent and week; every second one is a refresh that leaves most fields unset.
+#: Events that stand for a scope declaration; all fields follow from the event, and half of them are left unset.
+DECLARING = "event_type = 'signup'"
 SCOPE_COLUMNS = {
-    "agent_id": "'a' || cast(agent as string)",
-    "seq": "week",
-    "allowed": "CASE WHEN week = 0 THEN CASE agent % 3 WHEN 0 THEN 'read_file,web_search,write_file' WHEN 1 THEN '*' "
-    "ELSE 'read_file,run_command' END WHEN week = 2 THEN CASE agent % 4 WHEN 0 THEN 'read_file' "
-    "WHEN 1 THEN 'read_file,send_mail' WHEN 2 THEN '' END "
-    "WHEN week = 4 AND agent % 2 = 0 THEN 'read_file,write_file' END",
-    "forbidden": "CASE WHEN week = 0 AND agent % 5 = 0 THEN 'send_mail' "
-    "WHEN week = 4 AND agent % 3 = 0 THEN 'run_command,send_mail' WHEN week = 3 AND agent % 5 = 0 THEN 'web_search' END",
-    "purpose": "CASE WHEN week = 0 THEN 'p' || cast(agent as string) WHEN week = 3 THEN 'later' END",
-    "max_duration_seconds": "CASE WHEN week = 0 THEN 864000 WHEN week = 1 AND agent % 2 = 0 THEN 200000 END",
-    "renewable_seconds": "CASE WHEN week = 0 AND agent % 4 = 0 THEN 1300000 WHEN week = 2 THEN 99 END",
+    "agent_id": "'a' || cast(user_id % 20 as string)",
+    "seq": "event_id",
+    "allowed": "CASE WHEN event_id % 97 = 0 THEN '' ELSE CASE event_id % 7 WHEN 0 THEN "
+    "'read_file,run_command,send_mail,web_search,write_file' WHEN 1 THEN '*' WHEN 2 THEN 'read_file,web_search,write_file' "
+    "WHEN 3 THEN 'read_file,send_mail,write_file' END END",
+    "forbidden": "CASE WHEN event_id % 5 = 0 THEN 'send_mail' WHEN event_id % 11 = 0 THEN 'run_command,send_mail' END",
+    "purpose": "CASE WHEN event_id % 4 = 0 THEN 'p' || cast(event_id % 9 as string) END",
+    "max_duration_seconds": "CASE event_id % 3 WHEN 0 THEN 864000 WHEN 1 THEN 20000 END",
+    "renewable_seconds": "CASE WHEN event_id % 2 = 0 THEN 1300000 WHEN event_id % 13 = 0 THEN 99 END",
 }
 
 
 def scope_declarations(spark: SparkSession, folder: str) -> DataFrame:
-    """Scope declarations for the agents seen in the events."""
-    agents = read_table(spark, folder, "events").select((F.col("user_id") % 20).alias("agent")).distinct()
-    weeks = agents.select("agent", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("week"))
-    start = F.lit("2024-01-01 00:00:00").cast("timestamp")
-    at = F.timestamp_seconds(F.unix_seconds(start) + F.col("week") * 604_800 + F.col("agent") * 3_600)
-    end = F.when((F.col("week") == 3) & (F.col("agent") % 3 == 1), F.lit("2024-01-25 00:00:00").cast("timestamp"))
+    """A scope declaration for every event that declares one: as the events grow, so does each agent's history."""
+    events = read_table(spark, folder, "events").where(DECLARING)
 
     def tools(name: str) -> Column:
         text = F.expr(SCOPE_COLUMNS[name])
         listed = F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ","))
         return F.when(text.isNotNull(), listed)
 
-    return weeks.select(
+    at = F.col("ts").cast("timestamp")
+    return events.select(
         *[F.expr(SCOPE_COLUMNS[c]).alias(c) for c in ("agent_id", "seq", "purpose", "max_duration_seconds", "renewable_seconds")],
         at.alias("declared_at"),
-        end.alias("expires_at"),
+        F.when(F.col("event_id") % 19 == 0, at + F.expr("INTERVAL '3' DAY")).alias("expires_at"),
         tools("allowed").alias("allowed_tools"),
         tools("forbidden").alias("forbidden_tools"),
     )
 
 
 def scopes_cte() -> str:
-    """DuckDB: `decl`, the same declarations, with lists as comma-joined text."""
+    """DuckDB: `decl`, the same declarations, with lists as comma-joined text and `n` in each agent's order."""
     derived = ", ".join(f"{sql} AS {name}" for name, sql in SCOPE_COLUMNS.items())
-    return f"""agents AS (SELECT DISTINCT user_id % 20 AS agent FROM events),
-weeks AS (SELECT agent, unnest(range(5)) AS week FROM agents),
-decl AS (SELECT {derived}, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(week * 604800 + agent * 3600) AS declared_at,
-  CASE WHEN week = 3 AND agent % 3 = 1 THEN TIMESTAMP '2024-01-25 00:00:00' END AS expires_at FROM weeks)"""
+    return f"""decl AS (SELECT {derived}, ts AS declared_at,
+  CASE WHEN event_id % 19 = 0 THEN ts + INTERVAL 3 DAY END AS expires_at,
+  row_number() OVER (PARTITION BY user_id % 20 ORDER BY ts, event_id) AS n FROM events WHERE {DECLARING})"""
 
 
 def document_envelopes(spark: SparkSession, folder: str) -> DataFrame:
