@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
-from veilstone.operators import sessions
+from veilstone.operators import scopes, sessions
 from veilstone.sources.sinks import run_stream, run_to_end, write_vault
 from veilstone.sources.tables import stream_table
 from veilstone.streaming import windows
+from veilstone.streaming.scopes import stream_scope_enforce
 from veilstone.streaming.sessions import stream_session_state
 
 T0 = datetime(2024, 1, 1)
@@ -83,3 +86,48 @@ def test_vault_is_partitioned_by_type(spark, tmp_path):
     write_vault(vault, str(tmp_path / "vault"))
     assert sorted(p.name for p in (tmp_path / "vault").glob("type=*")) == ["type=email", "type=ssn"]
     assert spark.read.parquet(str(tmp_path / "vault")).where("type = 'ssn'").count() == 1
+
+
+def _scope_rows(seed):
+    rng = random.Random(seed)
+    tools = ["read", "write", "run", "send"]
+    pick = lambda: rng.choice([None, None, [], ["*"], ["read"], ["read", "write"], ["read", "write", "run"]])
+    declared = [
+        (f"a{rng.randrange(4)}", T0 + timedelta(minutes=rng.randrange(900), seconds=rng.randrange(60), microseconds=rng.choice([0, 500_000])), i, pick(),
+         rng.choice([None, None, ["send"], ["run", "send"]]), rng.choice([None, 3_600, 20_000]),
+         rng.choice([None, None, T0 + timedelta(hours=8)]), rng.choice([None, 9_000, 40_000]))
+        for i in range(60)
+    ]
+    acted = [(f"a{rng.randrange(5)}", T0 + timedelta(minutes=rng.randrange(900), seconds=rng.randrange(60)), 1_000 + i, rng.choice([*tools, None])) for i in range(400)]
+    return declared, acted
+
+
+DECLARED = "agent_id string, declared_at timestamp, seq int, allowed_tools array<string>, forbidden_tools array<string>, max_duration_seconds int, expires_at timestamp, renewable_seconds int"
+ACTED = "agent_id string, ts timestamp, request_id bigint, tool string"
+
+
+@pytest.mark.parametrize("seed,cuts", [(1, 1), (1, 5), (2, 3)])
+def test_scopes_are_enforced_as_in_a_batch_at_any_split(spark, tmp_path, seed, cuts):
+    """Actions and declarations are one stream of files, cut by time, and told apart by what they carry."""
+    declared, acted = _scope_rows(seed)
+    declarations, actions = spark.createDataFrame(declared, DECLARED), spark.createDataFrame(acted, ACTED)
+    history = scopes.scope_history(declarations.withColumn("purpose", F.lit("p")))
+    batch = scopes.scope_enforce(actions.selectExpr("*", "'allow' AS action", "false AS blocked"), history)
+    want = {r["request_id"]: r["hold_reason"] for r in batch.collect()}
+    assert len(set(want.values())) == 4
+    ends = [T0 + timedelta(minutes=900 * (k + 1) // cuts) for k in range(cuts - 1)] + [T0 + timedelta(days=9)]
+    for k, end in enumerate(ends):
+        begin = ends[k - 1] if k else T0 - timedelta(days=1)
+        part = [(a, at, 0, i, None, *rest) for a, at, i, *rest in declared if begin <= at < end]
+        part += [(a, at, 1, i, tool, None, None, None, None, None) for a, at, i, tool in acted if begin <= at < end]
+        rows = spark.createDataFrame(part, ONE)
+        rows.coalesce(1).write.mode("append").parquet(str(tmp_path / "one"))
+    stream = spark.readStream.schema(ONE).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "one"))
+    given = stream.where("kind = 0").selectExpr("agent_id", "at AS declared_at", "id AS seq", *DECLARED_MORE)
+    done = stream.where("kind = 1").selectExpr("agent_id", "at AS ts", "id AS request_id", "tool")
+    held = run_stream(spark, stream_scope_enforce(spark, given, done), f"t-scope-{seed}-{cuts}").collect()
+    assert {r["request_id"]: r["hold_reason"] for r in held} == want and len(held) == len(acted)
+
+
+DECLARED_MORE = ("allowed_tools", "forbidden_tools", "max_duration_seconds", "expires_at", "renewable_seconds")
+ONE = "agent_id string, at timestamp, kind int, id bigint, tool string, allowed_tools array<string>, forbidden_tools array<string>, max_duration_seconds int, expires_at timestamp, renewable_seconds int"

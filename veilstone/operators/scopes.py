@@ -29,7 +29,7 @@ def within(tools: Column, allowed: Column) -> Column:
 
 
 def _add_seconds(ts: Column, seconds: Column) -> Column:
-    return F.timestamp_seconds(F.unix_seconds(ts) + seconds)
+    return F.timestamp_micros(F.unix_micros(ts) + seconds.cast("bigint") * 1_000_000)
 
 
 def scope_merge(declarations: DataFrame, accepted: Column | None = None) -> DataFrame:

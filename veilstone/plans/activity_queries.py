@@ -10,13 +10,13 @@ from veilstone.functions.dims import values_table
 from veilstone.operators import reliability, scopes, sessions
 from veilstone.operators import verdicts as vops
 from veilstone.plans.flows import action_scan as action_scan_of
-from veilstone.plans.verdict_queries import FEEDBACK, READ
 from veilstone.plans.request_queries import EXPIRING
-from veilstone.plans.views import event_columns, event_requests, events_cte, scope_declarations, scopes_cte
-from veilstone.session import cut_lineage
+from veilstone.plans.verdict_queries import FEEDBACK, READ
+from veilstone.plans.views import declarations_of, event_columns, event_requests, events_cte, scope_declarations, scopes_cte
 from veilstone.sources.sinks import run_stream, run_to_end
 from veilstone.sources.tables import read_table, stream_table
 from veilstone.streaming import windows
+from veilstone.streaming.scopes import stream_scope_enforce as stream_scope_enforce_of
 from veilstone.streaming.sessions import stream_session_state as stream_session_state_of
 
 
@@ -138,6 +138,13 @@ def scope_enforce_limited(spark: SparkSession, folder: str) -> DataFrame:
     return held.where("hold_reason = 'action_limit'").select("agent_id", "request_id", "tool")
 
 
+def stream_scope_enforce(spark: SparkSession, folder: str) -> DataFrame:
+    events = stream_table(spark, folder, "events")
+    actions = event_columns(events, "agent_id", "tool")
+    held = stream_scope_enforce_of(spark, declarations_of(stream_table(spark, folder, "events")), actions)
+    return run_stream(spark, held, "scope-enforce").select("agent_id", "request_id", "tool", "hold_reason")
+
+
 def action_scan(spark: SparkSession, folder: str) -> DataFrame:
     history = scopes.scope_history(scope_declarations(spark, folder))
     return action_scan_of(event_requests(spark, folder, "agent_id", "tool", "raw"), history).drop("ts")
@@ -257,6 +264,7 @@ QUERIES = {
     "scope_enforce": scope_enforce,
     "scope_enforce_limited": scope_enforce_limited,
     "action_scan": action_scan,
+    "stream_scope_enforce": stream_scope_enforce,
     "classify_outcome": classify_outcome,
     "failure_runs": failure_runs,
     "degraded_rate": degraded_rate,
@@ -390,6 +398,7 @@ FROM walk WHERE status IN ('declared', 'accepted')""",
   coalesce(TIMESTAMP '2024-01-20 12:00:00' > renewable_until, false) AS ceiling_reached FROM expiring""",
     "scope_enforce": f"""{_ENFORCED} SELECT agent_id, request_id, tool, CASE WHEN waits THEN 'require_approval' ELSE action END AS action,
   blocked, hold_reason, hold_reason IS NOT NULL AS held_by_scope, CASE WHEN waits THEN action END AS content_action FROM waiting""",
+    "stream_scope_enforce": f"{_ENFORCED.replace('FROM clean WHERE parsed', 'FROM clean')} SELECT agent_id, request_id, tool, hold_reason FROM waiting",
     "scope_enforce_limited": f"{_ENFORCED} SELECT agent_id, request_id, tool FROM waiting WHERE hold_reason IS NULL AND over_limit",
     "action_scan": f"""{_ENFORCED},
 final AS (SELECT w.agent_id, request_id, w.tool, CASE WHEN waits THEN 'require_approval' ELSE w.action END AS action, hold_reason,

@@ -170,7 +170,12 @@ SCOPE_COLUMNS = {
 
 def scope_declarations(spark: SparkSession, folder: str) -> DataFrame:
     """A scope declaration for every event that declares one: as the events grow, so does each agent's history."""
-    events = read_table(spark, folder, "events").where(DECLARING)
+    return declarations_of(read_table(spark, folder, "events"))
+
+
+def declarations_of(events: DataFrame) -> DataFrame:
+    """The declarations of a table or stream of events."""
+    events = events.where(DECLARING)
 
     def tools(name: str) -> Column:
         text = F.expr(SCOPE_COLUMNS[name])
