@@ -198,3 +198,57 @@ def test_enforcement(spark):
     }
     limited = scopes.scope_enforce(table.withColumn("tool", F.lit("read")), history.withColumn("most", F.lit(2)), "most")
     assert {r["request_id"]: r["hold_reason"] for r in limited.collect()} == {0: None, 1: None, 2: None, 3: "action_limit", 4: "action_limit", 5: "expired"}
+
+
+def test_roots_of_chains_of_adopted_sessions(spark):
+    chains = {f"c{c}-{i}": f"c{c}-{i - 1}" for c, n in enumerate([1, 2, 37, 64]) for i in range(1, n)}
+    chains |= {f"fan{i}": "c2-3" for i in range(50)}
+    table = spark.createDataFrame(list(chains.items()), "session_id string, previous_session_id string")
+
+    def root(s, hops=0):
+        return root(chains[s], hops + 1) if s in chains else (s, hops)
+
+    got = {r["session"]: (r["root"], r["hops"]) for r in sessions.root_sessions(table).collect()}
+    assert got == {s: root(s) for s in chains}
+    assert sessions.root_sessions(table.where("false")).collect() == []
+    with pytest.raises(ValueError, match="circle"):
+        sessions.root_sessions(spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a")], table.schema)).collect()
+
+
+def test_state_of_a_chain_tells_locks_and_rotations(spark):
+    rows = [
+        ("s1", T0, 1, 0.9, "x", "s1"), ("s2", T0 + timedelta(hours=1), 2, 0.1, "x", "s2"), ("s2", T0 + timedelta(hours=2), 3, 0.8, "x", "s2"),
+        ("t1", T0, 4, 0.95, "session_locked", "t1"), ("u1", T0, 5, 0.75, "x", "built-in"), ("v1", T0, 6, None, None, "v1"),
+    ]
+    table = spark.createDataFrame(rows, "session_id string, ts timestamp, request_id int, risk double, threat string, own string")
+    judged = sessions.evaluate_rotation(table, "request_id", "threat", "risk", "session_id", "own")
+    adopted = spark.createDataFrame([("s2", "s1")], "session_id string, previous_session_id string")
+    got = {r["root"]: r for r in sessions.latest_rotated_state(judged, adopted, ["ts", "request_id"], ["risk"]).collect()}
+    assert {k: (r["session"], r["sessions"], r["turns"], r["risk"]) for k, r in got.items()} == {
+        "s1": ("s2", 2, 3, 0.8), "t1": ("t1", 1, 1, 0.95), "u1": ("u1", 1, 1, 0.75), "v1": ("v1", 1, 1, None),
+    }
+    assert {k: (r["locked"], r["rotated"], r["rotation_recommended"], r["next_id"] is None) for k, r in got.items()} == {
+        "s1": (False, True, False, False), "t1": (True, False, False, True), "u1": (False, False, True, False), "v1": (False, False, False, True),
+    }
+
+
+def test_holds_last_to_the_release_or_the_last_action(spark):
+    rng = random.Random(23)
+    rows = [(rng.choice(["a", "a", "a", "b", None]), T0 + timedelta(minutes=rng.randrange(4_000)), i, rng.choice([True, False, False, None]), rng.choice([True, False, None])) for i in range(500)]
+    table = spark.createDataFrame(rows, "session_id string, ts timestamp, request_id int, bad boolean, good boolean")
+    got = sessions.session_holds(table, F.col("bad"), F.col("good"), ("session_id",)).collect()
+    want = []
+    for key in ("a", "b", None):
+        hold = None
+        for _, ts, i, bad, good in sorted((r for r in rows if r[0] == key), key=lambda r: (r[1], r[2])):
+            if hold and good and not bad:
+                want.append((key, hold[0], i, True, hold[2], hold[3], (ts - hold[1]) // timedelta(seconds=1)))
+                hold = None
+            elif hold:
+                hold = [hold[0], hold[1], hold[2] + bool(bad), hold[3] + 1, i, ts]
+            elif bad:
+                hold = [i, ts, 1, 0, i, ts]
+        if hold:
+            want.append((key, hold[0], hold[4], False, hold[2], hold[3], (hold[5] - hold[1]) // timedelta(seconds=1)))
+    found = [(r["session_id"], r["started"]["request_id"], r["ended"]["request_id"], r["released"], r["refusals"], r["actions_held"], r["seconds"]) for r in got]
+    assert sorted(found, key=repr) == sorted(want, key=repr) and len(want) > 50

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veilstone.functions.frames import Running, hours, running
+from veilstone.functions.frames import Running, hours, running, skew_safe_lookup
+from veilstone.session import cut_lineage
 
 ROTATION_LIMIT = 0.7
 
@@ -93,6 +94,103 @@ def latest_session_state(
     return events.groupBy(*keys).agg(newest.alias("_s"), F.count(F.lit(1)).alias("turns")).select(*keys, "turns", "_s.*")
 
 
+def root_sessions(adoptions: DataFrame, session: str = "session_id", previous: str = "previous_session_id") -> DataFrame:
+    """`session`, the `root` its chain of adopted ids began with, and the number of `hops` to it.
+
+    `adoptions` has a row for each session that took over from another one. Chains are resolved by pointer doubling: every
+    session points to the one before, then two back, then four, so a chain of n ids takes log2(n) rounds. A session
+    that took over from itself by way of others has no root and is an error.
+    """
+    links = adoptions.select(F.col(session).alias("session"), F.col(previous).alias("root"), F.lit(1).cast("bigint").alias("hops"))
+    links = cut_lineage(links.where("session IS NOT NULL AND root IS NOT NULL"))
+    rounds = links.count().bit_length() + 1
+    while True:
+        ahead = links.select(F.col("session").alias("root"), F.col("root").alias("_root"), F.col("hops").alias("_hops"))
+        counts = links.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+        met = skew_safe_lookup(links, ahead, counts, "root", "session")
+        if met.where("_root IS NOT NULL").isEmpty():
+            return links
+        if rounds == 0:
+            raise ValueError("adopted session ids go round in a circle")
+        onward = F.col("hops") + F.coalesce("_hops", F.lit(0))
+        links = cut_lineage(met.select("session", F.coalesce("_root", "root").alias("root"), onward.alias("hops")))
+        rounds -= 1
+
+
+def latest_rotated_state(
+    events: DataFrame, adoptions: DataFrame, order: Sequence[str], state: Sequence[str], session: str = "session_id", record: str = "rotation"
+) -> DataFrame:
+    """The newest state of each chain of sessions, with what rotation makes of it.
+
+    `root` names the chain, `session` the id in force, `sessions` and `turns` how much there was; `locked`, `rotated`,
+    `rotation_recommended` and `next_id` come from the newest event's rotation record. Events fold to a row for each session
+    before sessions meet their roots.
+    """
+    newest = F.max_by(F.struct(*order, *state, record), F.struct(*order))
+    folded = events.groupBy(F.col(session).alias("session")).agg(newest.alias("_s"), F.count(F.lit(1)).alias("turns"))
+    roots = root_sessions(adoptions, session)
+    joined = folded.join(roots.select("session", "root"), "session", "left").withColumn("root", F.coalesce("root", "session"))
+    last = F.max_by(F.struct("session", "_s"), F.struct(*[F.col(f"_s.{c}") for c in order]))
+    chains = joined.groupBy("root").agg(last.alias("_l"), F.count(F.lit(1)).alias("sessions"), F.sum("turns").alias("turns"))
+    rotation_ = F.col(f"_l._s.{record}")
+    return chains.select(
+        "root",
+        F.col("_l.session").alias("session"),
+        "sessions",
+        "turns",
+        *[F.col(f"_l._s.{c}").alias(c) for c in (*order, *state)],
+        is_locked(rotation_).alias("locked"),
+        F.coalesce(rotation_["rotated"], F.lit(False)).alias("rotated"),
+        F.coalesce(rotation_["rotation_recommended"], F.lit(False)).alias("rotation_recommended"),
+        rotation_next_id(rotation_).alias("next_id"),
+    )
+
+
+def session_holds(
+    events: DataFrame,
+    refused: Column,
+    released: Column,
+    keys: Sequence[str] = SESSION_KEYS,
+    order: Sequence[str] = ("ts", "request_id"),
+) -> DataFrame:
+    """Every hold of a session: from a refusal to the next release, or to the last action where none came.
+
+    `started` and `ended` are the rows at either end, `released` whether a release ended it; `refusals` counts the refusals
+    in it, `actions_held` the actions after the first refusal and before the release, `seconds` its length. A row that is
+    both refuses. One ordered pass tells each row the latest release and the latest mark before it; then rows fold
+    by session and latest release, so no session is worked off in one task.
+    """
+    refuses = F.coalesce(refused, F.lit(False))
+    releases = F.coalesce(released, F.lit(False)) & ~refuses
+    at = F.struct(*[F.col(c) for c in order])
+    marks = events.select(*keys, *order, refuses.alias("_refuses"), releases.alias("_releases"))
+    passed = running(
+        marks,
+        keys,
+        order,
+        hours(F.col(order[0])),
+        {
+            "_since": Running("last", F.when(F.col("_releases"), at), before=True),
+            "_was": Running("last", F.when(F.col("_refuses"), True).when(F.col("_releases"), False), before=True),
+        },
+    )
+    held = F.coalesce("_was", F.lit(False))
+    ends = F.col("_releases") & held
+    holds = passed.groupBy(*keys, "_since").agg(
+        F.min(F.when(F.col("_refuses"), at)).alias("started"),
+        F.min(F.when(ends, at)).alias("_release"),
+        F.max(F.when(F.col("_refuses") | held, at)).alias("_last"),
+        F.count_if("_refuses").alias("refusals"),
+        F.count_if(held & ~ends).alias("actions_held"),
+    )
+    ended = F.coalesce("_release", "_last")
+    length = F.floor((F.unix_micros(ended[order[0]]) - F.unix_micros(F.col("started")[order[0]])) / 1_000_000)
+    return holds.where("started IS NOT NULL").select(
+        *keys, "started", ended.alias("ended"), F.col("_release").isNotNull().alias("released"), "refusals", "actions_held",
+        length.cast("bigint").alias("seconds"),
+    )
+
+
 def post_refusal_holds(
     events: DataFrame,
     keys: Sequence[str] = SESSION_KEYS,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from veilstone.functions import verdicts as V
@@ -59,6 +59,37 @@ def latest_session_state(spark: SparkSession, folder: str) -> DataFrame:
     ).select("session_id", "agent_id", "turns", "request_id", "risk", "tool", _stamp("ts").alias("at"))
 
 
+def latest_rotated_state(spark: SparkSession, folder: str) -> DataFrame:
+    """A user's next session takes over where the newest verdict of the one before offers a new id."""
+    read = vops.parse_verdict(event_requests(spark, folder, "raw", "session_id"))
+    own = F.when(F.col("user_id") % 2 == 0, F.col("session_id")).otherwise("built-in")
+    facts = read.select(
+        "ts", "request_id", "user_id", "session_id", own.alias("own_session_id"), "raw_threat_type",
+        F.when(F.col("parsed"), V.number_of(V.field(F.col("v.session_state"), "session_risk_score"))).alias("risk"),
+    )
+    judged = sessions.evaluate_rotation(facts, "request_id", "raw_threat_type", "risk", "session_id", "own_session_id")
+    newest = judged.groupBy("user_id", "session_id").agg(F.max_by("rotation", F.struct("ts", "request_id")).alias("rotation"))
+    line = Window.partitionBy("user_id").orderBy("session_id")  # a user's sessions: one for each day
+    before = newest.select(
+        "session_id", F.lag("session_id").over(line).alias("previous_session_id"),
+        F.lag(sessions.rotation_next_id(F.col("rotation"))).over(line).alias("offered"),
+    )
+    state = sessions.latest_rotated_state(judged, before.where("offered IS NOT NULL"), ["ts", "request_id"], ["risk"])
+    return state.select(
+        "root", "session", "sessions", "turns", "request_id", "risk", "locked", "rotated", "rotation_recommended", "next_id",
+        _stamp("ts").alias("at"),
+    )
+
+
+def session_holds(spark: SparkSession, folder: str) -> DataFrame:
+    events = _blocked_events(spark, folder).select("request_id", "ts", "user_id", "session_id", "agent_id", "blocked", "action")
+    held = sessions.session_holds(events, F.col("blocked"), F.col("action") == "allow")
+    return held.select(
+        "session_id", F.col("started.request_id").alias("first_id"), F.col("ended.request_id").alias("last_id"), "released",
+        "refusals", "actions_held", "seconds",
+    )
+
+
 def _blocked_events(spark: SparkSession, folder: str, *more: str) -> DataFrame:
     events = event_requests(spark, folder, "session_id", "agent_id", "raw", *more)
     keep = ["request_id", "ts", "user_id", "session_id", "agent_id", *more]
@@ -254,6 +285,8 @@ QUERIES = {
     "rotation_next_id": rotation_next_id,
     "session_timeline": session_timeline,
     "latest_session_state": latest_session_state,
+    "latest_rotated_state": latest_rotated_state,
+    "session_holds": session_holds,
     "post_refusal_holds": post_refusal_holds,
     "session_isolation_audit": session_isolation_audit,
     "shared_session_audit": shared_session_audit,
@@ -375,6 +408,30 @@ WINDOW w AS (PARTITION BY user_id, session_id, agent_id ORDER BY ts, request_id)
     "latest_session_state": f"""WITH {events_cte()} SELECT session_id, agent_id, count(*) OVER (PARTITION BY session_id, agent_id) AS turns,
   request_id, risk, tool, {_STAMP.format('ts')} AS at FROM ev
 QUALIFY row_number() OVER (PARTITION BY session_id, agent_id ORDER BY ts DESC, request_id DESC) = 1""",
+    "latest_rotated_state": f"""{_ROT.replace('WITH ', 'WITH RECURSIVE ', 1)},
+timed AS (SELECT rot.*, ev.ts, ev.user_id, CASE WHEN over_limit THEN new_id END AS offered FROM rot JOIN ev USING (request_id)),
+newest AS (SELECT * FROM timed QUALIFY row_number() OVER (PARTITION BY timed.session_id ORDER BY ts DESC, request_id DESC) = 1),
+lined AS (SELECT user_id, session_id, lag(session_id) OVER w AS before_id, lag(offered) OVER w AS offered_before FROM newest
+  WINDOW w AS (PARTITION BY user_id ORDER BY session_id)),
+chain AS (SELECT session_id, session_id AS root FROM lined WHERE offered_before IS NULL
+  UNION ALL SELECT l.session_id, c.root FROM chain c JOIN lined l ON l.before_id = c.session_id AND l.offered_before IS NOT NULL),
+turns AS (SELECT root, count(*) AS turns, count(DISTINCT session_id) AS sessions FROM timed JOIN chain USING (session_id) GROUP BY root)
+SELECT root, session_id AS session, sessions, turns, request_id, risk, locked, over_limit AND NOT foreign_id AS rotated,
+  over_limit AND foreign_id AS rotation_recommended, offered AS next_id, {_STAMP.format('ts')} AS at
+FROM newest JOIN chain USING (session_id) JOIN turns USING (root)
+QUALIFY row_number() OVER (PARTITION BY root ORDER BY ts DESC, request_id DESC) = 1""",
+    "session_holds": f"""{READ}, marked AS (SELECT request_id, session_id, agent_id, ts, coalesce(blocked, false) AS refuses,
+  coalesce(action = 'allow', false) AND NOT coalesce(blocked, false) AS releases FROM clean WHERE parsed),
+passed AS (SELECT *, coalesce(last_value(CASE WHEN refuses THEN true WHEN releases THEN false END IGNORE NULLS) OVER w, false) AS held,
+  coalesce(count(CASE WHEN releases THEN 1 END) OVER w, 0) AS part FROM marked
+  WINDOW w AS (PARTITION BY session_id, agent_id ORDER BY ts, request_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+folded AS (SELECT session_id, agent_id, part, arg_min(CASE WHEN refuses THEN request_id END, (ts, request_id)) AS first_id,
+  min(CASE WHEN refuses THEN ts END) AS first_ts,
+  arg_min(request_id, (ts, request_id)) FILTER (WHERE releases AND held) AS release_id, min(CASE WHEN releases AND held THEN ts END) AS release_ts,
+  arg_max(request_id, (ts, request_id)) FILTER (WHERE refuses OR held) AS end_id, max(CASE WHEN refuses OR held THEN ts END) AS end_ts,
+  count(*) FILTER (WHERE refuses) AS refusals, count(*) FILTER (WHERE held AND NOT releases) AS actions_held FROM passed GROUP BY ALL)
+SELECT session_id, first_id, coalesce(release_id, end_id) AS last_id, release_id IS NOT NULL AS released, refusals, actions_held,
+  (epoch_us(coalesce(release_ts, end_ts)) - epoch_us(first_ts)) // 1000000 AS seconds FROM folded WHERE first_ts IS NOT NULL""",
     "post_refusal_holds": f"""{READ}, lined AS (SELECT request_id, session_id, ts,
   sum(CASE WHEN blocked THEN 1 ELSE 0 END) OVER w AS refusals_before,
   last_value(CASE WHEN blocked THEN request_id END IGNORE NULLS) OVER w AS refusal_id,
