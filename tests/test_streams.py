@@ -131,3 +131,20 @@ def test_scopes_are_enforced_as_in_a_batch_at_any_split(spark, tmp_path, seed, c
 
 DECLARED_MORE = ("allowed_tools", "forbidden_tools", "max_duration_seconds", "expires_at", "renewable_seconds")
 ONE = "agent_id string, at timestamp, kind int, id bigint, tool string, allowed_tools array<string>, forbidden_tools array<string>, max_duration_seconds int, expires_at timestamp, renewable_seconds int"
+
+
+def test_idle_sessions_leave_the_state(spark, tmp_path):
+    """Three files, each four days after the one before: only sessions of the last file are still there."""
+    for part in range(3):
+        rows = [(f"p{part}-s{i}", T0 + timedelta(days=4 * part, minutes=i), part * 10 + i, 0.9, "x", "c") for i in range(5)]
+        rows.append(("ever", T0 + timedelta(days=4 * part), part * 10 + 9, 0.9, "x", "c"))
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).toPandas().to_parquet(tmp_path / f"acts-{part}.parquet", coerce_timestamps="us")
+    stream = stream_session_state(spark, _stream(spark, str(tmp_path)))
+    done = stream.writeStream.format("memory").queryName("idle").option("checkpointLocation", str(tmp_path / "progress")).trigger(availableNow=True).start()
+    done.awaitTermination()
+    found = spark.table("idle").groupBy("session_id").count().collect()
+    # the watermark moves between batches, so the one that comes back in each batch is never found idle
+    assert {r["session_id"]: r["count"] for r in found} == {f"p{p}-s{i}": 1 for p in range(3) for i in range(5)} | {"ever": 1}
+    state = spark.read.format("statestore").option("stateVarName", "session").load(str(tmp_path / "progress"))
+    left = {r["key"]["session_id"] if "session_id" in r["key"] else r["key"][0] for r in state.select("key").collect()}
+    assert left == {f"p2-s{i}" for i in range(5)} | {"ever"}

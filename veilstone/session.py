@@ -19,7 +19,9 @@ SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
+#: The state store that operators with state of their own need.
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+SETTINGS["spark.sql.streaming.stateStore.providerClass"] = STATE_STORE
 
 
 def build_session(app: str = "veilstone", **extra: str) -> SparkSession:

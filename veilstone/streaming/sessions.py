@@ -7,70 +7,77 @@ from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from veilstone.operators.sessions import ROTATION_LIMIT
 from veilstone.session import STATE_STORE
 
 OUTPUT = "session_id STRING, reason STRING, request_id BIGINT, ts TIMESTAMP, risk DOUBLE"
-_STATE = "turns BIGINT, top_risk DOUBLE, locked BOOLEAN, crossed BOOLEAN"
 _ORDER = ["ts", "request_id"]
-
-
-def _earliest(best: pd.Series | None, rows: pd.DataFrame) -> pd.Series | None:
-    if rows.empty:
-        return best
-    first = rows.sort_values(_ORDER).iloc[0]
-    if best is None or (first["ts"], first["request_id"]) < (best["ts"], best["request_id"]):
-        return first
-    return best
+#: A session that stays without a trigger so long, in the time of its events, leaves the state.
+IDLE_HOURS = 48
 
 
 class SessionRisk(StatefulProcessor):
-    """Keeps turns, top risk and what was reported per session. Rows come in chunks and only the earliest trigger of
-    a chunk is kept, so a busy session never has to fit in memory."""
+    """Keeps what was reported of a session. Rows come in chunks and only the earliest trigger of each is kept, so a busy
+    session never has to fit in memory. A timer, moved on by every trigger, lets idle sessions go."""
 
     def __init__(self, idle_ms: int | None) -> None:
         self.idle_ms = idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("session", _STATE, self.idle_ms)
+        self.handle = handle
+        self.state = handle.getValueState("session", "locked BOOLEAN, crossed BOOLEAN, timer BIGINT")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        turns, top, locked, crossed = self.state.get() if self.state.exists() else (0, None, False, False)
-        lock = cross = None
+        locked, crossed, timer = self.state.get() if self.state.exists() else (False, False, None)
+        reported = {"session_locked": locked, "risk_threshold_exceeded": crossed}
+        found: dict[str, pd.DataFrame] = {}
+        latest = None
         for chunk in rows:
-            turns += len(chunk)
-            highest = chunk["risk"].max()
-            if pd.notna(highest):
-                top = highest if top is None else max(top, highest)
-            is_lock = chunk["threat"] == "session_locked"
-            lock = lock if locked else _earliest(lock, chunk[is_lock])
-            cross = cross if crossed else _earliest(cross, chunk[~is_lock & (chunk["risk"] >= ROTATION_LIMIT)])
-        self.state.update((turns, None if top is None else float(top), locked or lock is not None, crossed or cross is not None))
-        found = [("session_locked", lock), ("risk_threshold_exceeded", cross)]
-        records = [(key[0], reason, row["request_id"], row["ts"], row["risk"]) for reason, row in found if row is not None]
-        if records:
-            yield pd.DataFrame(records, columns=["session_id", "reason", "request_id", "ts", "risk"])
+            latest = chunk["ts"].max() if latest is None else max(latest, chunk["ts"].max())
+            for reason, part in chunk.groupby("reason"):
+                if not reported[reason]:
+                    first = part.nsmallest(1, _ORDER)
+                    found[reason] = pd.concat([found[reason], first]).nsmallest(1, _ORDER) if reason in found else first
+        if self.idle_ms is not None and pd.notna(latest):
+            then = int(latest.timestamp() * 1_000) + self.idle_ms
+            if timer is None or then > timer:
+                if timer is not None:
+                    self.handle.deleteTimer(timer)
+                self.handle.registerTimer(then)
+                timer = then
+        self.state.update((locked or "session_locked" in found, crossed or "risk_threshold_exceeded" in found, timer))
+        if found:
+            yield pd.concat(found.values()).assign(session_id=key[0])[["session_id", "reason", "request_id", "ts", "risk"]]
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        self.state.clear()
+        return iter(())
 
     def close(self) -> None:
         pass
 
 
-def stream_session_state(spark: SparkSession, stream: DataFrame, idle_hours: int | None = None) -> DataFrame:
+def stream_session_state(spark: SparkSession, stream: DataFrame, idle_hours: int | None = IDLE_HOURS, late: str = "10 minutes") -> DataFrame:
     """`stream` has session_id, ts, request_id, risk and the raw threat type as `threat`.
 
-    With `idle_hours`, the state of a session that stays idle is dropped. That asks for a batch at every trigger, so
-    use it with a processing-time trigger, not with one that ends when all input is read.
+    Only locks and crossings of the limit reach the state. A session that has none for `idle_hours` beyond the watermark is
+    forgotten, and reported anew should it come back; with None none is. Turns are counted by `stream_session_counts`. Needs the state
+    store `session.STATE_STORE`, which is set here where another one is.
     """
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    return (
-        stream.select("session_id", "ts", "request_id", "risk", "threat")
-        .groupBy("session_id")
-        .transformWithStateInPandas(
-            statefulProcessor=SessionRisk(idle_hours * 3_600_000 if idle_hours else None),
-            outputStructType=OUTPUT,
-            outputMode="Append",
-            timeMode="ProcessingTime" if idle_hours else "None",
-        )
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass") != STATE_STORE:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    locked = F.coalesce(F.col("threat") == "session_locked", F.lit(False))
+    over = F.coalesce((F.col("risk") >= ROTATION_LIMIT) & ~F.isnan(F.col("risk").cast("double")), F.lit(False))
+    reason = F.when(locked, "session_locked").when(over, "risk_threshold_exceeded")
+    triggers = stream.select("session_id", "ts", "request_id", F.col("risk").cast("double").alias("risk"), reason.alias("reason")).where("reason IS NOT NULL")
+    if idle_hours is not None:
+        triggers = triggers.withWatermark("ts", late)
+    return triggers.groupBy("session_id").transformWithStateInPandas(
+        statefulProcessor=SessionRisk(idle_hours * 3_600_000 if idle_hours is not None else None),
+        outputStructType=OUTPUT,
+        outputMode="Append",
+        timeMode="EventTime" if idle_hours is not None else "None",
     )
