@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +16,7 @@ from veilstone.functions import requests as R
 from veilstone.functions import verdicts as V
 from veilstone.functions.frames import computed_once, exploded, skew_safe_lookup
 from veilstone.functions.regex import java_regex
+from veilstone.functions.rules import RuleSet
 
 ACTION_RANK = {"allow": 1, "warn": 2, "require_approval": 3, "block": 4}
 
@@ -218,6 +222,42 @@ def rule_screen(
     return work.withColumn(out, F.coalesce(F.get(answers, F.col("_hit.pos")), clear)).drop("_hit")
 
 
+RULE_COLUMNS = "pos BIGINT, channel STRING, regex STRING, threat_type STRING, action STRING, confidence DOUBLE, reason STRING"
+
+
+def rule_screen_table(
+    df: DataFrame, rules: DataFrame, channel: str = "channel", content: str = "content", strictest: bool = False, out: str = "raw"
+) -> DataFrame:
+    """As `rule_screen`, with rules from a table (`RULE_COLUMNS`; `pos` gives their order) of any length.
+
+    Rules are configuration: they are read on the driver and go with the function to the tasks. A text meets only the
+    rules whose required literals it holds, found by one automaton for all of them, so neither a join nor a pass per rule
+    is needed. Rules without an expression or channel match nothing.
+    """
+    verdict = F.to_json(
+        F.struct(
+            F.lit(False).alias("safe"), "action", F.col("confidence").cast("double").alias("confidence"), "reason",
+            F.array(F.struct("threat_type")).alias("violations"),
+        )
+    )
+    listed = rules.where("regex IS NOT NULL AND channel IS NOT NULL").orderBy("pos").select("channel", "regex", "action", verdict.alias("raw")).collect()
+    for rule in listed:
+        pc.match_substring_regex(pa.array([""]), pattern=rule["regex"])  # refuses what the engine cannot run, before any task
+    known = [(r["channel"], r["regex"]) for r in listed]
+    ranks = [-ACTION_RANK.get(r["action"], 0) if strictest else 0 for r in listed]
+    answers = [r["raw"] for r in listed]
+
+    @F.pandas_udf("string")
+    def screen(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        found = RuleSet(known)
+        for channels, texts in batches:
+            hits = found.matches(channels.tolist(), texts.tolist())
+            yield pd.Series([answers[min(h, key=lambda p: (ranks[p], p))] if h else None for h in hits], dtype="object")
+
+    clear = F.lit('{"safe":true,"action":"allow"}')
+    return computed_once(df, "_found", screen(F.col(channel), F.col(content))).withColumn(out, F.coalesce("_found", clear)).drop("_found")
+
+
 def policy_match(verdicts: DataFrame, policies: DataFrame, threat: str = "threat_type", score: str = "score") -> DataFrame:
     """Adds `policy_action`: the strictest action of the rules whose type equals and whose threshold is reached.
 

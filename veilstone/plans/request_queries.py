@@ -145,6 +145,32 @@ def rule_screen_strictest(spark: SparkSession, folder: str) -> DataFrame:
     return screened.select("doc_id", F.get_json_object("raw", "$.action").alias("action"))
 
 
+#: Rules drawn from the benchmark: the first three words of each item with a letter in them, whatever stands between.
+TABLE_RULES = {
+    "pos": "item_id",
+    "channel": "CASE WHEN item_id % 5 = 0 THEN 'other' ELSE 'sql' END",
+    "threat_type": "'leak_' || cast(item_id % 3 as string)",
+    "action": "CASE item_id % 3 WHEN 0 THEN 'block' WHEN 1 THEN 'warn' ELSE 'require_approval' END",
+    "reason": "'item ' || cast(item_id as string)",
+}
+
+
+def _table_rules(spark: SparkSession, folder: str) -> DataFrame:
+    words = F.slice(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0)), 1, 3)
+    items = read_table(spark, folder, "benchmark").where(F.size(words) == 3)
+    regex = F.concat(F.lit(r"(?i)\b"), F.array_join(words, r"\W+"), F.lit(r"\b"))
+    confidence = F.lit(None).cast("double").alias("confidence")
+    return items.select(*[F.expr(sql).alias(name) for name, sql in TABLE_RULES.items()], regex.alias("regex"), confidence)
+
+
+def rule_screen_table(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _screened_docs(spark, folder).withColumn("channel", F.lit("sql"))
+    screened = ops.rule_screen_table(docs.select("doc_id", "channel", "content"), _table_rules(spark, folder), strictest=True)
+    return screened.select(
+        "doc_id", F.get_json_object("raw", "$.action").alias("action"), F.get_json_object("raw", "$.reason").alias("reason")
+    )
+
+
 def dedup_scans(spark: SparkSession, folder: str) -> DataFrame:
     docs = _screened_docs(spark, folder).withColumn("channel", F.lit("sql"))
     key = R.content_hash(channel=F.col("channel"), text=F.col("content"))
@@ -266,6 +292,7 @@ QUERIES = {
     "encode_rag_chunks": encode_rag_chunks,
     "content_hash": content_hash,
     "rule_screen": rule_screen,
+    "rule_screen_table": rule_screen_table,
     "rule_screen_strictest": rule_screen_strictest,
     "dedup_scans": dedup_scans,
     "dedup_scans_expiring": dedup_scans_expiring,
@@ -424,6 +451,12 @@ SELECT page_id, n AS n_chunks, sha256(content) AS content_sha, strlen(content) A
     "rule_screen": f"""WITH {_SCREENED}, h AS (SELECT doc_id, channel, {_rule_pick('hit')} FROM s)
 SELECT doc_id, channel, {_BLOCKED} AS blocked, {_by_rule(_ACTIONS, "'allow'")} AS action,
   {_by_rule(_RULE_TYPES, 'NULL')} AS threat_type, {_by_rule(_RULE_LEVEL, 'NULL')} AS confidence FROM h""",
+    "rule_screen_table": f"""WITH w AS (SELECT *, list_slice(regexp_extract_all(text, '[A-Za-z]+'), 1, 3) AS words FROM benchmark),
+rules AS (SELECT {', '.join(f"{sql} AS {name}" for name, sql in TABLE_RULES.items())},
+  '(?i)\\b' || array_to_string(words, '\\W+') || '\\b' AS regex FROM w WHERE len(words) = 3),
+hit AS (SELECT doc_id, action, reason FROM documents d JOIN rules r ON r.channel = 'sql' AND regexp_matches(d.text, r.regex)
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY CASE action WHEN 'block' THEN 0 WHEN 'require_approval' THEN 1 ELSE 2 END, pos) = 1)
+SELECT doc_id, coalesce(action, 'allow') AS action, reason FROM documents LEFT JOIN hit USING (doc_id)""",
     "rule_screen_strictest": f"WITH {_SCREENED}, h AS (SELECT doc_id, {_rule_pick('hit', 'strictest')} FROM s) "
     f"SELECT doc_id, {_by_rule(_ACTIONS, quoted('allow'))} AS action FROM h",
     "dedup_scans": f"""WITH s AS (SELECT doc_id, 'sql' AS channel, text AS content FROM documents),

@@ -35,10 +35,12 @@ def build_session(app: str = "veilstone", **extra: str) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder of the cluster, or a scratch one where none is set."""
+    """Shared checkpoint folder of the cluster. A scratch one is made where none is set in local mode; a cluster must name one."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     scratch = tempfile.mkdtemp(prefix="veilstone-")
     spark.conf.set("spark.checkpoint.dir", scratch)
     return scratch
