@@ -22,8 +22,10 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from `spark.checkpoint.dir`; a local one is set only where none is named."""
+    """The folder all executors share, from `spark.checkpoint.dir`; a local one is made only in local mode."""
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not base:
         base = "file://" + tempfile.mkdtemp(prefix="llm-")
         spark.conf.set("spark.checkpoint.dir", base)
