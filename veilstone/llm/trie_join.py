@@ -33,6 +33,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -216,24 +217,24 @@ def levels_of(table: DataFrame) -> np.ndarray:
         out = np.zeros((1 << BUCKET_BITS) // PIECES, np.int64)
         for part in frame["counts"]:
             out += np.frombuffer(zlib.decompress(part), np.uint32)
-        return pd.DataFrame({"piece": [key[0]], "counts": [out.tobytes()]})
+        return pd.DataFrame({"piece": [key[0]], "counts": [np.minimum(out, 2**32 - 1).astype(np.uint32).tobytes()]})
 
     parts = table.where("piece IS NOT NULL").select("piece", "counts").groupBy("piece").applyInPandas(total, "piece int, counts binary")
-    counts = np.zeros((PIECES, (1 << BUCKET_BITS) // PIECES), np.int64)
-    for row in parts.collect():  # a table of fixed size
-        counts[row["piece"]] = np.frombuffer(row["counts"], np.int64)
-    counts = counts.ravel()
-    load = counts.mean()
-    above = np.maximum(0, counts - load - 4 * np.sqrt(load) - 2)
-    return np.minimum(31, np.ceil(np.log2(above + 1))).astype(np.uint8)
+    pieces = {row["piece"]: np.frombuffer(row["counts"], np.uint32) for row in parts.collect()}  # a table of fixed size
+    load = sum(int(p.sum(dtype=np.int64)) for p in pieces.values()) / (1 << BUCKET_BITS)
+    levels = np.zeros((PIECES, (1 << BUCKET_BITS) // PIECES), np.uint8)
+    for piece, counts in pieces.items():
+        above = np.maximum(0, counts - load - 4 * np.sqrt(load) - 2)
+        levels[piece] = np.minimum(31, np.ceil(np.log2(above + 1)))
+    return levels.ravel()
 
 
 # 2. beginnings
 
 
-def beginnings(docs: DataFrame, levels: np.ndarray) -> DataFrame:
-    """`token`, `cid`, `n` and the token's place `pos` for the first n-grams of every class, once per task."""
-    shared = docs.sparkSession.sparkContext.broadcast(levels)  # a table of fixed size
+def beginnings(docs: DataFrame, shared: Broadcast) -> DataFrame:
+    """`token`, `cid`, `n` and the token's place `pos` for the first n-grams of every class, once per task. `shared`: the
+    levels, a table of fixed size."""
 
     def begin(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler, seen = Shingler(), set()
@@ -397,19 +398,24 @@ def filter_of(keys: DataFrame) -> np.ndarray:
     out = np.zeros((PIECES, size // 8 // PIECES), np.uint8)
     for row in keys.mapInPandas(mark, kinds).groupBy("piece").applyInPandas(joined, kinds).collect():  # a table of fixed size
         out[row["piece"]] = np.frombuffer(row["bits"], np.uint8)
-    return np.unpackbits(out.ravel()).astype(bool)
+    return out.ravel()
 
 
-def with_sets(docs: DataFrame, wanted: DataFrame, levels: np.ndarray) -> DataFrame:
+def passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the keys' slots are set in a filter of packed bits."""
+    slot = keys % (8 * len(bits))
+    return (bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
+
+
+def with_sets(docs: DataFrame, wanted: DataFrame, shared: Broadcast) -> DataFrame:
     """`cid` and its ordered set for the classes `wanted` by `cid` and the `key` of one of their texts. A filter of fixed
     size tells most other texts, the join the rest."""
-    context = docs.sparkSession.sparkContext
-    shared, bits = context.broadcast(levels), context.broadcast(filter_of(wanted.select("key")))  # tables of fixed size
+    bits = docs.sparkSession.sparkContext.broadcast(filter_of(wanted.select("key")))  # a table of fixed size
 
     def collect(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler, seen = Shingler(), set()
         for frame in frames:
-            frame = frame[bits.value[frame["text_key"].to_numpy() % len(bits.value)]]
+            frame = frame[passes(bits.value, frame["text_key"].to_numpy())]
             for at in range(0, len(frame), 200):
                 rows = []
                 for text in frame["text"].iloc[at : at + 200]:
@@ -441,7 +447,7 @@ def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return stored(told.mapInPandas(sift, pairs.schema), "likely")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, levels: np.ndarray) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, levels: Broadcast) -> DataFrame:
     """The pairs `a`, `b` of classes that link. The candidates of one class are verified in tries of at most about
     `TRIE_SETS` sets, so that a class with very many is shared by several tasks. `pairs` is a stored table."""
     pairs = pairs.select("a", "b")
@@ -548,6 +554,7 @@ def across(pairs: DataFrame, comps: DataFrame) -> DataFrame:
 
 def linked_classes(docs: DataFrame, classes: DataFrame, levels: np.ndarray) -> DataFrame:
     """`cid` and `comp` of all classes with links."""
+    levels = docs.sparkSession.sparkContext.broadcast(levels)  # a table of fixed size
     groups = stored(met(beginnings(docs, levels)), "met")
     sizes = (100 * F.least("n", "head_n") >= PERCENT * F.greatest("n", "head_n"))
     stars = groups.where((F.col("cid") != F.col("head")) & sizes).groupBy("head", "cid", "n", "head_n").count()
@@ -565,9 +572,9 @@ def linked_classes(docs: DataFrame, classes: DataFrame, levels: np.ndarray) -> D
 
 
 def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of every document with doc_id and text: `doc_id`, `text_key`, `n`, `component_id` and `first_key`, the text key of
-    the component's first row, which is the one with the smallest id and then the smallest key. Those without n-grams
-    come apart, as they are in no component."""
+    """Of every document with doc_id and text: `doc_id`, `text_key`, `n`, `comp` (a name of its component), `component_id`
+    and `first_key`, the text key of the component's first row, which is the one with the smallest id and then the
+    smallest key. Those without n-grams come apart, as they are in no component."""
     spark = docs.sparkSession
     small_batches(spark)
     table = stored(measured(docs), "measured")
@@ -583,7 +590,7 @@ def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         named = classes.join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
         first = named.groupBy("comp").agg(F.min("first").alias("_first"))
         told = F.col("_first.doc_id").alias("component_id"), F.col("_first.text_key").alias("first_key")
-        rows = named.join(first, "comp").select("cid", *told)
+        rows = named.join(first, "comp").select("cid", "comp", *told)
         path = work_path(spark, "lookup")
         rows.write.parquet(path)
     lookup = spark.read.schema(rows.schema).parquet(path)
@@ -627,3 +634,35 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     key = F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key")
     one = docs.join(again, same(again), "left_semi").groupBy(*key).agg(F.min_by(F.struct(*docs.columns), order).alias("_row"))
     return single.unionByName(one.select("_row.*"))
+
+
+def survivors(docs: DataFrame) -> DataFrame:
+    """Of the rows of each component exactly one: the one with the smallest id, a NULL id last, then the smallest text key, then
+    the first by the other columns. Rows whose text has no n-grams stay. Rows are told apart by id and text, so ids may be
+    missing or repeated."""
+    full, _ = grouped(docs)
+    keys = stored(full.groupBy("comp", "doc_id", "text_key").agg(F.count("*").alias("_n")), "keys")
+    spot = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_key")
+    first = keys.groupBy("comp").agg(F.min(spot).alias("_spot"))
+    counts = keys.groupBy("comp").agg(F.count("*").alias("n"))
+    told = skew_safe_lookup(keys, first, counts, "comp", "text_key").withColumn("_first", spot == F.col("_spot"))
+    gone = told.where("NOT _first OR _n > 1").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_first")
+    copies = stored(gone, "copies")
+    same = lambda keys: docs["doc_id"].eqNullSafe(keys["_id"]) & (F.xxhash64(docs["text"]) == keys["_key"])
+    # a filter of fixed size tells most texts that have no copy, which then need not be moved
+    bits = docs.sparkSession.sparkContext.broadcast(filter_of(copies.select(F.col("_key").alias("key"))))
+
+    @F.pandas_udf("boolean")
+    def maybe(keys: pd.Series) -> pd.Series:
+        return pd.Series(passes(bits.value, keys.to_numpy()))
+
+    alone, asked = docs.where(~maybe(F.xxhash64("text"))), docs.where(maybe(F.xxhash64("text")))
+    single = alone.unionByName(asked.join(copies, same(copies), "left_anti"))
+    again = copies.where("_first")  # the one that stays is there more than once
+    if again.isEmpty():
+        return single
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    order = F.to_json(F.struct(*others)) if others else F.lit("")
+    key = F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key")
+    one = docs.join(again, same(again), "left_semi").groupBy(*key).agg(F.min_by(F.struct(*docs.columns), order).alias("_row"))
+    return single.unionByName(one.select("_row.*"))
