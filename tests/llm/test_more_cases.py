@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import pytest
 from llm_rows import doc
 
-from veilstone.llm import langid
+import corpus_pipeline
+from veilstone.llm import common, langid, trie_join
 
 
 def test_ids_beside_a_null_are_exact(run):
@@ -60,3 +63,44 @@ def test_identified_keeps_columns_of_any_name(spark):
 def test_sharding_of_no_documents(run):
     assert run("op4_hash_tree_shards") == []
     assert len(run("op4_hash_tree_shards", documents=[doc(None, None), doc(1, "a"), doc(1, "a")])) == 3
+
+
+def test_one_row_of_each_component_stays_with_or_without_ids(spark):
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [
+        (None, text, "b"), (None, text, "a"), (None, text.upper(), "c"),  # no id at all
+        (7, "alpha beta gamma delta epsilon zeta", "x"), (None, "alpha beta gamma delta epsilon zeta", "y"), (5, "alpha beta gamma delta epsilon ZETA", "z"),
+        (9, "same words but another id here", "p"), (9, "same words but another id here", "o"), (9, "a text of its own under that id", "q"),
+        (None, None, "n"), (None, None, "n"), (None, "", "n"), (3, " ", "n"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    kept = trie_join.survivors(docs)
+    assert kept.columns == docs.columns
+    got = [tuple(r) for r in kept.collect()]
+    lone = [r for r in got if r[0] is None and (r[1] or "").lower() == text]
+    assert len(lone) == 1 and (lone[0][1] != text or lone[0][2] == "a")
+    assert sorted((r for r in got if r not in lone), key=repr) == sorted(
+        [(5, "alpha beta gamma delta epsilon ZETA", "z"), (9, "same words but another id here", "o"), (9, "a text of its own under that id", "q"), *rows[9:]], key=repr
+    )
+    assert trie_join.survivors(docs.where("false")).collect() == []
+
+
+def test_the_pipeline_on_empty_tables_and_clashing_columns(spark, tables):
+    assert corpus_pipeline.run(spark, tables()).collect() == []
+    words = "the of and water house is running through with people from city many years after river".split()
+    draw = np.random.default_rng(1)
+    texts = [" ".join(draw.choice(words, 40)) for _ in range(30)]
+    made = corpus_pipeline.run(spark, tables(documents=[doc(i, t, "en", f"s{i % 2}") for i, t in enumerate(texts)], benchmark=[(1, texts[3])]))
+    placed = {r.doc_id for r in made.collect()}
+    assert placed <= set(range(30)) - {3} and len(placed) >= 20
+
+
+def test_scratch_tables_go_and_others_stay(spark, tmp_path):
+    rows = spark.range(3)
+    with common.scratch(spark):
+        inside = common.stored(rows, "inside")
+        path = inside.inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path)
+    assert not os.path.exists(os.path.dirname(path))
+    outside = common.stored(rows, "outside")
+    assert outside.count() == 3

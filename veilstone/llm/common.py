@@ -48,6 +48,12 @@ def work_path(spark: SparkSession, name: str) -> str:
 _written: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Deletes a table that was written for this run only."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Tables that `stored` writes inside go when it ends. What is to last must be stored after it."""
@@ -57,10 +63,8 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _written.set(outer)
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
         for path in mine:
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(conf).delete(place, True)
+            removed(spark, path)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
