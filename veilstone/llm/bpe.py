@@ -74,21 +74,19 @@ class Transducer:
             raise ValueError(f"no token for the bytes {missing}")
         self.ranks, self.limit = ranks, states
         self.bytes_of = {rank: token for token, rank in ranks.items()}
-        # the tree of tokens: children by place and byte, and at each place the token that ends and whether any goes on
-        self.children: dict[int, int] = {}
-        self.ends: list[int | None] = [None]
-        self.goes_on: list[bool] = [True]
+        # the tree of tokens: by place and byte the next place, the token that ends there, and whether any goes on
+        places, ends, goes_on = {}, [None], {0}
         for token, rank in ranks.items():
             at = 0
             for byte in token:
-                self.goes_on[at] = True
+                goes_on.add(at)
                 step = at << 8 | byte
-                at = self.children.get(step, 0)
+                at = places.get(step, 0)
                 if not at:
-                    at = self.children[step] = len(self.ends)
-                    self.ends.append(None)
-                    self.goes_on.append(False)
-            self.ends[at] = rank
+                    at = places[step] = len(ends)
+                    ends.append(None)
+            ends[at] = rank
+        self.children: dict[int, tuple[int, int | None, bool]] = {step: (at, ends[at], at in goes_on) for step, at in places.items()}
         self.split = regex.compile(pattern)
         self.known = Pieces(self.pack)
         self.spines: dict[bytes, tuple | None] = {}
@@ -167,21 +165,27 @@ class Transducer:
             else:
                 j += 1
 
+    def read(self, walks: tuple | list, byte: int) -> list:
+        """The walks that are open after a byte, with nothing given; the border that ends here comes last."""
+        after, border = [], None
+        children, borders = self.children.get, self.borders.get
+        for last, at, pending in walks:
+            found = children(at << 8 | byte)
+            if found is not None:
+                at, rank, goes_on = found
+                if rank is not None and border is None:  # a prefix has one last token, so one border holds here
+                    kept = borders(last << 32 | rank)
+                    if kept or (kept is None and self.holds(last, rank)):
+                        border = (rank, 0, (*pending, rank))
+                if goes_on:
+                    after.append((last, at, pending))
+        after.append(border)
+        return after
+
     def step(self, open_: tuple, byte: int) -> tuple[tuple[int, ...], list]:
         """The tokens that are settled by a byte, and the walks that are open after it."""
-        walks, border = [], None
-        children, ends, goes_on, borders = self.children, self.ends, self.goes_on, self.borders
-        for last, at, pending in open_:
-            at = children.get(at << 8 | byte)
-            if at is None:
-                continue
-            rank = ends[at]
-            if rank is not None and border is None:  # a prefix has one last token, so one border holds here
-                kept = borders.get(last << 32 | rank)
-                if kept or (kept is None and self.holds(last, rank)):
-                    border = (rank, 0, (*pending, rank))
-            if goes_on[at]:
-                walks.append((last, at, pending))
+        walks = self.read(open_, byte)
+        border = walks.pop()
         given = border[2]
         for _, _, pending in walks:
             if pending[: len(given)] != given:
@@ -229,13 +233,11 @@ class Transducer:
     def followed(self, walks: tuple | list, rest: bytes, given: list[int]) -> list[int]:
         """The tokens given so far and those of the rest of a piece, from open walks to its end."""
         for byte in rest[:-1]:
-            settled, walks = self.step(walks, byte)
-            if settled:
-                given += settled
+            walks = self.read(walks, byte)
         byte = rest[-1]  # the last byte needs no walks after it
         for last, at, pending in walks:
-            rank = self.ends[self.children.get(at << 8 | byte, 0)]
-            if rank is not None:
+            found = self.children.get(at << 8 | byte)
+            if found is not None and (rank := found[1]) is not None:
                 kept = self.borders.get(last << 32 | rank)
                 if kept or (kept is None and self.holds(last, rank)):
                     return [*given, *pending, rank]
