@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import os
+import time
 
 import numpy as np
 import pytest
 from llm_rows import doc
 
 import corpus_pipeline
-from veilstone.llm import common, langid, trie_join
+from veilstone.llm import common, langid, pii, trie_join
 
 
 def test_ids_beside_a_null_are_exact(run):
@@ -104,3 +105,14 @@ def test_scratch_tables_go_and_others_stay(spark, tmp_path):
     assert not os.path.exists(os.path.dirname(path))
     outside = common.stored(rows, "outside")
     assert outside.count() == 3
+
+
+def test_a_text_of_many_numbers_takes_time_in_proportion(spark):
+    def seconds(n):
+        docs = spark.createDataFrame([(1, " ".join(str(100_000 + i) for i in range(n)) + " a@b.cc")], "doc_id long, text string")
+        begun = time.perf_counter()
+        assert pii.extract(docs)[1].where("base").count() >= 1
+        return time.perf_counter() - begun
+
+    seconds(100)
+    assert seconds(40_000) < 4 * max(seconds(10_000), 3)

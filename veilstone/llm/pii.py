@@ -111,7 +111,9 @@ def free_words(spots: DataFrame, base: DataFrame) -> DataFrame:
     )
     order = Window.partitionBy("row").orderBy("start", F.desc("known"))
     reach = F.max(F.when(F.col("known"), F.col("stop"))).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    onward = F.min(F.when(F.col("known"), F.col("start"))).over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    # what comes next, by a running minimum from the end: a frame that ends at the end would be gone through for every row
+    back = Window.partitionBy("row").orderBy(F.desc("start"), "known").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    onward = F.min(F.when(F.col("known"), F.col("start"))).over(back)
     apart = both.withColumns({"_reach": reach, "_next": onward}).where("NOT known")
     apart = apart.where("coalesce(_reach, 0) <= start AND coalesce(_next, stop) >= stop")
     return apart.select("row", "start", "stop", F.lower("m").alias("instance"), context("tail").alias("pattern"))
