@@ -195,3 +195,14 @@ def test_policies_take_the_strictest_that_applies(spark):
 def test_line_separators_are_escaped(spark):
     row = spark.createDataFrame([("a b <",)], "t string").select(R.wire_json(F.struct("t")).alias("j")).first()
     assert row["j"] == '{"t":"a\\u2028b\\u2029\\u003c"}'
+
+
+def test_context_keys_belong_to_their_channels(spark):
+    rows = [("sql", "db", True), ("sql", "", False), ("command", "db", True), ("agent_card", None, None), ("sql", None, True)]
+    table = spark.createDataFrame(rows, "channel string, db string, flag boolean")
+    context = R.channel_context(F.col("channel"), {"database": F.col("db"), "allow_destructive": F.col("flag")})
+    got = [dict(r[0]) for r in table.select(context).collect()]
+    assert got == [{"database": "db", "allow_destructive": "true"}, {}, {}, {}, {"allow_destructive": "true"}]
+    assert spark.range(1).select(R.channel_context(F.lit("sql"), {})).first()[0] == {}
+    with pytest.raises(ValueError, match="nonsense"):
+        R.channel_context(F.lit("sql"), {"nonsense": F.lit("x")})

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from veilstone.functions.dims import CHANNELS
+
 MAX_CONTENT_BYTES = 102_400
 
 # White space as Unicode defines it.
@@ -139,6 +141,36 @@ def route_channel(kind: Column, content: Column) -> Column:
     )
 
 
+#: Context keys whose values are flags.
+FLAGS = ("allow_destructive", "verify_signature")
+
+
+def channel_context(channel: Column, options: Mapping[str, Column]) -> Column:
+    """The optional context of a request as a map: of the given options those that its channel knows and that are set.
+
+    Text counts as set unless it is empty; a flag only where it is true, and goes as the text `true`.
+    """
+    entries = []
+    for name, value in options.items():
+        homes = [c for c, (keys, _) in CHANNELS.items() if name in keys]
+        if not homes:
+            raise ValueError(f"no channel has the context key {name!r}")
+        text = F.when(value.cast("string") == "true", "true") if name in FLAGS else value.cast("string")
+        entries.append(F.struct(F.lit(name).alias("key"), F.when(channel.isin(homes) & (text != ""), text).alias("value")))
+    if not entries:
+        return F.create_map().cast("map<string,string>")
+    return F.map_from_entries(F.filter(F.array(*entries), lambda e: e["value"].isNotNull()))
+
+
+def channel_request(
+    channel: Column, content: Column, options: Mapping[str, Column], session: Column, agent: Column, default_session: Column,
+    default_agent: Column, agent_override: Column | None = None,
+) -> Column:
+    """The body of a request to any specialised channel, with the context that the channel has."""
+    extras = channel_context(channel, options)
+    return channel_envelope(content, channel, identity_context(session, agent, default_session, default_agent, agent_override, extras=extras))
+
+
 def wire_hash(*parts: Column) -> Column:
     """Hash of the parts put together bare, as the reference cache does. Different parts may collide."""
     return F.sha2(F.concat(*[F.coalesce(p, F.lit("")) for p in parts]), 256)

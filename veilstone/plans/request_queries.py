@@ -98,6 +98,37 @@ def route_channel(spark: SparkSession, folder: str) -> DataFrame:
     return docs.select("doc_id", R.route_channel(kind, body).alias("channel"))
 
 
+#: Channel and options of an event, as SQL that both engines read.
+CHANNEL_OPTIONS = {
+    "channel": "CASE event_id % 8 WHEN 0 THEN 'command' WHEN 1 THEN 'sql' WHEN 2 THEN 'file_path' WHEN 3 THEN 'file_content' "
+    "WHEN 4 THEN 'web_search' WHEN 5 THEN 'rag_context' WHEN 6 THEN 'a2a_message' ELSE 'agent_card' END",
+    "cwd": "CASE WHEN user_id % 3 = 0 THEN '/home/u' || cast(user_id as string) WHEN user_id % 3 = 1 THEN '' END",
+    "database": "CASE WHEN user_id % 2 = 0 THEN 'db<' || cast(user_id % 9 as string) || '>' END",
+    "allow_destructive": "user_id % 4 = 0",
+    "file_content": "'line ' || cast(user_id as string) || ' & \"quoted\"'",
+    "query": "CASE WHEN user_id % 5 <> 0 THEN 'what is ' || event_type END",
+    "sender_agent_id": "'s' || cast(user_id % 7 as string)",
+    "receiver_agent_id": "CASE WHEN user_id % 3 <> 0 THEN 'r' || cast(user_id % 5 as string) END",
+    "task_id": "CASE WHEN event_id % 5 = 0 THEN 't' || cast(event_id as string) ELSE '' END",
+    "role": "CASE WHEN event_id % 3 = 0 THEN 'user' WHEN event_id % 3 = 1 THEN 'agent' END",
+    "verify_signature": "user_id % 2 = 1",
+}
+
+
+def channel_contexts(spark: SparkSession, folder: str) -> DataFrame:
+    """The context of every event's request, read back from the body: what reaches the service, key by key."""
+    given = read_table(spark, folder, "events").selectExpr(
+        "event_id", "user_id", "event_type", *[f"{sql} AS {name}" for name, sql in CHANNEL_OPTIONS.items()]
+    )
+    options = {name: F.col(name) for name in CHANNEL_OPTIONS if name != "channel"}
+    user = F.concat(F.lit("u"), F.col("user_id").cast("string"))
+    body = R.channel_request(
+        F.col("channel"), F.col("event_type"), options, F.when(F.col("user_id") % 2 == 0, user), F.lit(""), F.lit("run"), F.lit("agent-0")
+    )
+    read = given.select("event_id", F.from_json(body, "content STRING, content_type STRING, context MAP<STRING, STRING>").alias("b"))
+    return read.select("event_id", F.col("b.content_type").alias("channel"), F.col("b.content").alias("content"), F.explode("b.context").alias("key", "value"))
+
+
 def encode_rag_chunks(spark: SparkSession, folder: str) -> DataFrame:
     done = ops.encode_rag_chunks(page_chunks(spark, folder), "page_id", "pos", "chunk")
     gated = ops.size_gate(done, F.col("content_bytes"), F.lit("rag_context"))
@@ -270,6 +301,20 @@ def unused_channels(spark: SparkSession, folder: str) -> DataFrame:
     return ops.unused_channels(event_requests(spark, folder, "channel"))
 
 
+def _contexts_sql() -> str:
+    """A row for each key: the three of identity, and the options of the channel that are set."""
+    base = ", ".join(f"{sql} AS {name}" for name, sql in CHANNEL_OPTIONS.items())
+    rows = [
+        ("session_id", "CASE WHEN user_id % 2 = 0 THEN 'u' || cast(user_id as string) ELSE 'run' END", "true"),
+        ("agent_id", "'agent-0'", "true"),
+        ("source_application", "'veilstone'", "true"),
+    ]
+    for channel, (keys, _) in CHANNELS.items():
+        rows += [(k, "'true'" if k in R.FLAGS else k, f"channel = '{channel}' AND " + (k if k in R.FLAGS else f"{k} <> ''")) for k in keys]
+    parts = " UNION ALL ".join(f"SELECT event_id, channel, event_type AS content, '{k}' AS key, {v} AS value FROM b WHERE {when}" for k, v, when in rows)
+    return f"WITH b AS (SELECT event_id, user_id, event_type, {base} FROM events) {parts}"
+
+
 #: DuckDB: `shared`, each request with the one whose verdict it has: one step for each scan of a content.
 EXPIRING = f"""{READ.replace('WITH ', 'WITH RECURSIVE ', 1)},
 hashed AS (SELECT request_id, ts, sha256(content) AS content_hash FROM ev),
@@ -289,6 +334,7 @@ QUERIES = {
     "tool_schemas": tool_schemas,
     "resolve_identity": resolve_identity,
     "route_channel": route_channel,
+    "channel_contexts": channel_contexts,
     "encode_rag_chunks": encode_rag_chunks,
     "content_hash": content_hash,
     "rule_screen": rule_screen,
@@ -463,6 +509,7 @@ SELECT doc_id, coalesce(action, 'allow') AS action, reason FROM documents LEFT J
 h AS (SELECT doc_id, content, {_rule_pick('hit')} FROM s)
 SELECT doc_id, sha256('channel=3:sqltext=' || strlen(content) || ':' || content) AS content_hash, {_BLOCKED} AS blocked,
   {_by_rule(_ACTIONS, "'allow'")} AS action, {_by_rule(_RULE_TYPES, 'NULL')} AS threat_type FROM h""",
+    "channel_contexts": _contexts_sql(),
     "dedup_scans_expiring": f"""{EXPIRING} SELECT request_id, content_hash, scan_id, scan_id = request_id AS scanned, action, blocked
 FROM shared JOIN (SELECT request_id AS scan_id, action, blocked FROM clean) USING (scan_id)""",
     "dedup_expiry_stats": f"""{EXPIRING} SELECT count(*) FILTER (WHERE scan_id <> request_id) AS hits,
