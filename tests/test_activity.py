@@ -252,3 +252,12 @@ def test_holds_last_to_the_release_or_the_last_action(spark):
             want.append((key, hold[0], hold[4], False, hold[2], hold[3], (hold[5] - hold[1]) // timedelta(seconds=1)))
     found = [(r["session_id"], r["started"]["request_id"], r["ended"]["request_id"], r["released"], r["refusals"], r["actions_held"], r["seconds"]) for r in got]
     assert sorted(found, key=repr) == sorted(want, key=repr) and len(want) > 50
+
+
+def test_verdicts_reused_in_other_sessions(spark):
+    rows = [(1, "s1", "h"), (2, "s1", "h"), (3, "s2", "h"), (4, "s3", "h"), (5, "s2", "h"), (6, "s1", "g"), (7, "s1", "g"), (8, None, "f"), (9, None, "f")]
+    requests = spark.createDataFrame([r[:2] for r in rows], "request_id int, session_id string")
+    scans = {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 6, 7: 6, 8: 8, 9: 8}
+    told = spark.createDataFrame([(i, h, scans[i], scans[i] == i) for i, _, h in rows], "request_id int, content_hash string, scan_id int, scanned boolean")
+    got = {r["content_hash"]: tuple(r)[1:] for r in sessions.reused_verdicts(told, requests).collect()}
+    assert got == {"h": (5, 3, 2, 1), "f": (2, 1, 1, 0)}

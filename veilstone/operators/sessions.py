@@ -243,6 +243,28 @@ def session_isolation_audit(requests: DataFrame, content_hash: str, session: str
     return seen.where(F.col("sessions") > 1)
 
 
+def reused_verdicts(deduplicated: DataFrame, requests: DataFrame, session: str = "session_id") -> DataFrame:
+    """Contents whose verdict was reused in another session than the one that was scanned: `content_hash`, its `requests`, how
+    many were `reused`, how many of them `across` sessions, and the number of `sessions` that got a verdict from elsewhere.
+
+    `deduplicated` comes from `expiry.dedup_within`, `requests` tells the session of each request. A session that is not
+    known is another one.
+    """
+    here = requests.select("request_id", F.col(session).alias("_here"))
+    there = requests.select(F.col("request_id").alias("scan_id"), F.col(session).alias("_there"))
+    # a scan may be shared by very many requests
+    counts = deduplicated.groupBy("scan_id").agg(F.count(F.lit(1)).alias("n"))
+    met = skew_safe_lookup(deduplicated.join(here, "request_id"), there, counts, "scan_id", "request_id")
+    elsewhere = ~F.col("scanned") & ~F.coalesce(F.col("_here") == F.col("_there"), F.lit(False))
+    told = met.groupBy("content_hash").agg(
+        F.count(F.lit(1)).alias("requests"),
+        F.count_if(~F.col("scanned")).alias("reused"),
+        F.count_if(elsewhere).alias("across"),
+        F.count_distinct(F.when(elsewhere, F.col("_here"))).alias("sessions"),
+    )
+    return told.where("across > 0")
+
+
 def shared_session_audit(requests: DataFrame, session: str = "session_id", user: str = "user_id", exact: bool = True) -> DataFrame:
     """Sessions with more than one end user, who then share one risk score."""
     users = F.count_distinct(user) if exact else F.approx_count_distinct(user)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from veilstone.functions import verdicts as V
 from veilstone.functions.dims import values_table
-from veilstone.operators import reliability, scopes, sessions
+from veilstone.operators import expiry, reliability, scopes, sessions
 from veilstone.operators import verdicts as vops
 from veilstone.plans.flows import action_scan as action_scan_of
 from veilstone.plans.request_queries import EXPIRING
@@ -107,6 +107,13 @@ def session_isolation_audit(spark: SparkSession, folder: str) -> DataFrame:
     return sessions.session_isolation_audit(events.withColumn("content_hash", F.sha2("content", 256)), "content_hash")
 
 
+def reused_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdicts that crossed sessions, as a cache with a time to live would have handed them out."""
+    events = event_requests(spark, folder, "session_id", "content").where("content IS NOT NULL")
+    told = expiry.dedup_within(events, "request_id", "ts", F.sha2("content", 256))
+    return sessions.reused_verdicts(told, events)
+
+
 def shared_session_audit(spark: SparkSession, folder: str) -> DataFrame:
     """Sessions named after the hour of the day and the user's group, so that users do share them."""
     shared = F.concat(F.lit("g"), (F.col("user_id") % 40).cast("string"), F.lit("-"), F.date_format("ts", "yyyyMMdd"))
@@ -289,6 +296,7 @@ QUERIES = {
     "session_holds": session_holds,
     "post_refusal_holds": post_refusal_holds,
     "session_isolation_audit": session_isolation_audit,
+    "reused_verdicts": reused_verdicts,
     "shared_session_audit": shared_session_audit,
     "scope_merge": scope_merge,
     "scope_change_check": scope_change_check,
@@ -441,6 +449,12 @@ SELECT request_id, session_id, CAST(refusals_before AS BIGINT) AS refusals_befor
   (epoch_us(ts) - epoch_us(refusal_ts)) // 1000000 AS seconds_since_refusal FROM lined WHERE refusals_before > 0""",
     "session_isolation_audit": f"""WITH {events_cte()} SELECT sha256(content) AS content_hash, count(DISTINCT session_id) AS sessions,
   count(*) AS requests FROM ev GROUP BY 1 HAVING count(DISTINCT session_id) > 1""",
+    "reused_verdicts": f"""{EXPIRING}, met AS (SELECT s.content_hash, s.scan_id <> s.request_id AS reused, h.session_id AS here,
+  h.session_id IS DISTINCT FROM t.session_id AS elsewhere
+  FROM shared s JOIN ev h ON h.request_id = s.request_id JOIN ev t ON t.request_id = s.scan_id WHERE s.content_hash IS NOT NULL)
+SELECT content_hash, count(*) AS requests, count(*) FILTER (WHERE reused) AS reused, count(*) FILTER (WHERE reused AND elsewhere) AS across,
+  count(DISTINCT CASE WHEN reused AND elsewhere THEN here END) AS sessions FROM met GROUP BY content_hash
+HAVING count(*) FILTER (WHERE reused AND elsewhere) > 0""",
     "shared_session_audit": """SELECT 'g' || (user_id % 40) || '-' || strftime(ts, '%Y%m%d') AS session_id,
   count(DISTINCT user_id) AS users, count(*) AS requests FROM events GROUP BY 1 HAVING count(DISTINCT user_id) > 1""",
     "scope_merge": f"""WITH {_SCOPED} SELECT agent_id, seq, allowed AS allowed_tools, forbidden AS forbidden_tools, purpose,
