@@ -25,6 +25,7 @@ QUERIES = {
 #: What DuckDB can express; hashes of 64 bits, trained models and floating draws are tested by brute force instead.
 ORACLE = {
     "op7_minhash_containment": decontamination.ORACLE,
+    "op9_trie_components": trie_join.ORACLE,
     "op13_slot_negatives": negatives.ORACLE,
     "op3_warc_captures": """
         WITH p AS (

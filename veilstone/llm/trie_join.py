@@ -53,6 +53,37 @@ TRIE_SETS = 256
 _MIX = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+#: The same by a join of all n-grams and a closure of all links, which only small tables allow.
+ORACLE = r"""
+    WITH RECURSIVE split AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+        FROM documents
+    ), grams AS (
+        SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+            ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g
+        FROM split
+    ), sized AS (
+        SELECT doc_id, len(g)::BIGINT AS n FROM grams
+    ), each AS (
+        SELECT doc_id, unnest(g) AS gram FROM grams
+    ), shared AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+        FROM each a JOIN each b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL
+    ), linked AS (
+        SELECT a, b FROM shared JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b
+        WHERE 100 * common >= 80 * (x.n + y.n - common)
+    ), sides AS (
+        SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked
+    ), reach AS (
+        SELECT doc_id, doc_id AS other FROM documents
+        UNION
+        SELECT r.doc_id, s.b FROM reach r JOIN sides s ON s.a = r.other
+    )
+    SELECT doc_id, n AS n_shingles, min(other) AS component_id FROM reach JOIN sized USING (doc_id) GROUP BY doc_id, n
+"""
+
+
 class Shingler:
     """Sets of n-gram hashes. Letters A-Z are lower-cased; words are what stands between the six ASCII blanks.
 
