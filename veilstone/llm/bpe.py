@@ -38,7 +38,7 @@ from veilstone.llm.common import read_table
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Bounds of what a worker remembers; whatever is forgotten is made anew.
 STATES = 60_000
-PIECES = 250_000
+PIECES = 400_000
 PIECE_LETTERS = 64
 #: Rows that are given at once.
 ROWS = 500
@@ -296,6 +296,8 @@ class Decoder:
         self.tokens = tokens
         self.steps: dict[bytes, dict[int, tuple[str, bytes]]] = {}
         self.held = b""
+        # tokens that are whole characters, which is nearly all of them: their steps begin and end between characters
+        self.whole = {i: read[0] for i, token in tokens.items() if not (read := self.read(b"", token))[1] and BROKEN not in read[0]}
 
     @staticmethod
     def read(held: bytes, more: bytes) -> tuple[str, bytes]:
@@ -317,6 +319,11 @@ class Decoder:
 
     def feed(self, ids: list[int]) -> str:
         """Characters that are whole once these tokens are in."""
+        if not self.held:
+            try:
+                return "".join(map(self.whole.__getitem__, ids))
+            except KeyError:  # a token that begins or ends within a character, or is none
+                pass
         text, held = [], self.held
         moves = self.steps.setdefault(held, {})
         for i in ids:
