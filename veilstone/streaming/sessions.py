@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,16 +32,25 @@ class SessionRisk(StatefulProcessor):
         self.state = handle.getValueState("session", "locked BOOLEAN, crossed BOOLEAN, timer BIGINT")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        locked, crossed, timer = self.state.get() if self.state.exists() else (False, False, None)
+        # One read of the state: every call to it is a round trip to the state server.
+        held = self.state.get()
+        locked, crossed, timer = held if held is not None else (False, False, None)
         reported = {"session_locked": locked, "risk_threshold_exceeded": crossed}
-        found: dict[str, pd.DataFrame] = {}
+        found: dict[str, tuple[tuple, pd.DataFrame]] = {}
         latest = None
         for chunk in rows:
-            latest = chunk["ts"].max() if latest is None else max(latest, chunk["ts"].max())
-            for reason, part in chunk.groupby("reason"):
-                if not reported[reason]:
-                    first = part.nsmallest(1, _ORDER)
-                    found[reason] = pd.concat([found[reason], first]).nsmallest(1, _ORDER) if reason in found else first
+            stamps = chunk["ts"]
+            latest = stamps.max() if latest is None else max(latest, stamps.max())
+            reasons = chunk["reason"].to_numpy()
+            for reason, done in reported.items():
+                at = np.flatnonzero(reasons == reason) if not done else ()
+                if len(at):
+                    # the earliest by (ts, request_id), the first of equals, with arrays rather than a frame per step
+                    ts, ids = stamps.to_numpy()[at], chunk["request_id"].to_numpy()[at]
+                    best = np.lexsort((ids, ts))[0]
+                    order = (ts[best], ids[best])
+                    if reason not in found or order < found[reason][0]:
+                        found[reason] = (order, chunk.iloc[[at[best]]])
         if self.idle_ms is not None and pd.notna(latest):
             then = int(latest.timestamp() * 1_000) + self.idle_ms
             if timer is None or then > timer:
@@ -50,7 +60,10 @@ class SessionRisk(StatefulProcessor):
                 timer = then
         self.state.update((locked or "session_locked" in found, crossed or "risk_threshold_exceeded" in found, timer))
         if found:
-            yield pd.concat(found.values()).assign(session_id=key[0])[["session_id", "reason", "request_id", "ts", "risk"]]
+            firsts = [row for _, row in found.values()]
+            yield (firsts[0] if len(firsts) == 1 else pd.concat(firsts)).assign(session_id=key[0])[
+                ["session_id", "reason", "request_id", "ts", "risk"]
+            ]
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         self.state.clear()
