@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,19 +41,20 @@ class Scope:
         ends = [self.expires, None if self.seconds is None else self.since + self.seconds * _SECOND]
         return min((e for e in ends if e is not None), default=None)
 
-    def refresh(self, d: dict) -> None:
-        """A later declaration: taken if it comes in time and only narrows; fields left unset stay."""
+    def refresh(self, d: dict) -> bool:
+        """A later declaration: taken if it comes in time and only narrows; fields left unset stay. True if taken."""
         allowed, forbidden = d["allowed"], d["forbidden"]
         late = self.closed or (self.ceiling is not None and d["us"] > self.ceiling)
         keeps = allowed is None or "*" in (self.allowed or []) or set(allowed) <= set(self.allowed or [])
         still = forbidden is None or set(self.forbidden or []) <= set(forbidden)
         if late or not keeps or not still:
-            return
+            return False
         self.allowed = self.allowed if allowed is None else allowed
         self.forbidden = self.forbidden if forbidden is None else forbidden
         self.seconds = self.seconds if d["seconds"] is None else d["seconds"]
         self.expires = self.expires if d["expires"] is None else d["expires"]
         self.since = d["us"]
+        return True
 
     def reason(self, us: int, tool: str | None) -> str | None:
         until = self.until()
@@ -74,7 +76,8 @@ class Enforcement(StatefulProcessor):
         self.scope = handle.getValueState("scope", "json STRING")
 
     def _load(self) -> Scope | None:
-        return Scope(**json.loads(self.scope.get()[0])) if self.scope.exists() else None
+        held = self.scope.get()
+        return Scope(**json.loads(held[0])) if held is not None else None
 
     def _save(self, scope: Scope) -> None:
         for timer in list(self.handle.listTimers()):
@@ -85,23 +88,54 @@ class Enforcement(StatefulProcessor):
         self.scope.update((json.dumps(asdict(scope)),))
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        scope, changed, out = self._load(), False, []
-        given = pd.concat(list(rows)).sort_values(["us", "kind", "request_id"])
-        for row in given.to_dict("records"):
-            if row["kind"] == 0:
-                declaration = {"us": row["us"], **json.loads(row["declaration"])}
-                if scope is None:
-                    scope = Scope.declared(declaration)
-                else:
-                    scope.refresh(declaration)
-                changed = True
+        """Declarations are few: they are kept and replayed in order into the versions of the scope. Actions are kept only as
+        arrays of time, id and tool number, and each finds its version by time, so an agent's rows never sit in Python
+        objects at once, and results leave chunk by chunk."""
+        declared: list[tuple[float, int, str]] = []
+        acted: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        numbers: dict[str, int] = {}
+        for chunk in rows:
+            kinds = chunk["kind"].to_numpy()
+            given = chunk[kinds == 0]
+            declared += zip(given["us"].astype("float64").tolist(), given["request_id"].tolist(), given["declaration"].tolist())
+            done = chunk[kinds != 0]
+            if len(done):
+                codes, tools = pd.factorize(done["tool"])
+                ours = np.array([numbers.setdefault(t, len(numbers)) for t in tools] + [-1], dtype=np.int64)
+                # microseconds fit a double exactly; a missing time stays NaN and sorts last, as before
+                acted.append((done["us"].to_numpy("float64", na_value=np.nan), done["request_id"].to_numpy("int64"), ours[codes]))
+        scope = self._load()
+        starts: list[float] = []
+        versions: list[Scope | None] = [scope]
+        # declarations before actions of the same instant; the order of time, then of number
+        for us, seq, text in sorted(declared, key=lambda d: (np.inf if np.isnan(d[0]) else d[0], d[1])):
+            declaration = {"us": int(us) if not np.isnan(us) else us, **json.loads(text)}
+            if scope is None:
+                scope = Scope.declared(declaration)
             else:
-                tool = row["tool"] if isinstance(row["tool"], str) else None
-                reason = scope.reason(row["us"], tool) if scope else None
-                out.append((key[0], row["request_id"], tool, reason, reason is not None))
-        if changed:
+                candidate = replace(scope)
+                if not candidate.refresh(declaration):
+                    continue
+                scope = candidate
+            starts.append(us)
+            versions.append(scope)
+        if declared:
             self._save(scope)
-        yield pd.DataFrame(out, columns=["agent_id", "request_id", "tool", "hold_reason", "held_by_scope"])
+        names = np.array([*numbers, None], dtype=object)
+        bounds = np.array([np.nan if v is None or v.until() is None else v.until() for v in versions], dtype="float64")
+        closed = np.array([v is not None and v.closed for v in versions])
+        for us, ids, codes in acted:
+            at = np.searchsorted(np.asarray(starts, dtype="float64"), us, side="right")
+            expired = closed[at] | (us >= bounds[at])
+            # the reason that the tool alone gives, once for each pair of version and tool (-1, no tool, is the last name)
+            pairs, where = np.unique(at * len(names) + codes % len(names), return_inverse=True)
+            told = [versions[p // len(names)] for p in pairs.tolist()]
+            hold = np.array([None if v is None else v.reason(-np.inf, names[p % len(names)]) for v, p in zip(told, pairs.tolist())] + [None], dtype=object)[where]
+            tools = names[codes]
+            hold[expired] = "expired"
+            yield pd.DataFrame(
+                {"agent_id": key[0], "request_id": ids, "tool": tools, "hold_reason": hold, "held_by_scope": pd.notna(hold)}
+            )
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         scope = self._load()
