@@ -160,7 +160,10 @@ def scope_enforce(actions: DataFrame, scopes: DataFrame, action_limit: str | Non
     """
     scope = scope_expiry(scopes, F.lit(None).cast("timestamp"))
     limit = F.col(action_limit) if action_limit else F.lit(None).cast("bigint")
-    record = F.struct("allowed_tools", "forbidden_tools", "active_until", limit.cast("bigint").alias("limit"))
+    at = F.struct(F.col("declared_at").alias("ts"), F.col("seq").cast("bigint").alias("request_id"))
+    record = F.struct(
+        "allowed_tools", "forbidden_tools", "active_until", limit.cast("bigint").alias("limit"), at.alias("at")
+    )
     given = scope.select(
         "agent_id", F.col("declared_at").alias("ts"), F.lit(0).alias("_kind"),
         F.col("seq").cast("bigint").alias("request_id"), record.alias("_scope"),
@@ -170,13 +173,17 @@ def scope_enforce(actions: DataFrame, scopes: DataFrame, action_limit: str | Non
     done = narrow.withColumn("_kind", F.lit(1)).unionByName(given, allowMissingColumns=True)
     order = ("ts", "_kind", "request_id")
     bucket = F.floor(F.unix_seconds("ts") / 3600)
-    if action_limit:
-        done = running(done, ["agent_id"], order, bucket, {"_acts": Running("sum", F.col("_kind").cast("bigint"))})
-        done = done.withColumn("_base", F.when(F.col("_kind") == 0, F.col("_acts")))
     values = {"_in_force": Running("last", F.col("_scope"), sparse=True)}
     if action_limit:
-        values["_since"] = Running("last", F.col("_base"), sparse=True)
-    placed = running(done, ["agent_id"], order, bucket, values).where("_kind = 1")
+        values["_acts"] = Running("sum", F.col("_kind").cast("bigint"))
+    passed = running(done, ["agent_id"], order, bucket, values)
+    placed = passed.where("_kind = 1")
+    if action_limit:
+        # One pass: a scope row's count of actions so far, handed to the actions under that scope by its identity.
+        since = passed.where("_kind = 0").groupBy(
+            "agent_id", F.struct("ts", "request_id").alias("_at")
+        ).agg(F.max("_acts").alias("_since"))
+        placed = null_safe_join(placed.withColumn("_at", F.col("_in_force.at")), since, ["agent_id", "_at"])
     force = F.col("_in_force")
     used = (F.col("_acts") - F.col("_since")) > force["limit"] if action_limit else F.lit(False)
     reason = (
