@@ -51,35 +51,34 @@ VIOLATION = (
     + _optional("threat_type", _string(VIOLATION_THREAT))
     + " || '}'"
 )
-RAW = " || ".join(
-    [
-        "'{\"request\":' || cast(event_id as string)",
-        _optional("safe", "CASE WHEN event_id % 97 = 0 THEN '\"false\"' WHEN event_type <> 'error' THEN 'true' "
-                  "ELSE 'false' END", "event_id % 89 <> 0"),
-        _optional("action", _string(ACTION)),
-        _optional("refuse_tier", _string(ACTION), "event_id % 10 <> 0"),
-        _optional("confidence", f"CASE WHEN event_id % 91 = 0 THEN '\"0.95\"' ELSE '0.' || {TWO.format('k')} END",
-                  "k % 10 <> 0"),
-        _optional("threat_type", _string(THREAT)),
-        _optional("severity", "CASE k % 4 WHEN 0 THEN '\"HIGH\"' WHEN 1 THEN '\"severe\"' WHEN 2 THEN '7' END"),
-        _optional("reason", "'\"r' || cast(k as string) || '\"'", "k % 5 = 0"),
-        _optional("violations", f"CASE k % 7 WHEN 0 THEN '[\"note\",' || {VIOLATION} || ']' WHEN 1 THEN '[]' "
-                  f"WHEN 2 THEN '[1]' WHEN 3 THEN '\"none\"' ELSE '[' || {VIOLATION} || ',' || {VIOLATION} || ']' END",
-                  "k % 8 <> 0"),
-        _optional("recovery", "'{\"instruction\":\"wait ' || cast(k % 9 as string) || '\"' || CASE WHEN k % 6 = 0 THEN "
-                  "',\"available_tools\":[\"read_file\",\"session_status\"],\"patterns_triggered\":[\"step_' || "
-                  "cast(k % 4 as string) || '\"]' ELSE '' END || '}'", "k % 3 = 0"),
-        _optional("session_state", "'{\"session_risk_score\":' || " + RISK + " || ',\"session_turn_number\":' || "
-                  "cast(k % 9 + 1 as string) || ',\"session_patterns\":[\"a' || cast(k % 3 as string) || '\",\"b\"]}'",
-                  "event_id % 4 <> 0"),
-        _optional("content_type", _string(CHANNEL), "k % 11 <> 0"),
-        _optional("content_origin", _string(ORIGIN)),
-        _optional("held_by_scope", "'true'", "event_id % 31 = 0"),
-        _optional("content_verdict", "'{\"safe\":true}'", "event_id % 31 = 0"),
-        _optional("policy_id", "'\"top\"'", "event_id % 13 = 0"),
-        "CASE WHEN event_id % 83 = 0 THEN '' ELSE '}' END",
-    ]
-)
+RAW_PARTS = [
+    "'{\"request\":' || cast(event_id as string)",
+    _optional("safe", "CASE WHEN event_id % 97 = 0 THEN '\"false\"' WHEN event_type <> 'error' THEN 'true' "
+              "ELSE 'false' END", "event_id % 89 <> 0"),
+    _optional("action", _string(ACTION)),
+    _optional("refuse_tier", _string(ACTION), "event_id % 10 <> 0"),
+    _optional("confidence", f"CASE WHEN event_id % 91 = 0 THEN '\"0.95\"' ELSE '0.' || {TWO.format('k')} END",
+              "k % 10 <> 0"),
+    _optional("threat_type", _string(THREAT)),
+    _optional("severity", "CASE k % 4 WHEN 0 THEN '\"HIGH\"' WHEN 1 THEN '\"severe\"' WHEN 2 THEN '7' END"),
+    _optional("reason", "'\"r' || cast(k as string) || '\"'", "k % 5 = 0"),
+    _optional("violations", f"CASE k % 7 WHEN 0 THEN '[\"note\",' || {VIOLATION} || ']' WHEN 1 THEN '[]' "
+              f"WHEN 2 THEN '[1]' WHEN 3 THEN '\"none\"' ELSE '[' || {VIOLATION} || ',' || {VIOLATION} || ']' END",
+              "k % 8 <> 0"),
+    _optional("recovery", "'{\"instruction\":\"wait ' || cast(k % 9 as string) || '\"' || CASE WHEN k % 6 = 0 THEN "
+              "',\"available_tools\":[\"read_file\",\"session_status\"],\"patterns_triggered\":[\"step_' || "
+              "cast(k % 4 as string) || '\"]' ELSE '' END || '}'", "k % 3 = 0"),
+    _optional("session_state", "'{\"session_risk_score\":' || " + RISK + " || ',\"session_turn_number\":' || "
+              "cast(k % 9 + 1 as string) || ',\"session_patterns\":[\"a' || cast(k % 3 as string) || '\",\"b\"]}'",
+              "event_id % 4 <> 0"),
+    _optional("content_type", _string(CHANNEL), "k % 11 <> 0"),
+    _optional("content_origin", _string(ORIGIN)),
+    _optional("held_by_scope", "'true'", "event_id % 31 = 0"),
+    _optional("content_verdict", "'{\"safe\":true}'", "event_id % 31 = 0"),
+    _optional("policy_id", "'\"top\"'", "event_id % 13 = 0"),
+    "CASE WHEN event_id % 83 = 0 THEN '' ELSE '}' END",
+]
+RAW = " || ".join(RAW_PARTS)
 
 CONTEXT = (
     "CASE WHEN event_id % 23 = 0 THEN '\"plain\"' ELSE '{\"z\":1' || "
@@ -119,6 +118,15 @@ EVENT_COLUMNS = {
 }
 
 
+def _with_raw(base: DataFrame) -> DataFrame:
+    """`raw`, put together from a few of its parts at a time: the code for all at once is too long for Java to compile."""
+    names = []
+    for i in range(0, len(RAW_PARTS), 3):
+        names.append(f"_raw_{i}")
+        base = computed_once(base, names[-1], F.expr(" || ".join(RAW_PARTS[i : i + 3])))
+    return computed_once(base, "raw", F.concat(*names)).drop(*names)
+
+
 def event_columns(events: DataFrame, *columns: str) -> DataFrame:
     """Events, from a table or a stream, as scan requests: the named derived columns, behind ts and user_id."""
     base = events.select(
@@ -131,7 +139,7 @@ def event_columns(events: DataFrame, *columns: str) -> DataFrame:
         F.date_format("ts", "yyyyMMdd").alias("day"),
     )
     if "raw" in columns:
-        base = computed_once(base, "raw", F.expr(EVENT_COLUMNS["raw"]))
+        base = _with_raw(base)
     derived = [F.col("raw") if c == "raw" else F.expr(EVENT_COLUMNS[c]).alias(c) for c in ("request_id", *columns)]
     return base.select("ts", "user_id", *derived)
 
